@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from lotwise import rules
+from lotwise.functions.text import let
 
 
 def has_prefix(code: Column, prefixes: list[str]) -> Column:
@@ -36,10 +37,11 @@ def verdict(main: Column, codes: Column, prefixes: list[str] = rules.IT_CODE_PRE
     The main code decides where there is one; otherwise at least half of the distinct
     codes must be in scope.
     """
-    unique = F.array_sort(F.array_distinct(codes))
-    n = F.size(unique)
-    n_it = F.size(F.filter(unique, lambda c: has_prefix(c, prefixes)))
-    return verdict_from_counts(main, n, n_it, F.slice(unique, 1, rules.CODES_KEPT), prefixes)
+    unique = let(F.array_sort(F.array_distinct(codes)), lambda u: F.struct(
+        F.size(u).alias("n"), F.size(F.filter(u, lambda c: has_prefix(c, prefixes))).alias("n_it"),
+        F.slice(u, 1, rules.CODES_KEPT).alias("kept")))
+    return let(F.struct(main.alias("main"), unique.alias("u")), lambda x: verdict_from_counts(
+        x["main"], x["u"]["n"], x["u"]["n_it"], x["u"]["kept"], prefixes))
 
 
 def verdict_from_counts(main: Column, n: Column, n_it: Column, kept: Column,

@@ -18,6 +18,11 @@ SPACE = r"[\s\u00A0\u2000-\u200A\u202F\u3000]"
 BLANKS = " \t\r\n\f\u000B\u00A0"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
@@ -120,7 +125,13 @@ def consortium_members(name: Column) -> Column:
     parts = F.transform(parts, lambda p: F.btrim(p, F.lit(" -,;")))
     parts = F.filter(parts, lambda p: F.length(p) > 2)
     alone = F.array(strip(name))
-    return F.when(is_consortium(name) & (F.size(parts) > 0), parts).otherwise(alone)
+    return F.when(is_consortium(name), let(
+        parts, lambda p: F.when(F.size(p) > 0, p).otherwise(alone))).otherwise(alone)
+
+
+def _any_of(entries: list[str], before: str = "", after: str = "") -> str:
+    """One pattern for a list of literal entries."""
+    return before + "(?:" + "|".join(re.escape(e) for e in entries) + ")" + after
 
 
 def junk_name_reason(name: Column, prefix_mode: str = "token") -> Column:
@@ -130,20 +141,20 @@ def junk_name_reason(name: Column, prefix_mode: str = "token") -> Column:
     ("na" no longer hits "nagel"); ``'substring'`` takes any start.
     """
     raw = strip_role_prefix(name)
-    key = company_key(raw)
-    if prefix_mode == "token":
-        starts = [F.concat(key, F.lit(" ")).startswith(p + " ") for p in rules.JUNK_PREFIXES]
-    else:
-        starts = [key.startswith(p) for p in rules.JUNK_PREFIXES]
-    folded = fold(raw)
+    return let(F.struct(raw.alias("raw"), company_key(raw).alias("key")),
+               lambda x: _junk_reason(x["raw"], x["key"], prefix_mode))
+
+
+def _junk_reason(raw: Column, key: Column, prefix_mode: str) -> Column:
+    prefixes = _any_of(rules.JUNK_PREFIXES, r"\A", r"(?: |\z)" if prefix_mode == "token" else "")
     return (
         F.when(F.length(raw) < rules.MIN_NAME_LEN, F.lit("zu kurz"))
         .when(F.length(raw) > rules.MAX_NAME_LEN,
               F.lit(f"laenger als {rules.MAX_NAME_LEN} Zeichen - vermutlich Freitext"))
         .when(key == "", F.lit("nach Normalisierung leer"))
         .when(key.isin(rules.JUNK_EXACT), F.lit("Rollenbezeichnung statt Firmierung"))
-        .when(reduce(lambda a, b: a | b, starts), F.lit("Platzhaltertext statt Firmierung"))
-        .when(reduce(lambda a, b: a | b, [folded.contains(m) for m in rules.JUNK_MARKERS]),
+        .when(key.rlike(prefixes), F.lit("Platzhaltertext statt Firmierung"))
+        .when(fold(raw).rlike(_any_of(rules.JUNK_MARKERS)),
               F.lit("Satzbaustein aus der Bekanntmachung statt Firmierung"))
     )
 
@@ -177,23 +188,24 @@ def exclusion_reason(name: Column, mode: str = "listed") -> Column:
     ``mode='listed'`` uses the match mode of each entry, ``'substring'`` matches every
     entry anywhere in the key.
     """
-    key = company_key(name)
-    padded = F.concat(F.lit(" "), key, F.lit(" "))
     junk = junk_name_reason(name, "token" if mode == "listed" else "substring")
-    verdict = F.when(junk.isNotNull(), F.concat(F.lit("kein Firmenname: "), junk))
+    return F.coalesce(F.concat(F.lit("kein Firmenname: "), junk),
+                      let(company_key(name), lambda key: _listed_reason(key, mode)))
+
+
+def _listed_reason(key: Column, mode: str) -> Column:
+    verdict = None
     for reason in rules.EXCLUSIONS:
-        hits = []
+        by_mode: dict[str, list[str]] = {"exact": [], "token": [], "substring": []}
         for r, entry, entry_mode in exclusion_modes():
-            if r != reason:
-                continue
-            how = entry_mode if mode == "listed" else "substring"
-            if how == "exact":
-                hits.append(key == entry)
-            elif how == "token":
-                hits.append(padded.contains(f" {entry} "))
-            else:
-                hits.append(key.contains(entry))
-        verdict = verdict.when(reduce(lambda a, b: a | b, hits), F.lit(reason))
+            if r == reason:
+                by_mode[entry_mode if mode == "listed" else "substring"].append(entry)
+        hit = key.isin(by_mode["exact"])
+        if by_mode["token"]:
+            hit = hit | key.rlike(_any_of(by_mode["token"], r"(?:\A| )", r"(?: |\z)"))
+        if by_mode["substring"]:
+            hit = hit | key.rlike(_any_of(by_mode["substring"]))
+        verdict = F.when(hit, F.lit(reason)) if verdict is None else verdict.when(hit, F.lit(reason))
     return verdict
 
 
@@ -273,11 +285,11 @@ def mention_windows(text: Column, pattern: str, reach: int = ROLE_WINDOW) -> Col
                     h["start"] + reach - F.greatest(h["start"] - reach, F.lit(0))).alias("window")))
 
 
-def decision_links(html: Column, base: Column) -> Column:
+def decision_links(html: Column, base: Column, wanted: str = FILE_NUMBER_PATTERN) -> Column:
     """Distinct absolute links that look like single decisions (file number or PDF)."""
     links = F.regexp_extract_all(html, F.lit('href="([^"]+)"'), F.lit(1))
     links = F.transform(links, lambda u: F.replace(u, F.lit("&amp;"), F.lit("&")))
-    links = F.filter(links, lambda u: u.rlike(FILE_NUMBER_PATTERN) | F.lower(u).endswith(".pdf"))
+    links = F.filter(links, lambda u: u.rlike(wanted) | F.lower(u).endswith(".pdf"))
     links = F.transform(links, lambda u: F.when(
         u.startswith("/"), F.concat(F.regexp_replace(base, "/+$", ""), u)).otherwise(u))
     return F.array_distinct(F.filter(links, lambda u: u.startswith("http")))

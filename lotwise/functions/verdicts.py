@@ -10,7 +10,7 @@ from lotwise import rules
 from lotwise.functions.codes import percent
 from lotwise.functions.hosts import tld_of
 from lotwise.functions.scoring import lookup
-from lotwise.functions.text import blank_to_null, company_key, fold, register_number, strip, tokens
+from lotwise.functions.text import blank_to_null, company_key, fold, let, register_number, strip, tokens
 
 
 def _any(hay: Column, words: list[str]) -> Column:
@@ -112,12 +112,21 @@ def verify_candidate(award_name: Column, award_city: Column, cand_name: Column,
     struct(accepted, domain, candidate_domain, confidence, stage, signals, reject_reason)
     """
     dom = F.lower(F.coalesce(domain, F.lit("")))
-    tld = tld_of(dom)
-    a, b = tokens(company_key(award_name)), tokens(company_key(F.coalesce(cand_name, F.lit(""))))
-    overlap = F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
-    home = F.lower(strip(F.coalesce(country, F.lit("")))).isin("germany", "deutschland")
+    sets = F.struct(tokens(company_key(award_name)).alias("a"),
+                    tokens(company_key(F.coalesce(cand_name, F.lit("")))).alias("b"))
+    overlap = let(sets, lambda s: F.size(F.array_intersect(s["a"], s["b"]))
+                  / F.greatest(F.size(F.array_union(s["a"], s["b"])), F.lit(1)))
     town = fold(F.substring_index(strip(award_city), " ", 1))
     town_hit = F.coalesce((town != "") & fold(F.coalesce(cand_name, F.lit(""))).contains(town), F.lit(False))
+    home = F.lower(strip(F.coalesce(country, F.lit("")))).isin("germany", "deutschland")
+    facts = F.struct(dom.alias("dom"), overlap.alias("overlap"), town_hit.alias("town"), home.alias("home"))
+    return let(facts, lambda f: _candidate_verdict(
+        f["dom"], f["overlap"], f["town"], f["home"], award_name, cand_name, stage))
+
+
+def _candidate_verdict(dom: Column, overlap: Column, town_hit: Column, home: Column, award_name: Column,
+                       cand_name: Column, stage: Column) -> Column:
+    tld = tld_of(dom)
     foreign = lookup(tld, rules.FOREIGN_TLDS)
     parts = [
         (stage == 1, 0.45, F.lit("Stufe 1 mit Ortsfilter Deutschland")),
@@ -159,14 +168,21 @@ def verify_imprint(page_text: Column, domain: Column, award_name: Column, award_
     struct(checked, match, confidence_delta, name_ratio, evidence).  A matching name
     alone is not enough: every national subsidiary carries it.
     """
-    hay = fold(page_text)
     core = F.filter(F.split(company_key(award_name), " "),
                     lambda t: (F.length(t) > 2) & ~t.isin(rules.IMPRINT_STOP_TOKENS))
-    n, hits = F.size(core), F.size(F.filter(core, lambda t: hay.contains(t)))
-    ratio = F.when(n > 0, hits / n).otherwise(F.lit(0.0))
     town = fold(strip(F.substring_index(award_city, ",", 1)))
-    town_hit = F.coalesce((award_city != "") & hay.contains(town), F.lit(False))
-    register = register_number(page_text)
+    counts = let(F.struct(fold(page_text).alias("hay"), core.alias("core")), lambda x: F.struct(
+        F.size(x["core"]).alias("n"),
+        F.size(F.filter(x["core"], lambda t: x["hay"].contains(t))).alias("hits"),
+        F.coalesce((award_city != "") & x["hay"].contains(town), F.lit(False)).alias("town"),
+        register_number(page_text).alias("register")))
+    return let(counts, lambda c: _imprint_verdict(
+        c["n"], c["hits"], c["town"], c["register"], page_text, domain, award_city))
+
+
+def _imprint_verdict(n: Column, hits: Column, town_hit: Column, register: Column, page_text: Column,
+                     domain: Column, award_city: Column) -> Column:
+    ratio = F.when(n > 0, hits / n).otherwise(F.lit(0.0))
     confirmed = (ratio >= 0.6) & (town_hit | F.lower(domain).endswith(".de"))
     refused = (ratio >= 0.6) & ~confirmed
     count = F.concat(F.lit("("), hits.cast("string"), F.lit("/"), n.cast("string"))

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise import rules, schemas
+from lotwise import rules
 from lotwise.functions.codes import tender_codes, verdict
 from lotwise.functions.dates import iso_date
 from lotwise.functions.text import (
-    clean_name, company_key, consortium_members, exclusion_reason, is_consortium, strip,
+    clean_name, company_key, consortium_members, exclusion_reason, is_consortium, let, strip,
 )
 
 WON_ALONE, LOST, OPEN = "alleinbieter_gewonnen", "unterlegen", "offen"
@@ -52,13 +52,14 @@ def notices_of_releases(releases: DataFrame) -> DataFrame:
 
 def named_members(org: Column) -> Column:
     """Members behind one party entry as struct(name, key, consortium, org fields)."""
-    raw = clean_name(org["name"])
-    members = F.filter(consortium_members(raw), lambda m: strip(m) != "")
-    return F.transform(members, lambda m: F.struct(
+    named = let(clean_name(org["name"]), lambda raw: F.struct(
+        is_consortium(raw).alias("joint"),
+        F.filter(consortium_members(raw), lambda m: strip(m) != "").alias("members")))
+    return let(named, lambda x: F.transform(x["members"], lambda m: F.struct(
         strip(m).alias("legal_name"), company_key(m).alias("company_id"),
-        is_consortium(raw).alias("consortium"), org["id"].alias("supplier_id"),
+        x["joint"].alias("consortium"), org["id"].alias("supplier_id"),
         org["address"]["locality"].alias("city"), org["address"]["region"].alias("region"),
-        org["address"]["postalCode"].alias("postal_code")))
+        org["address"]["postalCode"].alias("postal_code"))))
 
 
 def winner_keys(awards: Column) -> Column:
@@ -130,8 +131,3 @@ def losing_bidders(parties: DataFrame) -> DataFrame:
     return parties.select("notice_id", "company_id").distinct().join(
         winners, ["notice_id", "company_id"], "left_anti")
 
-
-__all__ = [
-    "LOST", "OPEN", "WON_ALONE", "bidder_outcomes", "losing_bidders", "named_members", "notice_url",
-    "notices_of_releases", "outcome_of", "participations_of_notices", "schemas", "winner_keys",
-]

@@ -103,13 +103,15 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
         _or_empty(a["suppliers"]), lambda s: of_supplier(a, s)))))
 
     named = F.filter(_or_empty(F.col("tender.tenderers")), lambda t: F.coalesce(t["name"], F.lit("")) != "")
-    won = winner_keys(F.col("awards"))
-    outcome = outcome_of(F.col("is_award"), F.size(won), F.size(named), F.col("tender.numberOfTenderers"))
+    won, outcome, first_end = F.col("won"), F.col("outcome"), F.col("first_end")
     kind = (F.when(outcome == WON_ALONE, F.lit(WON)).when(outcome == LOST, F.lit(NOT_AWARDED))
             .otherwise(F.lit(TOOK_PART)))
     lot_ends = F.filter(F.transform(_or_empty(lots), lambda lot: lot["contractPeriod"]["endDate"]),
                         lambda e: F.coalesce(e, F.lit("")) != "")
-    first_end = iso_date(F.array_min(lot_ends))
+    n = (n.withColumn("won", winner_keys(F.col("awards")))
+         .withColumn("outcome", outcome_of(F.col("is_award"), F.size("won"), F.size(named),
+                                           F.col("tender.numberOfTenderers")))
+         .withColumn("first_end", iso_date(F.array_min(lot_ends))))
     day = F.coalesce(F.col("d"), today)
 
     def of_bidder(t: Column) -> Column:
