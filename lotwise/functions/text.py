@@ -146,7 +146,7 @@ def junk_name_reason(name: Column, prefix_mode: str = "token") -> Column:
 
 
 def _junk_reason(raw: Column, key: Column, prefix_mode: str) -> Column:
-    prefixes = _any_of(rules.JUNK_PREFIXES, r"\A", r"(?: |\z)" if prefix_mode == "token" else "")
+    prefixes = _any_of(rules.JUNK_PREFIXES, r"\A", r"(?![0-9a-z])" if prefix_mode == "token" else "")
     return (
         F.when(F.length(raw) < rules.MIN_NAME_LEN, F.lit("zu kurz"))
         .when(F.length(raw) > rules.MAX_NAME_LEN,
@@ -202,7 +202,7 @@ def _listed_reason(key: Column, mode: str) -> Column:
                 by_mode[entry_mode if mode == "listed" else "substring"].append(entry)
         hit = key.isin(by_mode["exact"])
         if by_mode["token"]:
-            hit = hit | key.rlike(_any_of(by_mode["token"], r"(?:\A| )", r"(?: |\z)"))
+            hit = hit | key.rlike(_any_of(by_mode["token"], r"(?<![0-9a-z])", r"(?![0-9a-z])"))
         if by_mode["substring"]:
             hit = hit | key.rlike(_any_of(by_mode["substring"]))
         verdict = F.when(hit, F.lit(reason)) if verdict is None else verdict.when(hit, F.lit(reason))

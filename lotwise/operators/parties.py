@@ -93,7 +93,10 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
         lambda m: F.struct(
             F.lit("bid").alias("role"), outcome.alias("outcome"), F.col("d").alias("row_d"),
             F.lit(None).cast("double").alias("value"), m.alias("m")))
-    rows = in_scope.select("*", F.posexplode(F.concat(award_rows, bid_rows)).alias("pos", "row"))
+    kept = ["notice_id", "ocid", "buyer", "mixed_lot", "main_cpv", "cpv_codes", "it_share",
+            F.col("tender.numberOfTenderers").alias("bidder_count")]
+    rows = in_scope.select(*kept, F.concat(award_rows, bid_rows).alias("rows")).select(
+        "*", F.posexplode("rows").alias("pos", "row"))
     return (
         rows.select(
             F.col("row.m.company_id"), "notice_id", "ocid", F.col("row.row_d").alias("d"),
@@ -101,7 +104,7 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
             F.col("row.value"), F.col("row.m.consortium"), "mixed_lot", "main_cpv",
             F.slice("cpv_codes", 1, rules.CODES_IN_ROW).alias("cpv"), "it_share",
             F.col("row.m.city"), F.col("row.m.postal_code"), F.col("row.m.supplier_id"),
-            F.col("tender.numberOfTenderers").alias("bidder_count"), "pos",
+            "bidder_count", "pos",
             F.lit("dovs").alias("source"), notice_url(F.col("notice_id")).alias("url"))
         .filter((F.col("company_id") != "") & exclusion_reason(F.col("legal_name"), exclusion_mode).isNull())
     )

@@ -20,6 +20,8 @@ WON, EXPIRING = "zuschlag_gewonnen", "rahmenvertrag_laeuft_aus"
 NOT_AWARDED, TOOK_PART = "angebot_ohne_zuschlag", "teilnahme_belegt"
 OPEN_TENDER = "offene_ausschreibung_im_profil"
 
+NEWEST = [F.desc_nulls_last("event_date"), F.desc_nulls_last("notice_id"), F.desc("payload"), F.asc("org_name_raw")]
+
 
 def _or_empty(c: Column) -> Column:
     return F.coalesce(c, F.array())
@@ -87,7 +89,9 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
         end = lot_contract_end(a, lots)
         day = F.coalesce(iso_date(a["date"]), F.col("d"))
         name, place = strip(s["name"]), F.coalesce(s["address"]["locality"], s["address"]["region"])
-        tail = F.concat(F.coalesce(a["id"], F.lit("None")), F.lit(":"), F.coalesce(s["id"], F.lit("None")))
+        # A supplier without an id is told apart by its name, so none of them is overwritten.
+        who = F.coalesce(s["id"], F.substring(company_key(name), 1, rules.KEY_CUT))
+        tail = F.concat(F.coalesce(a["id"], F.lit("None")), F.lit(":"), who)
         payload = {**common, "buyer": F.col("buyer"), "award_id": a["id"], "value": a["value"]["amount"],
                    "currency": a["value"]["currency"], "contract_end": end, "supplier_id": s["id"],
                    "postal_code": s["address"]["postalCode"]}
@@ -146,8 +150,7 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
     signals = rows.select(
         F.lit(DOVS).alias("source"), "s.*", F.coalesce("title", F.lit("")).alias("title"), "notice_id", "buyer", "cpv",
         notice_url(F.col("notice_id")).alias("source_url"))
-    return latest_per_key(signals.select(*SIGNAL_COLUMNS), ["source", "external_id"],
-                          [F.desc_nulls_last("event_date"), F.desc_nulls_last("notice_id"), F.desc("payload")])
+    return latest_per_key(signals.select(*SIGNAL_COLUMNS), ["source", "external_id"], NEWEST)
 
 
 def tenders_without_deadline(notices: DataFrame, as_of: dt.date) -> DataFrame:

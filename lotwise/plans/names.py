@@ -125,7 +125,7 @@ def _sql_exclusion() -> str:
         tests = []
         for r, entry, mode in tx.exclusion_modes():
             if r == reason:
-                tests.append({"exact": f"key = '{entry}'", "token": f"contains(' ' || key || ' ', ' {entry} ')",
+                tests.append({"exact": f"key = '{entry}'", "token": f"regexp_matches(key, '(^|[^0-9a-z]){entry}($|[^0-9a-z])')",
                               "substring": f"contains(key, '{entry}')"}[mode])
         cases.append(f"WHEN {' OR '.join(tests)} THEN '{reason}'")
     return " ".join(cases)
@@ -135,7 +135,7 @@ JUNK = f"""CASE WHEN length(raw) < 3 THEN 'zu kurz'
   WHEN length(raw) > 120 THEN 'laenger als 120 Zeichen - vermutlich Freitext'
   WHEN raw_key = '' THEN 'nach Normalisierung leer'
   WHEN list_contains({_sql_list(rules.JUNK_EXACT)}, raw_key) THEN 'Rollenbezeichnung statt Firmierung'
-  WHEN len(list_filter({_sql_list(rules.JUNK_PREFIXES)}, lambda p: starts_with(raw_key || ' ', p || ' '))) > 0
+  WHEN len(list_filter({_sql_list(rules.JUNK_PREFIXES)}, lambda p: regexp_matches(raw_key, '^' || p || '($|[^0-9a-z])'))) > 0
     THEN 'Platzhaltertext statt Firmierung'
   WHEN len(list_filter({_sql_list(rules.JUNK_MARKERS)}, lambda m: contains({sql_fold('raw')}, m))) > 0
     THEN 'Satzbaustein aus der Bekanntmachung statt Firmierung' END"""

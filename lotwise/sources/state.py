@@ -16,6 +16,8 @@ from lotwise.operators import delta
 from lotwise.operators.signals import review_queue
 from lotwise.schemas import RUN_LOG, STATE
 
+STATUS = STATE + ", status string"
+
 
 class SignalState:
     """State tables under ``root`` (a folder all executors reach)."""
@@ -44,7 +46,7 @@ class SignalState:
         return self.spark.read.schema(STATE).parquet(f"{self.root}/signals/version={version}")
 
     def delta(self, run_id: int) -> DataFrame:
-        return self.spark.read.schema(STATE + ", status string").parquet(f"{self.root}/delta/run={run_id}")
+        return self.spark.read.schema(STATUS).parquet(f"{self.root}/delta/run={run_id}")
 
     def emitted(self, run_id: int) -> DataFrame:
         return delta.emitted(self.delta(run_id))
@@ -52,18 +54,27 @@ class SignalState:
     def review(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/review")
 
-    def run(self, resolved: DataFrame, at: dt.datetime) -> int:
-        """Apply resolved signals with identity columns as one run and commit it."""
-        run_id = self.next_run_id()
+    def committed(self, run_id: int) -> bool:
+        return self.runs().filter(F.col("run_id") == run_id).limit(1).count() > 0
+
+    def run(self, resolved: DataFrame, at: dt.datetime, run_id: int | None = None) -> int:
+        """Apply resolved signals with identity columns as one run and commit it.
+
+        With an explicit ``run_id`` (a stream's batch) a committed run is left alone, so a
+        repeated batch changes nothing; its folders are overwritten otherwise.
+        """
+        run_id = run_id or self.next_run_id()
+        if self.committed(run_id):
+            return run_id
         applied = delta.apply_run(resolved, self.current(), run_id, at)
-        staged = f"{self.root}/applied/run={run_id}"
-        applied.write.mode("overwrite").parquet(staged)
-        applied = self.spark.read.schema(STATE + ", status string").parquet(staged)
-        applied.drop("status").write.mode("overwrite").parquet(f"{self.root}/signals/version={run_id}")
-        applied.filter("status IS NOT NULL").write.mode("overwrite").parquet(f"{self.root}/delta/run={run_id}")
-        (review_queue(resolved).withColumn("created_at", F.lit(at).cast("timestamp"))
+        folder = f"{self.root}/signals/version={run_id}"
+        applied.write.mode("overwrite").parquet(folder)
+        touched = self.spark.read.schema(STATUS).parquet(folder).filter("status IS NOT NULL")
+        touched.write.mode("overwrite").parquet(f"{self.root}/delta/run={run_id}")
+        (review_queue(touched).withColumn("created_at", F.lit(at).cast("timestamp"))
          .write.mode("overwrite").parquet(f"{self.root}/review/run={run_id}"))
-        self._log(run_id, delta.run_statistics(self.delta(run_id)).filter("source IS NOT NULL"), at, None)
+        stats = delta.run_statistics(self.delta(run_id)).filter("source IS NOT NULL")
+        self._log(run_id, stats, at, None)
         return run_id
 
     def fail(self, source: str, at: dt.datetime, error: str) -> int:

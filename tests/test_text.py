@@ -1,0 +1,173 @@
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise.functions import codes, dates, hosts, text as tx, verdicts
+
+
+@pytest.mark.parametrize("name, key", [
+    ("Müller & Söhne GmbH & Co. KG", "mueller und soehne"),
+    ("  ACME   GmbH ", "acme"),
+    ("Straße AG", "strasse"),
+    ("Café Crème e.K.", "cafe creme"),
+    ("Netz - Werk OHG", "netz-werk"),
+    ("Alpha SE & Co. KGaA", "alpha"),
+    ("Beta Gesellschaft mit beschränkter Haftung", "beta"),
+    ("Gamma AG GmbH", "gamma"),          # forms are tried once, in list order
+    ("Delta GmbH AG", "delta gmbh"),
+    ("GmbH", "gmbh"),
+    ("été", "ete"),
+    ("(Epsilon), \"Werk\"", "epsilon werk"),
+])
+def test_company_key(one, name, key):
+    assert one(tx.company_key, name) == key
+
+
+@pytest.mark.parametrize("name, members, joint", [
+    ("ARGE Alpha GmbH / Beta AG", ["Alpha GmbH", "Beta AG"], True),
+    ("Bietergemeinschaft: Alpha und Beta; Gamma + Delta", ["Alpha", "Beta", "Gamma", "Delta"], True),
+    ("Alpha und Beta GmbH", ["Alpha und Beta GmbH"], False),
+    ("ARGE X / Yo", ["ARGE X / Yo"], True),       # nothing long enough remains
+    ("Largent GmbH", ["Largent GmbH"], False),
+])
+def test_consortium(one, name, members, joint):
+    assert one(tx.consortium_members, name) == members
+    assert one(tx.is_consortium, name) is joint
+
+
+@pytest.mark.parametrize("name, clean", [
+    ("Mitglied 1: cimt consulting ag", "cimt consulting ag"),
+    ("&effect data GmbH\nPasteurstr. 34\n10407 Berlin", "&effect data GmbH"),
+    (None, ""), ("Los 3 - Alpha", "Alpha"), ("Partner", "Partner"),
+])
+def test_clean_name(one, name, clean):
+    assert one(tx.clean_name, F.lit(name).cast("string")) == clean
+
+
+@pytest.mark.parametrize("name, reason", [
+    ("ab", "zu kurz"), ("a" * 121, "laenger als 120 Zeichen - vermutlich Freitext"), ("a" * 120, None),
+    ("...", "nach Normalisierung leer"), ("Auftragnehmer", "Rollenbezeichnung statt Firmierung"),
+    ("Auftragnehmer Nord GmbH", None), ("Keine Angabe - mehrere", "Platzhaltertext statt Firmierung"),
+    ("Nagel GmbH", None), ("Firma gemäß § 39", "Satzbaustein aus der Bekanntmachung statt Firmierung"),
+])
+def test_junk(one, name, reason):
+    assert one(tx.junk_name_reason, name) == reason
+
+
+def test_junk_prefix_anywhere_mode(one):
+    assert one(lambda c: tx.junk_name_reason(c, "substring"), "Nagel GmbH") == "Platzhaltertext statt Firmierung"
+
+
+@pytest.mark.parametrize("name, reason, broad", [
+    ("Dataport AöR", "public_inhouse", "public_inhouse"),
+    ("Anwaltskanzlei Meier", "competitor_portal", "competitor_portal"),
+    ("Software AG", "non_systemhaus", "non_systemhaus"),
+    ("Alpha Software GmbH", None, "non_systemhaus"),
+    ("KDO Service GmbH", "public_inhouse", "public_inhouse"),
+    ("Tokdoor GmbH", None, "public_inhouse"),
+    ("Alpha GmbH", None, None),
+])
+def test_exclusion(one, name, reason, broad):
+    assert one(tx.exclusion_reason, name) == reason
+    assert one(lambda c: tx.exclusion_reason(c, "substring"), name) == broad
+
+
+@pytest.mark.parametrize("title, job, rule", [
+    ("Bid Manager (m/w/d)", None, "include:bid manager"),
+    ("Vergabemanager", "Vergabestelle", "exclude:vergabestelle"),
+    ("Einkäufer und Bid Manager", None, "exclude:einkaeufer"),
+    ("Koch", "Tendermanagement", "include:tendermanagement"), ("Koch", None, "no_match"),
+])
+def test_job_title(one, title, job, rule):
+    assert one(lambda a, b: tx.job_title_rule(a, b), title, F.lit(job).cast("string")) == rule
+
+
+@pytest.mark.parametrize("value, host", [
+    ("https://www.Alpha.de/start?x#y", "alpha.de"), ("vertrieb@btc-ag.com", "btc-ag.com"), ("https", None),
+    ("milchundzucker", None), ("alpha.de:8443", "alpha.de"), ("www.alpha.de.", "alpha.de"), ("a@gmail.com", None),
+    ("emailaddress.given", None), ("", None), (None, None), ("http://sub.alpha-x.co/", "sub.alpha-x.co"),
+])
+def test_host(one, value, host):
+    assert one(hosts.host_of, F.lit(value).cast("string")) == host
+
+
+@pytest.mark.parametrize("name, domain, related", [
+    ("Avodaq AG", "fb.hamburg.de", False), ("Aagon GmbH", "aagon.com", True), ("IBH IT GmbH", "weibhausen.de", False),
+    ("SVA System GmbH", "sva.de", True), ("ACP Gruppe", "techrent.acp-gruppe.com", True), ("Müller KG", "mueller.de", True),
+])
+def test_name_domain(one, name, domain, related):
+    assert one(lambda n, d: hosts.name_matches_domain(tx.company_key(n), d), name, domain) is related
+
+
+@pytest.mark.parametrize("value, number", [
+    ("1.234", 1234), ("1,234", 1234), ("250-500", 375), ("10.000+", 10000), ("k.A.", None), ("1234.0", 1234),
+    ("", None), (" 12 ", 12), ("0-0", None), ("1.234.567", 1234567),
+])
+def test_to_int(one, value, number):
+    assert one(verdicts.to_int, value) == number
+
+
+def test_mentions_keep_every_match(one):
+    t = "x" * 300 + " Antragstellerin Alpha GmbH " + "y" * 600 + " Antragsgegner " + "z" * 10
+    got = one(lambda c: tx.mention_windows(c, tx.ROLE_PATTERN), t)
+    assert [r.word for r in got] == ["Antragstellerin", "Antragsgegner"]
+    assert [len(r.window) for r in got] == [520, len(t) - (t.index("Antragsgegner") - 260)]
+    for r in got:
+        start = t.index(r.word)
+        assert r.window == t[max(0, start - 260): start + 260]
+
+
+def test_file_numbers_and_register(one):
+    assert one(tx.file_numbers, "VK 2 - 17/24 und VK 2 - 17/24, 11 Verg 3/23") == ["VK 2 - 17/24", "11 Verg 3/23"]
+    assert one(tx.register_number, "Amtsgericht Bonn HRB: 1234") == "HRB 1234"
+    assert one(tx.register_number, "nichts") is None
+
+
+def test_html_text(one):
+    assert one(tx.html_text, "<p>a<script>var t='</p>';</script><style>p{}</style> b</p>").strip() == "a b"
+
+
+def test_verdict_from_share(one):
+    v = one(lambda a: codes.verdict(F.lit(None).cast("string"), a),
+            F.array(*map(F.lit, ["72000000", "48000000", "72000000", "31000000"])))
+    assert (v.is_it, v.it_share, v.cpv_count) == (True, 0.667, 3)
+    assert v.reason == "keine Hauptklassifikation; IT-Anteil 2/3 = 67% >= 50%"
+    v = one(lambda a: codes.verdict(F.lit(None).cast("string"), a), F.array().cast("array<string>"))
+    assert (v.is_it, v.reason) == (False, "keine CPV-Codes im Datensatz")
+
+
+@pytest.mark.parametrize("age, factor", [(-1, 1.0), (0, 1.0), (14, 1.0), (15, .8), (28, .8), (42, .6), (56, .4), (57, .2)])
+def test_recency(one, age, factor):
+    day = F.date_sub(F.lit("2026-01-31").cast("date"), age)
+    assert one(lambda: dates.recency_factor(day, F.lit("2026-01-31").cast("date"))) == factor
+
+
+@pytest.mark.parametrize("age, text", [
+    (None, "ohne Datum"), (-4, "juengster Beleg von heute"), (31, "juengster Beleg vor 31 Tagen"),
+    (45, "juengster Beleg vor 1 Monat"), (90, "juengster Beleg vor 3 Monaten"),
+])
+def test_age_text(one, age, text):
+    assert one(dates.age_text, F.lit(age).cast("int")) == text
+
+
+def test_imprint(one):
+    def check(page, domain, city):
+        return one(lambda a, b, c, d: verdicts.verify_imprint(a, b, c, d), page, domain, "Alpha Systemhaus GmbH", city)
+    ok = check("Alpha Systemhaus GmbH, Bonn, HRB 77", "alpha.com", "Bonn")
+    assert (ok.match, ok.confidence_delta, ok.name_ratio) == (True, 0.8, 1.0)
+    no = check("Alpha Systemhaus GmbH, Wien", "alpha.at", "Bonn")
+    assert (no.match, no.confidence_delta) == (False, 0.0) and "ABGELEHNT" in no.evidence
+    gone = one(lambda a: verdicts.verify_imprint(a, F.lit("x.de"), F.lit("Alpha"), F.lit("Bonn")), F.lit(None).cast("string"))
+    assert (gone.checked, gone.match, gone.evidence) == (False, False, "Impressum nicht erreichbar")
+
+
+def test_candidate(one):
+    def check(name, city, cand, dom, country, stage):
+        return one(lambda *a: verdicts.verify_candidate(*a), name, city, cand, dom, country, stage)
+    ok = check("Dedalus HealthCare GmbH", "Bonn", "Dedalus HealthCare Bonn", "dedalus.de", "Germany", 1)
+    assert (ok.accepted, ok.confidence) == (True, 1.0)
+    at = check("Dedalus HealthCare GmbH", "Bonn", "Dedalus HealthCare", "dedalus.at", "Austria", 2)
+    assert not at.accepted and at.reject_reason.startswith("TLD .at (Oesterreich)")
+    other = check("EOMI AG", "Hamburg", "Entrepreneurs Organization", "eo.com", "", 1)
+    assert not other.accepted and other.reject_reason.startswith("Name passt nicht")
+    weak = check("Alpha GmbH", "Bonn", "Alpha", "alpha.com", "", 2)
+    assert weak.reject_reason == "Confidence 0.3 unter Schwelle 0.60"
