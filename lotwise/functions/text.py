@@ -75,12 +75,21 @@ def _legal_suffixes() -> tuple[str, ...]:
     return tuple(_plain_entry(f) for f in rules.LEGAL_FORMS)
 
 
+@lru_cache(maxsize=1)
+def _legal_tail() -> str:
+    """All legal forms a name may end with, each at most once.
+
+    Stripping the forms one after the other from the end leaves the later ones further
+    left, so the whole tail is the list backwards with every entry optional.
+    """
+    return "(?= )" + "".join(f"(?: {re.escape(f)})?" for f in reversed(_legal_suffixes())) + r"\z"
+
+
 def company_key(c: Column) -> Column:
     """Canonical company key: folded, punctuation dropped, legal forms stripped once each, in order."""
     t = F.replace(fold(c), F.lit("&"), F.lit(" und "))
     t = squeeze(F.regexp_replace(t, r"[.,\"'`()\[\]]", " "))
-    t = reduce(lambda x, form: F.regexp_replace(x, " " + re.escape(form) + r"\z", ""),
-               _legal_suffixes(), t)
+    t = F.regexp_replace(t, _legal_tail(), "")
     return squeeze(F.regexp_replace(t, r"\s*-\s*", "-"))
 
 
@@ -265,24 +274,23 @@ def mention_windows(text: Column, pattern: str, reach: int = ROLE_WINDOW) -> Col
     """One struct(word, window) per match of ``pattern``: ``reach`` characters before the
     start of the match and ``reach`` from its start on.
 
-    Start positions come from the lengths of the pieces between the matches, so the
-    whole text is scanned and no match is missed.
+    What follows a match is captured while matching; what precedes it is carried along from
+    piece to piece, never more than ``reach`` characters.  A text of any length is read
+    once per side.  ``pattern`` must not contain capturing groups.
     """
+    after = F.regexp_extract_all(text, F.lit(rf"(?={pattern})(?=((?s:.{{0,{reach}}}))){pattern}"), F.lit(1))
     words = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    ends = F.aggregate(
-        F.arrays_zip(words.alias("w"), F.slice(pieces, F.lit(1), F.size(words)).alias("p")),
-        F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<word:string,start:int>>").alias("hits")),
-        lambda acc, x: F.struct(
-            (acc["pos"] + F.length(x["p"]) + F.length(x["w"])).alias("pos"),
-            F.concat(acc["hits"], F.array(F.struct(
-                x["w"].alias("word"), (acc["pos"] + F.length(x["p"])).alias("start")))).alias("hits"),
-        ),
-    )["hits"]
-    return F.transform(ends, lambda h: F.struct(
-        h["word"].alias("word"),
-        F.substring(text, F.greatest(h["start"] - reach, F.lit(0)) + 1,
-                    h["start"] + reach - F.greatest(h["start"] - reach, F.lit(0))).alias("window")))
+    steps = F.arrays_zip(words.alias("word"), F.split(text, pattern, -1).alias("piece"))
+    carried = F.aggregate(
+        steps, F.struct(F.lit("").alias("near"), F.array().cast("array<string>").alias("out")),
+        lambda acc, x: let(F.right(F.concat(acc["near"], x["piece"]), F.lit(reach)), lambda near: F.struct(
+            F.right(F.concat(near, F.coalesce(x["word"], F.lit(""))), F.lit(reach)).alias("near"),
+            F.concat(acc["out"], F.array(near)).alias("out"))))["out"]
+    # The last piece follows the last match and belongs to no window.
+    found = F.arrays_zip(words.alias("word"), F.slice(carried, F.lit(1), F.size(words)).alias("before"),
+                         after.alias("after"))
+    return F.transform(found, lambda m: F.struct(
+        m["word"].alias("word"), F.concat(m["before"], m["after"]).alias("window")))
 
 
 def decision_links(html: Column, base: Column, wanted: str = FILE_NUMBER_PATTERN) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.functions.scoring import tier_rank
 from lotwise.functions.text import blank_to_null, company_key
@@ -15,28 +15,33 @@ RECORD = ["legal_name", "domain", "employees", "country", "city", "matched_name"
           "domain_source", "domain_confidence"]
 
 
-def last_per_key(records: DataFrame, key: str, order: str = "row_no") -> DataFrame:
-    """The latest record per non-empty key as one struct column; combines map-side."""
-    filled = records.filter(blank_to_null(F.col(key)).isNotNull())
-    return filled.groupBy(key).agg(F.max_by(F.struct(*RECORD), order).alias("rec"))
+MATCH_ORDER = {"id": 1, "name": 2, "domain": 3}
 
 
-def match_enrichment(market: DataFrame, records: DataFrame) -> DataFrame:
-    """Each market row with its record: by company id, else by name key, else by domain.
+def _keys(by_id: Column, by_name: Column, by_domain: Column) -> Column:
+    """One entry per way of matching."""
+    return F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), key.alias("key"))
+                               for (kind, rank), key in zip(MATCH_ORDER.items(), (by_id, by_name, by_domain))]))
+
+
+def latest_records(records: DataFrame) -> DataFrame:
+    """The latest record (by ``row_no``) per way of matching and non-empty key.
 
-    ``records`` carry ``row_no`` (later rows win).  All three sides have one row per key.
+    One pass over the records and one regroup, combining map-side, serve all three ways.
     """
-    by_id = last_per_key(records, "company_id").withColumnRenamed("rec", "by_id")
-    by_name = (last_per_key(records.withColumn("name_key", company_key(F.col("legal_name"))), "name_key")
-               .select(F.col("name_key").alias("company_id"), F.col("rec").alias("by_name")))
-    by_domain = last_per_key(records, "domain").withColumnRenamed("rec", "by_domain")
-    return (market.join(by_id, "company_id", "left").join(by_name, "company_id", "left")
-            .join(by_domain, "domain", "left")
-            .withColumn("rec", F.coalesce("by_id", "by_name", "by_domain"))
-            .withColumn("matched_by", F.when(F.col("by_id").isNotNull(), F.lit("id"))
-                        .when(F.col("by_name").isNotNull(), F.lit("name"))
-                        .when(F.col("by_domain").isNotNull(), F.lit("domain")))
-            .drop("by_id", "by_name", "by_domain"))
+    entries = records.select(_keys(F.col("company_id"), company_key(F.col("legal_name")), F.col("domain")).alias("k"),
+                             F.struct(*RECORD).alias("rec"), "row_no")
+    return (entries.select("k.kind", "k.key", "rec", "row_no").filter(blank_to_null(F.col("key")).isNotNull())
+            .groupBy("kind", "key").agg(F.max_by("rec", "row_no").alias("rec")))
+
+
+def match_enrichment(market: DataFrame, records: DataFrame) -> DataFrame:
+    """Each market row with its record: by company id, else by name key, else by domain."""
+    wanted = market.select("company_id", _keys(F.col("company_id"), F.col("company_id"), F.col("domain")).alias("k"))
+    hits = wanted.select("company_id", "k.*").join(latest_records(records), ["kind", "key"])
+    best = hits.groupBy("company_id").agg(F.min_by(F.struct(F.col("kind").alias("matched_by"), "rec"), "rank").alias("m"))
+    return market.join(best, "company_id", "left").select(
+        *market.columns, F.col("m.rec").alias("rec"), F.col("m.matched_by").alias("matched_by"))
 
 
 def apply_enrichment(matched: DataFrame) -> DataFrame:

@@ -25,42 +25,50 @@ def _probe_count(n_tokens: Column, threshold: float) -> Column:
 
 
 def _probes(entries: DataFrame, order: DataFrame, threshold: float) -> DataFrame:
-    """Each name once per probe token: its rarest tokens in one common order."""
-    toks = entries.select("key", "block", F.explode(tokens(F.col("key"))).alias("token"))
-    ranked = toks.join(order, "token").groupBy("key", "block").agg(
-        F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("ts"))
-    all_tokens = F.transform("ts", lambda t: t["token"])
+    """Each name once per probe token: its rarest tokens in one common order.
+
+    The two leading tokens are the same all over a block and tell nothing apart, so they
+    come last.
+    """
+    toks = entries.select("key", "block", F.slice(F.split("key", " "), 1, 2).alias("head"),
+                          F.explode(tokens(F.col("key"))).alias("token"))
+    ranked = toks.join(order, "token").groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct(
+        F.array_contains("head", F.col("token")).alias("in_head"), "freq", "token"))).alias("ts"))
     n = F.size("ts")
-    return ranked.select("key", "block", all_tokens.alias("toks"), n.alias("n"),
-                         F.explode(F.slice(all_tokens, F.lit(1), _probe_count(n, threshold))).alias("probe"))
+    return ranked.select("key", "block", F.transform("ts", lambda t: t["token"]).alias("toks"), n.alias("n")).select(
+        "*", F.posexplode(F.slice("toks", F.lit(1), _probe_count(F.col("n"), threshold))).alias("at", "probe"))
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Pairs of different keys in one block with token Jaccard >= ``threshold``.
 
     ``left``, ``right``: key, block (see ``keyed_names``).  Two sets that similar always
-    share one of their rarest tokens, so candidates meet on (block, rare token) and
-    sizes that cannot reach the threshold are skipped: all true pairs, far from all pairs.
-    Token lists are bounded by the length of a name.
+    share one of their rarest tokens, so candidates meet on (block, rare token), and a
+    meeting is dropped at once when the sizes or what is left behind the meeting token
+    cannot reach the threshold: all true pairs, far from all pairs.  Token lists are
+    bounded by the length of a name.
     """
     if not 0 < threshold <= 1 or math.isnan(threshold):
         raise ValueError("threshold must be in (0, 1]")
     freq = (left.select("key").unionByName(right.select("key")).distinct()
             .select(F.explode(tokens(F.col("key"))).alias("token"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    a = _probes(left, freq, threshold).select(
-        "block", "probe", F.col("key").alias("key_a"), F.col("toks").alias("ta"), F.col("n").alias("na"))
-    b = _probes(right, freq, threshold).select(
-        "block", "probe", F.col("key").alias("key_b"), F.col("toks").alias("tb"), F.col("n").alias("nb"))
-    near = (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold) - F.lit(1e-9))
-    shared = F.size(F.array_intersect("ta", "tb"))
-    score = shared / (F.col("na") + F.col("nb") - shared)
-    first_shared = F.get(F.array_intersect(
-        F.slice("ta", F.lit(1), _probe_count(F.col("na"), threshold)),
-        F.slice("tb", F.lit(1), _probe_count(F.col("nb"), threshold))), F.lit(0))
-    return (a.join(b, ["block", "probe"]).filter((F.col("key_a") != F.col("key_b")) & near)
-            .filter(F.col("probe") == first_shared)
-            .withColumn("score", score).filter(F.col("score") >= F.lit(threshold) - F.lit(1e-9))
+
+    def side(entries: DataFrame, s: str) -> DataFrame:
+        return _probes(entries, freq, threshold).select(
+            "block", "probe", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "toks", "n", "at")])
+
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    slack = F.lit(1e-9)
+    sizes_fit = F.least(n_a, n_b) >= F.greatest(n_a, n_b) * F.lit(threshold) - slack
+    reachable = F.least(n_a - F.col("at_a"), n_b - F.col("at_b"))
+    enough_left = reachable >= F.lit(threshold / (1 + threshold)) * (n_a + n_b) - slack
+    met = side(left, "a").join(side(right, "b"), ["block", "probe"]).filter(
+        (F.col("key_a") != F.col("key_b")) & sizes_fit & enough_left)
+    both = met.withColumn("shared", F.array_intersect("toks_a", "toks_b"))
+    n = F.size("shared")
+    return (both.filter(F.col("probe") == F.get("shared", F.lit(0)))
+            .withColumn("score", n / (n_a + n_b - n)).filter(F.col("score") >= F.lit(threshold) - slack)
             .select("block", "key_a", "key_b", "score"))
 
 

@@ -20,7 +20,10 @@ WON, EXPIRING = "zuschlag_gewonnen", "rahmenvertrag_laeuft_aus"
 NOT_AWARDED, TOOK_PART = "angebot_ohne_zuschlag", "teilnahme_belegt"
 OPEN_TENDER = "offene_ausschreibung_im_profil"
 
-NEWEST = [F.desc_nulls_last("event_date"), F.desc_nulls_last("notice_id"), F.desc("payload"), F.asc("org_name_raw")]
+
+def newest_first() -> list[Column]:
+    """Order of the rows of one external id; the first one counts."""
+    return [F.desc_nulls_last("event_date"), F.desc_nulls_last("notice_id"), F.desc("payload"), F.asc("org_name_raw")]
 
 
 def _or_empty(c: Column) -> Column:
@@ -150,7 +153,7 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
     signals = rows.select(
         F.lit(DOVS).alias("source"), "s.*", F.coalesce("title", F.lit("")).alias("title"), "notice_id", "buyer", "cpv",
         notice_url(F.col("notice_id")).alias("source_url"))
-    return latest_per_key(signals.select(*SIGNAL_COLUMNS), ["source", "external_id"], NEWEST)
+    return latest_per_key(signals.select(*SIGNAL_COLUMNS), ["source", "external_id"], newest_first())
 
 
 def tenders_without_deadline(notices: DataFrame, as_of: dt.date) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.operators.parties import notices_of_releases
-from lotwise.operators.signals import NEWEST, latest_per_key, signals_of_notices
+from lotwise.operators.signals import latest_per_key, newest_first, signals_of_notices
 from lotwise.sources.deadlines import read_deadlines
 from lotwise.sources.jobs import job_ads, job_signals, read_jobs
 from lotwise.sources.notices import read_releases
@@ -48,4 +48,4 @@ def all_signals(spark: SparkSession, paths: dict[str, str], since: dt.date, as_o
     if not frames:
         raise ValueError(f"no path for any of {sorted(SOURCES)}")
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return latest_per_key(union, ["source", "external_id"], NEWEST)
+    return latest_per_key(union, ["source", "external_id"], newest_first())
