@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise import rules
 from lotwise.functions.dates import as_of_lit
@@ -13,6 +13,8 @@ from lotwise.functions.wording import why_now
 
 BUYER_SIDE, JOB_CHECK, ACCOUNT = "buyer_side", "job_check", "account"
 TRACE_SIGNALS = 5
+DRIVER = ["org_name_raw", "org_place", "signal_type", "event_date", "source_url", "match_confidence", "title",
+          "buyer", "contract_end", "deadline"]
 JOB_HINT = "Bid-Rolle ausgeschrieben, aber kein IT-Vergabebeleg - ICP vor Ansprache pruefen"
 
 
@@ -74,21 +76,26 @@ def driver_signals(scored: DataFrame, n: int = 1) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def account_scores(scored: DataFrame) -> DataFrame:
+def account_scores(scored: DataFrame, driver: list[str] | None = None) -> DataFrame:
     """Best single signal plus a bonus for independent types; one row per account.
 
-    Distinct types are a fixed small set, so the per-account list stays short however
-    many signals an account has.
+    With ``driver`` the strongest signal's columns come along as a struct.  Everything is
+    one aggregate that combines map-side: distinct types are a fixed small set and the
+    driver is a running minimum, so an account with very many signals stays cheap.
     """
+    strength = [(-F.col("raw")).alias("r"), F.coalesce(-F.unix_date("event_date"), F.lit(2 ** 31 - 1)).alias("d"),
+                F.col("signal_id").alias("i")]
+    best = [F.min(F.struct(*strength, F.struct(*driver).alias("v")))["v"].alias("driver")] if driver else []
     agg = scored.groupBy("account_id", "tier", "in_market_list").agg(
         F.max("raw").alias("best_raw"), F.count(F.lit(1)).alias("signal_count"),
-        F.array_sort(F.collect_set("signal_type")).alias("types"))
+        F.array_sort(F.collect_set("signal_type")).alias("types"), *best)
     n_types = F.size("types")
     return agg.select(
         "account_id", "tier", "in_market_list", "signal_count",
         n_types.alias("n_types"), F.array_join("types", ";").alias("signal_types"), "best_raw",
         F.bround(stacking_bonus(n_types, F.col("tier")), 3).alias("stacking_bonus"),
         account_score(F.col("best_raw"), n_types, F.col("tier")).alias("score"),
+        *(["driver"] if driver else []),
     ).withColumn("enrich", F.col("score") >= rules.ENRICH_SCORE)
 
 
@@ -96,17 +103,20 @@ def account_signals(signals: DataFrame, tiers: DataFrame, as_of: dt.date) -> Dat
     """The weekly account list, best score first."""
     ready = tag_buckets(signals).filter(F.col("bucket") == ACCOUNT)
     scored = scored_signals(with_tier(ready, tiers), as_of)
-    best = driver_signals(scored).drop("tier", "in_market_list", "rank", "raw")
-    rows = account_scores(scored).join(best, "account_id")
+    rows = account_scores(scored, DRIVER).select(
+        "*", *[F.col(f"driver.{c}").alias(f"d_{c}") for c in DRIVER])
+
+    def d(name: str) -> Column:
+        return F.col(f"d_{name}")
+
     return rows.select(
-        F.col("account_id").alias("company_id"), F.col("org_name_raw").alias("firma_raw"),
-        F.coalesce("org_place", F.lit("")).alias("ort"), "tier", "score", "signal_type",
-        F.col("event_date").alias("signal_datum"), F.coalesce("source_url", F.lit("")).alias("quell_url"),
+        F.col("account_id").alias("company_id"), d("org_name_raw").alias("firma_raw"),
+        F.coalesce(d("org_place"), F.lit("")).alias("ort"), "tier", "score", d("signal_type").alias("signal_type"),
+        d("event_date").alias("signal_datum"), F.coalesce(d("source_url"), F.lit("")).alias("quell_url"),
         F.col("signal_count").alias("signal_anzahl"), F.col("signal_types").alias("signal_typen"),
-        "match_confidence", F.col("in_market_list").alias("in_longlist_1"), "enrich",
-        why_now(F.col("signal_type"), F.col("title"), F.col("buyer"), F.col("org_name_raw"), F.col("org_place"),
-                F.col("event_date"), F.col("contract_end"),
-                F.datediff("deadline", as_of_lit(as_of))).alias("why_now"),
+        d("match_confidence").alias("match_confidence"), F.col("in_market_list").alias("in_longlist_1"), "enrich",
+        why_now(d("signal_type"), d("title"), d("buyer"), d("org_name_raw"), d("org_place"), d("event_date"),
+                d("contract_end"), F.datediff(d("deadline"), as_of_lit(as_of))).alias("why_now"),
     ).orderBy(F.desc("score"), "company_id")
 
 

@@ -26,37 +26,28 @@ def classify_changes(incoming: DataFrame, state: DataFrame, key: str = "signal_i
         .otherwise(F.lit(UNCHANGED))).drop("_known")
 
 
-def apply_run(incoming: DataFrame, state: DataFrame, run_id: int, at: dt.datetime) -> DataFrame:
-    """The next state: every key of both sides once, with ``status`` null for untouched rows.
+BOOKKEEPING = ["first_seen_run", "first_seen_at", "last_seen_run", "last_seen_at", "change_count"]
 
-    One shuffle of each side on the key; the caller writes the state columns as the next
-    snapshot and the rows with a status as the run's delta.
+
+def apply_run(incoming: DataFrame, known: DataFrame, run_id: int, at: dt.datetime) -> DataFrame:
+    """The rows one run touches, ready for the state, each with its ``status``.
+
+    ``known`` holds one row per stored key: signal_id, content_hash, first_seen_run,
+    first_seen_at, change_count.  The state is only read in these narrow columns and never
+    rewritten; what the run does not mention stays where it is.
     """
     first = latest_per_key(incoming, ["signal_id"],
                            [F.desc_nulls_last("event_date"), F.desc_nulls_last("notice_id"), F.desc("content_hash")])
-    content = [c for c in state.columns if c not in (
-        "signal_id", "first_seen_run", "first_seen_at", "last_seen_run", "last_seen_at", "change_count")]
-    new = first.select("signal_id", F.struct(*content).alias("n"))
-    old = state.select("signal_id", F.struct(*[c for c in state.columns if c != "signal_id"]).alias("o"))
-    both = new.join(old, "signal_id", "full")
-    seen = F.col("n").isNotNull()
-    status = (F.when(F.col("o").isNull(), F.lit(NEW))
-              .when(seen & (F.col("n.content_hash") != F.col("o.content_hash")), F.lit(CHANGED))
-              .when(seen, F.lit(UNCHANGED)))
-    both = both.withColumn("status", status)
-    taken = F.col("status").isin(NEW, CHANGED)
+    before = known.select("signal_id", F.struct("content_hash", "first_seen_run", "first_seen_at", "change_count").alias("o"))
+    new, changed = F.col("o").isNull(), F.col("o.content_hash") != F.col("content_hash")
     run, now = F.lit(run_id).cast("long"), F.lit(at).cast("timestamp")
-    cols = [F.when(taken, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in content]
-    is_new = F.col("status") == NEW
-    return both.select(
-        "signal_id", *cols,
-        F.when(is_new, run).otherwise(F.col("o.first_seen_run")).alias("first_seen_run"),
-        F.when(is_new, now).otherwise(F.col("o.first_seen_at")).alias("first_seen_at"),
-        F.when(seen, run).otherwise(F.col("o.last_seen_run")).alias("last_seen_run"),
-        F.when(seen, now).otherwise(F.col("o.last_seen_at")).alias("last_seen_at"),
-        (F.coalesce("o.change_count", F.lit(0)) + (F.col("status") == CHANGED).cast("int"))
-        .cast("int").alias("change_count"),
-        "status")
+    return first.join(before, "signal_id", "left").select(
+        *first.columns,
+        F.coalesce("o.first_seen_run", run).alias("first_seen_run"),
+        F.coalesce("o.first_seen_at", now).alias("first_seen_at"),
+        run.alias("last_seen_run"), now.alias("last_seen_at"),
+        (F.coalesce("o.change_count", F.lit(0)) + F.when(changed, 1).otherwise(0)).cast("int").alias("change_count"),
+        F.when(new, F.lit(NEW)).when(changed, F.lit(CHANGED)).otherwise(F.lit(UNCHANGED)).alias("status"))
 
 
 def emitted(applied: DataFrame) -> DataFrame:
@@ -65,6 +56,17 @@ def emitted(applied: DataFrame) -> DataFrame:
         F.desc_nulls_last("event_date"), "signal_id")
 
 
+def tag_late(signals: DataFrame, since: DataFrame, default: dt.date) -> DataFrame:
+    """``late`` marks rows older than the day their source is read from.
+
+    Rows inside the overlap are ordinary corrections; older ones go to a bucket of their
+    own instead of being dropped.  ``since``: source, since - one row per source.
+    """
+    days = since.select("source", F.col("since").alias("_since"))
+    return signals.join(days, "source", "left").withColumn(
+        "late", F.coalesce(F.col("event_date") < F.coalesce("_since", F.lit(default).cast("date")), F.lit(False))).drop("_since")
+
+
 def run_statistics(statuses: DataFrame) -> DataFrame:
     """Rows read, new, changed and unchanged per source, plus one row for all (source null)."""
     return statuses.rollup("source").agg(

@@ -8,6 +8,7 @@ from lotwise import rules
 from lotwise.functions.hosts import host_of, name_matches_domain
 from lotwise.functions.text import company_key
 from lotwise.operators.joins import salted_lookup
+from lotwise.session import landed
 
 CONFIRMED, RELATED, SINGLE = "amtlich_bestaetigt", "amtlich_namensbezug", "amtlich_unbestaetigt"
 NO_CANDIDATE, SUSPECT = "ohne_kandidat", "verworfen_verdacht"
@@ -129,7 +130,8 @@ def domain_statistics(decisions: DataFrame) -> DataFrame:
 
 
 def resolve_domains(notices: DataFrame, companies: DataFrame) -> DataFrame:
-    """Whole chain over nested notices."""
+    """Whole chain over nested notices.  Candidates are used in several places and landed once."""
     contacts = contact_rows(notices)
-    return decide_domains(companies, first_candidates(bidder_contacts(contacts), companies), buyer_domains(contacts))
+    candidates = landed(first_candidates(bidder_contacts(contacts), companies), "candidates")
+    return decide_domains(companies, candidates, buyer_domains(contacts))
 

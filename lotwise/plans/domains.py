@@ -14,6 +14,7 @@ from lotwise.plans.names import FIRMS, firm_names, sql_key
 from lotwise.plans.registry import query
 from lotwise.plans.signals import customer_tiers, TIERS
 from lotwise.plans.views import AS_OF, table
+from lotwise.session import landed
 
 # --- contact points: every order names its customer as a bidder with an address or two ----------
 
@@ -98,7 +99,7 @@ def domain_spread(spark, d):
 
 
 def decisions(spark, d):
-    cand = ops.first_candidates(bidder_contacts(spark, d), companies(spark, d))
+    cand = landed(ops.first_candidates(bidder_contacts(spark, d), companies(spark, d)), "candidates")
     return ops.decide_domains(companies(spark, d), cand, buyer_hosts(spark, d))
 
 

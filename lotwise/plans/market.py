@@ -12,6 +12,7 @@ from lotwise.functions.scoring import tier_of
 from lotwise.operators import company, parties as ops, signals
 from lotwise.plans import views
 from lotwise.plans.registry import query
+from lotwise.session import landed
 
 # Oracle fragments: the same concepts in plain SQL.
 CODES = """
@@ -139,6 +140,11 @@ MARKET_SQL_COLUMNS = """company_id, legal_name, city, tier, tier_status, proof_t
 MARKET_COLUMNS = [c.strip() for c in MARKET_SQL_COLUMNS.replace("\n", " ").split(",")] + ["tier_rationale"]
 
 
+def market_rows(spark, d):
+    """Participations, computed once for the counts and the facts of the list."""
+    return landed(views.participations(spark, d), "participations")
+
+
 @query("market_list", f"""
 WITH {MARKET}
 SELECT {MARKET_SQL_COLUMNS},
@@ -154,7 +160,7 @@ SELECT {MARKET_SQL_COLUMNS},
   END AS tier_rationale
 FROM market""")
 def market_list(spark, d):
-    return company.market_list(views.participations(spark, d), views.AS_OF).select(*MARKET_COLUMNS)
+    return company.market_list(market_rows(spark, d), views.AS_OF).select(*MARKET_COLUMNS)
 
 
 @query("market_summary", f"""
@@ -169,7 +175,7 @@ SELECT count(*) AS companies, count(*) FILTER (WHERE tier = 'A') AS tier_a, coun
   count(*) AS without_domain
 FROM market""")
 def market_summary(spark, d):
-    return company.market_summary(company.market_list(views.participations(spark, d), views.AS_OF))
+    return company.market_summary(company.market_list(market_rows(spark, d), views.AS_OF))
 
 
 @query("open_work_list", f"""
@@ -177,4 +183,4 @@ WITH {MARKET}
 SELECT company_id, legal_name, city AS ort, '' AS plz, tier, participations_total AS verfahren_12m,
   array_to_string(string_split(cpv_profile, ';')[1:3], ';') AS cpv_kurz, proof_url FROM market""")
 def open_work_list(spark, d):
-    return company.open_work_list(company.market_list(views.participations(spark, d), views.AS_OF))
+    return company.open_work_list(company.market_list(market_rows(spark, d), views.AS_OF))

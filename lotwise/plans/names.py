@@ -12,6 +12,7 @@ from lotwise.functions.hosts import domain_stem, host_of, name_matches_domain, t
 from lotwise.operators import matching, quality
 from lotwise.plans.registry import query
 from lotwise.plans.views import table
+from lotwise.session import landed
 
 # Names made of each customer's own fields, dressed like the names in notices.
 WORDS = ["Daten", "Netz", "Cloud", "Systeme", "Büro - Technik", "Software", "Consulting"]
@@ -161,7 +162,7 @@ scored AS (SELECT a.block, a.key AS key_a, b.key AS key_b,
    FROM toks a JOIN toks b ON a.block = b.block AND a.key <> b.key)
 SELECT block, key_a, key_b, round_even(score, 6) AS score FROM scored WHERE score >= 0.6 - 1e-9""")
 def block_match(spark, d):
-    keyed = matching.keyed_names(firm_names(spark, d))
+    keyed = landed(matching.keyed_names(firm_names(spark, d)), "names")
     return matching.similar_names(keyed, keyed, 0.6).withColumn("score", F.bround("score", 6))
 
 
@@ -175,7 +176,7 @@ scored AS (SELECT a.block, a.key AS key_a, b.key AS key_b,
 SELECT block, key_a, key_b, round_even(score, 6) AS score FROM scored WHERE score >= 0.6 - 1e-9
 QUALIFY row_number() OVER (PARTITION BY block, key_a ORDER BY scored.score DESC, key_b) = 1""")
 def best_match(spark, d):
-    keyed = matching.keyed_names(firm_names(spark, d))
+    keyed = landed(matching.keyed_names(firm_names(spark, d)), "names")
     return matching.best_match(keyed, keyed, 0.6).withColumn("score", F.bround("score", 6))
 
 

@@ -1,8 +1,9 @@
-"""Signal state as versioned snapshots with a commit log.
+"""Signal state as an append-only log of touched rows with a commit log.
 
-A run writes its snapshot and its delta into folders of their own and only then
-appends its rows to the run log.  Readers follow the log, so a run that died half way
-leaves the previous version in force and may simply be repeated.
+A run writes the rows it touched into a folder of its own and only then appends its
+lines to the run log.  Readers follow the log, so a run that died half way leaves the
+state as it was and may simply be repeated.  Older runs are folded into a base now and
+then; between two foldings a run costs what it touches, not what the state holds.
 """
 
 from __future__ import annotations
@@ -13,17 +14,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotwise.operators import delta
-from lotwise.operators.signals import review_queue
+from lotwise.operators.signals import latest_per_key, review_queue
 from lotwise.schemas import RUN_LOG, STATE
 
 STATUS = STATE + ", status string"
+CONTENT = [c for c in (part.strip().split(" ")[0] for part in STATE.split(", ")) if c not in delta.BOOKKEEPING]
 
 
 class SignalState:
     """State tables under ``root`` (a folder all executors reach)."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, fold_every: int = 12):
+        self.spark, self.root, self.fold_every = spark, root.rstrip("/"), fold_every
 
     def runs(self) -> DataFrame:
         try:
@@ -39,14 +41,45 @@ class SignalState:
     def next_run_id(self) -> int:
         return self.runs().agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0] + 1
 
+    def base_version(self) -> int:
+        """Last run folded into the base."""
+        try:
+            bases = self.spark.read.schema("version long").parquet(f"{self.root}/bases")
+        except AnalysisException:
+            return 0
+        return bases.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def _rows(self) -> DataFrame:
+        """Every stored version of every key since the last folding."""
+        last, base = self.last_version(), self.base_version()
+        out = self.spark.createDataFrame([], STATE)
+        if base:
+            out = self.spark.read.schema(STATE).parquet(f"{self.root}/base/version={base}")
+        if last > base:
+            runs = self.spark.read.schema(STATUS + ", run long").parquet(f"{self.root}/touched")
+            runs = runs.filter(F.col("run").between(base + 1, last)).drop("run", "status")
+            out = out.unionByName(runs) if base else runs
+        return out
+
+    def known(self) -> DataFrame:
+        """Key, content hash and bookkeeping of every stored signal; narrow columns only."""
+        narrow = F.struct("content_hash", "first_seen_run", "first_seen_at", "change_count")
+        return (self._rows().groupBy("signal_id").agg(F.max_by(narrow, "last_seen_run").alias("k"))
+                .select("signal_id", "k.*"))
+
     def current(self) -> DataFrame:
+        """The latest version of every signal."""
+        return latest_per_key(self._rows(), ["signal_id"], [F.desc("last_seen_run")])
+
+    def fold(self) -> None:
+        """Write the current state as the next base."""
         version = self.last_version()
-        if version == 0:
-            return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.root}/signals/version={version}")
+        self.current().write.mode("overwrite").parquet(f"{self.root}/base/version={version}")
+        self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(
+            f"{self.root}/bases")
 
     def delta(self, run_id: int) -> DataFrame:
-        return self.spark.read.schema(STATUS).parquet(f"{self.root}/delta/run={run_id}")
+        return self.spark.read.schema(STATUS).parquet(f"{self.root}/touched/run={run_id}")
 
     def emitted(self, run_id: int) -> DataFrame:
         return delta.emitted(self.delta(run_id))
@@ -66,15 +99,14 @@ class SignalState:
         run_id = run_id or self.next_run_id()
         if self.committed(run_id):
             return run_id
-        applied = delta.apply_run(resolved, self.current(), run_id, at)
-        folder = f"{self.root}/signals/version={run_id}"
-        applied.write.mode("overwrite").parquet(folder)
-        touched = self.spark.read.schema(STATUS).parquet(folder).filter("status IS NOT NULL")
-        touched.write.mode("overwrite").parquet(f"{self.root}/delta/run={run_id}")
-        (review_queue(touched).withColumn("created_at", F.lit(at).cast("timestamp"))
+        touched = delta.apply_run(resolved.select(*CONTENT), self.known(), run_id, at)
+        touched.write.mode("overwrite").parquet(f"{self.root}/touched/run={run_id}")
+        (review_queue(self.delta(run_id)).withColumn("created_at", F.lit(at).cast("timestamp"))
          .write.mode("overwrite").parquet(f"{self.root}/review/run={run_id}"))
         stats = delta.run_statistics(self.delta(run_id)).filter("source IS NOT NULL")
         self._log(run_id, stats, at, None)
+        if run_id - self.base_version() >= self.fold_every:
+            self.fold()
         return run_id
 
     def fail(self, source: str, at: dt.datetime, error: str) -> int:
