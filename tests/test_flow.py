@@ -14,6 +14,7 @@ from lotwise.operators import accounts, contacts, delta, enrich, matching, popul
 from lotwise.operators.joins import salted_lookup
 from lotwise.sources import deadlines, enrichment, jobs, registry, sinks, ted
 from lotwise.sources.state import SignalState
+from lotwise.session import landed as land_once
 from lotwise.streaming.signals import stream_into_state
 
 NOW = dt.datetime(2026, 9, 27, 6)
@@ -112,9 +113,14 @@ def resolved(spark, paths, as_of=AS_OF):
 
 
 @pytest.fixture(scope="module")
-def weekly(spark, landed, tmp_path_factory):
+def base(spark, landed):
+    return land_once(resolved(spark, landed), "base")
+
+
+@pytest.fixture(scope="module")
+def weekly(spark, base, tmp_path_factory):
     state = SignalState(spark, str(tmp_path_factory.mktemp("state")))
-    state.run(resolved(spark, landed), NOW)
+    state.run(base, NOW)
     return state
 
 
@@ -128,9 +134,8 @@ def test_second_run_emits_nothing(spark, landed, weekly):
     assert tuple(last)[1:] == (1, 0)
 
 
-def test_changed_new_and_untouched(spark, landed, tmp_path):
+def test_changed_new_and_untouched(spark, base, tmp_path):
     state = SignalState(spark, str(tmp_path / "s"))
-    base = resolved(spark, landed)
     state.run(base, NOW)
     changed = base.filter("source = 'ba_jobs'").withColumn("title", F.concat("title", F.lit("!"))).withColumn(
         "content_hash", signals.content_hash(F.col("signal_type"), F.col("event_date"), F.col("org_name_raw"),
@@ -154,16 +159,35 @@ def test_failed_run_moves_nothing(spark, weekly):
     assert delta.last_runs(weekly.runs(), 1).first().errors == "HTTPError: 503"
 
 
-def test_repeated_batch_is_a_no_op(spark, landed, tmp_path):
+def test_repeated_batch_is_a_no_op(spark, base, tmp_path):
     state = SignalState(spark, str(tmp_path / "s"))
-    batch = resolved(spark, landed)
-    state.run(batch, NOW, run_id=5)
-    state.run(batch.limit(1), NOW, run_id=5)
-    assert state.current().count() == batch.count() and state.runs().select("run_id").distinct().count() == 1
+    state.run(base, NOW, run_id=5)
+    state.run(base.limit(1), NOW, run_id=5)
+    assert state.current().count() == base.count() and state.runs().select("run_id").distinct().count() == 1
+
+
+def test_folding_changes_nothing(spark, base, tmp_path):
+    """A state folded after every run reads like one that never is."""
+    plain, folded = SignalState(spark, str(tmp_path / "a")), SignalState(spark, str(tmp_path / "b"), fold_every=1)
+    for state in (plain, folded):
+        state.run(base.filter("source <> 'ted'"), NOW)
+        state.run(base.filter("source <> 'ba_jobs'"), NOW + dt.timedelta(days=1))
+    cols = ["signal_id", "content_hash", "first_seen_run", "last_seen_run", "change_count"]
+    assert folded.base_version() == 2 and plain.base_version() == 0
+    assert rows(folded.current(), *cols) == rows(plain.current(), *cols)
+    assert rows(folded.delta(2), "signal_id", "status") == rows(plain.delta(2), "signal_id", "status")
+
+
+def test_late_rows_keep_a_bucket(spark, base):
+    since = spark.createDataFrame([("vergabe_dovs", dt.date(2026, 9, 6))], "source string, since date")
+    got = delta.tag_late(base, since, dt.date(2026, 9, 21))
+    assert got.count() == base.count()
+    assert rows(got.filter("source = 'ba_jobs'"), "external_id", "late") == [("r1", True), ("r2", False)]
+    assert got.filter("late AND source = 'vergabe_dovs' AND event_date >= '2026-09-06'").count() == 0
+    assert got.filter("NOT late AND source = 'vergabe_dovs' AND event_date < '2026-09-06'").count() == 0
 
 
-def test_stream_equals_batch(spark, landed, tmp_path):
-    base = resolved(spark, landed)
+def test_stream_equals_batch(spark, base, tmp_path):
     base.filter("source <> 'ted'").write.parquet(str(tmp_path / "in"))
     state = SignalState(spark, str(tmp_path / "stream"))
 
