@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from lotwise import rules
-from lotwise.functions.text import fold, strip, tokens
+from lotwise.functions.text import fold, let, strip, tokens
 
 
 def host_of(value: Column) -> Column:
@@ -15,8 +15,8 @@ def host_of(value: Column) -> Column:
     v = F.regexp_replace(v, r"(?s)[/?#].*$", "")
     v = F.regexp_replace(F.substring_index(v, ":", 1), r"^www\.", "")
     v = F.btrim(v, F.lit(". "))
-    usable = v.rlike(rules.HOST_PATTERN) & ~v.isin(rules.FREEMAIL + rules.PLACEHOLDER_HOSTS)
-    return F.when(usable, v)
+    unusable = rules.FREEMAIL + rules.PLACEHOLDER_HOSTS
+    return let(v, lambda host: F.when(host.rlike(rules.HOST_PATTERN) & ~host.isin(unusable), host))
 
 
 def clean_domain(value: Column) -> Column:

@@ -138,7 +138,7 @@ def contact_package(exports: DataFrame, verified: DataFrame, mx: DataFrame, mark
     write_csv(for_signals.orderBy("round", "account_rank"), f"{out}/signal_contacts")
     write_csv(contacts.orphans(people, market), f"{out}/orphans")
     pool = contacts.audit_pool(for_market, for_signals)
-    key = F.concat_ws("|", "liste", "company_id", "name", "email")
+    key = F.concat_ws("|", "liste", "person")
     audit = contacts.audit_findings(quality.seeded_sample(pool, key, sample, seed), fetched)
     write_csv(audit, f"{out}/validation_sample")
     return audit

@@ -34,7 +34,7 @@ def merge_exports(exports: DataFrame) -> DataFrame:
 
 
 def contact_rows(contacts: DataFrame, verified: DataFrame, mx: DataFrame) -> DataFrame:
-    """Contacts with persona, mail status, domain check and text warning.
+    """Merged contacts with persona, mail status, domain check and text warning.
 
     ``verified``: one column email of confirmed addresses; ``mx``: domain, mx.  Mail
     domains are very uneven, so that lookup is salted over the addresses.
@@ -49,7 +49,7 @@ def contact_rows(contacts: DataFrame, verified: DataFrame, mx: DataFrame) -> Dat
     own = F.replace(F.lower(F.coalesce("company_domain", F.lit(""))), F.lit("www."))
     phone = blank_to_null(F.col("mobile_phone")).isNotNull()
     return base.withColumn("s", email_status(F.col("work_email"), F.col("verified"), F.col("mx"))).select(
-        "company_id", F.coalesce("company_name", F.lit("")).alias("firma"), own.alias("domain"),
+        "person", "company_id", F.coalesce("company_name", F.lit("")).alias("firma"), own.alias("domain"),
         F.coalesce("full_name", F.lit("")).alias("name"), F.coalesce("job_title", F.lit("")).alias("jobtitel"),
         persona(F.col("job_title")).alias("persona"), F.coalesce("location", F.lit("")).alias("ort"),
         F.coalesce("profile", F.lit("")).alias("linkedin"), F.coalesce("work_email", F.lit("")).alias("email"),
@@ -121,7 +121,7 @@ def signal_contacts(rows: DataFrame, accounts: DataFrame, lead_cap: int = rules.
 
 def audit_pool(market_rows: DataFrame, signal_rows: DataFrame) -> DataFrame:
     """Both chosen lists as one tagged pool with a common evidence address."""
-    cols = ["company_id", "firma", "name", "email", "email_status", "email_domain_abgleich", "copy_warnung"]
+    cols = ["person", "company_id", "firma", "name", "email", "email_status", "email_domain_abgleich", "copy_warnung"]
     a = market_rows.select(F.lit("markt").alias("liste"), *cols, F.col("proof_url").alias("url"),
                            F.col("in_longlist").alias("gelistet"))
     b = signal_rows.select(F.lit("signale").alias("liste"), *cols, F.col("quell_url").alias("url"),

@@ -49,14 +49,20 @@ def first_candidates(bidding: DataFrame, companies: DataFrame) -> DataFrame:
     return earliest.join(companies.select("company_id"), "company_id", "left_semi")
 
 
-def claims(candidates: DataFrame) -> DataFrame:
-    """One row per (company, field, host); needs company_id, name_key, url_host, mail_host."""
-    return (
-        candidates.select("company_id", "name_key", F.explode(F.array(
-            F.struct(F.lit("url").alias("field"), F.col("url_host").alias("domain")),
-            F.struct(F.lit("mail").alias("field"), F.col("mail_host").alias("domain")))).alias("c"))
-        .select("company_id", "name_key", "c.field", "c.domain").filter("domain IS NOT NULL")
-        .withColumn("related", name_matches_domain(F.col("name_key"), F.col("domain"))))
+def with_relation(candidates: DataFrame) -> DataFrame:
+    """Candidates (company_id, name_key, url_host, mail_host) plus whether the name shows in
+    either host."""
+    def related(host: str) -> Column:
+        return F.coalesce(F.col(host).isNotNull() & name_matches_domain(F.col("name_key"), F.col(host)), F.lit(False))
+    return candidates.withColumn("url_related", related("url_host")).withColumn("mail_related", related("mail_host"))
+
+
+def claims(related: DataFrame) -> DataFrame:
+    """One row per (company, field, host) of ``with_relation`` rows."""
+    entry = [F.struct(F.lit(f).alias("field"), F.col(f"{f}_host").alias("domain"), F.col(f"{f}_related").alias("related"))
+             for f in ("url", "mail")]
+    return (related.select("company_id", F.explode(F.array(*entry)).alias("c")).select("company_id", "c.*")
+            .filter("domain IS NOT NULL"))
 
 
 def domain_spread(claimed: DataFrame, at_least: int = rules.MAX_UNRELATED_COMPANIES) -> DataFrame:
@@ -72,7 +78,7 @@ def decide_domains(companies: DataFrame, candidates: DataFrame, buyers: DataFram
     companies claiming it.
     """
     named = companies.select("company_id", "legal_name").withColumn("name_key", company_key(F.col("legal_name")))
-    cand = named.join(candidates, "company_id", "left")
+    cand = with_relation(named.join(candidates, "company_id", "left"))
     claimed = claims(cand)
     spread = domain_spread(claimed)
     flags = spread.join(buyers.withColumn("is_buyer", F.lit(True)), "domain", "full")
@@ -86,37 +92,33 @@ def decide_domains(companies: DataFrame, candidates: DataFrame, buyers: DataFram
                   F.array_join(F.array_distinct(F.flatten(F.transform(
                       F.sort_array(F.collect_list(F.struct((F.col("field") == "mail").alias("o"), "s"))),
                       lambda x: x["s"]))), "; ").alias("doubt")))
-    rows = cand.join(doubts, "company_id", "left")
-    return rows.select("company_id", "legal_name", _decision().alias("x")).select(
-        "company_id", "legal_name", "x.*")
+    return _decided(cand.join(doubts, "company_id", "left"))
 
 
-def _decision() -> Column:
-    u, m, key = F.col("url_host"), F.col("mail_host"), F.col("name_key")
-    ru = u.isNotNull() & name_matches_domain(key, u)
-    rm = m.isNotNull() & name_matches_domain(key, m)
-    both, one = u.isNotNull() & m.isNotNull(), F.coalesce(u, m)
-    status = (
+def _decided(rows: DataFrame) -> DataFrame:
+    u, m, ru, rm = (F.col(c) for c in ("url_host", "mail_host", "url_related", "mail_related"))
+    both, one, status = u.isNotNull() & m.isNotNull(), F.coalesce(u, m), F.col("status")
+    rows = rows.withColumn(
+        "status",
         F.when(one.isNull(), F.lit(NO_CANDIDATE))
         .when(F.col("doubt").isNotNull(), F.lit(SUSPECT))
         .when(both & (u == m), F.lit(CONFIRMED))
         .when(both & (ru == rm), F.lit(CONFLICT))
         .when(both | ru | rm, F.lit(RELATED))
         .otherwise(F.lit(BELOW)))
-    taken = F.when(both & ~ru, m).otherwise(one)
-    found = status.isin(CONFIRMED, RELATED)
     confidence = (F.when(status == CONFIRMED, F.lit(0.95)).when(status == RELATED, F.lit(0.90))
                   .when(status == BELOW, F.lit(0.60)))
-    finding = (F.when(status == SUSPECT, F.col("doubt"))
-               .when(status == CONFLICT, F.lit("url und Mail widersprechen sich, Namensbezug entscheidet nicht"))
-               .when(status == BELOW, F.lit("kein Namensbezug, Einzelquelle - unter Schwelle"))
-               .otherwise(F.lit("")))
-    return F.struct(
-        F.when(found & (confidence >= rules.MIN_RESOLUTION_CONFIDENCE), taken).otherwise(F.lit("")).alias("domain"),
+    found = status.isin(CONFIRMED, RELATED) & (confidence >= rules.MIN_RESOLUTION_CONFIDENCE)
+    return rows.select(
+        "company_id", "legal_name",
+        F.when(found, F.when(both & ~ru, m).otherwise(one)).otherwise(F.lit("")).alias("domain"),
         confidence.alias("domain_confidence"),
         F.when(found, status).when(status == BELOW, F.lit(SINGLE)).otherwise(F.lit("")).alias("domain_source"),
         F.coalesce(u, F.lit("")).alias("kandidat_url"), F.coalesce(m, F.lit("")).alias("kandidat_mail"),
-        finding.alias("befund"), status.alias("status"))
+        F.when(status == SUSPECT, F.col("doubt"))
+        .when(status == CONFLICT, F.lit("url und Mail widersprechen sich, Namensbezug entscheidet nicht"))
+        .when(status == BELOW, F.lit("kein Namensbezug, Einzelquelle - unter Schwelle"))
+        .otherwise(F.lit("")).alias("befund"), "status")
 
 
 def domain_findings(decisions: DataFrame) -> DataFrame:

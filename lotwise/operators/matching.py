@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.text import blocking_key, company_key, tokens
 
@@ -18,14 +18,8 @@ def keyed_names(names: DataFrame) -> DataFrame:
             .filter("key <> ''").distinct())
 
 
-def _probe_count(n_tokens: Column, threshold: float) -> Column:
-    """How many of the rarest tokens must be probed so that no pair at or above the
-    threshold is missed."""
-    return n_tokens - F.ceil(n_tokens * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
-
-
-def _probes(entries: DataFrame, order: DataFrame, threshold: float) -> DataFrame:
-    """Each name once per probe token: its rarest tokens in one common order.
+def _ranked_tokens(entries: DataFrame, order: DataFrame) -> DataFrame:
+    """Each name with its tokens, rarest first, in one common order.
 
     The two leading tokens are the same all over a block and tell nothing apart, so they
     come last.
@@ -34,41 +28,45 @@ def _probes(entries: DataFrame, order: DataFrame, threshold: float) -> DataFrame
                           F.explode(tokens(F.col("key"))).alias("token"))
     ranked = toks.join(order, "token").groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct(
         F.array_contains("head", F.col("token")).alias("in_head"), "freq", "token"))).alias("ts"))
-    n = F.size("ts")
-    return ranked.select("key", "block", F.transform("ts", lambda t: t["token"]).alias("toks"), n.alias("n")).select(
-        "*", F.posexplode(F.slice("toks", F.lit(1), _probe_count(F.col("n"), threshold))).alias("at", "probe"))
+    return ranked.select("key", "block", F.transform("ts", lambda t: t["token"]).alias("toks"), F.size("ts").alias("n"))
+
+
+def _probes(ranked: DataFrame, threshold: float, own: str, other: str) -> DataFrame:
+    """Each name once per size a partner may have and per token it must then be met by.
+
+    Sets of sizes n and m need an overlap of t / (1 + t) * (n + m); leaving out that many
+    less one of the most frequent tokens, the two must still share one of the rest.
+    """
+    slack = F.lit(1e-9)
+    n, m = F.col("n"), F.col("m")
+    sizes = F.sequence(F.ceil(n * F.lit(threshold) - slack).cast("int"), F.floor(n / F.lit(threshold) + slack).cast("int"))
+    need = F.ceil((n + m) * F.lit(threshold / (1 + threshold)) - slack).cast("int")
+    return (ranked.withColumn("m", F.explode(sizes)).filter(need <= F.least(n, m))
+            .select("block", n.alias(f"n_{own}"), m.alias(f"n_{other}"), F.col("key").alias(f"key_{own}"),
+                    F.col("toks").alias(f"toks_{own}"), F.explode(F.slice("toks", F.lit(1), n - need + 1)).alias("probe")))
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Pairs of different keys in one block with token Jaccard >= ``threshold``.
 
-    ``left``, ``right``: key, block (see ``keyed_names``).  Two sets that similar always
-    share one of their rarest tokens, so candidates meet on (block, rare token), and a
-    meeting is dropped at once when the sizes or what is left behind the meeting token
-    cannot reach the threshold: all true pairs, far from all pairs.  Token lists are
-    bounded by the length of a name.
+    ``left``, ``right``: key, block (see ``keyed_names``).  Candidates meet on block, both
+    sizes and one rare token, which every true pair shares; frequent tokens are no
+    meeting point unless the sizes leave no other.  Token lists are bounded by the length
+    of a name.
     """
     if not 0 < threshold <= 1 or math.isnan(threshold):
         raise ValueError("threshold must be in (0, 1]")
     freq = (left.select("key").unionByName(right.select("key")).distinct()
             .select(F.explode(tokens(F.col("key"))).alias("token"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-
-    def side(entries: DataFrame, s: str) -> DataFrame:
-        return _probes(entries, freq, threshold).select(
-            "block", "probe", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "toks", "n", "at")])
-
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    slack = F.lit(1e-9)
-    sizes_fit = F.least(n_a, n_b) >= F.greatest(n_a, n_b) * F.lit(threshold) - slack
-    reachable = F.least(n_a - F.col("at_a"), n_b - F.col("at_b"))
-    enough_left = reachable >= F.lit(threshold / (1 + threshold)) * (n_a + n_b) - slack
-    met = side(left, "a").join(side(right, "b"), ["block", "probe"]).filter(
-        (F.col("key_a") != F.col("key_b")) & sizes_fit & enough_left)
+    a = _probes(_ranked_tokens(left, freq), threshold, "a", "b")
+    b = _probes(_ranked_tokens(right, freq), threshold, "b", "a")
+    met = a.join(b, ["block", "n_a", "n_b", "probe"]).filter(F.col("key_a") != F.col("key_b"))
     both = met.withColumn("shared", F.array_intersect("toks_a", "toks_b"))
     n = F.size("shared")
     return (both.filter(F.col("probe") == F.get("shared", F.lit(0)))
-            .withColumn("score", n / (n_a + n_b - n)).filter(F.col("score") >= F.lit(threshold) - slack)
+            .withColumn("score", n / (F.col("n_a") + F.col("n_b") - n))
+            .filter(F.col("score") >= F.lit(threshold) - F.lit(1e-9))
             .select("block", "key_a", "key_b", "score"))
 
 

@@ -180,6 +180,38 @@ def head_sample(spark, d):
     return o.select("o_orderkey", "o_custkey")
 
 
+@query("validation_sample", f"""
+WITH {CHECKED}, {TIERS},
+pool AS (SELECT 'markt' AS liste, ck.*, 'https://seite/' || k AS url, CASE WHEN t.tier IS NULL THEN 'NEIN - nicht zuordenbar' ELSE 'ja' END AS gelistet
+    FROM ck LEFT JOIN tiers t ON t.account_id = CAST(ck.k AS VARCHAR)
+  UNION ALL SELECT 'signale', ck.*, '' AS url, CASE WHEN EXISTS (SELECT 1 FROM events WHERE user_id = ck.k) THEN 'ja' ELSE 'NEIN - nicht zuordenbar' END FROM ck),
+smp AS (SELECT * FROM pool ORDER BY sha256(liste || '|' || person_key || '|42') LIMIT 30),
+fe AS (SELECT 'https://seite/' || c_custkey AS url, CASE WHEN c_custkey % 4 = 0 THEN 404 ELSE 200 END AS status, 900 AS bytes FROM customer),
+fd AS (SELECT s.*, status, list_filter([
+   CASE WHEN s.url = '' THEN 'Beleg: keine URL' WHEN status IS NULL THEN 'Beleg: nicht erreichbar' WHEN status <> 200 THEN 'Beleg: HTTP ' || status END,
+   CASE WHEN gelistet <> 'ja' THEN 'Firma nicht in der Longlist zuordenbar' END,
+   CASE WHEN email_status IN ('kein_mx', 'keine_adresse') THEN 'E-Mail: ' || email_status END,
+   CASE WHEN email_domain_abgleich <> 'ok' THEN email_domain_abgleich END,
+   CASE WHEN copy_warnung <> '' THEN 'Textqualitaet' END], lambda x: x IS NOT NULL) AS f FROM smp s LEFT JOIN fe USING (url))
+SELECT liste, firm AS firma, name, CASE WHEN len(f) = 0 THEN 'keine' ELSE array_to_string(f, '; ') END AS befunde,
+  CASE WHEN len(f) = 0 THEN 'ok' ELSE 'pruefen' END AS urteil FROM fd""".replace("ck AS (SELECT b.*,", "ck AS (SELECT b.*, person AS person_key,"))
+def validation_sample(spark, d):
+    """Seeded sample over both lists with its findings."""
+    people = ops.contact_rows(ops.merge_exports(contacts(spark, d)), verified_mails(spark, d), mx_table(spark, d))
+    users = table(spark, d, "events").select(F.concat(F.lit("firma "), F.col("user_id").cast("string")).alias("company_id")).distinct()
+    a = ops.attach_list(people, listed(spark, d).select("company_id"), "in_longlist").withColumn(
+        "proof_url", F.concat(F.lit("https://seite/"), F.substring_index("company_id", " ", -1)))
+    b = ops.attach_list(people, users, "in_longlist_signale").withColumn("quell_url", F.lit(""))
+    pool = ops.audit_pool(a, b)
+    key = F.concat_ws("|", "liste", "person")
+    sample = quality.seeded_sample(pool, key, 30)
+    k = F.col("c_custkey")
+    fetched = table(spark, d, "customer").select(
+        F.concat(F.lit("https://seite/"), k.cast("string")).alias("url"), F.when(k % 4 == 0, 404).otherwise(200).alias("status"),
+        F.lit(900).alias("bytes"), F.lit("application/pdf").alias("content_type"))
+    return ops.audit_findings(sample, fetched).select("liste", "firma", "name", "befunde", "urteil")
+
+
 AUDIT = """
 f AS (SELECT page_id, page_id % 13 AS m, length(html) AS n FROM pages),
 v AS (SELECT CASE WHEN m = 5 THEN 'unverifiable' WHEN m IN (3, 4, 6, 7, 8, 9) OR n < 500 OR n = 1309 THEN 'failed' ELSE 'ok' END AS verdict FROM f)"""

@@ -95,7 +95,7 @@ def named_candidates(spark, d):
 
 @query("domain_spread", f"WITH {CONTACTS} SELECT dom AS domain, unrelated FROM spread")
 def domain_spread(spark, d):
-    return ops.domain_spread(ops.claims(named_candidates(spark, d)))
+    return ops.domain_spread(ops.claims(ops.with_relation(named_candidates(spark, d))))
 
 
 def decisions(spark, d):
@@ -116,6 +116,12 @@ def domain_decision(spark, d):
     return decisions(spark, d)
 
 
+@query("domain_findings", f"""
+WITH {CONTACTS} SELECT CAST(k AS VARCHAR) AS company_id, name AS legal_name, status LIKE 'amtlich%' AS found FROM dec WHERE status <> 'ohne_kandidat'""")
+def domain_findings(spark, d):
+    return ops.domain_findings(decisions(spark, d)).select("company_id", "legal_name", (F.col("domain") != "").alias("found"))
+
+
 @query("domain_statistics", f"WITH {CONTACTS} SELECT status, count(*) AS companies FROM dec GROUP BY 1")
 def domain_statistics(spark, d):
     return ops.domain_statistics(decisions(spark, d))

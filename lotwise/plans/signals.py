@@ -174,6 +174,20 @@ def fetch_since(spark, d):
     return delta.fetch_since(run_log(spark, d), AS_OF)
 
 
+@query("late_rows", f"""
+WITH {KEYED}, {RUNS.replace("runs AS", "all_runs AS")},
+since AS (SELECT CASE source WHEN '1-URGENT' THEN 'click' WHEN '2-HIGH' THEN 'view' ELSE source END AS source,
+   CAST(CAST(arg_max(started_at, run_id) AS DATE) - INTERVAL 14 DAY AS DATE) + 9000 AS d FROM all_runs WHERE errors IS NULL GROUP BY source)
+SELECT event_id, ev.source, ev.ts::DATE < coalesce(since.d, DATE '2024-01-16') AS late FROM ev LEFT JOIN since USING (source)""")
+def late_rows(spark, d):
+    """Rows older than the day their source is read from, kept apart."""
+    since = delta.fetch_since(run_log(spark, d), AS_OF).withColumn("since", F.date_add("since", 9000)).withColumn(
+        "source", F.when(F.col("source") == "1-URGENT", F.lit("click")).when(F.col("source") == "2-HIGH", F.lit("view"))
+        .otherwise(F.col("source")))
+    e = event_signals(spark, d).withColumn("event_date", F.to_date("ts"))
+    return delta.tag_late(e, since, dt.date(2024, 1, 16)).select("event_id", "source", "late")
+
+
 @query("last_runs", f"WITH {RUNS} SELECT run_id, source, errors FROM runs ORDER BY run_id DESC LIMIT 20")
 def last_runs(spark, d):
     return delta.last_runs(run_log(spark, d)).select("run_id", "source", "errors")
@@ -390,3 +404,20 @@ def open_tender_bidders(spark, d):
     past = views.outcomes(spark, d).filter(~F.col("is_winner") & F.col("main_cpv").isNotNull()).withColumn(
         "code_prefix", F.substring("main_cpv", 1, 7))
     return quality.open_tender_bidders(open_, past)
+
+
+@query("winner_keys", """
+SELECT DISTINCT l_orderkey AS notice_id, l_suppkey AS company_id FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'""")
+def winner_keys(spark, d):
+    return views.parties(spark, d).filter("is_winner").select("notice_id", "company_id").distinct()
+
+
+@query("review_queue", """
+WITH c AS (SELECT event_id, user_id, event_type, round_even(0.5::DOUBLE + (event_id % 50) / 100.0::DOUBLE, 3) AS confidence FROM events)
+SELECT substr(sha256(event_type || '|' || user_id || ':' || event_id), 1, 32) AS signal_id, 'Firma ' || user_id AS org_name_raw,
+  'confidence unter Schwelle' AS reason FROM c WHERE confidence < 0.70""")
+def review_queue(spark, d):
+    e = event_account_signals(spark, d).withColumn("external_id", F.concat_ws(":", "company_id", F.col("event_id").cast("string")))
+    kinds = {v: k for k, v in TYPES.items()}
+    named = e.withColumn("source", F.create_map(*[F.lit(x) for p in kinds.items() for x in p])[F.col("signal_type")])
+    return ops.review_queue(named).select("signal_id", "org_name_raw", "reason")

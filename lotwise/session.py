@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Building wide rule expressions is several times faster without a stack trace per call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

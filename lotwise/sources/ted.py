@@ -17,26 +17,30 @@ def _get(v: Column, path: str, to: str) -> Column:
     return F.try_variant_get(v, path, to)
 
 
+def _children(v: Column) -> Column:
+    """What a list or a map holds; map entries by language preference, then by key."""
+    entries = F.transform(F.map_entries(_get(v, "$", "map<string,variant>")), lambda e: F.struct(
+        F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, LANGUAGE_KEYS)), e["key"]), F.lit(0).cast("long")),
+                   F.lit(len(LANGUAGE_KEYS) + 1).cast("long")).alias("rank"), e["key"].alias("key"), e["value"].alias("value")))
+    by_preference = F.array_sort(entries, lambda a, b: F.when(
+        (a["rank"] < b["rank"]) | ((a["rank"] == b["rank"]) & (a["key"] < b["key"])), -1).otherwise(1))
+    return (F.when(F.schema_of_variant(v).startswith("OBJECT"), F.transform(by_preference, lambda e: e["value"]))
+            .otherwise(_get(v, "$", "array<variant>")))
+
+
 def all_strings(v: Column, depth: int = MAX_NESTING) -> Column:
-    """Every non-blank text inside a variant, depth first."""
+    """Every non-blank text inside a variant, depth first, preferred languages first."""
     single = F.array_compact(F.array(blank_to_null(_get(v, "$", "string"))))
     if depth == 0:
         return single
-    kind = F.schema_of_variant(v)
-
-    def deeper(items: Column) -> Column:
-        return F.flatten(F.transform(items, lambda x: all_strings(x, depth - 1)))
-
-    return (F.when(v.isNull() | (kind == "VOID"), F.array().cast("array<string>"))
-            .when(kind.startswith("ARRAY"), deeper(_get(v, "$", "array<variant>")))
-            .when(kind.startswith("OBJECT"), deeper(F.map_values(_get(v, "$", "map<string,variant>"))))
-            .otherwise(single))
+    nested = F.schema_of_variant(v).rlike("^(ARRAY|OBJECT)")
+    inside = F.flatten(F.transform(_children(v), lambda x: all_strings(x, depth - 1)))
+    return F.when(nested, inside).otherwise(single)
 
 
 def first_string(v: Column) -> Column:
     """One text of a variant; German before English before anything else."""
-    preferred = [F.get(all_strings(_get(v, f"$.{k}", "variant"), MAX_NESTING - 1), F.lit(0)) for k in LANGUAGE_KEYS]
-    return F.coalesce(*preferred, F.get(all_strings(v), F.lit(0)))
+    return F.get(all_strings(v), F.lit(0))
 
 
 def read_ted(spark: SparkSession, path: str) -> DataFrame:
