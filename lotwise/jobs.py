@@ -79,9 +79,8 @@ def account_list(spark: SparkSession, state: SignalState, market: DataFrame, as_
     tiers = market.select(F.col("company_id").alias("account_id"), "tier")
     rows = accounts.account_signals(active, tiers, as_of)
     write_csv(rows, f"{out}/accounts")
-    tagged = accounts.tag_buckets(active)
-    write_buckets(tagged, f"{out}/buckets")
-    scored = accounts.scored_signals(accounts.with_tier(tagged.filter(F.col("bucket") == accounts.ACCOUNT), tiers), as_of)
+    write_buckets(accounts.tag_buckets(active), f"{out}/buckets")
+    scored = accounts.scored_signals(accounts.account_rows(active, tiers), as_of)
     write_csv(accounts.score_trace(scored), f"{out}/score_trace")
     write_csv(accounts.open_procedures(active, as_of), f"{out}/open_procedures")
     write_csv(accounts.job_check_list(active), f"{out}/job_check")

@@ -10,6 +10,7 @@ from lotwise import rules
 from lotwise.functions.dates import as_of_lit
 from lotwise.functions.scoring import account_score, signal_raw, stacking_bonus, tier_fit
 from lotwise.functions.wording import why_now
+from lotwise.operators.joins import salted_lookup
 
 BUYER_SIDE, JOB_CHECK, ACCOUNT = "buyer_side", "job_check", "account"
 TRACE_SIGNALS = 5
@@ -29,18 +30,21 @@ def it_universe(signals: DataFrame) -> DataFrame:
             .select("account_id").distinct())
 
 
+def _bucket() -> Column:
+    job_only = (F.col("source") == rules.JOB_SOURCE) & F.col("proven").isNull()
+    return (F.when(F.coalesce("is_buyer_side", F.lit(False)), F.lit(BUYER_SIDE))
+            .when(job_only, F.lit(JOB_CHECK)).otherwise(F.lit(ACCOUNT)))
+
+
 def tag_buckets(signals: DataFrame) -> DataFrame:
     """Every active signal with its bucket: account, buyer side, or job ad without proof.
 
-    Nothing is dropped; a sink partitions by ``bucket``.
+    Nothing is dropped; a sink partitions by ``bucket``.  The lookup is salted over the
+    signals, because one account may hold a large share of them.
     """
-    keyed = account_key(signals)
     proven = it_universe(signals).withColumn("proven", F.lit(True))
-    buyer = F.coalesce("is_buyer_side", F.lit(False))
-    job_only = (F.col("source") == rules.JOB_SOURCE) & F.col("proven").isNull()
-    return keyed.join(proven, "account_id", "left").withColumn(
-        "bucket", F.when(buyer, F.lit(BUYER_SIDE)).when(job_only, F.lit(JOB_CHECK)).otherwise(F.lit(ACCOUNT))
-    ).drop("proven")
+    rows = salted_lookup(account_key(signals), proven, "account_id", ["signal_id"])
+    return rows.withColumn("bucket", _bucket()).drop("proven")
 
 
 def proven_job_ads(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -53,14 +57,25 @@ def proven_job_ads(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
 def with_tier(signals: DataFrame, tiers: DataFrame) -> DataFrame:
     """Tier of each account (default C) and whether it is on the market list at all.
 
-    ``tiers`` (account_id, tier) has one row per account; Spark broadcasts it only while
-    its size stays under the broadcast threshold.
+    ``tiers`` (account_id, tier) has one row per account; salted like ``tag_buckets``.
     """
-    return (signals.join(tiers.select("account_id", F.col("tier").alias("_t")), "account_id", "left")
-            .withColumn("in_market_list", F.col("_t").isNotNull())
+    named = tiers.select("account_id", F.col("tier").alias("_t"))
+    return _tiered(salted_lookup(signals, named, "account_id", ["signal_id"]))
+
+
+def _tiered(rows: DataFrame) -> DataFrame:
+    return (rows.withColumn("in_market_list", F.col("_t").isNotNull())
             .withColumn("tier", F.coalesce("_t", F.lit("C"))).drop("_t"))
 
 
+def account_rows(signals: DataFrame, tiers: DataFrame) -> DataFrame:
+    """The signals that count for accounts, with their tier: bucket and tier in one lookup."""
+    proven = it_universe(signals).withColumn("proven", F.lit(True))
+    facts = proven.join(tiers.select("account_id", F.col("tier").alias("_t")), "account_id", "full")
+    rows = salted_lookup(account_key(signals), facts, "account_id", ["signal_id"])
+    return _tiered(rows.filter(_bucket() == ACCOUNT).drop("proven"))
+
+
 def scored_signals(signals: DataFrame, as_of: dt.date) -> DataFrame:
     return signals.withColumn("raw", signal_raw(
         F.col("signal_type"), F.col("event_date"), F.col("match_confidence"), F.col("tier"), as_of_lit(as_of)))
@@ -101,8 +116,7 @@ def account_scores(scored: DataFrame, driver: list[str] | None = None) -> DataFr
 
 def account_signals(signals: DataFrame, tiers: DataFrame, as_of: dt.date) -> DataFrame:
     """The weekly account list, best score first."""
-    ready = tag_buckets(signals).filter(F.col("bucket") == ACCOUNT)
-    scored = scored_signals(with_tier(ready, tiers), as_of)
+    scored = scored_signals(account_rows(signals, tiers), as_of)
     rows = account_scores(scored, DRIVER).select(
         "*", *[F.col(f"driver.{c}").alias(f"d_{c}") for c in DRIVER])
 

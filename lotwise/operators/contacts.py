@@ -77,27 +77,31 @@ def unusable_reason(flag: Column) -> Column:
             .when(flag != "ja", F.lit("nicht in der Longlist")))
 
 
-def choose_contacts(rows: DataFrame, flag: str, account_order: list[Column], lead_cap: int,
+def choose_contacts(rows: DataFrame, listed: DataFrame, flag: str, account_order: list[Column], lead_cap: int,
                     account_cap: int, per_account: int = rules.CONTACTS_PER_ACCOUNT) -> DataFrame:
     """Up to three contacts per account, dealt out round by round over the best accounts.
 
-    Unusable contacts go only when enough others remain.  ``account_order`` ranks an
-    account by its first contact's columns.  Ranking happens on at most ``account_cap``
-    accounts: they are cut with a top-k before anything is numbered.
+    Unusable contacts (no address, company not ``listed``) go only when enough others
+    remain.  ``account_order`` ranks an account by its first contact's columns.  Contacts
+    without an address rank last in their account, so cutting to three before the list is
+    joined changes nothing and keeps an account with very many contacts cheap.  Accounts
+    are cut with a top-k before anything is numbered.
     """
-    marked = rows.withColumn("unusable", unusable_reason(F.col(flag)))
-    enough = marked.agg((F.count_if(F.col("unusable").isNull()) >= lead_cap).alias("x"))
-    pool = marked.withColumn("_enough", enough.scalar()).filter(~F.col("_enough") | F.col("unusable").isNull())
     w = Window.partitionBy("company_id").orderBy(
         F.col("email_status") == NO_ADDRESS,
         F.when(F.col("email_status") == "verifiziert_apollo", 0).otherwise(1),
         persona_rank(F.col("persona")), "name", "email")
-    ranked = pool.withColumn("round", F.row_number().over(w)).filter(F.col("round") <= per_account)
-    best = ranked.filter("round = 1").orderBy(*account_order, "company_id").limit(account_cap)
+    top = rows.withColumn("round", F.row_number().over(w)).filter(F.col("round") <= per_account)
+    ranked = attach_list(top, listed, flag)
+    reachable = rows.groupBy("company_id").agg(F.count_if(F.col("email_status") != NO_ADDRESS).alias("n"))
+    usable = reachable.join(listed.select("company_id"), "company_id").agg(
+        (F.coalesce(F.sum("n"), F.lit(0)) >= lead_cap).alias("x"))
+    pool = (ranked.withColumn("_enough", usable.scalar())
+            .filter(~F.col("_enough") | unusable_reason(F.col(flag)).isNull()).drop("_enough"))
+    best = pool.filter("round = 1").orderBy(*account_order, "company_id").limit(account_cap)
     numbered = best.select("company_id", F.row_number().over(
         Window.orderBy(*account_order, "company_id")).alias("account_rank"))
-    return (ranked.drop("_enough").join(F.broadcast(numbered), "company_id")
-            .orderBy("round", "account_rank").limit(lead_cap))
+    return pool.join(F.broadcast(numbered), "company_id").orderBy("round", "account_rank").limit(lead_cap)
 
 
 def market_contacts(rows: DataFrame, market: DataFrame, lead_cap: int = rules.MARKET_LEADS,
@@ -105,18 +109,16 @@ def market_contacts(rows: DataFrame, market: DataFrame, lead_cap: int = rules.MA
     listed = market.select("company_id", "tier", "tier_status", "proof_type", "proof_url", "proof_date",
                            F.col("participations_total").alias("verfahren_12m"),
                            F.col("buyers_total").alias("auftraggeber_12m"))
-    joined = attach_list(rows, listed, "in_longlist")
     order = [tier_rank(F.col("tier")), F.desc(F.coalesce("verfahren_12m", F.lit(0).cast("long"))), F.col("firma")]
-    return choose_contacts(joined, "in_longlist", order, lead_cap, account_cap)
+    return choose_contacts(rows, listed, "in_longlist", order, lead_cap, account_cap)
 
 
 def signal_contacts(rows: DataFrame, accounts: DataFrame, lead_cap: int = rules.SIGNAL_LEADS,
                     account_cap: int = rules.SIGNAL_ACCOUNTS) -> DataFrame:
     listed = accounts.select("company_id", "tier", "score", "signal_type", "signal_datum", "why_now",
                              "quell_url", "match_confidence")
-    joined = attach_list(rows, listed, "in_longlist_signale")
     order = [F.desc(F.coalesce("score", F.lit(0))), F.col("firma")]
-    return choose_contacts(joined, "in_longlist_signale", order, lead_cap, account_cap)
+    return choose_contacts(rows, listed, "in_longlist_signale", order, lead_cap, account_cap)
 
 
 def audit_pool(market_rows: DataFrame, signal_rows: DataFrame) -> DataFrame:

@@ -265,8 +265,7 @@ def customer_tiers(spark, d):
 
 def scored(spark, d):
     active = ops.active_signals(event_account_signals(spark, d), SCORE_DAY)
-    ready = accounts.tag_buckets(active).filter(F.col("bucket") == accounts.ACCOUNT)
-    return accounts.scored_signals(accounts.with_tier(ready, customer_tiers(spark, d)), SCORE_DAY)
+    return accounts.scored_signals(accounts.account_rows(active, customer_tiers(spark, d)), SCORE_DAY)
 
 
 @query("active_accounts", f"WITH {EVENT_SIGNALS} SELECT event_id, account_id, bucket FROM tagged")

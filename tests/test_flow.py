@@ -309,14 +309,20 @@ def test_merge_prefers_better_sources(spark):
 
 
 def test_round_robin(spark):
-    people = [(a, f"{a}{i}", "verifiziert_apollo" if i == 3 else "mx_ok", rules.PERSONA_USER if i else rules.PERSONA_CHAMPION, "ja", f"m{i}")
-              for a in "abc" for i in range(5)] + [("a", "a9", "keine_adresse", rules.PERSONA_CHAMPION, "ja", "")]
-    df = spark.createDataFrame(people, "company_id string, name string, email_status string, persona string, f string, email string")
-    got = contacts.choose_contacts(df, "f", [F.col("company_id")], lead_cap=7, account_cap=3)
-    order = [(r.round, r.company_id, r.name) for r in got.orderBy("round", "account_rank").collect()]
-    assert order == [(1, "a", "a3"), (1, "b", "b3"), (1, "c", "c3"), (2, "a", "a0"), (2, "b", "b0"), (2, "c", "c0"), (3, "a", "a1")]
-    few = contacts.choose_contacts(df, "f", [F.col("company_id")], lead_cap=99, account_cap=1)
-    assert few.count() == 3
+    people = [(a, f"{a}{i}", "verifiziert_apollo" if i == 3 else "mx_ok", rules.PERSONA_USER if i else rules.PERSONA_CHAMPION, f"m{i}")
+              for a in "abcx" for i in range(5)] + [("d", "d9", "keine_adresse", rules.PERSONA_CHAMPION, "")]
+    df = spark.createDataFrame(people, "company_id string, name string, email_status string, persona string, email string")
+    listed = spark.createDataFrame([(c,) for c in "abcd"], "company_id string")
+
+    def choose(leads, accounts):
+        got = contacts.choose_contacts(df, listed, "f", [F.col("company_id")], leads, accounts)
+        return [(r.round, r.company_id, r.name) for r in got.orderBy("round", "account_rank").collect()]
+
+    assert choose(7, 9) == [(1, "a", "a3"), (1, "b", "b3"), (1, "c", "c3"), (2, "a", "a0"), (2, "b", "b0"), (2, "c", "c0"), (3, "a", "a1")]
+    # Fifteen usable contacts do not fill sixteen places, so the others stay in.
+    everyone = choose(16, 9)
+    assert {c for _, c, _ in everyone} == set("abcdx") and len(everyone) == 13
+    assert choose(15, 1) == [(1, "a", "a3"), (2, "a", "a0"), (3, "a", "a1")]
 
 
 def test_similar_names_equal_brute_force(spark):
