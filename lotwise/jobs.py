@@ -64,6 +64,7 @@ def weekly_run(spark: SparkSession, paths: dict[str, str], state: SignalState, a
         union = reduce(lambda a, b: a.unionByName(b), read)
         tagged = delta.tag_late(union, since, first_day)
         run_id = state.run(tagged.filter("NOT late").drop("late"), at)
+        delta.type_coverage(union).write.mode("overwrite").parquet(f"{state.root}/coverage/run={run_id}")
         tagged.filter("late").drop("late").write.mode("overwrite").parquet(f"{state.root}/late/run={run_id}")
     for name, error in failed.items():
         state.fail(name, at, error)

@@ -99,16 +99,18 @@ def company_supplier_ids(facts: DataFrame) -> DataFrame:
 
 
 def company_counts(procedures: DataFrame) -> DataFrame:
-    """Counts, last dates and strongest proofs per company."""
+    """Counts, last dates and strongest proofs per company.  Rows without a procedure id are
+    evidence but not a countable procedure."""
+    known = F.coalesce("ocid", F.lit("")) != ""
     out = [
-        F.count_if("awarded").alias("awards_total"),
+        F.count_if(known & F.col("awarded")).alias("awards_total"),
         F.sum("award_rows").alias("award_rows"),
         F.max("last_award").alias("last_award_date"),
-        F.count_if(F.col("proof_sole").isNotNull()).alias("sole_bidder_wins"),
-        F.count_if(F.col("proof_lost").isNotNull()).alias("bids_lost"),
-        F.count_if(F.col("proof_open").isNotNull()).alias("bids_outcome_unknown"),
+        F.count_if(known & F.col("proof_sole").isNotNull()).alias("sole_bidder_wins"),
+        F.count_if(known & F.col("proof_lost").isNotNull()).alias("bids_lost"),
+        F.count_if(known & F.col("proof_open").isNotNull()).alias("bids_outcome_unknown"),
         F.max("last_bid").alias("last_bid_date"),
-        F.count(F.lit(1)).alias("participations_total"),
+        F.count_if(known).alias("participations_total"),
         F.min("mixed").alias("mixed_lot_only"),
         F.min("consortium").alias("consortium_only"),
         F.min("first_row")["v"].alias("first_row"),

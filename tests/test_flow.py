@@ -88,6 +88,13 @@ def test_enrichment_aliases(spark, tmp_path):
         ("Alpha GmbH", "alpha", "alpha.de", 375, "clay_ai"), ("Beta AG", "", "", 10000, "")]
 
 
+def test_enrichment_json(spark, tmp_path):
+    f = tmp_path / "e.json"
+    f.write_text(json.dumps({"records": [{"Company Name": "Alpha GmbH", "url": "alpha.de", "headcount": "1.234"}]}))
+    r = enrichment.read_enrichment(spark, str(f)).first()
+    assert (r.legal_name, r.domain, r.employees) == ("Alpha GmbH", "alpha.de", 1234)
+
+
 def test_csv_sink(spark, tmp_path):
     df = spark.createDataFrame([("a", True, ["x", "y"], None)], "id string, ok boolean, codes array<string>, n int")
     sinks.write_csv(df, str(tmp_path / "out"), ["n", "codes", "ok", "id"])

@@ -29,6 +29,27 @@ def test_three_shapes_and_rejects(docs):
     assert [r.path.rsplit("/", 1)[1] for r in src.rejected_documents(docs).collect()] == ["broken.json"]
 
 
+def test_lines_equal_documents(spark, notices, tmp_path):
+    import json
+    (tmp_path / "n.jsonl").write_text("\n".join(json.dumps(r) for r in RELEASES))
+    lines = notices_of_releases(src.read_releases(spark, str(tmp_path / "n.jsonl"), lines=True))
+    cols = ["notice_id", "ocid", "d", "is_it", "reason", "is_award"]
+    assert rows(lines, *cols) == rows(notices, *cols)
+
+
+def test_rows_without_procedure_are_not_counted(spark):
+    n = spark.createDataFrame([("c", "n1", "", "award"), ("c", "n2", "o2", "award"), ("c", "n3", None, "award")],
+                              "company_id string, notice_id string, ocid string, role string")
+    from pyspark.sql import functions as F
+    none = F.lit(None).cast("string")
+    parts = n.select("*", F.lit(AS_OF).alias("d"), none.alias("outcome"), none.alias("legal_name"), none.alias("buyer"),
+                     F.lit(False).alias("consortium"), F.lit(False).alias("mixed_lot"), none.alias("main_cpv"),
+                     F.array().cast("array<string>").alias("cpv"), none.alias("city"), none.alias("postal_code"),
+                     none.alias("supplier_id"), F.lit(0).alias("pos"), F.lit("dovs").alias("source"), none.alias("url"))
+    m = company.market_list(parts, AS_OF).first()
+    assert (m.awards_total, m.award_rows, m.participations_total, m.buyers_total) == (1, 3, 1, 0)
+
+
 def test_scope(notices):
     assert rows(notices.filter("NOT is_it"), "notice_id") == [("n5",)]
 
