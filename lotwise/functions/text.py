@@ -88,9 +88,8 @@ def _legal_tail() -> str:
 def company_key(c: Column) -> Column:
     """Canonical company key: folded, punctuation dropped, legal forms stripped once each, in order."""
     t = F.replace(fold(c), F.lit("&"), F.lit(" und "))
-    t = squeeze(F.regexp_replace(t, r"[.,\"'`()\[\]]", " "))
-    t = F.regexp_replace(t, _legal_tail(), "")
-    return squeeze(F.regexp_replace(t, r"\s*-\s*", "-"))
+    t = strip(F.regexp_replace(t, r"[.,\"'`()\[\]" + SPACE[1:] + "+", " "))
+    return F.regexp_replace(F.regexp_replace(t, _legal_tail(), ""), r"\s*-\s*", "-")
 
 
 def tokens(key: Column) -> Column:
@@ -143,15 +142,18 @@ def _any_of(entries: list[str], before: str = "", after: str = "") -> str:
     return before + "(?:" + "|".join(re.escape(e) for e in entries) + ")" + after
 
 
-def junk_name_reason(name: Column, prefix_mode: str = "token") -> Column:
+def junk_name_reason(name: Column, prefix_mode: str = "token", key: Column | None = None) -> Column:
     """Why an entry is not a company name, or null when it looks like one.
 
     ``prefix_mode='token'`` lets a placeholder prefix end only at a token boundary
-    ("na" no longer hits "nagel"); ``'substring'`` takes any start.
+    ("na" no longer hits "nagel"); ``'substring'`` takes any start.  A known ``key`` of
+    the name is used again unless a role prefix comes off.
     """
-    raw = strip_role_prefix(name)
-    return let(F.struct(raw.alias("raw"), company_key(raw).alias("key")),
-               lambda x: _junk_reason(x["raw"], x["key"], prefix_mode))
+    known = company_key(name) if key is None else key
+    parts = F.struct(strip_role_prefix(name).alias("raw"), known.alias("key"))
+    return let(parts, lambda x: let(
+        F.when(x["raw"] == strip(name), x["key"]).otherwise(company_key(x["raw"])),
+        lambda raw_key: _junk_reason(x["raw"], raw_key, prefix_mode)))
 
 
 def _junk_reason(raw: Column, key: Column, prefix_mode: str) -> Column:
@@ -191,15 +193,19 @@ def exclusion_modes() -> tuple[tuple[str, str, str], ...]:
     return tuple(out)
 
 
-def exclusion_reason(name: Column, mode: str = "listed") -> Column:
+def exclusion_reason(name: Column, mode: str = "listed", key: Column | None = None) -> Column:
     """Why a name is kept off the market list, or null.
 
     ``mode='listed'`` uses the match mode of each entry, ``'substring'`` matches every
-    entry anywhere in the key.
+    entry anywhere in the key.  Pass ``key`` where the company key is already there.
     """
-    junk = junk_name_reason(name, "token" if mode == "listed" else "substring")
-    return F.coalesce(F.concat(F.lit("kein Firmenname: "), junk),
-                      let(company_key(name), lambda key: _listed_reason(key, mode)))
+    prefix_mode = "token" if mode == "listed" else "substring"
+
+    def judged(k: Column) -> Column:
+        junk = junk_name_reason(name, prefix_mode, k)
+        return F.coalesce(F.concat(F.lit("kein Firmenname: "), junk), _listed_reason(k, mode))
+
+    return let(company_key(name) if key is None else key, judged)
 
 
 def _listed_reason(key: Column, mode: str) -> Column:

@@ -95,8 +95,9 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
             F.lit(None).cast("double").alias("value"), m.alias("m")))
     kept = ["notice_id", "ocid", "buyer", "mixed_lot", "main_cpv", "cpv_codes", "it_share",
             F.col("tender.numberOfTenderers").alias("bidder_count")]
+    # The outer form keeps Spark from computing the rows a second time for a size filter.
     rows = in_scope.select(*kept, F.concat(award_rows, bid_rows).alias("rows")).select(
-        "*", F.posexplode("rows").alias("pos", "row"))
+        "*", F.posexplode_outer("rows").alias("pos", "row"))
     return (
         rows.select(
             F.col("row.m.company_id"), "notice_id", "ocid", F.col("row.row_d").alias("d"),
@@ -106,7 +107,8 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
             F.col("row.m.city"), F.col("row.m.postal_code"), F.col("row.m.supplier_id"),
             "bidder_count", "pos",
             F.lit("dovs").alias("source"), notice_url(F.col("notice_id")).alias("url"))
-        .filter((F.col("company_id") != "") & exclusion_reason(F.col("legal_name"), exclusion_mode).isNull())
+        .filter((F.coalesce("company_id", F.lit("")) != "") & exclusion_reason(
+            F.col("legal_name"), exclusion_mode, F.col("company_id")).isNull())
     )
 
 

@@ -148,9 +148,11 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
               {**common, "deadline": deadline, "is_buyer_side": F.lit(True),
                "value": F.col("tender.value.amount")}, deadline=deadline, buyer_side=True)))
 
+    # The outer form keeps Spark from computing the signals a second time for a size filter.
     rows = n.select("notice_id", "buyer", "title", cpv.alias("cpv"),
-                    F.explode(F.array_compact(F.concat(of_awards, of_bidders, of_tender))).alias("s"))
-    signals = rows.select(
+                    F.array_compact(F.concat(of_awards, of_bidders, of_tender)).alias("rows")).select(
+        "notice_id", "buyer", "title", "cpv", F.explode_outer("rows").alias("s"))
+    signals = rows.filter("s IS NOT NULL").select(
         F.lit(DOVS).alias("source"), "s.*", F.coalesce("title", F.lit("")).alias("title"), "notice_id", "buyer", "cpv",
         notice_url(F.col("notice_id")).alias("source_url"))
     return latest_per_key(signals.select(*SIGNAL_COLUMNS), ["source", "external_id"], newest_first())
@@ -180,9 +182,9 @@ def resolve_signals(signals: DataFrame, exclusion_mode: str = "listed") -> DataF
     """Split joint bids, drop excluded names, attach company key and confidence."""
     joint = is_consortium(F.col("org_name_raw"))
     out = (signals.withColumn("consortium", joint)
-           .withColumn("member", F.explode(consortium_members(F.col("org_name_raw"))))
-           .filter(exclusion_reason(F.col("member"), exclusion_mode).isNull())
-           .withColumn("company_id", company_key(F.col("member"))))
+           .withColumn("member", F.explode_outer(consortium_members(F.col("org_name_raw"))))
+           .withColumn("company_id", company_key(F.col("member")))
+           .filter(exclusion_reason(F.col("member"), exclusion_mode, F.col("company_id")).isNull()))
     confidence = resolution_confidence(
         F.col("source"), F.lit(1.0), F.coalesce("org_place", F.lit("")) != "",
         F.coalesce("supplier_id", F.lit("")) != "", F.lit(False), F.col("consortium"))
