@@ -1,4 +1,4 @@
 """All registered queries of the operators."""
 
-from lotwise.llm import mixing, sharding  # noqa: F401
+from lotwise.llm import licenses, mixing, sharding  # noqa: F401
 from lotwise.llm.base import ORACLES, QUERIES  # noqa: F401
