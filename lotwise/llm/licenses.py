@@ -1,8 +1,7 @@
 """License scan by ordered signature rules, in DataFrame operations only.
 
-A text becomes lower-case words joined by single blanks.  One keyword expression decides
-which texts are looked at at all; of the rules only those whose keyword stands in the text
-are tried.  Every place a rule matches is a detection (rule, label, first word, end word).
+A text becomes lower-case words joined by single blanks.  One pass finds the
+keywords in a text; of the rules only those whose keyword was found are tried.  Every place a rule matches is a detection (rule, label, first word, end word).
 Detections are swept by first word, the longer first and the higher priority first among
 equal ones: one that lies inside an earlier one is dropped.  Detections of rules that name
 no particular license count only where nothing particular is left.  Everything happens
@@ -37,7 +36,7 @@ VERSIONED = (
     ("gpl", "gnu general public", r"gnu general public licen[sc]e", ("1 0", "2 0", "3 0", "1", "2", "3")),
     ("lgpl", "lesser general public", r"(?:gnu )?lesser general public licen[sc]e", ("2 1", "3 0", "3")),
     ("lgpl", "library general public", r"(?:gnu )?library general public licen[sc]e", ("2 0", "2")),
-    ("agpl", "affero general public", r"(?:gnu )?affero general public licen[sc]e", ("1 0", "3 0", "3")),
+    ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e", ("1 0", "3 0", "3")),
     ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e", ("1 1", "1 2", "1 3")),
     ("apache", "apache", r"apache(?: software)? licen[sc]e", ("1 0", "1 1", "2 0", "2")),
     ("mpl", "mozilla", r"mozilla public licen[sc]e", ("1 0", "1 1", "2 0")),
@@ -105,7 +104,7 @@ SINGLE = (
     (1, 0.95, "gpl", "free software", r"is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e"),
     (1, 0.95, "lgpl", "free software", r"is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[sc]e"),
     (1, 0.95, "agpl", "free software", r"is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e"),
-    (1, 0.95, "apache", "apache license", r"licen[sc]ed under the apache licen[sc]e version 2 0 the licen[sc]e"),
+    (1, 0.95, "apache", "apache", r"licen[sc]ed under the apache licen[sc]e version 2 0 the licen[sc]e"),
     (1, 0.95, "mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public licen[sc]e"),
     (1, 0.95, "unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     (1, 0.95, "cc0", "dedicated", r"has dedicated the work to the public domain"),
@@ -126,7 +125,7 @@ SINGLE = (
     (2, 0.85, "unlicense", "unlicense", r"(?:the )?unlicense"), (2, 0.85, "wtfpl", "wtfpl", r"wtfpl"), (2, 0.85, "beerware", "beerware", r"beerware licen[sc]e"),
     (2, 0.85, "gpl", "general public", r"(?:gnu )?general public licen[sc]e"), (2, 0.85, "lgpl", "lesser general public", r"(?:gnu )?lesser general public licen[sc]e"),
     (2, 0.85, "agpl", "affero", r"(?:gnu )?affero general public licen[sc]e"), (2, 0.85, "apache", "apache", r"apache(?: software)? licen[sc]e"),
-    (2, 0.85, "cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"), (2, 0.85, "cc0", "creative commons zero", r"creative commons zero"),
+    (2, 0.85, "cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"), (2, 0.85, "cc0", "creative commons", r"creative commons zero"),
     (2, 0.8, "cc", "creative commons", r"creative commons(?: public)? licen[sc]e"),
     (2, 0.85, "hpnd", "historical permission", r"historical permission notice and disclaimer"), (2, 0.85, "vim", "vim licen", r"vim licen[sc]e"),
     (2, 0.85, "ruby", "ruby licen", r"ruby licen[sc]e"), (2, 0.85, "postgresql", "postgresql", r"postgresql licen[sc]e"), (2, 0.85, "unicode", "unicode licen", r"unicode licen[sc]e"),
@@ -145,12 +144,12 @@ SINGLE = (
 @cache
 def rules() -> tuple[tuple[int, float, str, str, str], ...]:
     """All signatures in order: base phrases, then by priority as written."""
-    out = [(2, 0.85, label, phrase, phrase) for phrase, label in BASE] + list(SINGLE)
+    out = [(2, 0.85, label, keyword, phrase) for (phrase, label), keyword in zip(BASE, ("mit licen", "apache", "general public"))] + list(SINGLE)
     for label, keyword, name, versions in VERSIONED:
         out.append((2, 0.85, label, keyword, name))
         out += [(1, 0.9, f"{label}-{v.replace(' ', '.')}", keyword, rf"{name}{V} {v}") for v in versions]
     for label, short, versions, endings in IDENTIFIERS:
-        out += [(3, 0.75, f"{label}-{v.replace(' ', '.')}{e.replace(' ', '-')}", short, rf"{short}(?: v)? ?{v}{e}") for v in versions for e in endings]
+        out += [(3, 0.75, f"{label}-{v.replace(' ', '.')}{e.replace(' ', '-')}", short if len(short) > 4 else f"{short} ", rf"{short}(?: v)? {v}{e}") for v in versions for e in endings]
     for letters, names, versions in COMMONS:
         label = "cc-" + letters.replace(" ", "-")
         out += [(3, 0.75, label, "cc by", rf"cc {letters}"), (2, 0.85, label, "creative commons", rf"creative commons {names}")]
@@ -161,11 +160,16 @@ def rules() -> tuple[tuple[int, float, str, str, str], ...]:
 
 
 def _gate(keywords: list[str]) -> str:
-    """One expression for all keywords at the start of a word, branching on the first letter."""
+    """One expression that finds the keyword, if any, at the start of each word, branching on the first letter.
+
+    No keyword begins another one, so every word start has at most one and none hides another.
+    """
+    if any(a != b and b.startswith(a) for a in keywords for b in keywords):
+        raise ValueError("a keyword begins another one")
     by: dict[str, list[str]] = {}
     for k in keywords:
         by.setdefault(k[0], []).append(k[1:])
-    return " (?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in sorted(by.items())) + ")"
+    return " (?=(" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in sorted(by.items())) + "))"
 
 
 def words_text(text: Column) -> Column:
@@ -198,14 +202,16 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                                              F.lit(label).alias("label"), F.lit(x).alias("pattern")))
     signatures = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*r).alias("rules")) for k, r in by.items()])
     base = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(phrase).alias("pattern")) for phrase, label in BASE])
-    out = docs.drop("n_words", "detections", "base", "labels", "score", "_norm", "_rules", "_bases", "_all", "_kept")
+    out = docs.drop("n_words", "detections", "base", "labels", "score", "_norm", "_hits", "_rules", "_bases", "_all", "_kept")
     out = out.withColumn("_norm", words_text(F.col(text)))
     out = out.withColumn("n_words", F.when(F.col("_norm") == "  ", F.lit(0)).otherwise(F.expr(_blanks("_norm")) - 1).cast("long"))
-    gated = F.col("_norm").rlike(_gate(list(by)))
-    out = out.withColumn("_rules", F.when(gated, signatures)).withColumn("_bases", F.when(gated, base))
+    out = out.withColumn("_hits", F.array_distinct(F.regexp_extract_all("_norm", F.lit(_gate(list(by))), F.lit(1))))
+    gated = F.size("_hits") > 0
+    out = out.withColumn("_rules", F.when(gated, F.filter(signatures, lambda k: F.array_contains(F.col("_hits"), k["keyword"]))))
+    out = out.withColumn("_bases", F.when(gated, base))
     out = out.withColumn("base", F.expr(f"flatten(transform(_bases, b -> transform({_places('b.pattern')}, x -> struct(x.s AS s, x.e AS e, b.label AS label))))"))
     out = out.withColumn("_all", F.expr(f"""
-        array_sort(flatten(transform(flatten(transform(filter(_rules, k -> instr(_norm, concat(' ', k.keyword)) > 0), k -> k.rules)),
+        array_sort(flatten(transform(flatten(transform(_rules, k -> k.rules)),
           r -> transform({_places('r.pattern')}, x -> struct(x.s AS s, -x.e AS back, r.priority AS priority, r.rule AS rule, r.label AS label, r.weight AS weight)))))"""))
     out = out.withColumn("_kept", F.expr("""
         aggregate(_all, struct(-1 AS till, slice(_all, 1, 0) AS kept),
@@ -214,7 +220,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("detections", F.expr("coalesce(transform(_kept, d -> struct(d.rule, d.label, d.weight, d.s AS first_word, -d.back AS end_word)), array())"))
     out = out.withColumn("labels", F.expr("array_sort(array_union(transform(detections, d -> d.label), transform(coalesce(base, array()), b -> b.label)))"))
     out = out.withColumn("score", F.expr("1.0D - aggregate(detections, 1.0D, (a, d) -> a * (1.0D - CAST(d.weight AS double)))"))
-    return out.drop("_norm", "_rules", "_bases", "_all", "_kept").withColumn("base", F.expr("coalesce(base, array())"))
+    return out.drop("_norm", "_hits", "_rules", "_bases", "_all", "_kept").withColumn("base", F.expr("coalesce(base, array())"))
 
 
 @query("op8_licenses")
