@@ -181,8 +181,8 @@ def _runs(ids: np.ndarray, starts: np.ndarray, phrases: Phrases) -> np.ndarray:
     found = np.searchsorted(phrases.pairs, code)
     joined[both] = phrases.pairs[np.minimum(found, len(phrases.pairs) - 1)] == code if len(phrases.pairs) else False
     joined[starts] = False
-    edge = np.flatnonzero(~joined)  # run boundaries; includes 0 and n
-    edge = np.unique(np.concatenate([[0], edge, [n]]))
+    joined[0] = False
+    edge = np.flatnonzero(~joined)  # run boundaries, 0 and n among them
     long = np.diff(edge) >= phrases.lengths.min()
     return np.repeat(long, np.diff(edge)) & (ids > 0)
 
