@@ -139,6 +139,26 @@ def taken(docs: DataFrame, **how) -> DataFrame:
             .select("source", "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken")))
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """docs in the proportions of the mix, all columns unchanged: each row as often as the mix takes it, to the nearest whole.
+
+    Of rows that share source, id and size the first by text get the larger numbers.
+    """
+    key = ["source", "doc_id", "_size"]
+    rows = docs.drop("_size", "_nth", "_s", "_d", "_z").withColumn("_size", words_of(F.col("text")))
+    names = [c for c in rows.columns if c != "_size"]
+    took = taken(rows.select("source", "doc_id", F.col("_size").alias("size")), **how).where("taken > 0")
+    times = took.groupBy("source", "doc_id", "size", F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("source", "doc_id", "size").orderBy(F.desc("times")).rowsBetween(Window.unboundedPreceding, 0)
+    plan = (times.withColumn("upto", F.sum("n").over(upto)).groupBy("source", "doc_id", "size")
+            .agg(F.sort_array(F.collect_list(F.struct("upto", "times"))).alias("plan"))
+            .select(F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), "plan"))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("text")))
+    same = F.col("source").eqNullSafe(F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z"))
+    return (rows.join(plan, same).withColumn("_times", F.expr("filter(plan, x -> _nth <= x.upto)[0].times")).where("_times > 0")
+            .withColumn("_times", F.explode(F.expr("sequence(1, _times)"))).select(*[F.col(f"`{c}`") for c in names]))
+
+
 @query("op4_mixing", """
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
