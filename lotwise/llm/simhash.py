@@ -113,17 +113,17 @@ def labelled(prints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs, one row of each group: that of the smallest id (of equal ones any one, always the same in a written table)."""
-    names = [c for c in docs.columns if c not in ("fingerprint", "_file", "_row")]
+    names = [c for c in docs.columns if c not in ("fingerprint", "_file", "_at")]
     full = docs.select(*names, F.col("text").alias("_text"))
     types = ", ".join(f"`{c}` {t}" for c, t in docs.select(*names).dtypes)
     kept = landed(full.mapInArrow(_prints, types + ", fingerprint long"), "documents")
-    place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at")]
     rows = kept.select("fingerprint", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *place).alias("who"))
     first = rows.groupBy("fingerprint").agg(F.min("who").alias("who"))
     linked = groups(kept)
     chosen = (first.join(linked, F.col("fingerprint") == F.col("fp"), "left")
-              .groupBy(F.coalesce("root", "fingerprint")).agg(F.min("who").alias("who")).select("who._file", "who._row"))
-    return kept.select(*names, *place).join(chosen, ["_file", "_row"], "left_semi").select(*names)
+              .groupBy(F.coalesce("root", "fingerprint")).agg(F.min("who").alias("who")).select("who._file", "who._at"))
+    return kept.select(*names, *place).join(chosen, ["_file", "_at"], "left_semi").select(*names)
 
 
 @query("op3_simhash")

@@ -6,8 +6,7 @@ id; every window of that length inside it does too.  The steps:
 1. Seeds.  Words are hashed, every run of ``SEED`` words gets a hash, and of any
    ``WINDOW - SEED + 1`` consecutive ones the smallest is an anchor (winnowing).  A window's
    anchor depends on its words alone, so documents that share a window share an anchor.
-2. Join.  Anchors are counted over all documents; those of two documents or more are joined
-   back to the documents that hold them.  All other text takes no further part.
+2. Join.  Anchors that two different texts or more hold are joined back to those texts.  All other text takes no further part.
 3. Extension.  Each shared anchor is extended both ways over all windows that hold it; the
    windows, named by two 64-bit hashes, meet by an aggregate that keeps the smallest id.
 4. Maximal repeats.  Windows of a document that started in a smaller one are merged into
@@ -16,8 +15,8 @@ id; every window of that length inside it does too.  The steps:
 Nothing is compared pairwise: a passage in a third of all documents costs one row per
 document and window, combined before the shuffle.  Exact copies are settled by a digest: only
 the smallest id of a text takes part in step 3, its copies lose every word (if they have a
-window at all).  A bitmap of ``BITS`` bits (fixed size) keeps documents without any shared
-anchor out of the shuffles; if it is full they merely take part.
+window at all).  A bitmap of ``BITS`` bits (fixed size) keeps documents without a copy or a
+shared anchor out of the shuffles; if it is full they merely take part.
 
 Defined results: a null text has no words; a document without an id neither loses words nor
 makes others lose them; rows of one id don't affect each other; repeated rows give the same
@@ -27,7 +26,7 @@ result each; an empty table gives no rows; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,99 +38,113 @@ from lotwise.llm.decontamination import _pieces
 
 WINDOW, SEED = 13, 5
 BITS = 1 << 22
-CACHE = 400_000  # words whose hash a task remembers
+BLOCK = 1 << 20  # bytes hashed at a time
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd; any would do
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number modulo 2**64, and of its inverse."""
+    base = 0x9E3779B97F4A7C15
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        p = np.full(n, np.uint64(x))
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=np.uint64))
+    return tuple(out)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(31))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, one after the other, and each text's number of words.
+
+    A word's hash is a polynomial of its bytes, read off running sums over a block.
+    """
+    whole = np.frombuffer(b" ".join(t or b"" for t in texts) + b" ", dtype=np.uint8)
+    blank = BLANK[whole]
+    blanks = np.flatnonzero(blank)
+    starts, hashes, at = [], [], 0
+    while at < len(whole):  # blocks that end after a blank
+        end = int(blanks[min(np.searchsorted(blanks, at + BLOCK), len(blanks) - 1)]) + 1
+        turn = np.flatnonzero(blank[at + 1:end] != blank[at:end - 1]) + 1
+        if not blank[at]:
+            turn = np.concatenate([[0], turn])
+        begin, after = turn[::2], turn[1::2]
+        powers, inverse = _powers(1 << max(10, (end - at).bit_length()))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((whole[at:end].astype(np.uint64) + np.uint64(1)) * powers[:end - at], dtype=np.uint64)])
+        hashes.append(_mixed((sums[after] - sums[begin[:len(after)]]) * inverse[begin[:len(after)]]))
+        starts.append(begin[:len(after)] + at)
+        at = end
+    starts, hashes = np.concatenate(starts), np.concatenate(hashes)
+    edges = np.cumsum([0] + [len(t or b"") + 1 for t in texts])
+    return hashes, np.diff(np.searchsorted(starts, edges))
 
 
 def _grams(hashes: np.ndarray, n: int, multiplier: int) -> np.ndarray:
     """A 64-bit hash of every run of n words, mixed so that its order is random."""
-    count = len(hashes) - n + 1
-    out = np.zeros(max(count, 0), dtype=np.uint64)
-    m = np.uint64(multiplier)
-    for i in range(n if count > 0 else 0):
-        out = out * m + hashes[i:i + count]
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    return out ^ (out >> np.uint64(32))
-
-
-def _anchors(seeds: np.ndarray, width: int = WINDOW - SEED + 1) -> np.ndarray:
-    """Positions of the anchors: the leftmost smallest seed of every ``width`` consecutive ones."""
-    if len(seeds) < width:
-        return np.empty(0, dtype=np.int64)
-    least, at = seeds[:len(seeds) - width + 1].copy(), np.arange(len(seeds) - width + 1)
+    count = max(len(hashes) - n + 1, 0)
+    out = np.zeros(count, dtype=np.uint64)
+    for i in range(n if count else 0):
+        out = out * np.uint64(multiplier) + hashes[i:i + count]
+    return _mixed(out)
+
+
+def _anchors(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all seeds, and positions of the anchors: the leftmost smallest seed of every window inside one text."""
+    seeds, width = _grams(hashes, SEED, MULTIPLIERS[0]), WINDOW - SEED + 1
+    n = len(seeds) - width + 1
+    if n <= 0:
+        return seeds, np.empty(0, dtype=np.int64)
+    least, offset = seeds[:n].copy(), np.zeros(n, dtype=np.int64)
     for i in range(1, width):
-        other = seeds[i:i + len(least)]
-        less = other < least
-        least = np.where(less, other, least)
-        at = np.where(less, np.arange(i, i + len(least)), at)
-    return at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
-
-
-def _hashed(texts: list[bytes | None], cache: WordHashes) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    for t in texts:
-        words = (t or b"").split()
-        yield words, np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+        less = seeds[i:i + n] < least
+        least[less] = seeds[i:i + n][less]
+        offset[less] = i
+    left = np.repeat(np.cumsum(counts), counts)[:n] - np.arange(n)  # words from a start to the end of its text
+    at = (offset + np.arange(n))[left >= WINDOW]
+    return seeds, at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (seed, doc_id), each seed once per row; texts of a batch are hashed as one sequence."""
-    cache = WordHashes()
+    """(text_key, text) -> (seed, text_key)."""
     for b in batches:
-        texts, ids = b.column(1).cast(pa.binary()).to_pylist(), b.column(0).to_numpy(zero_copy_only=False)
-        for part in _pieces(texts):
-            words, hashes = zip(*_hashed(texts[part], cache))
-            counts = np.fromiter(map(len, words), np.int64, len(words))
-            long = counts >= WINDOW
-            ends = np.cumsum(counts)
-            # a window that runs over the end of its text is no window: leave out the anchors only such ones have
-            seeds = _grams(np.concatenate(hashes), SEED, MULTIPLIERS[0])
-            found, owner = [], []
-            for i in np.flatnonzero(long):
-                start, end = ends[i] - counts[i], ends[i]
-                own = seeds[start:end - SEED + 1]
-                at = np.unique(own[_anchors(own)])
-                found.append(at)
-                owner.append(np.full(len(at), ids[part][i]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owner), pa.int64())],
-                                                 names=["seed", "doc_id"])
+        texts, keys = b.column(1).cast(pa.binary()).to_pylist(), b.column(0).to_numpy()
+        for part in _pieces(texts, 4 * BLOCK):
+            hashes, counts = word_hashes(texts[part])
+            seeds, at = _anchors(hashes, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(seeds[at].view(np.int64)), pa.array(np.repeat(keys[part], counts)[at])], names=["seed", "text_key"])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, key, text, seeds) -> (w1, w2, doc_id, key, start): the windows around shared anchors."""
-    cache = WordHashes()
+    """(doc_id, text_key, text, seeds) -> (w1, w2, doc_id, text_key, start): the windows around shared anchors."""
     for b in batches:
-        ids, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
-        texts, seeds = b.column(2).cast(pa.binary()).to_pylist(), b.column(3)
-        for i, (_, hashes) in enumerate(_hashed(texts, cache)):
-            shared = np.sort(seeds[i].values.to_numpy(zero_copy_only=False).view(np.uint64))
-            grams = _grams(hashes, SEED, MULTIPLIERS[0])
-            at = _anchors(grams)
-            if not len(at) or not len(shared):
-                continue
-            near = np.minimum(np.searchsorted(shared, grams[at]), len(shared) - 1)
-            at = at[shared[near] == grams[at]]
-            last = len(hashes) - WINDOW
+        ids, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
+        texts, lists = b.column(2).cast(pa.binary()).to_pylist(), b.column(3)
+        for part in _pieces(texts, 4 * BLOCK):
+            hashes, counts = word_hashes(texts[part])
+            grams, at = _anchors(hashes, counts)
+            text = np.repeat(np.arange(len(counts)), counts)
+            shared = lists.slice(part.start, part.stop - part.start)
+            salt = _mixed(np.arange(len(counts), dtype=np.uint64) + np.uint64(1))
+            known = shared.flatten().to_numpy().view(np.uint64) ^ np.repeat(salt, np.asarray(shared.value_lengths()))
+            at = at[np.isin(grams[at] ^ salt[text[at]], known)]
+            first = np.cumsum(counts) - counts
+            last = (first + counts - WINDOW)[text[at]]
             cover = np.zeros(len(hashes) + 1, dtype=np.int64)
-            np.add.at(cover, np.maximum(at - (WINDOW - SEED), 0), 1)
+            np.add.at(cover, np.maximum(at - (WINDOW - SEED), first[text[at]]), 1)
             np.add.at(cover, np.minimum(at, last) + 1, -1)
-            start = np.flatnonzero(np.cumsum(cover[:last + 1]) > 0)
-            if len(start):
-                one, two = (_grams(hashes, WINDOW, m)[start].view(np.int64) for m in MULTIPLIERS)
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(np.full(len(start), ids[i]), pa.int64()),
-                                                  pa.array([keys[i]] * len(start), pa.binary()), pa.array(start.astype(np.int32))],
-                                                 names=["w1", "w2", "doc_id", "key", "start"])
+            start = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+            one, two = (_grams(hashes, WINDOW, m)[start].view(np.int64) for m in MULTIPLIERS)
+            own = text[start]
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(ids[part][own]), pa.array(keys[part][own]),
+                                              pa.array((start - first[own]).astype(np.int32))], names=["w1", "w2", "doc_id", "text_key", "start"])
 
 
 def spans_of(starts: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -143,25 +156,19 @@ def spans_of(starts: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
     return [(int(starts[a]), int(starts[z]) + window) for a, z in zip(begin, end)]
 
 
-def _in_bitmap(ids, bitmap: np.ndarray) -> np.ndarray:
-    import xxhash
-
-    where = np.fromiter((xxhash.xxh64_intdigest(str(i)) % BITS if i is not None else -1 for i in ids), np.int64, len(ids))
-    return (where >= 0) & (bitmap[where >> 3] >> (where & 7) & 1).astype(bool)
-
-
 def _settle(bitmap, inside: bool):
-    """The rows in the bitmap with their digest; or the others, which lose nothing, with their result."""
+    """(doc_id, text_key, text): the rows in the bitmap with their digest; or the others, which lose nothing, with their result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
-            chosen = _in_bitmap(b.column(0).to_pylist(), bitmap.value)
+            where = b.column(1).to_numpy() & (BITS - 1)
+            chosen = (bitmap.value[where >> 3] >> (where & 7) & 1).astype(bool)
             b = b.filter(pa.array(chosen if inside else ~chosen))
-            texts = b.column(1).cast(pa.binary()).to_pylist()
+            texts = b.column(2).cast(pa.binary()).to_pylist()
             if inside:
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(t or b"") for t in texts], pa.binary()), b.column(1)],
-                                                 names=["doc_id", "key", "text"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([xxhash.xxh3_128_digest(t or b"") for t in texts], pa.binary())],
+                                                 names=["doc_id", "text_key", "text", "digest"])
                 continue
             for part in _pieces(texts):
                 words = [(t or b"").split() for t in texts[part]]
@@ -195,35 +202,31 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_words", "spans", "kept"])
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
-
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh64_intdigest(str(i)) % BITS for i in b.column(0).to_pylist()], pa.int32())], names=["bit"])
-
-
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, spans (removed, from_word to to_word), kept (the words left, blank-joined)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seeds = docs.where("doc_id IS NOT NULL").mapInArrow(_seed_rows, "seed long, doc_id long")
-    shared = seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
-    holders = landed(seeds.join(shared, "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "seeds")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    named = docs.where("doc_id IS NOT NULL")
+    seeds = named.select("text_key", "text").mapInArrow(_seed_rows, "seed long, text_key long")
+    shared = seeds.groupBy("seed").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo < hi").select("seed")
+    holders = landed(seeds.join(shared, "seed").groupBy("text_key").agg(F.collect_set("seed").alias("seeds")), "seeds")
+    copied = named.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1")
+    bit = (F.col("text_key").bitwiseAND(F.lit(BITS - 1))).cast("int").alias("bit")
+    bits = holders.select(bit).unionByName(copied.select(bit)).distinct().toArrow()["bit"].to_numpy()  # BITS values at most
     bitmap = np.zeros(BITS // 8, dtype=np.uint8)
-    bits = holders.select("doc_id").mapInArrow(_bits, "bit int").distinct().toArrow()["bit"].to_numpy()  # BITS values at most
     np.bitwise_or.at(bitmap, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
     bitmap = spark.sparkContext.broadcast(bitmap)
     apart = docs.mapInArrow(_settle(bitmap, False), RESULT)
-    rows = landed(docs.mapInArrow(_settle(bitmap, True), "doc_id long, key binary, text string"), "sharing")
-    first = rows.groupBy("key").agg(F.min("doc_id").alias("first"))
-    own = rows.join(first, "key").where("doc_id = first").dropDuplicates(["doc_id", "key"])
-    windows = landed(own.select("doc_id", "key", "text").join(holders, "doc_id").select("doc_id", "key", "text", "seeds")
-                     .mapInArrow(_window_rows, "w1 long, w2 long, doc_id long, key binary, start int"), "windows")
+    rows = landed(docs.mapInArrow(_settle(bitmap, True), "doc_id long, text_key long, text string, digest binary"), "sharing")
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    own = rows.join(first, "digest").where("doc_id = first").dropDuplicates(["doc_id", "digest"])
+    windows = landed(own.select("doc_id", "text_key", "text").join(holders, "text_key").select("doc_id", "text_key", "text", "seeds")
+                     .mapInArrow(_window_rows, "w1 long, w2 long, doc_id long, text_key long, start int"), "windows")
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
     removed = (windows.join(least, ["w1", "w2"]).where("doc_id > least")
-               .groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts")))
-    marked = (rows.join(first, "key").withColumn("copy", F.col("doc_id") > F.col("first"))
-              .join(removed, ["doc_id", "key"], "left").select("doc_id", "text", "copy", "starts"))
+               .groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("starts")))
+    marked = (rows.join(first, "digest").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
+              .join(removed, ["doc_id", "text_key"], "left").select("doc_id", "text", "copy", "starts"))
     return apart.unionByName(marked.mapInArrow(_cut, RESULT))
 
 
