@@ -39,14 +39,17 @@ def verdict(main: Column, codes: Column, prefixes: list[str] = rules.IT_CODE_PRE
     """
     unique = let(F.array_sort(F.array_distinct(codes)), lambda u: F.struct(
         F.size(u).alias("n"), F.size(F.filter(u, lambda c: has_prefix(c, prefixes))).alias("n_it"),
-        F.slice(u, 1, rules.CODES_KEPT).alias("kept")))
+        u.alias("codes")))
     return let(F.struct(main.alias("main"), unique.alias("u")), lambda x: verdict_from_counts(
-        x["main"], x["u"]["n"], x["u"]["n_it"], x["u"]["kept"], prefixes))
+        x["main"], x["u"]["n"], x["u"]["n_it"], x["u"]["codes"], prefixes))
 
 
-def verdict_from_counts(main: Column, n: Column, n_it: Column, kept: Column,
+def verdict_from_counts(main: Column, n: Column, n_it: Column, codes: Column,
                         prefixes: list[str] = rules.IT_CODE_PREFIXES) -> Column:
-    """The same verdict when the distinct codes have already been counted."""
+    """The same verdict when the distinct codes have already been counted.
+
+    ``cpv_codes`` is for display, ``all_codes`` for whatever is counted or joined later.
+    """
     share = F.when(n > 0, n_it / n).otherwise(F.lit(0.0))
     main_ok = has_prefix(main, prefixes)
     share_ok = (n > 0) & (share >= rules.MIN_IT_SHARE)
@@ -67,6 +70,7 @@ def verdict_from_counts(main: Column, n: Column, n_it: Column, kept: Column,
         main.alias("main_cpv"),
         F.bround(share, 3).alias("it_share"),
         n.alias("cpv_count"),
-        kept.alias("cpv_codes"),
+        F.slice(codes, 1, rules.CODES_KEPT).alias("cpv_codes"),
+        codes.alias("all_codes"),
         ((n >= rules.MIXED_LOT_MIN_CODES) & (share < 0.5)).alias("mixed_lot"),
     )

@@ -33,34 +33,38 @@ def blank_to_null(c: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _accents() -> tuple[str, str]:
-    """Latin letters whose compatibility decomposition is one base letter plus marks.
-
-    Combining marks themselves come last without a counterpart, which makes
-    ``translate`` delete them.
+def _compatible() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility form differs: those with one base character, the marks
+    that go (last, without a counterpart, which makes ``translate`` delete them), and those with
+    several.  Computed from the Unicode tables: the whole basic plane but Hangul syllables,
+    whose parts carry no accent; several characters only for European letters and ligatures.
     """
-    src, dst = [], []
-    for cp in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
-        base = "".join(ch for ch in unicodedata.normalize("NFKD", chr(cp))
-                       if not unicodedata.combining(ch))
-        if len(base) == 1 and base != chr(cp):
-            src.append(chr(cp))
+    src, dst, marks, several = [], [], [], {}
+    european = {*range(0x00C0, 0x0600), *range(0x1E00, 0x2000), *range(0x2100, 0x2190), *range(0xFB00, 0xFB18)}
+    for cp in [*range(0x00A0, 0xAC00), *range(0xF900, 0x10000)]:
+        char = chr(cp)
+        base = "".join(ch for ch in unicodedata.normalize("NFKD", char) if not unicodedata.combining(ch))
+        if not base:
+            marks.append(char)
+        elif len(base) == 1 and base != char:
+            src.append(char)
             dst.append(base)
-    marks = "".join(chr(cp) for cp in range(0x0300, 0x0370) if unicodedata.combining(chr(cp)))
-    return "".join(src) + marks, "".join(dst)
+        elif len(base) > 1 and cp in european and base.replace("·", "").isalpha():
+            several[char] = base
+    return "".join(src + marks), "".join(dst), several
 
 
 def fold(c: Column) -> Column:
-    """Lower case, German umlauts spelled out, other Latin accents removed."""
+    """Lower case, German umlauts spelled out, other accents and compatibility forms resolved."""
     t = strip(F.lower(c))
     for umlaut, plain in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss")):
         t = F.replace(t, F.lit(umlaut), F.lit(plain))
-    src, dst = _accents()
-    return F.translate(t, src, dst)
-
-
-def squeeze(c: Column) -> Column:
-    return strip(F.regexp_replace(c, SPACE + "+", " "))
+    src, dst, several = _compatible()
+    t = F.translate(t, src, dst)
+    forms = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in several.items()])
+    rare = let(t, lambda x: F.when(x.rlike("[" + "".join(several) + "]"), F.aggregate(
+        forms, x, lambda acc, f: F.replace(acc, f["k"], f["v"]))).otherwise(x))
+    return rare
 
 
 @lru_cache(maxsize=None)
@@ -280,23 +284,17 @@ def mention_windows(text: Column, pattern: str, reach: int = ROLE_WINDOW) -> Col
     """One struct(word, window) per match of ``pattern``: ``reach`` characters before the
     start of the match and ``reach`` from its start on.
 
-    What follows a match is captured while matching; what precedes it is carried along from
-    piece to piece, never more than ``reach`` characters.  A text of any length is read
-    once per side.  ``pattern`` must not contain capturing groups.
+    What follows is captured by looking ahead, what precedes by looking behind (a full reach,
+    or all there is since the start of the text), so a text is read in linear time.
+    ``pattern`` must not contain capturing groups.
     """
-    after = F.regexp_extract_all(text, F.lit(rf"(?={pattern})(?=((?s:.{{0,{reach}}}))){pattern}"), F.lit(1))
-    words = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.arrays_zip(words.alias("word"), F.split(text, pattern, -1).alias("piece"))
-    carried = F.aggregate(
-        steps, F.struct(F.lit("").alias("near"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: let(F.right(F.concat(acc["near"], x["piece"]), F.lit(reach)), lambda near: F.struct(
-            F.right(F.concat(near, F.coalesce(x["word"], F.lit(""))), F.lit(reach)).alias("near"),
-            F.concat(acc["out"], F.array(near)).alias("out"))))["out"]
-    # The last piece follows the last match and belongs to no window.
-    found = F.arrays_zip(words.alias("word"), F.slice(carried, F.lit(1), F.size(words)).alias("before"),
-                         after.alias("after"))
-    return F.transform(found, lambda m: F.struct(
-        m["word"].alias("word"), F.concat(m["before"], m["after"]).alias("window")))
+    def side(looking: str, group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(looking), F.lit(group))
+    behind = rf"(?={pattern})(?:(?<=((?s:.{{{reach}}})))|(?<=\A((?s:.{{0,{reach - 1}}})))){pattern}"
+    before = F.zip_with(side(behind, 1), side(behind, 2), lambda near, all_: F.concat(near, all_))
+    after = side(rf"(?={pattern})(?=((?s:.{{0,{reach}}}))){pattern}", 1)
+    words = side(pattern, 0)
+    return F.zip_with(words, F.zip_with(before, after, lambda b, a: F.concat(b, a)), lambda w, near: F.struct(w.alias("word"), near.alias("window")))
 
 
 def decision_links(html: Column, base: Column, wanted: str = FILE_NUMBER_PATTERN) -> Column:

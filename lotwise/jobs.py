@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lotwise import rules
 from lotwise.operators import accounts, company, contacts, delta, domains, enrich, population, quality
 from lotwise.operators.parties import notices_of_releases, participations_of_notices
-from lotwise.operators.signals import active_signals, resolve_signals, with_identity
+from lotwise.operators.signals import OPEN_TENDER, active_signals, resolve_signals, with_identity
 from lotwise.schemas import MARKET_COLUMNS
 from lotwise.session import landed
-from lotwise.sources.notices import month_coverage, read_months
-from lotwise.sources.registry import SOURCES
+from lotwise.sources.notices import month_coverage, read_checked, read_months
+from lotwise.sources.registry import SOURCES, report_rejects
 from lotwise.sources.sinks import write_buckets, write_csv
 from lotwise.sources.state import SignalState
 
@@ -28,8 +28,12 @@ class RunFailed(RuntimeError):
 
 
 def market_list(spark: SparkSession, corpus: str, months: list[str], as_of: dt.date, out: str) -> DataFrame:
-    """Market list of the given months: list, supplier ids, summary and missing months."""
-    releases = read_months(spark, corpus, months)
+    """Market list of the given months: list, supplier ids, summary and missing months.
+
+    Documents that cannot be read are written to ``rejects`` and stop the job.
+    """
+    releases, rejects = read_checked(spark, corpus, months)
+    report_rejects(rejects, f"{out}/rejects")
     parts = landed(participations_of_notices(notices_of_releases(releases)), "participations")
     company.market_list(parts, as_of).write.mode("overwrite").parquet(f"{out}/market")
     market = spark.read.parquet(f"{out}/market")
@@ -45,7 +49,9 @@ def weekly_run(spark: SparkSession, paths: dict[str, str], state: SignalState, a
     """Fetch, resolve and store all sources as one run; failed sources are logged and raised.
 
     Every source is landed on its own first, so one that cannot be read does not keep the
-    others from being stored.  Rows older than the overlap are kept in a late bucket.
+    others from being stored.  Rows older than the overlap are kept in a late bucket; open
+    tenders are due by their deadline and never late.  Every source that was read gets a
+    line in the run log, also without rows.
     """
     as_of = at.date()
     first_day = delta.first_fetch_day(as_of)
@@ -56,14 +62,14 @@ def weekly_run(spark: SparkSession, paths: dict[str, str], state: SignalState, a
             continue
         try:
             raw = source(spark, paths, first_day, as_of)
-            read.append(landed(with_identity(resolve_signals(raw)), f"signals-{name}"))
+            read.append((name, landed(with_identity(resolve_signals(raw)), f"signals-{name}")))
         except Exception as exc:  # noqa: BLE001 - any failure of one source is reported below
-            failed[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            failed[name] = f"{type(exc).__name__}: {exc}"
     run_id = 0
     if read:
-        union = reduce(lambda a, b: a.unionByName(b), read)
-        tagged = delta.tag_late(union, since, first_day)
-        run_id = state.run(tagged.filter("NOT late").drop("late"), at)
+        union = reduce(lambda a, b: a.unionByName(b), [signals for _, signals in read])
+        tagged = delta.tag_late(union, since, first_day, F.col("signal_type") == OPEN_TENDER)
+        run_id = state.run(tagged.filter("NOT late").drop("late"), at, sources=[name for name, _ in read])
         delta.type_coverage(union).write.mode("overwrite").parquet(f"{state.root}/coverage/run={run_id}")
         tagged.filter("late").drop("late").write.mode("overwrite").parquet(f"{state.root}/late/run={run_id}")
     for name, error in failed.items():
@@ -136,7 +142,8 @@ def contact_package(exports: DataFrame, verified: DataFrame, mx: DataFrame, mark
     for_signals = landed(contacts.signal_contacts(people, account_rows), "signal-contacts")
     write_csv(for_market.orderBy("round", "account_rank"), f"{out}/market_contacts")
     write_csv(for_signals.orderBy("round", "account_rank"), f"{out}/signal_contacts")
-    write_csv(contacts.orphans(people, market), f"{out}/orphans")
+    listed = market.select("company_id").unionByName(account_rows.select("company_id")).distinct()
+    write_csv(contacts.orphans(people, listed), f"{out}/orphans")
     pool = contacts.audit_pool(for_market, for_signals)
     key = F.concat_ws("|", "liste", "person")
     audit = contacts.audit_findings(quality.seeded_sample(pool, key, sample, seed), fetched)

@@ -11,7 +11,6 @@ from lotwise.functions.dates import age_days, as_of_lit
 from lotwise.functions.scoring import award_proof, lookup, tier_of, tier_rank
 from lotwise.operators.parties import LOST, OPEN, WON_ALONE
 
-INLINE_SUPPLIER_IDS = 1000
 NEVER = "0001-01-01"
 
 
@@ -67,23 +66,22 @@ def distinct_facts(parts: DataFrame) -> DataFrame:
 
 
 def fact_profile(facts: DataFrame) -> DataFrame:
-    """Per company: the totals per kind and the first few values in order.
+    """Per company: the first few buyers and codes in order, all supplier ids and sources, the
+    number of buyers.
 
     The rank filter is applied per task before the shuffle, so one task only ever sees
-    the leading values of a company, not all of them.
+    the leading buyers and codes of a company, not all of them.  Supplier ids are the
+    registrations of one company, sources a handful: both are listed whole.
     """
-    shown = {"buyer": rules.BUYERS_SHOWN, "code": rules.PROFILE_CODES,
-             "supplier_id": INLINE_SUPPLIER_IDS, "source": 100}
+    shown = {"buyer": rules.BUYERS_SHOWN, "code": rules.PROFILE_CODES}
     w = Window.partitionBy("company_id", "kind").orderBy("value")
-    top = (facts.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= max(shown.values()))
-           .filter(F.col("rn") <= lookup(F.col("kind"), shown, 0)))
-    totals = facts.groupBy("company_id").agg(
-        F.count_if(F.col("kind") == "buyer").alias("buyers_total"),
-        F.count_if(F.col("kind") == "supplier_id").alias("supplier_ids_total"))
+    cut = F.col("kind").isin(*shown)
+    top = (facts.filter(cut).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= max(shown.values()))
+           .filter(F.col("rn") <= lookup(F.col("kind"), shown, 0)).drop("rn")).unionByName(facts.filter(~cut))
+    totals = facts.groupBy("company_id").agg(F.count_if(F.col("kind") == "buyer").alias("buyers_total"))
 
     def joined(kind: str) -> Column:
-        rows = F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("rn", "value"))))
-        return F.array_join(F.transform(rows, lambda r: r["value"]), ";")
+        return F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("value")))), ";")
 
     lists = top.groupBy("company_id").agg(
         joined("buyer").alias("buyers"), joined("code").alias("cpv_profile"),
@@ -92,8 +90,7 @@ def fact_profile(facts: DataFrame) -> DataFrame:
 
 
 def company_supplier_ids(facts: DataFrame) -> DataFrame:
-    """Every supplier id of every company, one row each (the wide row shows them only while
-    they fit a cell)."""
+    """Every supplier id of every company, one row each."""
     return facts.filter(F.col("kind") == "supplier_id").select(
         "company_id", F.col("value").alias("supplier_id"))
 
@@ -153,7 +150,6 @@ def market_list(parts: DataFrame, as_of: dt.date) -> DataFrame:
         F.col("proof.proof_type"), F.col("participations_total"),
         age_days(F.col("proof.d"), as_of_lit(as_of)), F.col("buyers_total"), F.col("mixed_lot_only")))
     wins = F.col("awards_total") + F.col("sole_bidder_wins")
-    inline_ids = F.when(F.coalesce("supplier_ids_total", F.lit(0)) <= INLINE_SUPPLIER_IDS, F.col("supplier_ids"))
     return rows.select(
         "company_id", "first_row.legal_name",
         F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("domain_confidence"),
@@ -165,7 +161,7 @@ def market_list(parts: DataFrame, as_of: dt.date) -> DataFrame:
         "awards_total", "award_rows", "last_award_date", "sole_bidder_wins", "bids_lost",
         "bids_outcome_unknown", "last_bid_date", "participations_total",
         win_rate(wins, F.col("bids_lost")).alias("win_rate"), "buyers", "buyers_total", "cpv_profile",
-        "main_cpv", "mixed_lot_only", "consortium_only", inline_ids.alias("supplier_ids"), "sources",
+        "main_cpv", "mixed_lot_only", "consortium_only", "supplier_ids", "sources",
         as_of_lit(as_of).alias("first_seen"),
     ).orderBy(tier_rank(F.col("tier")), F.desc("participations_total"), "company_id")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise import rules
 from lotwise.operators.signals import latest_per_key
@@ -56,15 +56,19 @@ def emitted(applied: DataFrame) -> DataFrame:
         F.desc_nulls_last("event_date"), "signal_id")
 
 
-def tag_late(signals: DataFrame, since: DataFrame, default: dt.date) -> DataFrame:
+def tag_late(signals: DataFrame, since: DataFrame, default: dt.date, always: Column | None = None) -> DataFrame:
     """``late`` marks rows older than the day their source is read from.
 
     Rows inside the overlap are ordinary corrections; older ones go to a bucket of their
-    own instead of being dropped.  ``since``: source, since - one row per source.
+    own instead of being dropped.  ``since``: source, since - one row per source, so it is
+    broadcast.  ``always`` marks rows that are due by another date than their own, such as
+    open tenders; they are never late.
     """
-    days = since.select("source", F.col("since").alias("_since"))
-    return signals.join(days, "source", "left").withColumn(
-        "late", F.coalesce(F.col("event_date") < F.coalesce("_since", F.lit(default).cast("date")), F.lit(False))).drop("_since")
+    days = F.broadcast(since.select("source", F.col("since").alias("_since")))
+    late = F.coalesce(F.col("event_date") < F.coalesce("_since", F.lit(default).cast("date")), F.lit(False))
+    if always is not None:
+        late = late & ~F.coalesce(always, F.lit(False))
+    return signals.join(days, "source", "left").withColumn("late", late).drop("_since")
 
 
 def run_statistics(statuses: DataFrame) -> DataFrame:
@@ -74,6 +78,13 @@ def run_statistics(statuses: DataFrame) -> DataFrame:
         *[F.count_if(F.col("status") == s).alias(f"rows_{s}") for s in (NEW, CHANGED, UNCHANGED)])
 
 
+def with_quiet_sources(statistics: DataFrame, sources: list[str]) -> DataFrame:
+    """The statistics with a line of zeros for every source asked that gave no rows."""
+    asked = statistics.sparkSession.createDataFrame([(s,) for s in sources], "source string")
+    counts = [c for c in statistics.columns if c != "source"]
+    return asked.join(statistics, "source", "full").select("source", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+
+
 def type_coverage(signals: DataFrame) -> DataFrame:
     """Rows per configured signal type, silent types included."""
     spark = signals.sparkSession

@@ -6,7 +6,7 @@ notice and needs no shuffle, ``bidder_outcomes`` takes flat (notice, company) fa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise import rules
 from lotwise.functions.codes import tender_codes, verdict
@@ -93,7 +93,7 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
         lambda m: F.struct(
             F.lit("bid").alias("role"), outcome.alias("outcome"), F.col("d").alias("row_d"),
             F.lit(None).cast("double").alias("value"), m.alias("m")))
-    kept = ["notice_id", "ocid", "buyer", "mixed_lot", "main_cpv", "cpv_codes", "it_share",
+    kept = ["notice_id", "ocid", "buyer", "mixed_lot", "main_cpv", "all_codes", "it_share",
             F.col("tender.numberOfTenderers").alias("bidder_count")]
     # The outer form keeps Spark from computing the rows a second time for a size filter.
     rows = in_scope.select(*kept, F.concat(award_rows, bid_rows).alias("rows")).select(
@@ -103,7 +103,7 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
             F.col("row.m.company_id"), "notice_id", "ocid", F.col("row.row_d").alias("d"),
             F.col("row.role"), F.col("row.outcome"), F.col("row.m.legal_name"), "buyer",
             F.col("row.value"), F.col("row.m.consortium"), "mixed_lot", "main_cpv",
-            F.slice("cpv_codes", 1, rules.CODES_IN_ROW).alias("cpv"), "it_share",
+            F.col("all_codes").alias("cpv"), "it_share",
             F.col("row.m.city"), F.col("row.m.postal_code"), F.col("row.m.supplier_id"),
             "bidder_count", "pos",
             F.lit("dovs").alias("source"), notice_url(F.col("notice_id")).alias("url"))
@@ -116,16 +116,17 @@ def bidder_outcomes(parties: DataFrame, notices: DataFrame) -> DataFrame:
     """Outcome per (notice, company) from flat party rows.
 
     ``parties``: notice_id, company_id, is_winner (several rows per pair allowed);
-    ``notices``: notice_id, award_notice, announced (nullable).  Rows are reduced to one
-    per pair before anything is regrouped, so a notice holding a large share of the rows
-    costs one task no more than its distinct companies.
+    ``notices``: notice_id, award_notice, announced (nullable) and more, one row per notice.
+    The join comes first, so parties of notices out of scope go no further; pairs and the
+    counts per notice then reuse its partitioning by notice.
     """
-    pairs = parties.groupBy("notice_id", "company_id").agg(F.max("is_winner").alias("is_winner"),
-                                                           F.count_if("is_winner").alias("award_rows"))
-    per_notice = pairs.groupBy("notice_id").agg(
-        F.count_if("is_winner").alias("winners"), F.count(F.lit(1)).alias("bidders"))
-    facts = per_notice.join(notices, "notice_id")
-    return pairs.join(facts, "notice_id").withColumn(
+    facts = [c for c in notices.columns if c != "notice_id"]
+    pairs = parties.join(notices, "notice_id").groupBy("notice_id", "company_id", *facts).agg(
+        F.max("is_winner").alias("is_winner"), F.count_if("is_winner").alias("award_rows"))
+    notice = Window.partitionBy("notice_id")
+    counted = pairs.withColumn("winners", F.count_if("is_winner").over(notice)).withColumn(
+        "bidders", F.count(F.lit(1)).over(notice))
+    return counted.withColumn(
         "outcome", F.when(F.col("is_winner"), F.lit("award")).otherwise(
             outcome_of(F.col("award_notice"), F.col("winners"), F.col("bidders"), F.col("announced"))))
 

@@ -92,8 +92,8 @@ def chao1(flags: DataFrame) -> DataFrame:
 
 
 def occasion_histogram(flags: DataFrame) -> DataFrame:
-    """Companies seen in exactly 1..5 months."""
-    return flags.filter("occasions <= 5").groupBy("occasions").agg(F.count(F.lit(1)).alias("companies"))
+    """Companies by the number of months they were seen in."""
+    return flags.groupBy("occasions").agg(F.count(F.lit(1)).alias("companies"))
 
 
 def split_spread(estimates: DataFrame) -> DataFrame:

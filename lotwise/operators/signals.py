@@ -93,7 +93,7 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
         day = F.coalesce(iso_date(a["date"]), F.col("d"))
         name, place = strip(s["name"]), F.coalesce(s["address"]["locality"], s["address"]["region"])
         # A supplier without an id is told apart by its name, so none of them is overwritten.
-        who = F.coalesce(s["id"], F.substring(company_key(name), 1, rules.KEY_CUT))
+        who = F.coalesce(s["id"], company_key(name))
         tail = F.concat(F.coalesce(a["id"], F.lit("None")), F.lit(":"), who)
         payload = {**common, "buyer": F.col("buyer"), "award_id": a["id"], "value": a["value"]["amount"],
                    "currency": a["value"]["currency"], "contract_end": end, "supplier_id": s["id"],
@@ -130,11 +130,10 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
                    "postal_code": t["address"]["postalCode"]}
         args = (name, place, first_end, none_v, t["id"], payload)
         usable = (name != "") & ~F.array_contains(won, key)
-        short = F.substring(key, 1, rules.KEY_CUT)
         return F.array(
-            F.when(usable & (day >= start), _base(kind, F.concat(ocid, F.lit(":bidder:"), short), day, *args)),
+            F.when(usable & (day >= start), _base(kind, F.concat(ocid, F.lit(":bidder:"), key), day, *args)),
             F.when(usable & (outcome == WON_ALONE) & within(first_end, today, rules.EXPIRY_WINDOW),
-                   _base(F.lit(EXPIRING), F.concat(ocid, F.lit(":expiry:bidder:"), short), today, *args)))
+                   _base(F.lit(EXPIRING), F.concat(ocid, F.lit(":expiry:bidder:"), key), today, *args)))
 
     of_bidders = F.flatten(F.transform(named, of_bidder))
 
@@ -188,7 +187,7 @@ def resolve_signals(signals: DataFrame, exclusion_mode: str = "listed") -> DataF
     confidence = resolution_confidence(
         F.col("source"), F.lit(1.0), F.coalesce("org_place", F.lit("")) != "",
         F.coalesce("supplier_id", F.lit("")) != "", F.lit(False), F.col("consortium"))
-    member_id = F.concat("external_id", F.lit(":"), F.substring("company_id", 1, rules.KEY_CUT))
+    member_id = F.concat("external_id", F.lit(":"), "company_id")
     return (out.withColumn("external_id", F.when(F.col("consortium"), member_id).otherwise(F.col("external_id")))
             .withColumn("org_name_raw", F.col("member")).drop("member")
             .withColumn("match_confidence", confidence))

@@ -20,9 +20,9 @@ code_rows AS (SELECT l_orderkey AS k, l_linenumber AS ln, p_brand AS b
               FROM lineitem JOIN part ON l_partkey = p_partkey),
 codes AS (SELECT k, min(b) FILTER (WHERE ln = 1) AS main, count(DISTINCT b) AS n,
                  count(DISTINCT b) FILTER (WHERE starts_with(b, 'Brand#1')) AS n_it,
-                 list_sort(list(DISTINCT b))[1:12] AS kept
+                 list_sort(list(DISTINCT b)) AS every, list_sort(list(DISTINCT b))[1:12] AS kept
           FROM code_rows GROUP BY k),
-verdicts AS (SELECT k, main, n, n_it, kept, n_it::DOUBLE / n AS share,
+verdicts AS (SELECT k, main, n, n_it, kept, every, n_it::DOUBLE / n AS share,
                     CASE WHEN main IS NOT NULL THEN starts_with(main, 'Brand#1')
                          ELSE n_it::DOUBLE / n >= 0.5 END AS is_it,
                     n >= 8 AND n_it::DOUBLE / n < 0.5 AS mixed
@@ -33,7 +33,7 @@ pairs AS (SELECT l_orderkey AS k, l_suppkey AS s, bool_or(l_returnflag = 'A' AND
           FROM lineitem GROUP BY 1, 2),
 per_notice AS (SELECT k, count(*) FILTER (WHERE won) AS winners, count(*) AS bidders FROM pairs GROUP BY k),
 rows_ AS (SELECT p.k, p.s, p.won, p.won_rows, n.winners, n.bidders, o.o_orderdate::DATE AS d, o.o_custkey AS buyer,
-                o.o_orderpriority = '5-LOW' AS consortium, v.main, v.mixed, v.kept, v.share,
+                o.o_orderpriority = '5-LOW' AS consortium, v.main, v.mixed, v.every, v.share,
                 CASE WHEN p.won THEN 'award'
                      WHEN o.o_orderstatus = 'F' AND n.winners = 0 AND n.bidders = 1 THEN 'alleinbieter_gewonnen'
                      WHEN n.winners > 0 THEN 'unterlegen' ELSE 'offen' END AS outcome
@@ -99,7 +99,7 @@ firm AS (SELECT s, count(*) FILTER (WHERE outcome = 'award') AS awards_total,
    max(d) FILTER (WHERE outcome = 'alleinbieter_gewonnen') AS ds, max(d) FILTER (WHERE outcome = 'offen') AS do_
  FROM rows_ GROUP BY s),
 profile AS (SELECT s, array_to_string(list_sort(list(DISTINCT c))[1:10], ';') AS cpv_profile
-            FROM (SELECT s, unnest(kept[1:8]) AS c FROM rows_) GROUP BY s),
+            FROM (SELECT s, unnest(every) AS c FROM rows_) GROUP BY s),
 proofs AS (SELECT firm.*,
    CASE WHEN last_award_date IS NOT NULL THEN
           CASE WHEN DATE '2000-01-01' - last_award_date <= 730 THEN 'P1_zuschlag_24m'

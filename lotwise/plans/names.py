@@ -249,7 +249,7 @@ def page_links(spark, d):
 
 @query("host_of", r"""
 WITH v AS (SELECT page_id, url AS field, 'url' AS kind FROM pages
-           UNION ALL SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9.]+@[a-z0-9.]+')), 'mail' FROM documents),
+           UNION ALL SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+')), 'mail' FROM documents),
 h AS (SELECT page_id AS id, kind, trim(regexp_replace(split_part(regexp_replace(regexp_replace(regexp_replace(lower(trim(field)),
         '^[a-z][a-z0-9+.-]*://', ''), '^.*@', ''), '[/?#].*$', ''), ':', 1), '^www\.', ''), '. ') AS host FROM v)
 SELECT id, kind, host, regexp_extract(host, '([^.]+)\.[^.]+$', 1) AS stem, regexp_extract(host, '[^.]+$') AS tld FROM h
@@ -258,7 +258,7 @@ WHERE regexp_matches(host, '^(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z]{2,}$')
 def hosts(spark, d):
     urls = table(spark, d, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("field"), F.lit("url").alias("kind"))
     mails = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(F.regexp_extract_all(
-        "text", F.lit("[A-Za-z0-9.]+@[a-z0-9.]+"), F.lit(0))).alias("field"), F.lit("mail").alias("kind"))
+        "text", F.lit("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"), F.lit(0))).alias("field"), F.lit("mail").alias("kind"))
     host = host_of(F.col("field"))
     return urls.unionByName(mails).select("id", "kind", host.alias("host")).filter("host IS NOT NULL").select(
         "id", "kind", "host", domain_stem(F.col("host")).alias("stem"), tld_of(F.col("host")).alias("tld"))

@@ -58,7 +58,7 @@ def delta_status_stream(spark, d):
     deliveries = [F.col("ts") < F.lit(FIRST_END), F.col("ts") >= F.lit(SECOND_START)]
     for i, part in enumerate(deliveries, 1):
         stream = as_signals(event_stream(spark, d).filter(part))
-        stream_into_state(stream, state, f"{root}/checkpoint-{i}", RUN_AT, first_run=i).awaitTermination()
+        stream_into_state(stream, state, f"{root}/checkpoint-{i}", RUN_AT).awaitTermination()
     return state.delta(len(deliveries)).select("signal_id", "source", "external_id", "content_hash", "status")
 
 

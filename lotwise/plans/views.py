@@ -64,7 +64,7 @@ def parties(spark: SparkSession, d: str) -> DataFrame:
 def outcomes(spark: SparkSession, d: str) -> DataFrame:
     """Outcome per (order in scope, supplier)."""
     scope = notice_verdicts(spark, d).filter("is_it").select(
-        "notice_id", "main_cpv", "mixed_lot", "cpv_codes", "it_share")
+        "notice_id", "main_cpv", "mixed_lot", "all_codes", "it_share")
     notices = orders_as_notices(spark, d).join(scope, "notice_id")
     return bidder_outcomes(parties(spark, d), notices)
 
@@ -80,7 +80,7 @@ def participations(spark: SparkSession, d: str) -> DataFrame:
         F.col("notice_id").cast("string").alias("notice_id"), F.col("notice_id").cast("string").alias("ocid"),
         "d", F.when(won, F.lit("award")).otherwise(F.lit("bid")).alias("role"),
         F.when(~won, F.col("outcome")).alias("outcome"), "legal_name", "buyer", "consortium", "mixed_lot",
-        "main_cpv", F.slice("cpv_codes", 1, 8).alias("cpv"), "it_share", "city",
+        "main_cpv", F.col("all_codes").alias("cpv"), "it_share", "city",
         F.lit(None).cast("string").alias("postal_code"),
         F.concat(F.lit("ORG-"), F.col("bidders").cast("string")).alias("supplier_id"),
         F.lit(0).alias("pos"), F.lit("dovs").alias("source"),

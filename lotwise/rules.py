@@ -1,15 +1,13 @@
 """Every business assumption in one place.
 
 The values below are fixed: results only agree with published ones when they are
-kept as they are.  Everything that grows beyond a handful of entries is either a
-literal list in an expression or a tiny dimension built by ``rules_frame``.
+kept as they are.
 """
 
 from __future__ import annotations
 
 # --- fixed values: scope ---------------------------------------------------------
 IT_CODE_PREFIXES = ["48", "72", "302", "5031", "5032", "5161", "642"]
-IT_CODE_ROOTS = ["48000000", "72000000", "30200000", "50300000", "51600000", "64200000"]
 MIN_IT_SHARE = 0.5
 MIXED_LOT_MIN_CODES = 8
 CODES_KEPT = 12
@@ -117,7 +115,6 @@ OVERLAP_DAYS = 14
 EXPIRY_WINDOW = (180, 270)
 DEADLINE_WINDOW = (10, 32)
 DEADLINE_LOOKBACK_DAYS = 62
-KEY_CUT = 40
 
 SOURCE_PRIOR = {"vergabe_dovs": 0.75, "ted": 0.72, "ba_jobs": 0.50}
 DEFAULT_PRIOR = 0.50

@@ -66,7 +66,7 @@ STATE = (
 )
 RUN_LOG = (
     "run_id long, source string, started_at timestamp, finished_at timestamp, rows_in long, "
-    "rows_new long, rows_changed long, rows_unchanged long, errors string"
+    "rows_new long, rows_changed long, rows_unchanged long, errors string, stream string, batch long"
 )
 
 MARKET_COLUMNS = [

@@ -25,14 +25,19 @@ def rename_aliases(df: DataFrame) -> DataFrame:
 
 
 def read_enrichment(spark: SparkSession, path: str) -> DataFrame:
-    """CSV or JSON records with cleaned domain, integer head count and a row order."""
+    """CSV or JSON records with cleaned domain, integer head count and a row order.
+
+    ``row_no`` orders by file name, place in the file and row, so that "the later row wins"
+    means the same however the files are split over tasks.
+    """
+    place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
     if path.lower().endswith((".json", ".jsonl")):
-        raw = spark.read.option("multiLine", path.lower().endswith(".json")).json(path)
-        if raw.columns == ["records"]:
-            raw = raw.select(F.explode("records").alias("r")).select("r.*")
+        raw = spark.read.option("multiLine", path.lower().endswith(".json")).json(path).select("*", *place)
+        if raw.columns == ["records", "_file", "_block"]:
+            raw = raw.select(F.explode("records").alias("r"), "_file", "_block").select("r.*", "_file", "_block")
     else:
-        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    ordered = raw.withColumn("row_no", F.monotonically_increasing_id())
+        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).select("*", *place)
+    ordered = raw.withColumn("row_no", F.struct("_file", "_block", F.monotonically_increasing_id().alias("row"))).drop("_file", "_block")
     fields = rename_aliases(ordered)
     return fields.withColumn("domain", clean_domain(F.col("domain"))).withColumn(
         "employees", to_int(F.col("employees")))

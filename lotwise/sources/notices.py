@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lotwise.schemas import RELEASE, RELEASE_FIELDS
+from lotwise.session import landed
 
 DOCUMENT = f"array<struct<releases:array<struct<{RELEASE_FIELDS}>>,{RELEASE_FIELDS}>>"
 COLUMNS = ["id", "ocid", "date", "tag", "buyer", "tender", "awards", "parties"]
@@ -31,6 +32,18 @@ def rejected_documents(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("doc").isNull()).select("path", "value")
 
 
+def read_checked(spark: SparkSession, path: str, months: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Releases under ``path`` and the documents that could not be read.
+
+    Documents are parsed once and landed; the text is kept of unreadable ones only.
+    """
+    docs = read_documents(spark, path)
+    if months is not None:
+        docs = docs.filter(F.col("pub_month").isin(months))
+    parsed = landed(docs.withColumn("value", F.when(F.col("doc").isNull(), F.col("value"))), "documents")
+    return releases_of_documents(parsed), rejected_documents(parsed)
+
+
 def _struct(ddl: str) -> StructType:
     return StructType.fromDDL("r " + ddl)["r"].dataType
 

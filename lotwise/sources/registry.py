@@ -12,7 +12,7 @@ from lotwise.operators.parties import notices_of_releases
 from lotwise.operators.signals import latest_per_key, newest_first, signals_of_notices
 from lotwise.sources.deadlines import read_deadlines
 from lotwise.sources.jobs import job_ads, job_signals, read_jobs
-from lotwise.sources.notices import read_releases
+from lotwise.sources.notices import read_checked
 from lotwise.sources.ted import read_ted, ted_signals
 
 Source = Callable[[SparkSession, dict[str, str], dt.date, dt.date], DataFrame]
@@ -26,10 +26,25 @@ def source(name: str):
     return register
 
 
+class UnreadableDocuments(RuntimeError):
+    """Some documents of a source are broken; going on would silently leave their notices out."""
+
+
+def report_rejects(rejects: DataFrame, path: str | None) -> None:
+    """Write unreadable documents beside the results and refuse to go on if there are any."""
+    n = rejects.count()
+    if n and path:
+        rejects.write.mode("overwrite").parquet(path)
+    if n:
+        raise UnreadableDocuments(f"{n} unreadable documents, see {path or 'rejected_documents'}")
+
+
 @source("vergabe_dovs")
 def _notices(spark, paths, since, as_of):
     deadlines = read_deadlines(spark, paths["deadlines"]) if "deadlines" in paths else None
-    return signals_of_notices(notices_of_releases(read_releases(spark, paths["vergabe_dovs"])), since, as_of, deadlines)
+    releases, rejects = read_checked(spark, paths["vergabe_dovs"])
+    report_rejects(rejects, paths.get("rejects"))
+    return signals_of_notices(notices_of_releases(releases), since, as_of, deadlines)
 
 
 @source("ted")

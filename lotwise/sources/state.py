@@ -18,6 +18,7 @@ from lotwise.operators.signals import latest_per_key, review_queue
 from lotwise.schemas import RUN_LOG, STATE
 
 STATUS = STATE + ", status string"
+STATISTICS = "source string, rows_in long, rows_new long, rows_changed long, rows_unchanged long"
 CONTENT = [c for c in (part.strip().split(" ")[0] for part in STATE.split(", ")) if c not in delta.BOOKKEEPING]
 
 
@@ -27,11 +28,18 @@ class SignalState:
     def __init__(self, spark: SparkSession, root: str, fold_every: int = 12):
         self.spark, self.root, self.fold_every = spark, root.rstrip("/"), fold_every
 
-    def runs(self) -> DataFrame:
+    def _read(self, schema: str, name: str) -> DataFrame | None:
+        """A table of the state, None while nothing has been written to it."""
         try:
-            return self.spark.read.schema(RUN_LOG).parquet(f"{self.root}/runs")
-        except AnalysisException:
-            return self.spark.createDataFrame([], RUN_LOG)
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def runs(self) -> DataFrame:
+        log = self._read(RUN_LOG, "runs")
+        return self.spark.createDataFrame([], RUN_LOG) if log is None else log
 
     def last_version(self) -> int:
         """Number of the last committed run; one value, whatever the size of the state."""
@@ -43,9 +51,8 @@ class SignalState:
 
     def base_version(self) -> int:
         """Last run folded into the base."""
-        try:
-            bases = self.spark.read.schema("version long").parquet(f"{self.root}/bases")
-        except AnalysisException:
+        bases = self._read("version long", "bases")
+        if bases is None:
             return 0
         return bases.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
@@ -87,24 +94,31 @@ class SignalState:
     def review(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/review")
 
-    def committed(self, run_id: int) -> bool:
-        return self.runs().filter(F.col("run_id") == run_id).limit(1).count() > 0
+    def run_of(self, batch: tuple[str, int]) -> int | None:
+        """The run that committed a batch (stream, number), if one has."""
+        done = self.runs().filter((F.col("stream") == batch[0]) & (F.col("batch") == batch[1])).agg(F.max("run_id"))
+        return done.first()[0]
 
-    def run(self, resolved: DataFrame, at: dt.datetime, run_id: int | None = None) -> int:
-        """Apply resolved signals with identity columns as one run and commit it.
+    def run(self, resolved: DataFrame, at: dt.datetime, batch: tuple[str, int] | None = None,
+            sources: list[str] | None = None) -> int:
+        """Apply resolved signals with identity columns as one run and commit it; its number.
 
-        With an explicit ``run_id`` (a stream's batch) a committed run is left alone, so a
-        repeated batch changes nothing; its folders are overwritten otherwise.
+        Run numbers come from the log.  A ``batch`` (stream, number) that is already in the
+        log is left alone, so a repeated one changes nothing; the folders of a run that
+        died before its line was written are overwritten.  ``sources`` are those asked:
+        each gets a line, zeros included.
         """
-        run_id = run_id or self.next_run_id()
-        if self.committed(run_id):
-            return run_id
+        if batch and (done := self.run_of(batch)):
+            return done
+        run_id = self.next_run_id()
         touched = delta.apply_run(resolved.select(*CONTENT), self.known(), run_id, at)
         touched.write.mode("overwrite").parquet(f"{self.root}/touched/run={run_id}")
         (review_queue(self.delta(run_id)).withColumn("created_at", F.lit(at).cast("timestamp"))
          .write.mode("overwrite").parquet(f"{self.root}/review/run={run_id}"))
         stats = delta.run_statistics(self.delta(run_id)).filter("source IS NOT NULL")
-        self._log(run_id, stats, at, None)
+        if sources:
+            stats = delta.with_quiet_sources(stats, sources)
+        self._log(run_id, stats, at, None, batch)
         if run_id - self.base_version() >= self.fold_every:
             self.fold()
         return run_id
@@ -113,14 +127,18 @@ class SignalState:
         """Record a failed run; it moves neither the state nor the fetch watermark."""
         run_id = self.next_run_id()
         stats = self.spark.createDataFrame(
-            [(source, 0, 0, 0, 0)],
-            "source string, rows_in long, rows_new long, rows_changed long, rows_unchanged long")
+            [(source, 0, 0, 0, 0)], STATISTICS)
         self._log(run_id, stats, at, error)
         return run_id
 
-    def _log(self, run_id: int, stats: DataFrame, at: dt.datetime, error: str | None) -> None:
+    def _log(self, run_id: int, stats: DataFrame, at: dt.datetime, error: str | None,
+             batch: tuple[str, int] | None = None) -> None:
+        stream, number = batch or (None, None)
+        if stats.isEmpty():  # a run without rows of any source still is one
+            stats = self.spark.createDataFrame([(stream, 0, 0, 0, 0)], STATISTICS)
         now = F.lit(at).cast("timestamp")
         stats.select(
             F.lit(run_id).cast("long").alias("run_id"), "source", now.alias("started_at"), now.alias("finished_at"),
             "rows_in", "rows_new", "rows_changed", "rows_unchanged",
-            F.lit(error).cast("string").alias("errors")).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+            F.lit(error).cast("string").alias("errors"), F.lit(stream).cast("string").alias("stream"),
+            F.lit(number).cast("long").alias("batch")).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")

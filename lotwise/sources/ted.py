@@ -10,7 +10,8 @@ from lotwise.functions.text import blank_to_null
 from lotwise.schemas import SIGNAL_COLUMNS, TED_FIELDS
 
 LANGUAGE_KEYS = ("deu", "eng", "value", "text")
-MAX_NESTING = 3
+ORDERED_LEVELS = 3  # levels of nesting read by language preference; deeper ones in stored order
+LEAF = r'("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false)(?=[,}\]])'
 
 
 def _get(v: Column, path: str, to: str) -> Column:
@@ -28,13 +29,18 @@ def _children(v: Column) -> Column:
             .otherwise(_get(v, "$", "array<variant>")))
 
 
-def all_strings(v: Column, depth: int = MAX_NESTING) -> Column:
+def _leaves(v: Column) -> Column:
+    """Every non-blank text of a container of any depth, in stored order: the values of its JSON form."""
+    values = F.regexp_extract_all(F.to_json(v), F.lit(LEAF), F.lit(1))
+    texts = F.transform(values, lambda x: blank_to_null(F.get(F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>"), F.lit(0))))
+    return F.array_compact(texts)
+
+
+def all_strings(v: Column, depth: int = ORDERED_LEVELS) -> Column:
     """Every non-blank text inside a variant, depth first, preferred languages first."""
     single = F.array_compact(F.array(blank_to_null(_get(v, "$", "string"))))
-    if depth == 0:
-        return single
     nested = F.schema_of_variant(v).rlike("^(ARRAY|OBJECT)")
-    inside = F.flatten(F.transform(_children(v), lambda x: all_strings(x, depth - 1)))
+    inside = F.flatten(F.transform(_children(v), lambda x: all_strings(x, depth - 1))) if depth else _leaves(v)
     return F.when(nested, inside).otherwise(single)
 
 

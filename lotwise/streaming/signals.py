@@ -12,15 +12,18 @@ from lotwise.sources.state import SignalState
 
 
 def stream_into_state(signals: DataFrame, state: SignalState, checkpoint: str, at: dt.datetime,
-                      first_run: int = 1) -> StreamingQuery:
+                      name: str | None = None) -> StreamingQuery:
     """Feed a stream of identified signals into the state, one run per micro-batch.
 
-    Each batch is reduced to the latest row per key before it meets the state, and its run
-    id follows from the batch id: a batch repeated after a failure finds its run committed
-    and changes nothing.
+    Each batch is reduced to the latest row per key before it meets the state.  Its line in
+    the run log carries the stream's ``name`` (its checkpoint folder unless given) and the
+    batch id: a batch repeated after a failure is found there and changes nothing, whatever
+    runs the state has seen before or in between.
     """
+    stream = name or checkpoint
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        state.run(batch, at, first_run + batch_id)
+        state.run(batch, at, (stream, batch_id))
 
     return (signals.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

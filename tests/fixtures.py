@@ -40,10 +40,11 @@ RELEASES = [
 ]
 
 
-def write_documents(folder, releases=RELEASES):
-    """The three document shapes plus a broken one."""
+def write_documents(folder, releases=RELEASES, broken=False):
+    """The three document shapes and, if asked, a broken one."""
     (folder / "package.json").write_text(json.dumps({"releases": releases[:4]}))
     (folder / "list.json").write_text(json.dumps(releases[4:-1]))
     (folder / "single.json").write_text(json.dumps(releases[-1]))
-    (folder / "broken.json").write_text('{"releases": [')
+    if broken:
+        (folder / "broken.json").write_text('{"releases": [')
     return str(folder)

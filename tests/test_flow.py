@@ -12,6 +12,8 @@ from lotwise import rules
 from lotwise.functions.scoring import resolution_confidence, tier_of
 from lotwise.operators import accounts, contacts, delta, enrich, matching, population, quality, signals
 from lotwise.operators.joins import salted_lookup
+from lotwise.operators.parties import notices_of_releases
+from lotwise.sources.notices import read_releases
 from lotwise.sources import deadlines, enrichment, jobs, registry, sinks, ted
 from lotwise.sources.state import SignalState
 from lotwise.session import landed as land_once
@@ -168,8 +170,8 @@ def test_failed_run_moves_nothing(spark, weekly):
 
 def test_repeated_batch_is_a_no_op(spark, base, tmp_path):
     state = SignalState(spark, str(tmp_path / "s"))
-    state.run(base, NOW, run_id=5)
-    state.run(base.limit(1), NOW, run_id=5)
+    state.run(base, NOW, ("stream", 5))
+    state.run(base.limit(1), NOW, ("stream", 5))
     assert state.current().count() == base.count() and state.runs().select("run_id").distinct().count() == 1
 
 
@@ -366,3 +368,63 @@ def test_truncation_is_reported(spark):
     r = quality.truncation_report("s", spark.range(10), spark.range(7)).first()
     assert (r.seen, r.written, r.cut) == (10, 7, 3)
 
+
+
+# --- nothing is lost ------------------------------------------------------------------------------
+def test_a_stream_into_a_used_state_keeps_its_rows(spark, base, tmp_path):
+    state = SignalState(spark, str(tmp_path / "state"))
+    for day in range(5):
+        state.run(base.filter("source <> 'ted'"), NOW + dt.timedelta(days=day))
+    before = state.current().count()
+    base.filter("source = 'ted'").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(base.schema).parquet(str(tmp_path / "in"))
+    stream_into_state(stream, state, str(tmp_path / "ckpt"), NOW).awaitTermination()
+    assert state.current().count() == before + base.filter("source = 'ted'").count()
+    assert state.last_version() == 6
+
+
+def test_quiet_runs_are_logged_with_numbers_of_their_own(spark, base, tmp_path):
+    state = SignalState(spark, str(tmp_path))
+    empty = base.filter("false")
+    assert [state.run(empty, NOW, sources=["ted", "ba_jobs"]), state.run(base.filter("source = 'ted'"), NOW, sources=["ted", "ba_jobs"]),
+            state.run(empty, NOW)] == [1, 2, 3]
+    log = rows(state.runs(), "run_id", "rows_in")
+    assert log[0] == (1, 0) and log[1] == (1, 0) and log[-1] == (3, 0) and len([x for x in log if x[0] == 2]) == 2
+    assert {r.source for r in delta.fetch_since(state.runs(), AS_OF).collect()} >= {"ted", "ba_jobs"}
+
+
+def test_open_tenders_are_never_late(spark, base):
+    since = spark.createDataFrame([("vergabe_dovs", dt.date(2026, 9, 25))], "source string, since date")
+    got = delta.tag_late(base, since, dt.date(2026, 9, 21), F.col("signal_type") == signals.OPEN_TENDER)
+    assert got.filter(F.col("late") & (F.col("signal_type") == signals.OPEN_TENDER)).count() == 0
+    assert delta.tag_late(base, since, dt.date(2026, 9, 21)).filter(F.col("late") & (F.col("signal_type") == signals.OPEN_TENDER)).count() > 0
+
+
+def test_names_that_share_a_long_beginning_stay_apart(spark, tmp_path):
+    from fixtures import org, release
+    tail = "Arbeitskreis fuer kommunale Datenverarbeitungssysteme "
+    path = write_json_lines(tmp_path / "n.json", [release("n1", "2026-09-20", tenderers=[org(tail + x + " GmbH") for x in ("Nord", "Sued")])])
+    got = signals.signals_of_notices(notices_of_releases(read_releases(spark, path, lines=True)), dt.date(2020, 1, 1), AS_OF)
+    assert got.filter("org_name_raw LIKE 'Arbeitskreis%'").select("external_id").distinct().count() == 2
+
+
+def test_text_at_any_depth(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"deu":["Alpha \\"GmbH\\", Köln"],"n":7}}}}}}'
+    got = spark.createDataFrame([(deep,)], "j string").select(F.parse_json("j").alias("v")).select(ted.all_strings(F.col("v")).alias("x")).first().x
+    assert got == ['Alpha "GmbH", Köln', "7"]
+
+
+def test_later_row_wins_over_files(spark, tmp_path):
+    from lotwise.sources.enrichment import read_enrichment
+    (tmp_path / "a.csv").write_text("company_id,legal_name,domain\nx,Old,old.de\nx,Mid,mid.de\n" + "y,Other,other.de\n" * 500)
+    (tmp_path / "b.csv").write_text("company_id,legal_name,domain\nx,New,new.de\n")
+    got = read_enrichment(spark, str(tmp_path) + "/*.csv").filter("company_id = 'x'").orderBy("row_no").collect()
+    assert [r.legal_name for r in got] == ["Old", "Mid", "New"]
+
+
+def test_an_unreadable_state_is_an_error(spark, tmp_path):
+    state = SignalState(spark, str(tmp_path))
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "runs" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        state.last_version()

@@ -2,13 +2,15 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from fixtures import AS_OF, write_documents
+from fixtures import AS_OF, org, release, write_documents
 from pyspark.sql import functions as F
 from test_flow import JOBS, TED, write_json_lines
 
 from lotwise import jobs
+from lotwise.operators.signals import OPEN_TENDER
 from lotwise.operators.parties import notices_of_releases, participations_of_notices
 from lotwise.sources.notices import read_months
+from lotwise.sources.registry import UnreadableDocuments
 from lotwise.sources.state import SignalState
 
 MONTHS = ["2026-08", "2026-09"]
@@ -22,6 +24,31 @@ def corpus(tmp_path_factory):
     return str(root)
 
 
+def test_a_broken_document_stops_the_jobs(spark, tmp_path):
+    (tmp_path / "pub_month=2026-09").mkdir()
+    folder = write_documents(tmp_path / "pub_month=2026-09", broken=True)
+    with pytest.raises(UnreadableDocuments):
+        jobs.market_list(spark, str(tmp_path), MONTHS, AS_OF, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "rejects")).count() == 1
+    state = SignalState(spark, str(tmp_path / "state"))
+    with pytest.raises(jobs.RunFailed, match="unreadable"):
+        jobs.weekly_run(spark, {"vergabe_dovs": folder, "rejects": str(tmp_path / "weekly")}, state, dt.datetime.combine(AS_OF, dt.time(6)))
+    assert spark.read.parquet(str(tmp_path / "weekly")).count() == 1 and state.current().count() == 0
+
+
+def test_open_tenders_reach_the_state_when_due(spark, tmp_path):
+    """Published on 1 August, deadline 1 October, a fresh bidder every week: due from 7 September on."""
+    state = SignalState(spark, str(tmp_path / "state"))
+    for week in range(5):
+        day = dt.date(2026, 8, 24) + dt.timedelta(days=7 * week)
+        (tmp_path / str(week)).mkdir()
+        path = write_documents(tmp_path / str(week), [release("t", "2026-08-01", deadline="2026-10-01")] + [
+            release(f"b{week}-{i}", day.isoformat(), tenderers=[org(f"Firma {week} {i} GmbH")]) for i in range(5)])
+        jobs.weekly_run(spark, {"vergabe_dovs": path}, state, dt.datetime.combine(day, dt.time(6)))
+    stored = state.current().filter(F.col("signal_type") == OPEN_TENDER).collect()
+    assert len(stored) == 1 and stored[0].last_seen_run >= 3
+
+
 def test_whole_chain(spark, corpus, tmp_path):
     market = jobs.market_list(spark, corpus, MONTHS, AS_OF, str(tmp_path / "market"))
     assert market.count() == 4

@@ -16,7 +16,7 @@ SINCE = dt.date(2026, 8, 2)
 
 @pytest.fixture(scope="module")
 def docs(spark, tmp_path_factory):
-    return src.read_documents(spark, write_documents(tmp_path_factory.mktemp("docs"))).cache()
+    return src.read_documents(spark, write_documents(tmp_path_factory.mktemp("docs"), broken=True)).cache()
 
 
 @pytest.fixture(scope="module")
