@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 from lotwise.llm.base import landed, query, table
 
 HEAD = 1 << 17
-OWN, ENDINGS = 400, 111
+OWN, ENDINGS = 300, 83
 UNITS = 1 + OWN + ENDINGS  # unit 0: the end of a text; also what stands before its first token
 CONTEXT, SIZE = 3, 24
-BATCH, NOISE, RATE, ROUNDS, FAN, SEED = 4096, 64, 0.15, 3, 32, 17
+BATCH, NOISE, RATE, ROUNDS, FAN, SEED = 2048, 32, 0.15, 3, 32, 17
+SCORED = 1024  # tokens whose logits are held at a time
 FLUSH = 1 << 20  # distinct words a task holds before it passes their counts on
 
 
@@ -194,14 +195,18 @@ class LogBilinear:
 
     def log10(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the units after their contexts."""
-        q = sum(self.p[i][c] for i, c in enumerate(contexts))
-        logits = q @ self.t.T
-        logits += self.b
-        own = logits[np.arange(len(units)), units].astype(np.float64)
-        top = logits.max(axis=1)
-        logits -= top[:, None]
+        q = np.ones((len(units), SIZE + 1), dtype=np.float32)
+        q[:, :SIZE] = self.p[0][contexts[0]]
+        for i in range(1, CONTEXT):
+            q[:, :SIZE] += self.p[i][contexts[i]]
+        logits = q @ np.concatenate([self.t, self.b[:, None]], axis=1).T
+        own, shift = logits[np.arange(len(units)), units].astype(np.float64), 0.0
+        if logits.max(initial=0) > 60 or logits.min(initial=0) < -60:  # keeps the sums in range
+            shift = logits.max(axis=1, keepdims=True)
+            logits -= shift
+            shift = shift[:, 0]
         np.exp(logits, out=logits)
-        return (own - top - np.log(logits.sum(axis=1, dtype=np.float64))) / np.log(10)
+        return (own - shift - np.log((logits @ np.ones(UNITS, dtype=np.float32)).astype(np.float64))) / np.log(10)
 
 
 def _scatter(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -278,9 +283,9 @@ def _scores(model):
             i = b.schema.get_field_index("units")
             sums = np.zeros(b.num_rows)
             for contexts, units, text in _sequences(b.column(i)):
-                for a in range(0, len(units), BATCH):
-                    part = slice(a, a + BATCH)
-                    np.add.at(sums, text[part], m.log10(contexts[:, part], units[part]))
+                for a in range(0, len(units), SCORED):
+                    part = slice(a, a + SCORED)
+                    sums += np.bincount(text[part], weights=m.log10(contexts[:, part], units[part]), minlength=b.num_rows)
             keep = [j for j in range(b.num_columns) if j != i]
             yield pa.RecordBatch.from_arrays([b.column(j) for j in keep] + [pa.array(sums)], names=[b.schema.names[j] for j in keep] + ["unit_score"])
     return run
