@@ -376,11 +376,14 @@ def tier_transition(spark, d):
     return company.tier_transitions(company.retier(customer_tiers(spark, d), AS_OF + dt.timedelta(days=180)))
 
 
-@query("rolling_activity", """
+ROLLING = """
 WITH w AS (SELECT CAST(user_id AS VARCHAR) AS account_id, ts,
    make_timestamp(CAST(floor(epoch(ts) / 604800.0) * 604800 AS BIGINT) * 1000000) AS last FROM events),
 x AS (SELECT account_id, last - to_days(7 * i) AS window_start FROM w, range(8) r(i))
-SELECT account_id, window_start, window_start + INTERVAL 56 DAY AS window_end, count(*) AS signals FROM x GROUP BY ALL""")
+SELECT account_id, window_start, window_start + INTERVAL 56 DAY AS window_end, count(*) AS signals FROM x GROUP BY ALL"""
+
+
+@query("rolling_activity", ROLLING)
 def rolling_activity(spark, d):
     return accounts.rolling_activity(accounts.account_key(event_account_signals(spark, d)))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators import accounts, signals as ops
 from lotwise.plans.registry import query
-from lotwise.plans.signals import DELTA, FIRST_END, SECOND_START
+from lotwise.plans.signals import DELTA, FIRST_END, ROLLING, SECOND_START
 from lotwise.plans.views import table
 from lotwise.schemas import SIGNAL_COLUMNS
 from lotwise.session import shared_folder
@@ -17,6 +17,7 @@ from lotwise.sources.state import SignalState
 from lotwise.streaming.signals import land, stream_into_state, without_redeliveries
 
 RUN_AT = dt.datetime(2024, 2, 1)
+CLOSING = "-closing-"
 
 
 def run_folder(spark, name: str) -> str:
@@ -62,6 +63,45 @@ def delta_status_stream(spark, d):
     return state.delta(len(deliveries)).select("signal_id", "source", "external_id", "content_hash", "status")
 
 
+def three_runs(spark, d):
+    """Two overlapping deliveries and a quiet run through the state, all sources asked each time."""
+    state = SignalState(spark, f"{run_folder(spark, 'weekly')}/state")
+    events = as_signals(table(spark, d, "events"))
+    day = F.col("notice_id").cast("long")
+    times = table(spark, d, "events").select(F.col("event_id").alias("_e"), F.col("ts").alias("_ts"))
+    dated = events.join(times, day == F.col("_e")).drop("_e")
+    asked = [r.event_type for r in table(spark, d, "events").select("event_type").distinct().collect()]
+    for part in (F.col("_ts") < F.lit(FIRST_END), F.col("_ts") >= F.lit(SECOND_START), F.lit(False)):
+        state.run(dated.filter(part).drop("_ts"), RUN_AT, sources=[*asked, "silent"])
+    return state
+
+
+RUN_LOG_SQL = f"""
+WITH {DELTA}, asked AS (SELECT DISTINCT event_type AS source FROM events UNION ALL SELECT 'silent'),
+r AS (SELECT 1 AS run_id, source, 'new' AS status FROM old UNION ALL SELECT 2, source, status FROM st),
+g AS (SELECT run_id, source, count(*) AS rows_in, count(*) FILTER (WHERE status = 'new') AS rows_new,
+  count(*) FILTER (WHERE status = 'changed') AS rows_changed, count(*) FILTER (WHERE status = 'unchanged') AS rows_unchanged FROM r GROUP BY ALL)
+SELECT CAST(n.run_id AS BIGINT) AS run_id, source, coalesce(rows_in, 0) AS rows_in, coalesce(rows_new, 0) AS rows_new,
+  coalesce(rows_changed, 0) AS rows_changed, coalesce(rows_unchanged, 0) AS rows_unchanged
+FROM range(1, 4) n(run_id) CROSS JOIN asked LEFT JOIN g USING (run_id, source)"""
+
+
+@query("weekly_run_log", RUN_LOG_SQL)
+def weekly_run_log(spark, d):
+    return three_runs(spark, d).runs().select("run_id", "source", "rows_in", "rows_new", "rows_changed", "rows_unchanged")
+
+
+@query("weekly_state", f"""
+WITH {DELTA}
+SELECT coalesce(new.signal_id, old.signal_id) AS signal_id, coalesce(new.content_hash, old.content_hash) AS content_hash,
+  CAST(CASE WHEN old.signal_id IS NULL THEN 2 ELSE 1 END AS BIGINT) AS first_seen_run,
+  CAST(CASE WHEN new.signal_id IS NULL THEN 1 ELSE 2 END AS BIGINT) AS last_seen_run,
+  CAST(CASE WHEN new.content_hash <> old.content_hash THEN 1 ELSE 0 END AS INTEGER) AS change_count
+FROM new FULL JOIN old USING (signal_id)""")
+def weekly_state(spark, d):
+    return three_runs(spark, d).current().select("signal_id", "content_hash", "first_seen_run", "last_seen_run", "change_count")
+
+
 @query("dedupe_watermark_stream", "SELECT event_id, event_type FROM events")
 def dedupe_watermark_stream(spark, d):
     """Every event delivered twice, landed once."""
@@ -73,12 +113,19 @@ def dedupe_watermark_stream(spark, d):
         "event_id", "event_type")
 
 
-@query("rolling_activity_stream")
+@query("rolling_activity_stream", ROLLING)
 def rolling_activity_stream(spark, d):
-    """Rolling account activity; windows land once the watermark has passed them."""
+    """Rolling account activity, landed as the watermark passes the windows.
+
+    One closing row, a copy of an event a year later, moves the watermark past all data.
+    """
     root = run_folder(spark, "rolling")
-    e = event_stream(spark, d).select(F.col("user_id").cast("string").alias("account_id"), "event_ts")
-    out = accounts.rolling_activity(e.withWatermark("event_ts", "1 day"), days=4, step=2)
+    account = F.col("user_id").cast("string")
+    last = table(spark, d, "events").agg(F.max("ts"), F.min("event_id")).first()
+    e = event_stream(spark, d).select(account.alias("account_id"), "event_ts", "event_id")
+    closing = e.filter(F.col("event_id") == last[1]).withColumn("account_id", F.lit(CLOSING)).withColumn(
+        "event_ts", F.lit(last[0]).cast("timestamp") + F.expr("INTERVAL 365 DAYS"))
+    out = accounts.rolling_activity(e.unionByName(closing).withWatermark("event_ts", "1 day"))
     land(out, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema("account_id string, window_start timestamp, window_end timestamp, signals long").parquet(
-        f"{root}/out")
+    rows = spark.read.schema("account_id string, window_start timestamp, window_end timestamp, signals long").parquet(f"{root}/out")
+    return rows.filter(F.col("account_id") != CLOSING)
