@@ -82,11 +82,18 @@ def tier_fit(tier: Column) -> Column:
     return lookup(tier, rules.TIER_FIT, rules.DEFAULT_TIER_FIT)
 
 
-def signal_raw(signal_type: Column, day: Column, confidence: Column, tier: Column, as_of: Column) -> Column:
-    """Weight x recency x dampened fit x dampened confidence."""
-    weight = lookup(signal_type, rules.SIGNAL_WEIGHTS, rules.DEFAULT_SIGNAL_WEIGHT)
+def signal_factors(signal_type: Column, day: Column, confidence: Column, tier: Column, as_of: Column) -> Column:
+    """struct(weight, recency, fit, confidence, dampened): what a signal's raw score is made of."""
     conf = F.coalesce(F.nullif(confidence, F.lit(0.0)), F.lit(rules.DEFAULT_CONFIDENCE))
-    return F.bround(weight * recency_factor(day, as_of) * dampen(tier_fit(tier)) * dampen(conf), 3)
+    return F.struct(
+        lookup(signal_type, rules.SIGNAL_WEIGHTS, rules.DEFAULT_SIGNAL_WEIGHT).alias("weight"),
+        recency_factor(day, as_of).alias("recency"), dampen(tier_fit(tier)).alias("fit"),
+        conf.alias("confidence"), dampen(conf).alias("dampened"))
+
+
+def signal_raw(factors: Column) -> Column:
+    """Weight x recency x dampened fit x dampened confidence."""
+    return F.bround(factors["weight"] * factors["recency"] * factors["fit"] * factors["dampened"], 3)
 
 
 def account_score(best_raw: Column, n_types: Column, tier: Column) -> Column:

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise import rules
 from lotwise.functions.dates import as_of_lit
-from lotwise.functions.scoring import account_score, signal_raw, stacking_bonus, tier_fit
+from lotwise.functions.scoring import account_score, signal_factors, signal_raw, stacking_bonus, tier_fit
 from lotwise.functions.wording import why_now
-from lotwise.operators.joins import salted_lookup
 
 BUYER_SIDE, JOB_CHECK, ACCOUNT = "buyer_side", "job_check", "account"
 TRACE_SIGNALS = 5
+#: Fixed texts of the trace.
+FORMULA = "min(best(weight x recency x fit_d x conf_d) + stacking, cap) / cap x 100"
+DAMPENING = "fit und confidence wirken auf [0.4 .. 1.0]"
 DRIVER = ["org_name_raw", "org_place", "signal_type", "event_date", "source_url", "match_confidence", "title",
           "buyer", "contract_end", "deadline"]
 JOB_HINT = "Bid-Rolle ausgeschrieben, aber kein IT-Vergabebeleg - ICP vor Ansprache pruefen"
@@ -39,11 +41,11 @@ def _bucket() -> Column:
 def tag_buckets(signals: DataFrame) -> DataFrame:
     """Every active signal with its bucket: account, buyer side, or job ad without proof.
 
-    Nothing is dropped; a sink partitions by ``bucket``.  The lookup is salted over the
-    signals, because one account may hold a large share of them.
+    Nothing is dropped; a sink partitions by ``bucket``.  The lookup has one row per account,
+    so adaptive execution can split an account that holds a large share of the signals.
     """
     proven = it_universe(signals).withColumn("proven", F.lit(True))
-    rows = salted_lookup(account_key(signals), proven, "account_id", ["signal_id"])
+    rows = account_key(signals).join(proven, "account_id", "left")
     return rows.withColumn("bucket", _bucket()).drop("proven")
 
 
@@ -57,10 +59,10 @@ def proven_job_ads(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
 def with_tier(signals: DataFrame, tiers: DataFrame) -> DataFrame:
     """Tier of each account (default C) and whether it is on the market list at all.
 
-    ``tiers`` (account_id, tier) has one row per account; salted like ``tag_buckets``.
+    ``tiers`` (account_id, tier) has one row per account.
     """
     named = tiers.select("account_id", F.col("tier").alias("_t"))
-    return _tiered(salted_lookup(signals, named, "account_id", ["signal_id"]))
+    return _tiered(signals.join(named, "account_id", "left"))
 
 
 def _tiered(rows: DataFrame) -> DataFrame:
@@ -72,13 +74,14 @@ def account_rows(signals: DataFrame, tiers: DataFrame) -> DataFrame:
     """The signals that count for accounts, with their tier: bucket and tier in one lookup."""
     proven = it_universe(signals).withColumn("proven", F.lit(True))
     facts = proven.join(tiers.select("account_id", F.col("tier").alias("_t")), "account_id", "full")
-    rows = salted_lookup(account_key(signals), facts, "account_id", ["signal_id"])
+    rows = account_key(signals).join(facts, "account_id", "left")
     return _tiered(rows.filter(_bucket() == ACCOUNT).drop("proven"))
 
 
 def scored_signals(signals: DataFrame, as_of: dt.date) -> DataFrame:
-    return signals.withColumn("raw", signal_raw(
-        F.col("signal_type"), F.col("event_date"), F.col("match_confidence"), F.col("tier"), as_of_lit(as_of)))
+    """Signals with every factor of their raw score."""
+    facts = signal_factors(F.col("signal_type"), F.col("event_date"), F.col("match_confidence"), F.col("tier"), as_of_lit(as_of))
+    return signals.withColumn("factors", facts).select("*", signal_raw(F.col("factors")).alias("raw"))
 
 
 def _by_strength():
@@ -135,15 +138,19 @@ def account_signals(signals: DataFrame, tiers: DataFrame, as_of: dt.date) -> Dat
 
 
 def score_trace(scored: DataFrame) -> DataFrame:
-    """Per account the derivation of its score as JSON: strongest signals and bonus."""
+    """Per account the derivation of its score as JSON: formula, bonus, the strongest signals
+    with all their factors and, first among them, the driver; a score can be recomputed from it."""
     w = Window.partitionBy("account_id").orderBy(*_by_strength())
     top = (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= TRACE_SIGNALS)
            .groupBy("account_id").agg(F.sort_array(F.collect_list(F.struct(
-               "rank", "signal_type", "event_date", "raw", "match_confidence", "source_url"))).alias("top")))
+               "rank", "signal_type", "event_date", "factors.weight", "factors.recency",
+               F.bround("factors.fit", 3).alias("icp_fit_dampened"), F.bround("factors.confidence", 3).alias("confidence"),
+               F.bround("factors.dampened", 3).alias("confidence_dampened"), "raw", "source_url", "signal_id"))).alias("top")))
     rows = account_scores(scored).join(top, "account_id")
     fit = tier_fit(F.col("tier"))
     return rows.select("account_id", "score", F.to_json(F.struct(
-        "tier", fit.alias("icp_fit"), "signal_count", "signal_types", "stacking_bonus", "top")).alias("score_components"))
+        F.lit(FORMULA).alias("formula"), "tier", fit.alias("icp_fit"), F.lit(DAMPENING).alias("dampening"), "signal_count",
+        "signal_types", "stacking_bonus", F.get("top", F.lit(0)).alias("driver"), "top")).alias("score_components"))
 
 
 def open_procedures(signals: DataFrame, as_of: dt.date) -> DataFrame:

@@ -300,6 +300,27 @@ def score_trace_top5(spark, d):
         "account_id", F.col("rank").cast("long").alias("rank"), "event_id", "raw", "signal_type")
 
 
+RECENCY = """CASE WHEN DATE '2024-03-01' - event_date <= 14 THEN 1.0 WHEN DATE '2024-03-01' - event_date <= 28 THEN 0.8
+   WHEN DATE '2024-03-01' - event_date <= 42 THEN 0.6 WHEN DATE '2024-03-01' - event_date <= 56 THEN 0.4 ELSE 0.2 END::DOUBLE"""
+
+
+@query("score_trace", f"""
+WITH {SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY account_id {ORDER}) AS rank FROM scored)
+SELECT r.account_id, f.score, f.tier, f.signal_count, round_even(f.stack, 3) AS stacking_bonus, rank, r.signal_type, event_date,
+  CAST({WEIGHT} AS DOUBLE) AS weight, {RECENCY} AS recency, round_even(0.4::DOUBLE + 0.6::DOUBLE * {FIT.replace('tier', 'r.tier')}, 3) AS icp_fit_dampened,
+  match_confidence AS confidence, round_even(0.4::DOUBLE + 0.6::DOUBLE * match_confidence, 3) AS confidence_dampened, raw,
+  rank = 1 AS is_driver
+FROM r JOIN final f USING (account_id) WHERE rank <= 5""")
+def score_trace(spark, d):
+    """The trace read back from its JSON, one row per signal in it."""
+    one = "rank long, signal_type string, event_date date, weight double, recency double, icp_fit_dampened double, confidence double, confidence_dampened double, raw double, signal_id string"
+    text = f"formula string, tier string, signal_count long, stacking_bonus double, driver struct<{one.replace(' ', ':').replace(',:', ', ')}>, top array<struct<{one.replace(' ', ':').replace(',:', ', ')}>>"
+    parsed = accounts.score_trace(scored(spark, d)).withColumn("j", F.from_json("score_components", text))
+    rows = parsed.select("account_id", "score", "j.tier", "j.signal_count", "j.stacking_bonus", F.col("j.driver.signal_id").alias("driver"),
+                         F.explode("j.top").alias("s"))
+    return rows.select("account_id", "score", "tier", "signal_count", "stacking_bonus", "s.*", (F.col("s.signal_id") == F.col("driver")).alias("is_driver")).drop("signal_id")
+
+
 @query("account_list", f"""
 WITH {SCORED}, best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY account_id {ORDER}) = 1)
 SELECT f.account_id AS company_id, f.tier, score, b.signal_type, b.event_date AS signal_datum, signal_count AS signal_anzahl,
