@@ -134,16 +134,20 @@ def completeness(participations: DataFrame, notices: DataFrame, out: str) -> Dat
     return table
 
 
-def contact_package(exports: DataFrame, verified: DataFrame, mx: DataFrame, market: DataFrame, account_rows: DataFrame,
+def contact_package(market_exports: DataFrame, signal_exports: DataFrame, verified: DataFrame, mx: DataFrame, market: DataFrame, account_rows: DataFrame,
                     fetched: DataFrame, out: str, sample: int = 30, seed: int = 42) -> DataFrame:
-    """Both contact lists, the contacts on neither list and the audited sample."""
-    people = landed(contacts.contact_rows(contacts.merge_exports(exports), verified, mx), "contacts")
-    for_market = landed(contacts.market_contacts(people, market), "market-contacts")
-    for_signals = landed(contacts.signal_contacts(people, account_rows), "signal-contacts")
+    """Both contact lists, each from its own exports, the contacts on neither list and the audited sample."""
+    def people(exports: DataFrame, name: str) -> DataFrame:
+        return landed(contacts.contact_rows(contacts.merge_exports(exports), verified, mx), name)
+
+    market_people, signal_people = people(market_exports, "market-people"), people(signal_exports, "signal-people")
+    for_market = landed(contacts.market_contacts(market_people, market), "market-contacts")
+    for_signals = landed(contacts.signal_contacts(signal_people, account_rows), "signal-contacts")
     write_csv(for_market.orderBy("round", "account_rank"), f"{out}/market_contacts")
     write_csv(for_signals.orderBy("round", "account_rank"), f"{out}/signal_contacts")
     listed = market.select("company_id").unionByName(account_rows.select("company_id")).distinct()
-    write_csv(contacts.orphans(people, listed), f"{out}/orphans")
+    everyone = market_people.unionByName(signal_people).dropDuplicates(["person"])
+    write_csv(contacts.orphans(everyone, listed), f"{out}/orphans")
     pool = contacts.audit_pool(for_market, for_signals)
     key = F.concat_ws("|", "liste", "person")
     audit = contacts.audit_findings(quality.seeded_sample(pool, key, sample, seed), fetched)

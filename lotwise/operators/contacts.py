@@ -12,9 +12,12 @@ from lotwise.functions.verdicts import (
     copy_warning, email_status, filled_count, link_verdict, persona, persona_rank, person_key,
 )
 from lotwise.operators.joins import salted_lookup
+from lotwise.session import landed
 
 EXPORT_FIELDS = ["company_name", "company_domain", "full_name", "job_title", "location", "profile",
                  "work_email", "mobile_phone", "email_1", "email_2", "email_3"]
+#: Columns an export for the signal list may bring along; used where the list itself has none.
+SIGNAL_FIELDS = ["signal_type", "signal_datum", "why_now", "quell_url"]
 NOT_LISTED = "NEIN - nicht zuordenbar"
 NO_ADDRESS = "keine_adresse"
 
@@ -43,7 +46,10 @@ def contact_rows(contacts: DataFrame, verified: DataFrame, mx: DataFrame) -> Dat
             .withColumn("email", F.lower(F.trim(F.coalesce("work_email", F.lit("")))))
             .withColumn("mail_domain", email_domain(F.col("email"))))
     known = verified.select(F.lower(F.trim("email")).alias("email")).distinct().withColumn("ok", F.lit(True))
-    base = base.join(known, "email", "left").withColumn("verified", F.coalesce("ok", F.lit(False))).drop("ok")
+    # People without an address would all meet in one key; they get keys of their own that nothing matches.
+    key = F.when(F.col("email") == "", F.concat(F.lit("?"), F.pmod(F.xxhash64("person"), F.lit(256)).cast("string"))).otherwise(F.col("email"))
+    base = (base.withColumn("_key", key).join(known.withColumnRenamed("email", "_key"), "_key", "left")
+            .withColumn("verified", F.coalesce("ok", F.lit(False))).drop("ok", "_key"))
     base = salted_lookup(base, mx.select(F.col("domain").alias("mail_domain"), "mx"), "mail_domain",
                          ["email", "full_name"])
     own = F.replace(F.lower(F.coalesce("company_domain", F.lit(""))), F.lit("www."))
@@ -58,7 +64,8 @@ def contact_rows(contacts: DataFrame, verified: DataFrame, mx: DataFrame) -> Dat
         F.coalesce("mobile_phone", F.lit("")).alias("telefon"),
         F.when(phone, F.lit("mobil")).otherwise(F.lit("")).alias("telefon_typ"),
         F.when(phone, F.lit("clay_export")).otherwise(F.lit("")).alias("telefon_quelle"),
-        copy_warning(F.col("email_1"), F.col("email_2"), F.col("email_3")).alias("copy_warnung"))
+        copy_warning(F.col("email_1"), F.col("email_2"), F.col("email_3")).alias("copy_warnung"),
+        *[(F.col(c) if c in contacts.columns else F.lit(None)).cast("string").alias(f"export_{c}") for c in SIGNAL_FIELDS])
 
 
 def attach_list(rows: DataFrame, listed: DataFrame, flag: str) -> DataFrame:
@@ -90,14 +97,15 @@ def choose_contacts(rows: DataFrame, listed: DataFrame, flag: str, account_order
     w = Window.partitionBy("company_id").orderBy(
         F.col("email_status") == NO_ADDRESS,
         F.when(F.col("email_status") == "verifiziert_apollo", 0).otherwise(1),
-        persona_rank(F.col("persona")), "name", "email")
+        persona_rank(F.col("persona")), "name", "email", "person")
     top = rows.withColumn("round", F.row_number().over(w)).filter(F.col("round") <= per_account)
     ranked = attach_list(top, listed, flag)
     reachable = rows.groupBy("company_id").agg(F.count_if(F.col("email_status") != NO_ADDRESS).alias("n"))
     usable = reachable.join(listed.select("company_id"), "company_id").agg(
         (F.coalesce(F.sum("n"), F.lit(0)) >= lead_cap).alias("x"))
-    pool = (ranked.withColumn("_enough", usable.scalar())
-            .filter(~F.col("_enough") | unusable_reason(F.col(flag)).isNull()).drop("_enough"))
+    # The pool ranks the accounts and is joined to their ranks, so it is written once.
+    pool = landed(ranked.withColumn("_enough", usable.scalar())
+                  .filter(~F.col("_enough") | unusable_reason(F.col(flag)).isNull()).drop("_enough"), "pool")
     best = pool.filter("round = 1").orderBy(*account_order, "company_id").limit(account_cap)
     numbered = best.select("company_id", F.row_number().over(
         Window.orderBy(*account_order, "company_id")).alias("account_rank"))
@@ -118,7 +126,9 @@ def signal_contacts(rows: DataFrame, accounts: DataFrame, lead_cap: int = rules.
     listed = accounts.select("company_id", "tier", "score", "signal_type", "signal_datum", "why_now",
                              "quell_url", "match_confidence")
     order = [F.desc(F.coalesce("score", F.lit(0))), F.col("firma")]
-    return choose_contacts(rows, listed, "in_longlist_signale", order, lead_cap, account_cap)
+    chosen = choose_contacts(rows, listed, "in_longlist_signale", order, lead_cap, account_cap)
+    # The list's own wording counts; the export's fills in for companies that are on no list.
+    return chosen.withColumns({c: F.coalesce(F.col(c).cast("string"), F.col(f"export_{c}"), F.lit("")) for c in SIGNAL_FIELDS})
 
 
 def audit_pool(market_rows: DataFrame, signal_rows: DataFrame) -> DataFrame:

@@ -75,10 +75,11 @@ def decide_domains(companies: DataFrame, candidates: DataFrame, buyers: DataFram
     """Domain, confidence, origin and finding per company.
 
     A host may be shared by a third of all claims, so its lookup is salted over the
-    companies claiming it.
+    companies claiming it.  The candidates with their name relations feed the spread, the
+    checks and the result, so they are written once.
     """
     named = companies.select("company_id", "legal_name").withColumn("name_key", company_key(F.col("legal_name")))
-    cand = with_relation(named.join(candidates, "company_id", "left"))
+    cand = landed(with_relation(named.join(candidates, "company_id", "left")), "candidates")
     claimed = claims(cand)
     spread = domain_spread(claimed)
     flags = spread.join(buyers.withColumn("is_buyer", F.lit(True)), "domain", "full")
@@ -127,13 +128,18 @@ def domain_findings(decisions: DataFrame) -> DataFrame:
         F.col("domain") == "", F.lower("legal_name"), "company_id")
 
 
-def domain_statistics(decisions: DataFrame) -> DataFrame:
-    return decisions.groupBy("status").agg(F.count(F.lit(1)).alias("companies"))
+def domain_statistics(decisions: DataFrame, buyers: DataFrame | None = None, spread: DataFrame | None = None) -> DataFrame:
+    """Companies per status and, where given, the known buyer hosts and the spread hosts."""
+    out = decisions.groupBy("status").agg(F.count(F.lit(1)).alias("companies"))
+    for name, hosts in (("buyer_domains_bekannt", buyers), ("gestreute_domains", spread)):
+        if hosts is not None:
+            out = out.unionByName(hosts.agg(F.countDistinct("domain").alias("companies")).select(F.lit(name).alias("status"), "companies"))
+    return out
 
 
 def resolve_domains(notices: DataFrame, companies: DataFrame) -> DataFrame:
-    """Whole chain over nested notices.  Candidates are used in several places and landed once."""
-    contacts = contact_rows(notices)
-    candidates = landed(first_candidates(bidder_contacts(contacts), companies), "candidates")
+    """Whole chain over nested notices; the contact points feed bidders and buyers and are landed once."""
+    contacts = landed(contact_rows(notices), "contact-points")
+    candidates = first_candidates(bidder_contacts(contacts), companies)
     return decide_domains(companies, candidates, buyer_domains(contacts))
 

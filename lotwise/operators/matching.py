@@ -46,13 +46,13 @@ def _probes(ranked: DataFrame, threshold: float, own: str, other: str) -> DataFr
                     F.col("toks").alias(f"toks_{own}"), F.explode(F.slice("toks", F.lit(1), n - need + 1)).alias("probe")))
 
 
-def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD, once: bool = False) -> DataFrame:
     """Pairs of different keys in one block with token Jaccard >= ``threshold``.
 
     ``left``, ``right``: key, block (see ``keyed_names``).  Candidates meet on block, both
     sizes and one rare token, which every true pair shares; frequent tokens are no
     meeting point unless the sizes leave no other.  Token lists are bounded by the length
-    of a name.
+    of a name.  ``once`` is for a list against itself.
     """
     if not 0 < threshold <= 1 or math.isnan(threshold):
         raise ValueError("threshold must be in (0, 1]")
@@ -61,7 +61,7 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
     a = _probes(_ranked_tokens(left, freq), threshold, "a", "b")
     b = _probes(_ranked_tokens(right, freq), threshold, "b", "a")
-    met = a.join(b, ["block", "n_a", "n_b", "probe"]).filter(F.col("key_a") != F.col("key_b"))
+    met = a.join(b, ["block", "n_a", "n_b", "probe"]).filter(F.col("key_a") < F.col("key_b") if once else F.col("key_a") != F.col("key_b"))
     both = met.withColumn("shared", F.array_intersect("toks_a", "toks_b"))
     n = F.size("shared")
     return (both.filter(F.col("probe") == F.get("shared", F.lit(0)))
@@ -70,6 +70,11 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_
             .select("block", "key_a", "key_b", "score"))
 
 
+def pairs_once(names: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """Similar keys of one list, each pair once, the smaller key first."""
+    return similar_names(names, names, threshold, once=True)
+
+
 def best_match(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """The most similar registered key per unknown key; ties go to the smaller key."""
     pairs = similar_names(left, right, threshold)

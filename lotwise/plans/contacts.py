@@ -15,6 +15,7 @@ from lotwise.plans.names import fetched_pages
 from lotwise.plans.registry import query
 from lotwise.plans.signals import TIERS, customer_tiers
 from lotwise.plans.views import table
+from lotwise.session import landed
 
 # --- contacts: every order is a contact of its customer's account --------------------------------
 TITLES = {"1-URGENT": "Bid Manager", "2-HIGH": "Geschäftsführer", "3-MEDIUM": "Referent Angebotswesen",
@@ -72,8 +73,9 @@ def mx_table(spark, d):
 
 
 def prepared(spark, d):
+    """Merged and checked contacts; several steps read them, so they are written once."""
     people = ops.merge_exports(contacts(spark, d))
-    return ops.contact_rows(people, verified_mails(spark, d), mx_table(spark, d))
+    return landed(ops.contact_rows(people, verified_mails(spark, d), mx_table(spark, d)), "contacts")
 
 
 CHECKED = f"""{CONTACTS},
@@ -112,7 +114,7 @@ us AS (SELECT * FROM al WHERE (SELECT count(*) FROM al WHERE email_status <> 'ke
    OR (email_status <> 'keine_adresse' AND in_longlist = 'ja')),
 rk AS (SELECT *, row_number() OVER (PARTITION BY firm ORDER BY (email_status = 'keine_adresse')::INT,
     CASE WHEN email_status = 'verifiziert_apollo' THEN 0 ELSE 1 END,
-    CASE persona WHEN 'Champion - Bid/Tender' THEN 0 WHEN 'Economic Buyer' THEN 1 ELSE 2 END, name, coalesce(mail, '')) AS round FROM us),
+    CASE persona WHEN 'Champion - Bid/Tender' THEN 0 WHEN 'Economic Buyer' THEN 1 ELSE 2 END, name, coalesce(mail, ''), person) AS round FROM us),
 ac AS (SELECT firm, row_number() OVER (ORDER BY CASE tier WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 WHEN 'D' THEN 3 ELSE 9 END,
     coalesce(n, 0) DESC, firm) AS account_rank FROM rk WHERE round = 1 QUALIFY account_rank <= 40)
 SELECT firm AS company_id, name, persona, email_status, tier, CAST(round AS BIGINT) AS round, account_rank FROM rk JOIN ac USING (firm) WHERE round <= 3
@@ -123,6 +125,36 @@ def contacts_round_robin(spark, d):
         F.col("account_rank").cast("long").alias("account_rank"))
 
 
+@query("signal_contacts", f"""
+WITH {CHECKED}, {TIERS},
+al AS (SELECT ck.*, t.tier, t.n * 10 AS score, CASE WHEN t.tier IS NULL THEN 'NEIN - nicht zuordenbar' ELSE 'ja' END AS listed,
+   coalesce(CASE WHEN t.tier IS NOT NULL THEN 'zuschlag_gewonnen' END, 'export ' || o % 3) AS signal_type,
+   coalesce(CAST(t.last AS VARCHAR), '') AS signal_datum, coalesce(CASE WHEN t.tier IS NOT NULL THEN 'Satz ' || t.account_id END, 'Text ' || o % 3) AS why_now
+   FROM ck LEFT JOIN tiers t ON t.account_id = CAST(ck.k AS VARCHAR) AND t.n >= 2),
+us AS (SELECT * FROM al WHERE (SELECT count(*) FROM al WHERE email_status <> 'keine_adresse' AND listed = 'ja') < 1000000
+   OR (email_status <> 'keine_adresse' AND listed = 'ja')),
+rk AS (SELECT *, row_number() OVER (PARTITION BY firm ORDER BY (email_status = 'keine_adresse')::INT,
+    CASE WHEN email_status = 'verifiziert_apollo' THEN 0 ELSE 1 END,
+    CASE persona WHEN 'Champion - Bid/Tender' THEN 0 WHEN 'Economic Buyer' THEN 1 ELSE 2 END, name, coalesce(mail, ''), person) AS round FROM us),
+ac AS (SELECT firm, row_number() OVER (ORDER BY coalesce(score, 0) DESC, firm) AS account_rank FROM rk WHERE round = 1 QUALIFY account_rank <= 1000000)
+SELECT firm AS company_id, name, listed AS in_longlist_signale, signal_type, signal_datum, why_now, CAST(round AS BIGINT) AS round, account_rank
+FROM rk JOIN ac USING (firm) WHERE round <= 3""")
+def signal_contacts(spark, d):
+    """The signal list with fallback columns from the export; caps beyond any account of the tables."""
+    o = F.col("row_no")
+    exports = contacts(spark, d).withColumn("signal_type", F.concat(F.lit("export "), (o % 3).cast("string"))).withColumn(
+        "why_now", F.concat(F.lit("Text "), (o % 3).cast("string")))
+    people = landed(ops.contact_rows(ops.merge_exports(exports), verified_mails(spark, d), mx_table(spark, d)), "contacts")
+    t = customer_tiers(spark, d).filter("participations_total >= 2")
+    on_list = t.select(F.concat(F.lit("firma "), "account_id").alias("company_id"), "tier", (F.col("participations_total") * 10).alias("score"),
+                       F.lit("zuschlag_gewonnen").alias("signal_type"), F.col("proof_date").alias("signal_datum"),
+                       F.concat(F.lit("Satz "), "account_id").alias("why_now"), F.lit(None).cast("string").alias("quell_url"),
+                       F.lit(None).cast("double").alias("match_confidence"))
+    got = ops.signal_contacts(people, on_list, 1_000_000, 1_000_000)
+    return got.select("company_id", "name", "in_longlist_signale", "signal_type", "signal_datum", "why_now",
+                      F.col("round").cast("long").alias("round"), F.col("account_rank").cast("long").alias("account_rank"))
+
+
 @query("orphan_contacts", f"""
 WITH {CONTACTS}, {TIERS} SELECT person, firm AS company_id FROM best WHERE CAST(k AS VARCHAR) NOT IN (SELECT account_id FROM tiers)""")
 def orphan_contacts(spark, d):

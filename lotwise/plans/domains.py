@@ -14,7 +14,6 @@ from lotwise.plans.names import FIRMS, firm_names, sql_key
 from lotwise.plans.registry import query
 from lotwise.plans.signals import customer_tiers, TIERS
 from lotwise.plans.views import AS_OF, table
-from lotwise.session import landed
 
 # --- contact points: every order names its customer as a bidder with an address or two ----------
 
@@ -99,32 +98,35 @@ def domain_spread(spark, d):
 
 
 def decisions(spark, d):
-    cand = landed(ops.first_candidates(bidder_contacts(spark, d), companies(spark, d)), "candidates")
+    cand = ops.first_candidates(bidder_contacts(spark, d), companies(spark, d))
     return ops.decide_domains(companies(spark, d), cand, buyer_hosts(spark, d))
 
 
-@query("domain_decision", f"""
-WITH {CONTACTS} SELECT CAST(k AS VARCHAR) AS company_id, name AS legal_name,
+DECISION = f"""WITH {CONTACTS} SELECT CAST(k AS VARCHAR) AS company_id, name AS legal_name,
   CASE WHEN status = 'amtlich_bestaetigt' THEN u WHEN status = 'amtlich_namensbezug' THEN
      CASE WHEN u IS NOT NULL AND m IS NOT NULL AND NOT ru THEN m ELSE coalesce(u, m) END ELSE '' END AS domain,
   CASE status WHEN 'amtlich_bestaetigt' THEN 0.95 WHEN 'amtlich_namensbezug' THEN 0.90 WHEN 'unter_schwelle' THEN 0.60 END::DOUBLE AS domain_confidence,
   CASE WHEN status IN ('amtlich_bestaetigt', 'amtlich_namensbezug') THEN status WHEN status = 'unter_schwelle' THEN 'amtlich_unbestaetigt' ELSE '' END AS domain_source,
   coalesce(u, '') AS kandidat_url, coalesce(m, '') AS kandidat_mail,
   CASE status WHEN 'verworfen_verdacht' THEN dt WHEN 'verworfen_widerspruch' THEN 'url und Mail widersprechen sich, Namensbezug entscheidet nicht'
-    WHEN 'unter_schwelle' THEN 'kein Namensbezug, Einzelquelle - unter Schwelle' ELSE '' END AS befund, status FROM dec""")
+    WHEN 'unter_schwelle' THEN 'kein Namensbezug, Einzelquelle - unter Schwelle' ELSE '' END AS befund, status FROM dec"""
+
+
+@query("domain_decision", DECISION)
 def domain_decision(spark, d):
     return decisions(spark, d)
 
 
-@query("domain_findings", f"""
-WITH {CONTACTS} SELECT CAST(k AS VARCHAR) AS company_id, name AS legal_name, status LIKE 'amtlich%' AS found FROM dec WHERE status <> 'ohne_kandidat'""")
+@query("domain_findings", f"SELECT * EXCLUDE (status) FROM ({DECISION}) WHERE status <> 'ohne_kandidat'")
 def domain_findings(spark, d):
-    return ops.domain_findings(decisions(spark, d)).select("company_id", "legal_name", (F.col("domain") != "").alias("found"))
+    return ops.domain_findings(decisions(spark, d))
 
 
-@query("domain_statistics", f"WITH {CONTACTS} SELECT status, count(*) AS companies FROM dec GROUP BY 1")
+@query("domain_statistics", f"""WITH {CONTACTS} SELECT status, count(*) AS companies FROM dec GROUP BY 1
+UNION ALL SELECT 'buyer_domains_bekannt', count(DISTINCT dom) FROM bh UNION ALL SELECT 'gestreute_domains', count(*) FROM spread""")
 def domain_statistics(spark, d):
-    return ops.domain_statistics(decisions(spark, d))
+    spread = ops.domain_spread(ops.claims(ops.with_relation(named_candidates(spark, d))))
+    return ops.domain_statistics(decisions(spark, d), buyer_hosts(spark, d), spread)
 
 
 # --- enrichment: every order is one record of an export, later rows win ---------------------------

@@ -159,11 +159,11 @@ WITH {FIRMS}, keyed AS (SELECT DISTINCT {sql_key('name')} AS key,
 toks AS (SELECT key, block, list_distinct(string_split(key, ' ')) AS t FROM keyed),
 scored AS (SELECT a.block, a.key AS key_a, b.key AS key_b,
    len(list_intersect(a.t, b.t))::DOUBLE / len(list_distinct(list_concat(a.t, b.t))) AS score
-   FROM toks a JOIN toks b ON a.block = b.block AND a.key <> b.key)
+   FROM toks a JOIN toks b ON a.block = b.block AND a.key < b.key)
 SELECT block, key_a, key_b, round_even(score, 6) AS score FROM scored WHERE score >= 0.6 - 1e-9""")
 def block_match(spark, d):
     keyed = landed(matching.keyed_names(firm_names(spark, d)), "names")
-    return matching.similar_names(keyed, keyed, 0.6).withColumn("score", F.bround("score", 6))
+    return matching.pairs_once(keyed, 0.6).withColumn("score", F.bround("score", 6))
 
 
 @query("best_match", f"""
