@@ -33,7 +33,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.base import landed, query, table
@@ -43,6 +43,7 @@ EMPTY = 255  # byte of a cell no run fell into
 BANDS, SAMPLED = 24, 6  # cells whose bits a band samples
 LIKE = 0.8
 RANGES = 4  # ranges of ids per shuffle partition
+STEP = 64  # splits compared at a time
 
 
 @cache
@@ -143,21 +144,32 @@ def _edited(row: tuple, text: str, points: np.ndarray, following: bytes) -> tupl
     return doc_id, n, digest, own.hex(), edited.hex(), likeness(own, edited), likeness(own, following)
 
 
+def _range_of(splits: list[int]) -> Column:
+    """Number of the range of doc_id, by falling ids: how many splits are larger; a null id is in the last one."""
+    if not splits:
+        return F.lit(0)
+    def listed(values: list[int]) -> str:
+        return "CAST(array(" + ", ".join(f"{s}L" for s in values) + ") AS array<bigint>)"
+
+    blocks = f"size(filter({listed(splits[STEP - 1::STEP])}, s -> s <= doc_id)) * {STEP}"
+    below = f"{blocks} + size(filter(slice({listed(splits)}, {blocks} + 1, {STEP}), s -> s <= doc_id))"
+    return F.expr(f"CAST(IF(doc_id IS NULL, {len(splits)}, {len(splits)} - ({below})) AS int)")
+
+
 def with_successors(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> (range, extra, doc_id, text) dealt and sorted so that each row's successor by falling id follows it."""
     spark = docs.sparkSession
     ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     splits = sorted(set(docs.where("doc_id IS NOT NULL").select("doc_id").approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
-    at = F.expr(f"size(filter(array({', '.join(f'{int(s)}L' for s in splits)}), s -> s > doc_id))") if splits else F.lit(0)
-    at = F.when(F.col("doc_id").isNull(), F.lit(len(splits))).otherwise(at)
-    heads = sorted((r.at, r.top) for r in docs.select("doc_id", at.alias("at")).groupBy("at").agg(F.max("doc_id").alias("top")).collect())
-    sent = [(heads[i - 1][0], n, top) for i, (n, top) in enumerate(heads)]
-    before = F.lit(None).cast("int")
-    for to, n, top in sent:
-        first = F.col("doc_id").isNull() if top is None else F.col("doc_id") == top
-        before = F.when((F.col("at") == n) & first, F.lit(to)).otherwise(before)
+    docs = docs.withColumn("at", _range_of([int(x) for x in splits]))
+    heads = sorted((r.at, r.top) for r in docs.select("doc_id", "at").groupBy("at").agg(F.max("doc_id").alias("top")).collect())
+    top, sent_to = [None] * (len(splits) + 1), [None] * (len(splits) + 1)
+    for i, (n, largest) in enumerate(heads):
+        top[n], sent_to[n] = largest, heads[i - 1][0]
+    first = F.col("doc_id").eqNullSafe(F.get(F.array(*[F.lit(x).cast("long") for x in top]), F.col("at")))
+    before = F.when(first, F.get(F.array(*[F.lit(x).cast("int") for x in sent_to]), F.col("at")))
     places = F.expr("IF(before IS NULL, array(struct(at AS `range`, 0 AS extra)), array(struct(at AS `range`, 0 AS extra), struct(before AS `range`, 1 AS extra)))")
-    return (docs.select("doc_id", "text", at.cast("int").alias("at")).withColumn("before", before)
+    return (docs.select("doc_id", "text", "at").withColumn("before", before)
             .select(F.explode(places).alias("p"), "doc_id", "text").select("p.range", "p.extra", "doc_id", "text")
             .repartition("range").sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), F.md5(F.coalesce("text", F.lit("")))))
 
