@@ -27,12 +27,13 @@ class RunFailed(RuntimeError):
     """At least one source failed; its zeros mean an outage, not "no changes"."""
 
 
-def market_list(spark: SparkSession, corpus: str, months: list[str], as_of: dt.date, out: str) -> DataFrame:
+def market_list(spark: SparkSession, corpus: str, months: list[str], as_of: dt.date, out: str, lines: bool = False) -> DataFrame:
     """Market list of the given months: list, supplier ids, summary and missing months.
 
-    Documents that cannot be read are written to ``rejects`` and stop the job.
+    ``lines`` is for a compacted corpus (one release per line, see ``notices.compact``).
+    What cannot be read is written to ``rejects`` and stops the job.
     """
-    releases, rejects = read_checked(spark, corpus, months)
+    releases, rejects = read_checked(spark, corpus, months, lines)
     report_rejects(rejects, f"{out}/rejects")
     parts = landed(participations_of_notices(notices_of_releases(releases)), "participations")
     company.market_list(parts, as_of).write.mode("overwrite").parquet(f"{out}/market")

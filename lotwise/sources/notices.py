@@ -32,18 +32,42 @@ def rejected_documents(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("doc").isNull()).select("path", "value")
 
 
-def read_checked(spark: SparkSession, path: str, months: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Releases under ``path`` and the documents that could not be read.
+def read_checked(spark: SparkSession, path: str, months: list[str] | None = None, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Releases under ``path`` and what could not be read (path, value).
 
-    Documents are parsed once and landed; the text is kept of unreadable ones only.
+    Input is parsed once and landed; the text is kept of unreadable documents or lines only.
     """
-    docs = read_documents(spark, path)
+    if lines:
+        schema = _struct(RELEASE).add("_broken", "string")
+        docs = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path).withColumn("path", F.input_file_name())
+    else:
+        docs = read_documents(spark, path)
+        docs = docs.withColumn("value", F.when(F.col("doc").isNull(), F.col("value")))
     if months is not None:
         docs = docs.filter(F.col("pub_month").isin(months))
-    parsed = landed(docs.withColumn("value", F.when(F.col("doc").isNull(), F.col("value"))), "documents")
+    parsed = landed(docs, "documents")
+    if lines:
+        return (parsed.filter("_broken IS NULL").drop("_broken", "path"),
+                parsed.filter("_broken IS NOT NULL").select("path", F.col("_broken").alias("value")))
     return releases_of_documents(parsed), rejected_documents(parsed)
 
 
+def compact(spark: SparkSession, path: str, out: str, rejects: str) -> int:
+    """Turn packages into one release per line, by publication month where the input has months.
+
+    A package is one string and one task however large it is; lines split over tasks, so
+    this is done once per landed package and the jobs read the lines.  Returns the number
+    of unreadable documents, which are written to ``rejects``.
+    """
+    releases, broken = read_checked(spark, path)
+    writer = releases.write.mode("append")
+    (writer.partitionBy("pub_month") if "pub_month" in releases.columns else writer).json(out)
+    n = broken.count()
+    if n:
+        broken.write.mode("append").parquet(rejects)
+    return n
+
+
 def _struct(ddl: str) -> StructType:
     return StructType.fromDDL("r " + ddl)["r"].dataType
 

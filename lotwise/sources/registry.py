@@ -30,6 +30,11 @@ class UnreadableDocuments(RuntimeError):
     """Some documents of a source are broken; going on would silently leave their notices out."""
 
 
+def months_of(paths: dict[str, str]) -> list[str] | None:
+    """``paths["months"]``, a comma list of publication months, keeps a source from reading the whole corpus."""
+    return [m for m in paths["months"].split(",") if m] if paths.get("months") else None
+
+
 def report_rejects(rejects: DataFrame, path: str | None) -> None:
     """Write unreadable documents beside the results and refuse to go on if there are any."""
     n = rejects.count()
@@ -42,7 +47,7 @@ def report_rejects(rejects: DataFrame, path: str | None) -> None:
 @source("vergabe_dovs")
 def _notices(spark, paths, since, as_of):
     deadlines = read_deadlines(spark, paths["deadlines"]) if "deadlines" in paths else None
-    releases, rejects = read_checked(spark, paths["vergabe_dovs"])
+    releases, rejects = read_checked(spark, paths["vergabe_dovs"], months_of(paths), paths.get("form") == "lines")
     report_rejects(rejects, paths.get("rejects"))
     return signals_of_notices(notices_of_releases(releases), since, as_of, deadlines)
 

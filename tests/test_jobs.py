@@ -9,7 +9,8 @@ from test_flow import JOBS, TED, write_json_lines
 from lotwise import jobs
 from lotwise.operators.signals import OPEN_TENDER
 from lotwise.operators.parties import notices_of_releases, participations_of_notices
-from lotwise.sources.notices import read_months
+from lotwise.sources.enrichment import read_enrichment
+from lotwise.sources.notices import compact, read_months
 from lotwise.sources.registry import UnreadableDocuments
 from lotwise.sources.state import SignalState
 
@@ -80,3 +81,57 @@ def test_whole_chain(spark, corpus, tmp_path):
 
     found = jobs.domain_findings(spark, corpus, MONTHS, market, str(tmp_path / "d"))
     assert found.filter(F.col("status") == "ohne_kandidat").count() == 4
+
+
+def test_compacted_corpus_gives_the_same_list(spark, corpus, tmp_path):
+    lines = str(tmp_path / "lines")
+    assert compact(spark, corpus, lines, str(tmp_path / "rejects")) == 0
+    got = jobs.market_list(spark, lines, MONTHS, AS_OF, str(tmp_path / "a"), lines=True)
+    want = jobs.market_list(spark, corpus, MONTHS, AS_OF, str(tmp_path / "b"))
+    assert rows(got, *got.columns) == rows(want, *want.columns)
+    (tmp_path / "lines" / "pub_month=2026-09" / "x.json").write_text('{"id": "q", "ocid": ')
+    with pytest.raises(UnreadableDocuments):
+        jobs.market_list(spark, lines, MONTHS, AS_OF, str(tmp_path / "c"), lines=True)
+
+
+def test_weekly_source_reads_the_named_months(spark, corpus, tmp_path):
+    state = SignalState(spark, str(tmp_path / "state"))
+    at = dt.datetime.combine(AS_OF, dt.time(6))
+    jobs.weekly_run(spark, {"vergabe_dovs": corpus, "months": "2026-08"}, state, at)
+    assert state.current().count() == 0 and state.runs().count() == 1
+    other = SignalState(spark, str(tmp_path / "other"))
+    jobs.weekly_run(spark, {"vergabe_dovs": corpus, "months": "2026-08,2026-09"}, other, at)
+    assert other.current().count() > 5
+
+
+def test_contact_package(spark, tmp_path):
+    def export(names, firm):
+        cols = {"company_name": firm, "company_domain": "firma.de", "location": "Bonn", "email_1": "Guten Tag", "email_2": None, "email_3": None,
+                "mobile_phone": None, "why_now": "aus dem Export", "signal_type": "export", "signal_datum": "2026-09-01", "quell_url": "https://q"}
+        df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "full_name string, row_no long")
+        return df.withColumns({k: F.lit(v).cast("string") for k, v in cols.items()}).withColumns({
+            "job_title": F.lit("Bid Manager"), "profile": F.concat(F.lit("https://p/"), "full_name"), "file_order": F.lit(0),
+            "work_email": F.concat(F.lower("full_name"), F.lit("@firma.de"))})
+
+    market = spark.createDataFrame([("alpha", "A", "zuschlag_benannt", "P1_zuschlag_24m", "u1", AS_OF, 3, 1)],
+                                   "company_id string, tier string, tier_status string, proof_type string, proof_url string, proof_date date, participations_total long, buyers_total long")
+    accounts = spark.createDataFrame([("beta", "B", 80, "zuschlag_gewonnen", AS_OF, "Satz", "u2", 0.9)],
+                                     "company_id string, tier string, score int, signal_type string, signal_datum date, why_now string, quell_url string, match_confidence double")
+    verified = spark.createDataFrame([("ann@firma.de",)], "email string")
+    mx = spark.createDataFrame([("firma.de", True)], "domain string, mx boolean")
+    fetched = spark.createDataFrame([("u1", 200, 900, "application/pdf")], "url string, status int, bytes long, content_type string")
+    jobs.contact_package(export(["Ann", "Bob"], "Alpha GmbH"), export(["Cid"], "Beta AG").unionByName(export(["Dan"], "Nobody KG")),
+                         verified, mx, market, accounts, fetched, str(tmp_path))
+    read = {n: spark.read.option("header", True).csv(str(tmp_path / n)) for n in ("market_contacts", "signal_contacts", "orphans")}
+    assert rows(read["market_contacts"], "name", "email_status") == [("Ann", "verifiziert_apollo"), ("Bob", "mx_ok")]
+    assert rows(read["signal_contacts"], "name", "why_now") == [("Cid", "Satz"), ("Dan", "aus dem Export")]
+    assert rows(read["orphans"], "name") == [("Dan",)]
+
+
+def test_merge_enrichment(spark, corpus, tmp_path):
+    market = jobs.market_list(spark, corpus, MONTHS, AS_OF, str(tmp_path / "m"))
+    (tmp_path / "e.csv").write_text("company_id,legal_name,domain,employees\nalpha,Alpha GmbH,alpha.de,120\n,Beta AG,beta.de,90\n")
+    merged = jobs.merge_enrichment(market, read_enrichment(spark, str(tmp_path / "e.csv")), AS_OF, str(tmp_path / "out"))
+    assert {r.company_id: (r.domain, r.matched_by) for r in merged.filter("matched_by IS NOT NULL").collect()} == {
+        "alpha": ("alpha.de", "id"), "beta": ("beta.de", "name")}
+    assert spark.read.parquet(str(tmp_path / "out" / "statistics")).first().gematcht == 2
