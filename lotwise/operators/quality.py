@@ -95,13 +95,22 @@ def truncation_report(name: str, rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 def name_quota(documents: DataFrame, text: str = "text", roles: str = ROLE_PATTERN,
                firms: str = FIRM_PATTERN) -> DataFrame:
-    """Per document: role mentions, mentions with a firm name nearby, their share, distinct
-    file numbers.  Mentions stay inside the row; nothing is exploded or shuffled."""
-    windows = mention_windows(F.col(text), roles)
+    """Per document: role mentions, mentions with a firm name nearby, their share, the same per
+    role (``roles``), distinct file numbers.  Mentions stay inside the row; nothing is exploded
+    or shuffled, and a role is one of the few words of the pattern."""
+    seen = F.transform(mention_windows(F.col(text), roles), lambda w: F.struct(
+        F.lower(w["word"]).alias("role"), w["window"].rlike(firms).alias("near")))
+
+    def of(role: Column) -> Column:
+        own = F.filter(F.col("_w"), lambda w: w["role"] == role)
+        return F.struct(role.alias("role"), F.size(own).cast("long").alias("mentions"),
+                        F.size(F.filter(own, lambda w: w["near"])).cast("long").alias("with_firm"))
+
     return (
-        documents.withColumn("_w", windows)
+        documents.withColumn("_w", seen)
         .withColumn("mentions", F.size("_w").cast("long"))
-        .withColumn("with_firm", F.size(F.filter("_w", lambda w: w["window"].rlike(firms))).cast("long"))
+        .withColumn("with_firm", F.size(F.filter("_w", lambda w: w["near"])).cast("long"))
+        .withColumn("roles", F.transform(F.array_sort(F.array_distinct(F.transform("_w", lambda w: w["role"]))), of))
         .withColumn("quota", F.when(F.col("mentions") > 0, F.bround(F.col("with_firm") / F.col("mentions"), 3))
                     .otherwise(F.lit(0.0)))
         .withColumn("file_numbers", F.size(file_numbers(F.col(text))).cast("long"))

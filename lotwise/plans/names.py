@@ -348,7 +348,7 @@ SELECT d.doc_id, coalesce(mentions, 0) AS mentions, coalesce(with_firm, 0) AS wi
   CASE WHEN mentions > 0 THEN round_even(with_firm::DOUBLE / mentions, 3) ELSE 0.0::DOUBLE END AS quota,
   0::BIGINT AS file_numbers FROM documents d LEFT JOIN agg USING (doc_id)""")
 def role_name_quota(spark, d):
-    return quality.name_quota(table(spark, d, "documents").select("doc_id", "text"), "text", ROLES, NEARBY).drop("text")
+    return quality.name_quota(table(spark, d, "documents").select("doc_id", "text"), "text", ROLES, NEARBY).drop("text", "roles")
 
 
 @query("verify_candidate", f"""
@@ -394,3 +394,20 @@ def imprint_check(spark, d):
     v = verify_imprint(tx.html_text(F.col("html")), host, F.concat(host, F.lit(" tion")), city)
     return table(spark, d, "pages").withColumn("v", v).select(
         "page_id", "v.match", "v.name_ratio", "v.confidence_delta")
+
+
+GAP = "repeat('. ', 200)"
+RULING = f"""concat('In der Sache VK 2 - ', doc_id % 90 + 10, '/26 der Antragstellerin ', CASE WHEN doc_id % 3 <> 0 THEN concat('Netz', doc_id % 7, ' GmbH') ELSE 'ohne Namen' END,
+  {GAP}, text, {GAP}, 'die ANTRAGSGEGNERIN und die Beigeladene ', CASE WHEN doc_id % 2 = 0 THEN 'Cloud und Daten AG' ELSE 'unbekannt' END,
+  {GAP}, 'Beigeladene, siehe 1 Verg ', doc_id % 9 + 1, '/25 und VK 2 - ', doc_id % 90 + 10, '/26')"""
+
+
+@query("role_mentions", """
+SELECT doc_id, role, CAST(CASE role WHEN 'beigeladene' THEN 2 ELSE 1 END AS BIGINT) AS mentions,
+  CAST(CASE role WHEN 'antragstellerin' THEN doc_id % 3 <> 0 ELSE doc_id % 2 = 0 END AS BIGINT) AS with_firm, CAST(2 AS BIGINT) AS file_numbers
+FROM documents CROSS JOIN (VALUES ('antragstellerin'), ('antragsgegnerin'), ('beigeladene')) r(role)""")
+def role_mentions(spark, d):
+    """The real patterns on every document, dressed as a ruling: roles, firms and file numbers around its text."""
+    rulings = table(spark, d, "documents").select("doc_id", F.expr(RULING).alias("text"))
+    q = quality.name_quota(rulings)
+    return q.select("doc_id", F.explode("roles").alias("r"), "file_numbers").select("doc_id", "r.*", "file_numbers")
