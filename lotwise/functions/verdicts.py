@@ -29,8 +29,12 @@ def persona_rank(p: Column) -> Column:
     return lookup(p, {rules.PERSONA_CHAMPION: 0, rules.PERSONA_BUYER: 1}, 2)
 
 
-def email_status(email: Column, verified: Column, mx: Column) -> Column:
-    """struct(email_status, email_quelle); ``verified`` and ``mx`` come from landed tables."""
+def email_status(email: Column, verified: Column, mx: Column, origin: Column | None = None) -> Column:
+    """struct(email_status, email_quelle); ``verified`` and ``mx`` come from landed tables.
+
+    ``origin`` says where and when an address was verified; without it the published run counts.
+    """
+    published = F.lit("apollo_people_bulk_match 23.09.2026")
     e = strip(F.lower(F.coalesce(email, F.lit(""))))
     valid = e.rlike(rules.EMAIL_PATTERN)
     status = (F.when(~valid, F.lit("keine_adresse"))
@@ -38,7 +42,7 @@ def email_status(email: Column, verified: Column, mx: Column) -> Column:
               .when(mx, F.lit("mx_ok"))
               .when(~mx, F.lit("kein_mx"))
               .otherwise(F.lit("ungeprueft")))
-    origin = (F.when(status == "verifiziert_apollo", F.lit("apollo_people_bulk_match 23.09.2026"))
+    origin = (F.when(status == "verifiziert_apollo", published if origin is None else F.coalesce(origin, published))
               .when(status == "mx_ok", F.lit("DNS-MX-Abfrage (belegt die Domain, nicht das Postfach)"))
               .when(status == "kein_mx", F.lit("DNS-MX-Abfrage: kein Eintrag"))
               .otherwise(F.lit("")))

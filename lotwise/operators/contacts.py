@@ -39,13 +39,14 @@ def merge_exports(exports: DataFrame) -> DataFrame:
 def contact_rows(contacts: DataFrame, verified: DataFrame, mx: DataFrame) -> DataFrame:
     """Merged contacts with persona, mail status, domain check and text warning.
 
-    ``verified``: one column email of confirmed addresses; ``mx``: domain, mx.  Mail
+    ``verified``: email of confirmed addresses, optionally origin (where and when); ``mx``: domain, mx.  Mail
     domains are very uneven, so that lookup is salted over the addresses.
     """
     base = (contacts.withColumn("company_id", company_key(F.coalesce("company_name", F.lit(""))))
             .withColumn("email", F.lower(F.trim(F.coalesce("work_email", F.lit("")))))
             .withColumn("mail_domain", email_domain(F.col("email"))))
-    known = verified.select(F.lower(F.trim("email")).alias("email")).distinct().withColumn("ok", F.lit(True))
+    origin = F.col("origin") if "origin" in verified.columns else F.lit(None).cast("string")
+    known = verified.groupBy(F.lower(F.trim("email")).alias("email")).agg(F.max(origin).alias("_origin")).withColumn("ok", F.lit(True))
     # People without an address would all meet in one key; they get keys of their own that nothing matches.
     key = F.when(F.col("email") == "", F.concat(F.lit("?"), F.pmod(F.xxhash64("person"), F.lit(256)).cast("string"))).otherwise(F.col("email"))
     base = (base.withColumn("_key", key).join(known.withColumnRenamed("email", "_key"), "_key", "left")
@@ -54,7 +55,7 @@ def contact_rows(contacts: DataFrame, verified: DataFrame, mx: DataFrame) -> Dat
                          ["email", "full_name"])
     own = F.replace(F.lower(F.coalesce("company_domain", F.lit(""))), F.lit("www."))
     phone = blank_to_null(F.col("mobile_phone")).isNotNull()
-    return base.withColumn("s", email_status(F.col("work_email"), F.col("verified"), F.col("mx"))).select(
+    return base.withColumn("s", email_status(F.col("work_email"), F.col("verified"), F.col("mx"), F.col("_origin"))).select(
         "person", "company_id", F.coalesce("company_name", F.lit("")).alias("firma"), own.alias("domain"),
         F.coalesce("full_name", F.lit("")).alias("name"), F.coalesce("job_title", F.lit("")).alias("jobtitel"),
         persona(F.col("job_title")).alias("persona"), F.coalesce("location", F.lit("")).alias("ort"),

@@ -117,13 +117,14 @@ def test_contact_package(spark, tmp_path):
                                    "company_id string, tier string, tier_status string, proof_type string, proof_url string, proof_date date, participations_total long, buyers_total long")
     accounts = spark.createDataFrame([("beta", "B", 80, "zuschlag_gewonnen", AS_OF, "Satz", "u2", 0.9)],
                                      "company_id string, tier string, score int, signal_type string, signal_datum date, why_now string, quell_url string, match_confidence double")
-    verified = spark.createDataFrame([("ann@firma.de",)], "email string")
+    verified = spark.createDataFrame([("ann@firma.de", "abgleich 01.09.2026")], "email string, origin string")
     mx = spark.createDataFrame([("firma.de", True)], "domain string, mx boolean")
     fetched = spark.createDataFrame([("u1", 200, 900, "application/pdf")], "url string, status int, bytes long, content_type string")
     jobs.contact_package(export(["Ann", "Bob"], "Alpha GmbH"), export(["Cid"], "Beta AG").unionByName(export(["Dan"], "Nobody KG")),
                          verified, mx, market, accounts, fetched, str(tmp_path))
     read = {n: spark.read.option("header", True).csv(str(tmp_path / n)) for n in ("market_contacts", "signal_contacts", "orphans")}
     assert rows(read["market_contacts"], "name", "email_status") == [("Ann", "verifiziert_apollo"), ("Bob", "mx_ok")]
+    assert read["market_contacts"].filter("name = 'Ann'").first().email_quelle == "abgleich 01.09.2026"
     assert rows(read["signal_contacts"], "name", "why_now") == [("Cid", "Satz"), ("Dan", "aus dem Export")]
     assert rows(read["orphans"], "name") == [("Dan",)]
 
