@@ -305,7 +305,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.where("NOT contaminated").select("_row.*")
 
 
-@query("op5_decontamination")
+WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op5_decontamination", f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+s AS (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS p FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 12], ' ') AS g, least(13, len(w)) AS n FROM s),
+sizes AS (SELECT DISTINCT n FROM win),
+t AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n),
+hits AS (SELECT t.doc_id, t.p, t.n, win.item_id FROM t JOIN win ON win.n = t.n AND array_to_string(t.w[t.p:t.p + t.n - 1], ' ') = win.g),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS pos FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:
     found = judged(removal_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
