@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lotwise.llm.base import SPACED_WORD, query, table
+from lotwise.llm.base import SPACED_WORD, landed, query, table
 
 POINTS = 1 << 32
 #: 2**32 divided by the golden ratio, odd: the step of the golden-ratio points.
@@ -106,10 +106,12 @@ def mix(docs: DataFrame, weights: int = 3, epochs: int = 3, block_words: int = 1
     """docs (source, doc_id, size) -> the placed documents of ``stream`` and the pieces the schedule takes of them.
 
     A piece (nth, at, slot, k, from_word, to_word) is a run of words of the document placed
-    at (nth, at); reading pieces by slot gives the mixed corpus.
+    at (nth, at); reading pieces by slot gives the mixed corpus.  Sizes, targets and slots are
+    read by several steps and written once, so texts are read once.
     """
-    goal = targets(docs, weights, epochs)
-    turns = schedule(goal, block_words, least_slots)
+    docs = landed(docs.select("source", "doc_id", "size"), "sizes")
+    goal = landed(targets(docs, weights, epochs), "targets")
+    turns = landed(schedule(goal, block_words, least_slots), "turns")
     placed = stream(docs, goal)
     cuts = (turns.join(goal.select("nth", "source_size", F.floor("target").cast("long").alias("take")), "nth")
             .withColumn("x", F.expr("CAST(CAST(k AS decimal(20)) * take DIV n_slots AS bigint)"))
