@@ -119,7 +119,7 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
 
     for r in counts.mapInArrow(shares, "unit int, c long, n long").where("unit > 0").groupBy("unit").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect():
         v.unit_tokens[r.unit], v.unit_types[r.unit] = r.c, r.n
-    return replace(v)
+    return replace(v)  # works out the shares inside the units from the totals just read
 
 
 def _coded(vocab):

@@ -85,10 +85,9 @@ def _walk(per_stop: DataFrame, shards: int, slack: float) -> DataFrame:
                   (s, x) -> struct(s.first + x.over AS first, concat(s.firsts, array(s.first)) AS firsts),
                   s -> transform(line, (x, i) -> struct(x.stop AS stop, x.shard AS shard, x.n AS n, x.before AS before,
                                                         x.room AS room, x.over AS over, s.firsts[i] AS first)))"""))
-    return (firsts.select(F.explode(F.expr(
-        "transform(line, x -> struct(x.*, filter(moves, m -> m.`from` < x.first + x.over AND m.`to` > x.first) AS moves))"
-        .replace("x.*", ", ".join(f"x.{c} AS {c}" for c in ("stop", "shard", "n", "before", "room", "over", "first"))))).alias("x"))
-        .select("x.*"))
+    facts = ", ".join(f"x.{c} AS {c}" for c in ("stop", "shard", "before", "room", "first"))
+    own = "filter(moves, m -> m.`from` < x.first + x.over AND m.`to` > x.first)"
+    return firsts.select(F.explode(F.expr(f"transform(line, x -> struct({facts}, {own} AS moves))")).alias("x")).select("x.*")
 
 
 def shard(rows: DataFrame, key: list[str], shards: int, vnodes: int = 32, slack: float = 0.0) -> DataFrame:
@@ -105,7 +104,7 @@ def shard(rows: DataFrame, key: list[str], shards: int, vnodes: int = 32, slack:
     stops = _walk(cells.groupBy("stop", "shard").agg(F.sum("n").alias("n")), shards, slack)
     earlier = Window.partitionBy("stop").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     places = (cells.where("n > 0").withColumn("ahead", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-              .select("stop", "_cell", "ahead").join(stops.drop("n", "over"), "stop"))
+              .select("stop", "_cell", "ahead").join(stops, "stop"))
     copies = at.groupBy(*names, "_cell").agg(F.count("*").alias("_copies"))
     order = Window.partitionBy("_cell").orderBy(*[F.col(f"`{c}`") for c in names]).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (copies.withColumn("_rank", F.sum("_copies").over(order) - F.col("_copies"))
