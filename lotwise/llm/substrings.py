@@ -6,17 +6,21 @@ id; every window of that length inside it does too.  The steps:
 1. Seeds.  Words are hashed, every run of ``SEED`` words gets a hash, and of any
    ``WINDOW - SEED + 1`` consecutive ones the smallest is an anchor (winnowing).  A window's
    anchor depends on its words alone, so documents that share a window share an anchor.
-2. Join.  Anchors that two different texts or more hold are joined back to those texts.  All other text takes no further part.
+2. Join.  Anchors are grouped over all documents; those that two different texts or more hold
+   are shared.  They reach the tasks as a bitmap of ``SEED_BITS`` bits (16 MB, whatever the
+   input): a bit set by chance only lets some more windows into the next step.
 3. Extension.  Each shared anchor is extended both ways over all windows that hold it; the
    windows, named by two 64-bit hashes, meet by an aggregate that keeps the smallest id.
 4. Maximal repeats.  Windows of a document that started in a smaller one are merged into
    maximal spans, which are removed.
 
 Nothing is compared pairwise: a passage in a third of all documents costs one row per
-document and window, combined before the shuffle.  Exact copies are settled by a digest: only
-the smallest id of a text takes part in step 3, its copies lose every word (if they have a
-window at all).  A bitmap of ``BITS`` bits (fixed size) keeps documents without a copy or a
-shared anchor out of the shuffles; if it is full they merely take part.
+document and window, combined before the shuffle.  Exact copies are settled by two hashes of
+the text: only the smallest id of a text takes part in step 3, its copies lose every word (if
+they have a window at all).  Texts move only for copies and for documents that lose words; a
+second bitmap (``TEXT_BITS``) tells which, and one that is full only moves more of them.  With far
+more shared anchors than bits nearly all windows take part: the result is the same, at the
+cost of shuffling a row per word.
 
 Defined results: a null text has no words; a document without an id neither loses words nor
 makes others lose them; rows of one id don't affect each other; repeated rows give the same
@@ -37,8 +41,9 @@ from lotwise.llm.base import landed, query, table
 from lotwise.llm.decontamination import _pieces
 
 WINDOW, SEED = 13, 5
-BITS = 1 << 22
-BLOCK = 1 << 20  # bytes hashed at a time
+SEED_BITS, TEXT_BITS = 1 << 27, 1 << 24
+BUCKET = 1 << 15  # bits per row of Spark's bitmap aggregate
+BLOCK = 1 << 16  # bytes hashed at a time
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd; any would do
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -122,29 +127,42 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(seeds[at].view(np.int64)), pa.array(np.repeat(keys[part], counts)[at])], names=["seed", "text_key"])
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_key, text, seeds) -> (w1, w2, doc_id, text_key, start): the windows around shared anchors."""
-    for b in batches:
-        ids, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
-        texts, lists = b.column(2).cast(pa.binary()).to_pylist(), b.column(3)
-        for part in _pieces(texts, 4 * BLOCK):
-            hashes, counts = word_hashes(texts[part])
-            grams, at = _anchors(hashes, counts)
-            text = np.repeat(np.arange(len(counts)), counts)
-            shared = lists.slice(part.start, part.stop - part.start)
-            salt = _mixed(np.arange(len(counts), dtype=np.uint64) + np.uint64(1))
-            known = shared.flatten().to_numpy().view(np.uint64) ^ np.repeat(salt, np.asarray(shared.value_lengths()))
-            at = at[np.isin(grams[at] ^ salt[text[at]], known)]
-            first = np.cumsum(counts) - counts
-            last = (first + counts - WINDOW)[text[at]]
-            cover = np.zeros(len(hashes) + 1, dtype=np.int64)
-            np.add.at(cover, np.maximum(at - (WINDOW - SEED), first[text[at]]), 1)
-            np.add.at(cover, np.minimum(at, last) + 1, -1)
-            start = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-            one, two = (_grams(hashes, WINDOW, m)[start].view(np.int64) for m in MULTIPLIERS)
-            own = text[start]
-            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(ids[part][own]), pa.array(keys[part][own]),
-                                              pa.array((start - first[own]).astype(np.int32))], names=["w1", "w2", "doc_id", "text_key", "start"])
+def _has(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & (len(bitmap) * 8 - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """One column of longs -> a bitmap of their lowest bits, built in Spark; ``bits`` / 8 bytes reach the driver."""
+    at = F.col(values.columns[0]).bitwiseAND(F.lit(bits - 1)) + 1
+    out = np.zeros(bits // 8, dtype=np.uint8).reshape(-1, BUCKET // 8)
+    rows = values.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("part"))
+    for r in rows.toArrow().to_pylist():
+        out[r["bucket"] - 1] = np.frombuffer(r["part"], dtype=np.uint8)
+    return out.ravel()
+
+
+def _window_rows(shared):
+    """(doc_id, text_key, text) -> (w1, w2, doc_id, text_key, start): the windows around shared anchors."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, keys, texts = b.column("doc_id").to_numpy(), b.column("text_key").to_numpy(), b.column("text").cast(pa.binary()).to_pylist()
+            for part in _pieces(texts, 4 * BLOCK):
+                hashes, counts = word_hashes(texts[part])
+                grams, at = _anchors(hashes, counts)
+                at = at[_has(shared.value, grams[at].view(np.int64))]
+                text = np.repeat(np.arange(len(counts)), counts)
+                first = np.cumsum(counts) - counts
+                last = (first + counts - WINDOW)[text[at]]
+                cover = np.zeros(len(hashes) + 1, dtype=np.int64)
+                np.add.at(cover, np.maximum(at - (WINDOW - SEED), first[text[at]]), 1)
+                np.add.at(cover, np.minimum(at, last) + 1, -1)
+                start = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+                one, two = (_grams(hashes, WINDOW, m)[start].view(np.int64) for m in MULTIPLIERS)
+                own = text[start]
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(ids[part][own]), pa.array(keys[part][own]),
+                                                  pa.array((start - first[own]).astype(np.int32))], names=["w1", "w2", "doc_id", "text_key", "start"])
+    return run
 
 
 def spans_of(starts: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -156,26 +174,13 @@ def spans_of(starts: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
     return [(int(starts[a]), int(starts[z]) + window) for a, z in zip(begin, end)]
 
 
-def _settle(bitmap, inside: bool):
-    """(doc_id, text_key, text): the rows in the bitmap with their digest; or the others, which lose nothing, with their result."""
+def _in_bitmap(bitmap, inside: bool, then=None):
+    """The rows (doc_id, text_key, ...) whose text_key is in the bitmap, or the others; handed on to ``then`` in the same task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for b in batches:
-            where = b.column(1).to_numpy() & (BITS - 1)
-            chosen = (bitmap.value[where >> 3] >> (where & 7) & 1).astype(bool)
-            b = b.filter(pa.array(chosen if inside else ~chosen))
-            texts = b.column(2).cast(pa.binary()).to_pylist()
-            if inside:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([xxhash.xxh3_128_digest(t or b"") for t in texts], pa.binary())],
-                                                 names=["doc_id", "text_key", "text", "digest"])
-                continue
-            for part in _pieces(texts):
-                words = [(t or b"").split() for t in texts[part]]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[part.start:part.stop], pa.array(map(len, words), pa.int64()), pa.array([[]] * len(words), SPANS),
-                     pa.array([b" ".join(w) for w in words], pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "spans", "kept"])
-    return run
+            chosen = _has(bitmap.value, b.column("text_key").to_numpy())
+            yield b.filter(pa.array(chosen if inside else ~chosen))
+    return run if then is None else lambda batches: then(run(batches))
 
 
 SPANS = pa.list_(pa.struct([("from_word", pa.int64()), ("to_word", pa.int64())]))
@@ -183,9 +188,12 @@ RESULT = "doc_id long, n_words long, spans array<struct<from_word: bigint, to_wo
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, copy, starts) -> the result row: words outside the maximal spans are kept."""
+    """(doc_id, text, copy, starts) -> the result row: words outside the maximal spans are kept; all without the last two columns."""
     for b in batches:
-        ids, texts, copies, starts = b.column(0), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), b.column(3)
+        ids, texts = b.column("doc_id"), b.column("text").cast(pa.binary()).to_pylist()
+        judged = "copy" in b.schema.names
+        copies = b.column("copy").to_pylist() if judged else [False] * len(texts)
+        starts = b.column("starts") if judged else pa.nulls(len(texts))
         counts, spans, kept = [], [], []
         for i, (t, copy) in enumerate(zip(texts, copies)):
             words = (t or b"").split()
@@ -204,33 +212,42 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, spans (removed, from_word to to_word), kept (the words left, blank-joined)."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                       F.xxhash64(F.lit(1), "text").alias("second_key"), "text")
+    types = "doc_id long, text_key long, second_key long, text string"
     named = docs.where("doc_id IS NOT NULL")
+    copied = landed(named.groupBy("text_key", "second_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "copied")
+    copies = broadcast(_bitmap(copied.select("text_key"), TEXT_BITS))
+    smallest = (named.mapInArrow(_in_bitmap(copies, True), types).join(copied, ["text_key", "second_key"], "left")
+                .where("doc_id = coalesce(first, doc_id)").select("doc_id", "text_key", "text"))
+
     seeds = named.select("text_key", "text").mapInArrow(_seed_rows, "seed long, text_key long")
     shared = seeds.groupBy("seed").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo < hi").select("seed")
-    holders = landed(seeds.join(shared, "seed").groupBy("text_key").agg(F.collect_set("seed").alias("seeds")), "seeds")
-    copied = named.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1")
-    bit = (F.col("text_key").bitwiseAND(F.lit(BITS - 1))).cast("int").alias("bit")
-    bits = holders.select(bit).unionByName(copied.select(bit)).distinct().toArrow()["bit"].to_numpy()  # BITS values at most
-    bitmap = np.zeros(BITS // 8, dtype=np.uint8)
-    np.bitwise_or.at(bitmap, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
-    bitmap = spark.sparkContext.broadcast(bitmap)
-    apart = docs.mapInArrow(_settle(bitmap, False), RESULT)
-    rows = landed(docs.mapInArrow(_settle(bitmap, True), "doc_id long, text_key long, text string, digest binary"), "sharing")
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    own = rows.join(first, "digest").where("doc_id = first").dropDuplicates(["doc_id", "digest"])
-    windows = landed(own.select("doc_id", "text_key", "text").join(holders, "text_key").select("doc_id", "text_key", "text", "seeds")
-                     .mapInArrow(_window_rows, "w1 long, w2 long, doc_id long, text_key long, start int"), "windows")
+    find, window = _window_rows(broadcast(_bitmap(shared, SEED_BITS))), "w1 long, w2 long, doc_id long, text_key long, start int"
+    windows = (named.select("doc_id", "text_key", "text").mapInArrow(_in_bitmap(copies, False, find), window)
+               .unionByName(smallest.mapInArrow(find, window)))
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    removed = (windows.join(least, ["w1", "w2"]).where("doc_id > least")
-               .groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("starts")))
-    marked = (rows.join(first, "digest").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
-              .join(removed, ["doc_id", "text_key"], "left").select("doc_id", "text", "copy", "starts"))
-    return apart.unionByName(marked.mapInArrow(_cut, RESULT))
-
-
-@query("op6_substrings")
+    removed = landed(windows.join(least, ["w1", "w2"]).where("doc_id > least")
+                     .groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts")), "removed")
+
+    losing = broadcast(_bitmap(removed.select("text_key").unionByName(copied.select("text_key")), TEXT_BITS))
+    rest = docs.select("doc_id", "text_key", "text").mapInArrow(_in_bitmap(losing, False, _cut), RESULT)
+    cut = (docs.mapInArrow(_in_bitmap(losing, True), types).join(copied, ["text_key", "second_key"], "left").join(removed, ["doc_id", "text_key"], "left")
+           .select("doc_id", "text", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy"), "starts"))
+    return rest.unionByName(cut.mapInArrow(_cut, RESULT))
+
+
+@query("op6_substrings", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)),
+f AS (SELECT gram, min(doc_id) AS least FROM g GROUP BY gram),
+r AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS at FROM g JOIN f USING (gram) WHERE doc_id > least),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d),
+k AS (SELECT x.doc_id, count(r.at) AS n_removed, string_agg(word, ' ' ORDER BY x.at) FILTER (WHERE r.at IS NULL) AS kept
+      FROM x LEFT JOIN r ON r.doc_id = x.doc_id AND r.at = x.at GROUP BY x.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
 def op6_substrings(spark, sf_dir: str) -> DataFrame:
     found = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", F.expr("aggregate(spans, 0L, (a, s) -> a + s.to_word - s.from_word)").alias("n_removed"),
