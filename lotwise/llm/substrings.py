@@ -10,7 +10,7 @@ id; every window of that length inside it does too.  The steps:
    are shared.  They reach the tasks as a bitmap of ``SEED_BITS`` bits (16 MB, whatever the
    input): a bit set by chance only lets some more windows into the next step.
 3. Extension.  Each shared anchor is extended both ways over all windows that hold it; the
-   windows, named by two 64-bit hashes, meet by an aggregate that keeps the smallest id.
+   windows, named by 96 bits of two hashes, meet by an aggregate that keeps the smallest id.
 4. Maximal repeats.  Windows of a document that started in a smaller one are merged into
    maximal spans, which are removed.
 
@@ -30,15 +30,16 @@ result each; an empty table gives no rows; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.base import landed, query, table
-from lotwise.llm.decontamination import _pieces
 
 WINDOW, SEED = 13, 5
 SEED_BITS, TEXT_BITS = 1 << 27, 1 << 24
@@ -117,12 +118,22 @@ def _anchors(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return seeds, at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
 
 
+def _slices(column: pa.Array, most: int = 4 * BLOCK) -> Iterator[tuple[slice, list[bytes | None]]]:
+    """The texts of a column, about ``most`` bytes at a time and one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, most + (ends[start - 1] if start else 0), side="right")))
+        yield slice(start, stop), column.slice(start, stop - start).cast(pa.binary()).to_pylist()
+        start = stop
+
+
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text_key, text) -> (seed, text_key)."""
     for b in batches:
-        texts, keys = b.column(1).cast(pa.binary()).to_pylist(), b.column(0).to_numpy()
-        for part in _pieces(texts, 4 * BLOCK):
-            hashes, counts = word_hashes(texts[part])
+        keys = b.column(0).to_numpy()
+        for part, texts in _slices(b.column(1)):
+            hashes, counts = word_hashes(texts)
             seeds, at = _anchors(hashes, counts)
             yield pa.RecordBatch.from_arrays([pa.array(seeds[at].view(np.int64)), pa.array(np.repeat(keys[part], counts)[at])], names=["seed", "text_key"])
 
@@ -146,9 +157,9 @@ def _window_rows(shared):
     """(doc_id, text_key, text) -> (w1, w2, doc_id, text_key, start): the windows around shared anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys, texts = b.column("doc_id").to_numpy(), b.column("text_key").to_numpy(), b.column("text").cast(pa.binary()).to_pylist()
-            for part in _pieces(texts, 4 * BLOCK):
-                hashes, counts = word_hashes(texts[part])
+            ids, keys = b.column("doc_id").to_numpy(), b.column("text_key").to_numpy()
+            for part, texts in _slices(b.column("text")):
+                hashes, counts = word_hashes(texts)
                 grams, at = _anchors(hashes, counts)
                 at = at[_has(shared.value, grams[at].view(np.int64))]
                 text = np.repeat(np.arange(len(counts)), counts)
@@ -160,7 +171,7 @@ def _window_rows(shared):
                 start = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
                 one, two = (_grams(hashes, WINDOW, m)[start].view(np.int64) for m in MULTIPLIERS)
                 own = text[start]
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(ids[part][own]), pa.array(keys[part][own]),
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array((two >> 32).astype(np.int32)), pa.array(ids[part][own]), pa.array(keys[part][own]),
                                                   pa.array((start - first[own]).astype(np.int32))], names=["w1", "w2", "doc_id", "text_key", "start"])
     return run
 
@@ -174,10 +185,17 @@ def spans_of(starts: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
     return [(int(starts[a]), int(starts[z]) + window) for a, z in zip(begin, end)]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that a task holds little beside the one it was given."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def _in_bitmap(bitmap, inside: bool, then=None):
     """The rows (doc_id, text_key, ...) whose text_key is in the bitmap, or the others; handed on to ``then`` in the same task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _chunks(batches):
             chosen = _has(bitmap.value, b.column("text_key").to_numpy())
             yield b.filter(pa.array(chosen if inside else ~chosen))
     return run if then is None else lambda batches: then(run(batches))
@@ -189,7 +207,7 @@ RESULT = "doc_id long, n_words long, spans array<struct<from_word: bigint, to_wo
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text, copy, starts) -> the result row: words outside the maximal spans are kept; all without the last two columns."""
-    for b in batches:
+    for b in _chunks(batches):
         ids, texts = b.column("doc_id"), b.column("text").cast(pa.binary()).to_pylist()
         judged = "copy" in b.schema.names
         copies = b.column("copy").to_pylist() if judged else [False] * len(texts)
@@ -210,6 +228,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_words", "spans", "kept"])
 
 
+@contextmanager
+def _small_batches(spark, rows: int = 500):
+    """Texts of a few megabytes at a time go to Python in the jobs run inside; the setting is put back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, spans (removed, from_word to to_word), kept (the words left, blank-joined)."""
     broadcast = docs.sparkSession.sparkContext.broadcast
@@ -224,12 +254,15 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     seeds = named.select("text_key", "text").mapInArrow(_seed_rows, "seed long, text_key long")
     shared = seeds.groupBy("seed").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo < hi").select("seed")
-    find, window = _window_rows(broadcast(_bitmap(shared, SEED_BITS))), "w1 long, w2 long, doc_id long, text_key long, start int"
+    with _small_batches(docs.sparkSession):
+        bitmap = _bitmap(shared, SEED_BITS)
+    find, window = _window_rows(broadcast(bitmap)), "w1 long, w2 int, doc_id long, text_key long, start int"
     windows = (named.select("doc_id", "text_key", "text").mapInArrow(_in_bitmap(copies, False, find), window)
                .unionByName(smallest.mapInArrow(find, window)))
-    least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    removed = landed(windows.join(least, ["w1", "w2"]).where("doc_id > least")
-                     .groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts")), "removed")
+    least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    with _small_batches(docs.sparkSession):
+        removed = landed(windows.join(least, ["w1", "w2"]).where("doc_id > least")
+                         .groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts")), "removed")
 
     losing = broadcast(_bitmap(removed.select("text_key").unionByName(copied.select("text_key")), TEXT_BITS))
     rest = docs.select("doc_id", "text_key", "text").mapInArrow(_in_bitmap(losing, False, _cut), RESULT)
