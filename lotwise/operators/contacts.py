@@ -98,7 +98,7 @@ def choose_contacts(rows: DataFrame, listed: DataFrame, flag: str, account_order
     w = Window.partitionBy("company_id").orderBy(
         F.col("email_status") == NO_ADDRESS,
         F.when(F.col("email_status") == "verifiziert_apollo", 0).otherwise(1),
-        persona_rank(F.col("persona")), "name", "email", "person")
+        persona_rank(F.col("persona")), "name", "email", *[c for c in ("person",) if c in rows.columns])
     top = rows.withColumn("round", F.row_number().over(w)).filter(F.col("round") <= per_account)
     ranked = attach_list(top, listed, flag)
     reachable = rows.groupBy("company_id").agg(F.count_if(F.col("email_status") != NO_ADDRESS).alias("n"))
