@@ -152,6 +152,23 @@ def test_held_out_text_is_better_than_by_counts_alone(spark):
     assert got[0] > got[1]
 
 
+def test_the_model_grows_with_the_distinct_words():
+    assert language_model.UNITS >= 512 and language_model.NOISE >= 64
+    sizes = [1 + sum(language_model.unit_counts(n)) for n in (0, 10**5, 10**6, 10**8)]
+    assert sizes == [512, 512, 1000, 10_000]
+    shares = np.random.default_rng(3).random(1000)
+    shares /= shares.sum()
+    m = language_model.LogBilinear(shares=shares)
+    contexts = np.array([[5, 907], [0, 999], [3, 3]])
+    each = np.array([m.log10(contexts, np.full(2, u)) for u in range(1000)])
+    assert np.allclose((10.0 ** each).sum(axis=0), 1, atol=1e-4)
+    # the next of two units that the small model would give no vector of their own
+    for _ in range(200):
+        previous = np.random.default_rng(2).integers(700, 702, 512)
+        m.learn(np.stack([previous, np.zeros_like(previous), np.zeros_like(previous)]), 1401 - previous, shares)
+    assert m.log10(np.array([[700], [0], [0]]), np.array([701]))[0] > math.log10(0.9)
+
+
 # --- simhash
 
 def brute_prints(texts):
