@@ -10,10 +10,13 @@ Fingerprint.  Every run (start place, character) of the whole text is hashed; th
 hash in each of ``CELLS`` cells is kept by its low byte.  The share of equal cells estimates
 how much of the two outputs agrees (``likeness``).  Equal texts have equal fingerprints.
 
-Near copies.  ``near_links`` samples the bits of a few cells in each band; distinct fingerprints
-with equal bits in a band meet in a bucket.  There the smallest is compared, on all cells, with
-each of the others: those alike are linked to it and leave, the rest goes on without it.  So a
-bucket of any size costs its members once per group of mutually unlike ones, not its pairs.
+Near copies.  Each of ``BANDS`` bands takes the bytes of ``SAMPLED`` cells; distinct fingerprints with
+equal bytes in a band, not all of them empty, meet in a bucket.  A pair at the limit (two thirds of the
+cells equal) meets with a chance of 1 - (1 - (2/3)^5)^50 = 0.999, a closer one more surely.  In a bucket
+a search goes from each fingerprint to all that are alike and not yet reached, on all cells: all
+alike members of a bucket end up linked, be it through others, and a bucket of near copies of
+one text costs its members once.  Buckets with the same members are searched once.  The query gives each
+row the smallest id of its class (equal fingerprints and all that links join) and its fingerprint's links.
 
 The edited text of a document needs the next one by descending id.  Rows are dealt to ranges
 of ids between sampled quantiles and sorted there; the first row of a range is also sent to
@@ -21,7 +24,7 @@ the range before it, so every row has its successor at hand and no task sees all
 walk over the edited text continues that of the original from the place of the edit.
 
 Defined results: a null text is an empty one; the empty text has the fingerprint of no run at all,
-alike only to itself; ids equal or null follow one another by text (null ids last); a single row
+alike only to itself; a class of rows without ids has none; ids equal or null follow one another by text (null ids last); a single row
 is its own successor; an empty table gives no rows; extra columns play no part.
 """
 
@@ -36,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import landed, query, table
+from lotwise.llm.base import components, landed, query, table
 
 PERIOD, KINDS, CELLS, SEED = 1 << 12, 64, 128, 5
 EMPTY = 255  # byte of a cell no run fell into
-BANDS, SAMPLED = 24, 6  # cells whose bits a band samples
+BANDS, SAMPLED = 50, 5  # cells whose bytes a band samples
 LIKE = 0.8
 RANGES = 4  # ranges of ids per shuffle partition
 STEP = 64  # splits compared at a time
@@ -181,37 +184,120 @@ def edit_prints(docs: DataFrame) -> DataFrame:
                                      "near_edited double, near_next double")
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the likeness of a and b to rows (band, bits, a, b)."""
+def _bands() -> list[np.ndarray]:
+    """Cells of the bands: pieces of random orders of all cells, so each cell is in some."""
+    rng, out = np.random.default_rng(SEED), []
+    while len(out) < BANDS:
+        order = rng.permutation(CELLS)
+        out += [np.sort(order[i:i + SAMPLED]) for i in range(0, CELLS - SAMPLED + 1, SAMPLED)]
+    return out[:BANDS]
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, fingerprint) -> (bucket, id), one for each band with a filled cell."""
+    bands = _bands()
     for b in batches:
-        near = [likeness(bytes.fromhex(x), bytes.fromhex(y)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near, pa.float64())], names=[*b.schema.names, "near"])
+        ids = b.column(0).to_numpy()
+        cells = np.frombuffer(bytes.fromhex("".join(b.column(1).to_pylist())), np.uint8).reshape(-1, CELLS)
+        for n, band in enumerate(bands):
+            part = cells[:, band].astype(np.uint64)
+            there = (part != EMPTY).any(axis=1)
+            bits = np.full(len(part), np.uint64(n))
+            for i in range(SAMPLED):
+                bits = bits << np.uint64(8) | part[:, i]
+            yield pa.RecordBatch.from_arrays([pa.array(bits[there].view(np.int64)), pa.array(ids[there])], names=["bucket", "id"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Sorted rows (key, value) -> the values of each key that has several."""
+    key, held = None, []
+    for b in batches:
+        for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if k != key:
+                if len(held) > 1:
+                    yield held
+                key, held = k, []
+            held.append(v)
+    if len(held) > 1:
+        yield held
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, id) in order -> (members, id) of buckets with several ids; members names the set of ids."""
+    names, out, seen = [], [], set()
+    for ids in _groups(batches):
+        name = hashlib.blake2b(np.array(ids, dtype=np.int64).tobytes(), digest_size=16).digest()
+        if name not in seen:
+            seen.add(name)
+            names += [name] * len(ids)
+            out += ids
+        if len(out) >= 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(out, pa.int64())], names=["members", "id"])
+            names, out, seen = [], [], set()
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(out, pa.int64())], names=["members", "id"])
+
+
+def _search(prints: list[str], like: float) -> Iterator[tuple[str, str, float]]:
+    """Links (a, b, near) that join all alike fingerprints of a bucket."""
+    cells = np.frombuffer(bytes.fromhex("".join(prints)), np.uint8).reshape(-1, CELLS)
+    left, reached = np.arange(len(prints)), []
+    while len(left):
+        if reached:
+            x = reached.pop()
+        else:
+            x, left = left[0], left[1:]
+        filled = (cells[left] != EMPTY) | (cells[x] != EMPTY)
+        same = ((cells[left] == cells[x]) & filled).sum(axis=1) / np.maximum(filled.sum(axis=1), 1)
+        near = 2 * same / (1 + same)
+        alike = near >= like
+        for y, n in zip(left[alike].tolist(), near[alike].tolist()):
+            yield min(prints[x], prints[y]), max(prints[x], prints[y]), n
+            reached.append(y)
+        left = left[~alike]
+
+
+def _links(like: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        types = [pa.string(), pa.string(), pa.float64()]
+        for prints in _groups(batches):
+            for link in _search(prints, like):
+                out.append(link)
+                if len(out) >= 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["a", "b", "near"])
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["a", "b", "near"])
+    return run
 
 
 def near_links(prints: DataFrame, like: float = LIKE) -> DataFrame:
     """prints (fingerprint) -> a, b, near: links between different fingerprints at least ``like`` alike.
 
-    Every fingerprint that shares a band with an alike one is linked to one such; the links
-    need not name all alike pairs of a large group.
+    Fingerprints that are alike and share a band are linked, directly or through others; the
+    links need not name all alike pairs of a large group.
     """
-    rng = np.random.default_rng(SEED)
-    bands = [sorted(rng.choice(CELLS, SAMPLED, replace=False).tolist()) for _ in range(BANDS)]
-    bits = F.array(*[F.struct(F.lit(i).alias("band"), F.concat(*[F.substring("fingerprint", 2 * c + 1, 2) for c in cells]).alias("bits"))
-                     for i, cells in enumerate(bands)])
-    rows = prints.select("fingerprint").distinct().select("fingerprint", F.explode(bits).alias("k")).select("k.band", "k.bits", F.col("fingerprint").alias("b"))
-    left, links = rows, None
-    while True:
-        least = left.groupBy("band", "bits").agg(F.min("b").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-        pairs = left.join(least, ["band", "bits"]).where("a != b").select("band", "bits", "a", "b")
-        judged = landed(pairs.mapInArrow(_alike, "band int, bits string, a string, b string, near double"), "alike")
-        if judged.isEmpty():
-            break
-        found = judged.where(F.col("near") >= like).select("a", "b", "near").distinct()
-        links = found if links is None else links.unionByName(found)
-        left = judged.where(F.col("near") < like).select("band", "bits", "b")
-    return links.distinct() if links is not None else rows.sparkSession.createDataFrame([], "a string, b string, near double")
+    named = prints.select("fingerprint").distinct().select(F.xxhash64("fingerprint").alias("id"), "fingerprint")
+    met = (named.mapInArrow(_keys, "bucket long, id long").repartition("bucket").sortWithinPartitions("bucket", "id")
+           .mapInArrow(_met, "members binary, id long").distinct())
+    return (met.join(named, "id").select("members", "fingerprint").repartition("members").sortWithinPartitions("members", "fingerprint")
+            .mapInArrow(_links(like), "a string, b string, near double").distinct())
+
+
+def with_classes(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, fingerprint, ...), which must be landed -> the same with near_class, the smallest id of the class, and n_links."""
+    links = landed(near_links(rows), "near_links")
+    both = links.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))
+    degree = both.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    roots = components(both).join(degree, F.col("node") == F.col("id"), "left").select("node", "root", "n")
+    known = (rows.groupBy(F.xxhash64("fingerprint").alias("print")).agg(F.min("doc_id").alias("own"))
+             .join(roots, F.col("print") == F.col("node"), "left").withColumn("root", F.coalesce("root", "print")))
+    least = known.groupBy("root").agg(F.min("own").alias("near_class"))
+    classes = known.join(least, "root").select("print", "near_class", F.coalesce("n", F.lit(0)).alias("n_links"))
+    return rows.withColumn("print", F.xxhash64("fingerprint")).join(classes, "print").drop("print")
 
 
 @query("op10_edit_prints")
 def op10_edit_prints(spark, sf_dir: str) -> DataFrame:
-    return edit_prints(table(spark, sf_dir, "documents"))
+    return with_classes(landed(edit_prints(table(spark, sf_dir, "documents")), "edit_prints"))

@@ -561,3 +561,34 @@ def test_links_reach_every_near_copy(spark):
     groups = [{find(by[7 * g + i]) for i in range(7)} for g in range(12)]
     assert sum(len(g) == 1 for g in groups) >= 11 and len(set.union(*groups)) >= 12
     assert edit_prints.near_links(spark.createDataFrame([], "fingerprint string")).count() == 0
+
+
+def _print(cells):
+    return bytes(cells).hex()
+
+
+def test_all_alike_members_of_a_bucket_are_joined():
+    a = [1] * 128
+    c = [1] * 100 + [2] * 28
+    b = [1] * 72 + [2] * 56  # alike to c, not to a
+    names = {_print(x): n for x, n in ((a, "a"), (b, "b"), (c, "c"))}
+    assert edit_prints.likeness(bytes(a), bytes(b)) < edit_prints.LIKE <= edit_prints.likeness(bytes(c), bytes(b))
+    for order in ("abc", "cab", "acb"):
+        found = {frozenset((names[x], names[y])) for x, y, _ in edit_prints._search([p for n in order for p in names if names[p] == n], edit_prints.LIKE)}
+        assert found == {frozenset("ac"), frozenset("bc")}
+
+
+def test_the_query_classes_every_near_copy(spark):
+    rng = random.Random(11)
+    first = [[rng.randrange(255) for _ in range(128)] for _ in range(60)]
+    rows = []
+    for g, cells in enumerate(first):
+        there = set(rng.sample(range(128), 86))  # the limit: two thirds of the cells stay
+        rows += [(10 * g + 5, _print(cells)), (10 * g + 3, _print([x if i in there else (x + 1) % 255 for i, x in enumerate(cells)])), (10 * g + 4, _print(cells))]
+    rows += [(9001, _print([255] * 128)), (9000, _print([7] + [255] * 127))]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    got = {r.doc_id: (r.near_class, r.n_links) for r in edit_prints.with_classes(df).collect()}
+    want = {10 * g + i: (10 * g + 3, 1) for g in range(60) for i in (3, 4, 5)} | {9001: (9001, 0), 9000: (9000, 0)}
+    assert got == want
+    out = edit_prints.op10_edit_prints(spark, SF)
+    assert {"near_class", "n_links"} <= set(out.columns) and out.count() == docs_of(spark).count()
