@@ -236,9 +236,12 @@ def scored(docs: DataFrame, field: LineField, keep: list[str]) -> DataFrame:
 
 
 def filter_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without those that are predicted bad, all columns unchanged."""
+    """docs without those that are predicted bad, all columns unchanged; all of them if no label could be learned from."""
+    field = learn(docs, labels)
+    if not field.trained:
+        return docs
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return scored(docs.select(row, "text"), learn(docs, labels), ["_row"]).where("predicted = 1").select("_row.*")
+    return scored(docs.select(row, "text"), field, ["_row"]).where("predicted = 1").select("_row.*")
 
 
 @query("op9_quality")

@@ -505,6 +505,13 @@ def test_odd_documents_and_labels(spark, odd, none):
     assert set(quality.filter_good(odd, labels).columns) == set(odd.columns)
 
 
+def test_nothing_goes_when_nothing_was_learned(odd):
+    labels = odd.sparkSession.createDataFrame([(0, None), (None, 1), (999, 0)], "doc_id long, quality int")
+    for none_usable in (labels, labels.where("false")):
+        kept = quality.filter_good(odd, none_usable)
+        assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
 # --- edit prints
 
 def test_edited_texts_and_prints(spark, odd, none):
