@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a frame; all but the last re
 of docs.  A stage works on all rows it is given:
 
 * quality: documents that the line field predicts bad go;
-* near_copies: of each group of near copies the smallest id stays;
+* near_copies: of each group of near copies the smallest id stays; near are fingerprints of op3 (runs of
+  three words) that differ in at most 3 of 64 bits, which is less than all texts that are 0.8 similar;
 * benchmark: contaminated documents go (at least a twentieth of the words inside benchmark windows);
 * mix: each document stands as often as the mix takes it, 0 to 3 times, to the nearest whole;
 * shards: every row gets one of 40 shards and a gapless slot in it.
