@@ -131,11 +131,11 @@ SINGLE = (
     (2, 0.85, "ruby", "ruby licen", r"ruby licen[sc]e"), (2, 0.85, "postgresql", "postgresql", r"postgresql licen[sc]e"), (2, 0.85, "unicode", "unicode licen", r"unicode licen[sc]e"),
     (2, 0.85, "w3c", "w3c", r"w3c software(?: notice and)? licen[sc]e"), (2, 0.85, "json", "json licen", r"json licen[sc]e"), (2, 0.85, "ftl", "freetype", r"freetype(?: project)? licen[sc]e"),
     (2, 0.85, "ijg", "independent jpeg", r"independent jpeg group(?: licen[sc]e)?"), (2, 0.85, "libpng", "libpng", r"libpng licen[sc]e"), (2, 0.85, "mulan", "mulan", r"mulan permissive software licen[sc]e"),
-    (2, 0.85, "bigscience", "bigscience", r"bigscience (?:open )?rail(?: m)?(?: licen[sc]e)?"), (2, 0.85, "llama", "community license", r"llama(?: [0-9])* community licen[sc]e"),
+    (2, 0.85, "bigscience", "bigscience", r"bigscience (?:open )?rail(?: m)?(?: licen[sc]e)?"), (2, 0.85, "llama", "community licen", r"llama(?: [0-9])* community licen[sc]e"),
     (2, 0.8, "public-domain", "public domain", r"(?:released|placed|dedicated) (?:in|in ?to|to) the public domain"), (3, 0.6, "public-domain", "public domain", r"public domain"),
     (3, 0.75, "mit", "spdx", r"spdx license identifier mit"), (3, 0.75, "isc", "spdx", r"spdx license identifier isc"), (3, 0.75, "unlicense", "spdx", r"spdx license identifier unlicense"),
     (3, 0.7, "proprietary", "all rights reserved", r"all rights reserved"), (3, 0.7, "proprietary", "proprietary", r"proprietary and confidential"),
-    (3, 0.7, "proprietary", "commercial license", r"commercial licen[sc]e"), (3, 0.7, "proprietary", "end user", r"end user licen[sc]e agreement"),
+    (3, 0.7, "proprietary", "commercial licen", r"commercial licen[sc]e"), (3, 0.7, "proprietary", "end user", r"end user licen[sc]e agreement"),
     (9, 0.4, "unknown", "licen", r"(?:released|licen[sc]ed|available|distributed) under(?: the terms of)?"), (9, 0.3, "unknown", "licen", r"licen[sc]e(?:s|d)?"),
     (9, 0.2, "unknown", "copyright", r"copyright"), (9, 0.3, "unknown", "copyleft", r"copyleft"), (9, 0.3, "unknown", "terms of use", r"terms of use"),
 )

@@ -464,6 +464,18 @@ def test_signatures_against_a_plain_scan(spark):
         assert [(d.first_word, d.end_word, d.label) for d in r.detections] == [(s, e, label) for s, e, _, label in kept], texts[r.doc_id]
 
 
+def test_keywords_let_both_spellings_through():
+    for _, _, label, keyword, pattern in licenses.rules():
+        for one, other in (("license", "licence"), ("licence", "license")):
+            assert one not in keyword or pattern.replace("licen[sc]e", other).count(other) == pattern.count(other), (label, keyword)
+
+
+def test_british_spellings_keep_their_labels(spark):
+    texts = ["llama 2 community licence", "llama 2 community license", "a commercial licence", "a commercial license"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    assert {r.doc_id: r.labels for r in got} == {0: ["llama"], 1: ["llama"], 2: ["proprietary"], 3: ["proprietary"]}
+
+
 def test_there_are_hundreds_of_rules():
     assert len(licenses.rules()) > 200
 
