@@ -15,7 +15,7 @@ COLUMNS = ["id", "ocid", "date", "tag", "buyer", "tender", "awards", "parties"]
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON document; partition folders (``pub_month=2026-03``) become columns."""
     docs = spark.read.text(path, wholetext=True)
-    return docs.withColumn("doc", F.from_json("value", DOCUMENT)).withColumn("path", F.input_file_name())
+    return docs.withColumn("doc", F.from_json("value", DOCUMENT)).withColumn("path", F.col("_metadata.file_path"))
 
 
 def releases_of_documents(docs: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def read_checked(spark: SparkSession, path: str, months: list[str] | None = None
     """
     if lines:
         schema = _struct(RELEASE).add("_broken", "string")
-        docs = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path).withColumn("path", F.input_file_name())
+        docs = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path).withColumn("path", F.col("_metadata.file_path"))
     else:
         docs = read_documents(spark, path)
         docs = docs.withColumn("value", F.when(F.col("doc").isNull(), F.col("value")))
