@@ -8,16 +8,20 @@ import uuid
 from pyspark.sql import functions as F
 
 from lotwise.operators import accounts, signals as ops
-from lotwise.plans.registry import query
-from lotwise.plans.signals import DELTA, FIRST_END, ROLLING, SECOND_START
+from lotwise.plans.registry import ORACLES, query
+from lotwise.plans.signals import DELTA, FIRST_END, ROLLING, SECOND_START, run_log
 from lotwise.plans.views import table
-from lotwise.schemas import SIGNAL_COLUMNS
+from lotwise.schemas import RUN_LOG, SIGNAL_COLUMNS
 from lotwise.session import shared_folder
-from lotwise.sources.state import SignalState
+from lotwise.sources.bucketed import BucketedState
+from lotwise.sources.state import STATUS, SignalState
+from lotwise.streaming.keyed import emit_changes
+from lotwise.streaming.late import late_rows as late_bucket, stream_with_late_bucket
 from lotwise.streaming.signals import land, stream_into_state, without_redeliveries
 
 RUN_AT = dt.datetime(2024, 2, 1)
 CLOSING = "-closing-"
+SHIFT = 9000  # days between the run log's orders and the events
 
 
 def run_folder(spark, name: str) -> str:
@@ -129,3 +133,78 @@ def rolling_activity_stream(spark, d):
     land(out, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     rows = spark.read.schema("account_id string, window_start timestamp, window_end timestamp, signals long").parquet(f"{root}/out")
     return rows.filter(F.col("account_id") != CLOSING)
+
+
+KEYED_CHANGES = f"""
+WITH {DELTA},
+three AS (
+  SELECT 1 AS delivery, signal_id, content_hash, 'new' AS status, 0 AS change_count, 1 AS first_delivery FROM old
+  UNION ALL SELECT 2, new.signal_id, new.content_hash, st.status, CASE st.status WHEN 'changed' THEN 1 ELSE 0 END, CASE st.status WHEN 'new' THEN 2 ELSE 1 END
+    FROM new JOIN st USING (signal_id)
+  UNION ALL SELECT 3, old.signal_id, old.content_hash, CASE WHEN st.status = 'changed' THEN 'changed' ELSE 'unchanged' END,
+    CASE WHEN st.status = 'changed' THEN 2 ELSE 0 END, 1 FROM old LEFT JOIN st USING (signal_id))
+SELECT CAST(delivery AS INTEGER) AS delivery, signal_id, content_hash, status, CAST(change_count AS INTEGER) AS change_count,
+  CAST(first_delivery AS INTEGER) AS first_delivery FROM three"""
+
+
+@query("keyed_changes_stream", KEYED_CHANGES)
+def keyed_changes_stream(spark, d):
+    """Three deliveries, the third a repetition of the first, through keyed stream state.
+
+    What the second changed and the third changes back is reported both times.
+    """
+    root = run_folder(spark, "keyed")
+    times = [F.col("ts") < F.lit(FIRST_END), F.col("ts") >= F.lit(SECOND_START), F.col("ts") < F.lit(FIRST_END)]
+    events = table(spark, d, "events")
+    signals = ["signal_id", "source", "external_id", "event_date", "notice_id", "content_hash"]
+    schema = as_signals(events).select(*signals).schema
+    for n, part in enumerate(times, 1):
+        as_signals(events.filter(part)).select(*signals).write.parquet(f"{root}/landed/delivery-{n}")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/landed/delivery-*")
+        emit_changes(stream, f"{root}/out", f"{root}/checkpoint", RUN_AT + dt.timedelta(days=n)).awaitTermination()
+    told = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in schema)}, seen_at timestamp, status string, first_seen_at timestamp, change_count int"
+    number = lambda c: F.datediff(F.col(c), F.lit(RUN_AT)).cast("int")
+    return spark.read.schema(told).parquet(f"{root}/out").select(
+        number("seen_at").alias("delivery"), "signal_id", "content_hash", "status", "change_count", number("first_seen_at").alias("first_delivery"))
+
+
+def two_bucketed_runs(spark, d):
+    """Both deliveries through the bucketed state; the state and the number of the second run."""
+    state = BucketedState(spark, f"{run_folder(spark, 'bucketed')}/state", buckets=8, prefix=1)
+    events = table(spark, d, "events")
+    for part in (F.col("ts") < F.lit(FIRST_END), F.col("ts") >= F.lit(SECOND_START)):
+        run = state.run(as_signals(events.filter(part)), RUN_AT)
+    return state, run
+
+
+@query("bucketed_delta", f"WITH {DELTA} SELECT signal_id, source, external_id, content_hash, status FROM st")
+def bucketed_delta(spark, d):
+    """Statuses of the second delivery against a bucketed state."""
+    state, run = two_bucketed_runs(spark, d)
+    return state.delta(run).select("signal_id", "source", "external_id", "content_hash", "status")
+
+
+@query("bucketed_state", ORACLES["weekly_state"])
+def bucketed_state(spark, d):
+    """The folded state after both deliveries."""
+    state, _ = two_bucketed_runs(spark, d)
+    state.fold()
+    return state.known().select("signal_id", "content_hash", "first_seen_run", "last_seen_run", "change_count")
+
+
+@query("late_rows_stream", ORACLES["late_rows"])
+def late_rows_stream(spark, d):
+    """Every event as a signal of its own through the stream with a late bucket; where each row went."""
+    root = run_folder(spark, "late")
+    state, name = SignalState(spark, f"{root}/state"), f"{root}/checkpoint"
+    log = run_log(spark, d).withColumns({c: F.date_add(F.to_date(c), SHIFT).cast("timestamp") for c in ("started_at", "finished_at")})
+    named = F.when(F.col("source") == "1-URGENT", F.lit("click")).when(F.col("source") == "2-HIGH", F.lit("view")).otherwise(F.col("source"))
+    earlier = spark.createDataFrame([], RUN_LOG).unionByName(log.withColumn("source", named), allowMissingColumns=True)
+    earlier.write.parquet(f"{state.root}/runs")  # the runs before this one ...
+    spark.createDataFrame([], STATUS).write.parquet(f"{state.root}/touched/run=0")  # ... which left no signals
+    signals = as_signals(event_stream(spark, d)).withColumn("external_id", F.col("notice_id")).withColumn(
+        "signal_id", ops.signal_id(F.col("source"), F.col("external_id")))
+    stream_with_late_bucket(signals, state, name, RUN_AT, default=dt.date(2024, 1, 16)).awaitTermination()
+    parts = [(late_bucket(spark, state, name, signals), True), (state.delta(state.last_version()), False)]
+    late, kept = (rows.select(F.col("notice_id").cast("long").alias("event_id"), "source", F.lit(is_late).alias("late")) for rows, is_late in parts)
+    return late.unionByName(kept)
