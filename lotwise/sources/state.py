@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lotwise.operators import delta
 from lotwise.operators.signals import latest_per_key, review_queue
 from lotwise.schemas import RUN_LOG, STATE
+from lotwise.sources.counted import RunCounts
 
 STATUS = STATE + ", status string"
 STATISTICS = "source string, rows_in long, rows_new long, rows_changed long, rows_unchanged long"
@@ -112,12 +113,15 @@ class SignalState:
             return done
         run_id = self.next_run_id()
         touched = delta.apply_run(resolved.select(*CONTENT), self.known(), run_id, at)
-        touched.write.mode("overwrite").parquet(f"{self.root}/touched/run={run_id}")
+        counts = RunCounts(sources or [])
+        counts.watch(touched).write.mode("overwrite").parquet(f"{self.root}/touched/run={run_id}")
         (review_queue(self.delta(run_id)).withColumn("created_at", F.lit(at).cast("timestamp"))
          .write.mode("overwrite").parquet(f"{self.root}/review/run={run_id}"))
-        stats = delta.run_statistics(self.delta(run_id)).filter("source IS NOT NULL")
-        if sources:
-            stats = delta.with_quiet_sources(stats, sources)
+        stats = counts.statistics(self.spark)
+        if stats is None:  # rows of sources nobody named
+            stats = delta.run_statistics(self.delta(run_id)).filter("source IS NOT NULL")
+            if sources:
+                stats = delta.with_quiet_sources(stats, sources)
         self._log(run_id, stats, at, None, batch)
         if run_id - self.base_version() >= self.fold_every:
             self.fold()

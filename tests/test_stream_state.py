@@ -134,3 +134,26 @@ def test_every_release_is_in_one_document(spark, tmp_path, name):
     scans.write_packages(spark, SF, f"{tmp_path}/corpus")
     releases, rejects = notices.read_checked(spark, f"{tmp_path}/corpus")
     assert releases.count() == releases.select("id").distinct().count() == table(spark, SF, name).count() and rejects.count() > 0
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    from lotwise.sources.counted import RunCounts
+    rows = spark.createDataFrame([("a", "new"), ("a", "new"), ("b", "changed"), ("a", "unchanged")], "source string, status string")
+    counts = RunCounts(["a", "quiet", "b", "a"])
+    counts.watch(rows).write.parquet(f"{tmp_path}/out")
+    assert sorted(tuple(r) for r in counts.statistics(spark).collect()) == [("a", 3, 2, 0, 1), ("b", 1, 0, 1, 0), ("quiet", 0, 0, 0, 0)]
+    unnamed = RunCounts(["a"])
+    unnamed.watch(rows).write.parquet(f"{tmp_path}/again")
+    assert unnamed.statistics(spark) is None and RunCounts([]).statistics(spark) is None
+
+
+@pytest.mark.parametrize("n,kept,cut", [(1, 1, 6), (3, 3, 4), (7, 7, 0), (9, 7, 0)])
+def test_a_cut_is_never_silent(spark, tmp_path, n, kept, cut):
+    from lotwise.sources.sinks import write_top
+    spark.range(7).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    record = write_top(rows, f"{tmp_path}/x", [F.desc("id")], n, "x").first()
+    assert tuple(record) == ("x", 7, kept, cut)
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/x/rows").collect()) == list(range(7 - kept, 7))
+    with pytest.raises(ValueError):
+        write_top(rows, f"{tmp_path}/x", [F.desc("id")], 0, "x")
