@@ -31,6 +31,7 @@ is its own successor; an empty table gives no rows; extra columns play no part.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -120,7 +121,7 @@ def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, extra, doc_id, text in zip(*(c.to_pylist() for c in b.columns)):
             if extra and (last is None or last[0] != at):
                 continue
-            text = text or ""
+            text = zlib.decompress(text).decode() if text else ""
             points = code_points(text)
             places = walk(points)
             keep = len(points) - len(points) // 3
@@ -159,8 +160,16 @@ def _range_of(splits: list[int]) -> Column:
     return F.expr(f"CAST(IF(doc_id IS NULL, {len(splits)}, {len(splits)} - ({below})) AS int)")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the way to their range; null for none."""
+    for b in batches:
+        i = b.schema.get_field_index("text")
+        texts = [zlib.compress(t, 1) if t else None for t in b.column(i).cast(pa.binary()).to_pylist()]
+        yield b.set_column(i, "text", pa.array(texts, pa.binary()))
+
+
 def with_successors(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> (range, extra, doc_id, text) dealt and sorted so that each row's successor by falling id follows it."""
+    """docs (doc_id, text) -> (range, extra, doc_id, text: compressed) dealt and sorted so that each row's successor by falling id follows it."""
     spark = docs.sparkSession
     ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     splits = sorted(set(docs.where("doc_id IS NOT NULL").select("doc_id").approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
@@ -172,9 +181,11 @@ def with_successors(docs: DataFrame) -> DataFrame:
     first = F.col("doc_id").eqNullSafe(F.get(F.array(*[F.lit(x).cast("long") for x in top]), F.col("at")))
     before = F.when(first, F.get(F.array(*[F.lit(x).cast("int") for x in sent_to]), F.col("at")))
     places = F.expr("IF(before IS NULL, array(struct(at AS `range`, 0 AS extra)), array(struct(at AS `range`, 0 AS extra), struct(before AS `range`, 1 AS extra)))")
-    return (docs.select("doc_id", "text", "at").withColumn("before", before)
-            .select(F.explode(places).alias("p"), "doc_id", "text").select("p.range", "p.extra", "doc_id", "text")
-            .repartition("range").sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), F.md5(F.coalesce("text", F.lit("")))))
+    tie = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    packed = (docs.select("doc_id", "text", "at", tie.alias("tie"), before.alias("before"))
+              .mapInArrow(_packed, "doc_id long, text binary, at int, tie binary, before int"))
+    return (packed.select(F.explode(places).alias("p"), "doc_id", "text", "tie").select("p.range", "p.extra", "doc_id", "text", "tie")
+            .repartition("range").sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), "tie").drop("tie"))
 
 
 def edit_prints(docs: DataFrame) -> DataFrame:
@@ -198,7 +209,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bands = _bands()
     for b in batches:
         ids = b.column(0).to_numpy()
-        cells = np.frombuffer(bytes.fromhex("".join(b.column(1).to_pylist())), np.uint8).reshape(-1, CELLS)
+        cells = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, CELLS)
         for n, band in enumerate(bands):
             part = cells[:, band].astype(np.uint64)
             there = (part != EMPTY).any(axis=1)
@@ -262,7 +273,7 @@ def _links(like: float):
         out: list[tuple] = []
         types = [pa.string(), pa.string(), pa.float64()]
         for prints in _groups(batches):
-            for link in _search(prints, like):
+            for link in _search([p.hex() for p in prints], like):
                 out.append(link)
                 if len(out) >= 10_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["a", "b", "near"])
@@ -278,15 +289,15 @@ def near_links(prints: DataFrame, like: float = LIKE) -> DataFrame:
     Fingerprints that are alike and share a band are linked, directly or through others; the
     links need not name all alike pairs of a large group.
     """
-    named = prints.select("fingerprint").distinct().select(F.xxhash64("fingerprint").alias("id"), "fingerprint")
+    named = prints.select("fingerprint").distinct().select(F.xxhash64("fingerprint").alias("id"), F.unhex("fingerprint").alias("fingerprint"))
     met = (named.mapInArrow(_keys, "bucket long, id long").repartition("bucket").sortWithinPartitions("bucket", "id")
            .mapInArrow(_met, "members binary, id long").distinct())
     return (met.join(named, "id").select("members", "fingerprint").repartition("members").sortWithinPartitions("members", "fingerprint")
             .mapInArrow(_links(like), "a string, b string, near double").distinct())
 
 
-def with_classes(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, fingerprint, ...), which must be landed -> the same with near_class, the smallest id of the class, and n_links."""
+def _classes(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, fingerprint, ...), which must be landed -> print (hash of the fingerprint), near_class, n_links."""
     links = landed(near_links(rows), "near_links")
     both = links.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))
     degree = both.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
@@ -294,10 +305,22 @@ def with_classes(rows: DataFrame) -> DataFrame:
     known = (rows.groupBy(F.xxhash64("fingerprint").alias("print")).agg(F.min("doc_id").alias("own"))
              .join(roots, F.col("print") == F.col("node"), "left").withColumn("root", F.coalesce("root", "print")))
     least = known.groupBy("root").agg(F.min("own").alias("near_class"))
-    classes = known.join(least, "root").select("print", "near_class", F.coalesce("n", F.lit(0)).alias("n_links"))
-    return rows.withColumn("print", F.xxhash64("fingerprint")).join(classes, "print").drop("print")
+    return known.join(least, "root").select("print", "near_class", F.coalesce("n", F.lit(0)).alias("n_links"))
+
+
+def with_classes(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, fingerprint, ...), which must be landed -> the same with near_class, the smallest id of the class, and n_links."""
+    return rows.withColumn("print", F.xxhash64("fingerprint")).join(_classes(rows), "print").drop("print")
+
+
+HEX = ["edited_sha256", "fingerprint", "edited_fingerprint"]
 
 
 @query("op10_edit_prints")
 def op10_edit_prints(spark, sf_dir: str) -> DataFrame:
-    return with_classes(landed(edit_prints(table(spark, sf_dir, "documents")), "edit_prints"))
+    """Digests are written and joined as bytes and spelled out last."""
+    spelled = {c: F.lower(F.hex(c)) for c in HEX}
+    rows = landed(edit_prints(table(spark, sf_dir, "documents")).withColumns({c: F.unhex(c) for c in HEX}), "edit_prints")
+    classes = _classes(rows.select("doc_id", spelled["fingerprint"].alias("fingerprint")))
+    named = rows.withColumn("print", F.xxhash64(spelled["fingerprint"])).join(classes, "print").drop("print")
+    return named.withColumns(spelled)
