@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lotwise.plans.registry import query
 from lotwise.plans.views import table
 from lotwise.session import landed, shared_folder
-from lotwise.sources import deadlines, notices
+from lotwise.sources import deadlines, enrichment, jobs, notices, ted
 
 MONTHS = [f"1997-{m:02d}" for m in range(1, 13)]
 ABSENT = "1989-07"  # a month no order falls into
@@ -112,3 +112,93 @@ FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem) l LEFT JOIN f ON f.k = l.k"
 def xml_deadlines(spark, d):
     """Deadlines by a real parse of every notice, whatever its prefixes."""
     return deadlines.parsed_deadlines(notice_xml(spark, d))
+
+
+def write_notices(spark: SparkSession, d: str, out: str) -> None:
+    """Orders as EU notices, a field now text, now list, now language map five deep; every tenth in a page of its own."""
+    k = F.col("o_orderkey")
+    names = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    won = (table(spark, d, "lineitem").filter("l_linestatus = 'F'").join(names, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("l_orderkey")
+           .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_shipdate", "s_suppkey", "s_name"))).alias("won")))
+    rows = table(spark, d, "orders").join(won, k == F.col("l_orderkey"))
+    text = lambda *parts: F.to_json(F.array(F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])))
+    inner = lambda c: F.substring(c, 2, 1 << 20).substr(F.lit(1), F.length(c) - 2)  # noqa: E731  the list's only text, quoted
+    title = inner(text("Titel ", k))
+    deep = F.concat(F.lit('{"x": [{"b": [" ", {"fra": "F", "eng": {"q": ["E"]}, "deu": [[" "], {"value": '), inner(text('Käufer "', F.col("o_custkey"), '"')),
+                    F.lit(', "a": "A"}]}]}, "W"]}'))
+    by = lambda *values: F.element_at(F.array(*values), (k % len(values) + 1).cast("int"))
+    field = {
+        "publication-number": by(inner(text(k, "-1997")), text(k, "-1997")),
+        "publication-date": inner(text(F.date_format("o_orderdate", "yyyy-MM-dd"), "+01:00")),
+        "notice-title": by(title, F.concat(F.lit('{"eng": "T", "deu": '), title, F.lit("}")), F.concat(F.lit('{"zzz": "T", "eng": ['), title, F.lit("]}"))),
+        "buyer-name": by(deep, F.concat(F.lit('{"deu": ['), deep, F.lit("]}"))),
+        "classification-cpv": F.to_json(F.array(F.lit("72000000"), F.concat(F.lit("4800000"), (k % 10).cast("string")))),
+        "total-value": by(F.col("o_totalprice").cast("string"), inner(text(F.col("o_totalprice")))),
+        "notice-type": F.lit('"can-standard"'),
+        "winner-name": F.to_json(F.transform("won", lambda w: w["s_name"])),
+        "winner-post-code": F.to_json(F.transform("won", lambda w: F.concat(F.lit("P"), w["s_suppkey"].cast("string")))),
+    }
+    notice = F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{name}": '), value) for name, value in field.items()]), F.lit("}"))
+    page = F.concat(F.lit('{"total": 1, "notices": ['), F.col("n"), F.lit("]}"))
+    rows.select(k.alias("k"), notice.alias("n")).select(F.when(F.col("k") % 10 == 0, page).otherwise(F.col("n")).alias("value")).write.text(out)
+
+
+@query("ted_scan", """
+WITH w AS (SELECT l_orderkey AS k, s_name AS winner, s_suppkey AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, s_suppkey, s_name) - 1 AS i
+           FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linestatus = 'F'),
+f AS (SELECT k, winner, arg_min(s, i) AS s, min(i) AS i FROM w GROUP BY k, winner),
+x AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS idx FROM f)
+SELECT o_orderkey || '-1997:' || idx AS external_id, o_orderdate::DATE AS event_date, winner AS org_name_raw, 'Titel ' || o_orderkey AS title,
+  'Käufer "' || o_custkey || '"' AS buyer, CAST(o_totalprice AS DOUBLE) AS value, '72000000;4800000' || (o_orderkey % 10) AS cpv, 'P' || s AS postcode
+FROM x JOIN orders ON o_orderkey = x.k""")
+def ted_scan(spark, d):
+    """Award signals of EU notices read from files: every shape of a field, preferred language at any depth."""
+    out = folder(spark, "ted")
+    write_notices(spark, d, out)
+    found = ted.ted_signals(ted.read_ted(spark, out))
+    return found.select("external_id", "event_date", "org_name_raw", "title", "buyer", "value", F.array_join("cpv", ";").alias("cpv"),
+                        F.get_json_object("payload", "$.winner_post_code").alias("postcode"))
+
+
+@query("job_scan", """
+WITH e AS (SELECT event_id, user_id, event_type, ts::DATE AS d, 'Ref-' || (user_id % 500) || '-' || event_type AS ref FROM events),
+l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY ref ORDER BY d DESC, 'Bid Manager ' || event_id, 'Firma ' || user_id) = 1)
+SELECT ref, 'Bid Manager ' || event_id AS title, 'Firma ' || user_id AS employer, d, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Ort ' || user_id END AS ort,
+  CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN 'neu' ELSE 'alt' END AS region FROM l""")
+def job_scan(spark, d):
+    """Job ads of two coexisting spellings read from files, the latest per reference, blanks as missing."""
+    i, u = F.col("event_id"), F.col("user_id").cast("string")
+    new, day = i % 3 == 1, F.date_format("ts", "yyyy-MM-dd")
+    ref, title, firm = F.concat(F.lit("Ref-"), (F.col("user_id") % 500).cast("string"), F.lit("-"), F.col("event_type")), F.concat(F.lit("Bid Manager "), i.cast("string")), F.concat(F.lit("Firma "), u)
+    address = lambda region: F.struct(F.concat(F.lit("Ort "), u).alias("ort"), F.lit(region).alias("region"))
+    ad = F.struct(
+        F.when(new, ref).otherwise(F.lit(" ")).alias("referenznummer"), F.when(~new, ref).alias("refnr"),
+        F.when(new, title).alias("stellenangebotsTitel"), F.when(~new, title).alias("titel"), F.when(new, firm).otherwise(F.lit("")).alias("firma"), F.when(~new, firm).alias("arbeitgeber"),
+        F.when(new, F.array(F.struct(address("neu").alias("adresse")))).alias("stellenlokationen"), F.when(i % 3 == 2, address("alt")).alias("arbeitsort"),
+        F.when(new, day).alias("datumErsteVeroeffentlichung"), F.when(i % 3 == 0, F.concat(day, F.lit("T08:00:00"))).alias("aktuelleVeroeffentlichungsdatum"),
+        F.when(i % 3 == 2, F.struct(day.alias("von"))).alias("veroeffentlichungszeitraum"), F.lit("x").alias("unbekanntes_feld"))
+    out = folder(spark, "jobs")
+    table(spark, d, "events").select(F.to_json(ad).alias("value")).write.text(out)
+    return jobs.job_ads(jobs.read_jobs(spark, out)).select("ref", "title", "employer", "d", "ort", "region")
+
+
+@query("enrichment_scan", """
+SELECT CAST(c_custkey AS VARCHAR) AS company_id, c_name AS legal_name, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'firma' || c_custkey || '.de' END AS domain,
+  CASE c_custkey % 3 WHEN 0 THEN 1000 + c_custkey WHEN 1 THEN NULL ELSE 375 END::BIGINT AS employees, 'Ort, "' || c_nationkey || '"' AS city, src AS source
+FROM customer CROSS JOIN (VALUES ('csv'), ('jsonl')) s(src)""")
+def enrichment_scan(spark, d):
+    """The same export as CSV under one set of column names and as JSON lines under another."""
+    k = F.col("c_custkey")
+    fields = {
+        "id": k.cast("string"), "name": F.col("c_name"),
+        "web": F.when(k % 4 != 0, F.concat(F.lit("https://www.Firma"), k.cast("string"), F.lit(".de/impressum"))),
+        "size": F.when(k % 3 == 0, F.format_number(1000 + k, 0)).when(k % 3 == 2, F.lit("250-500")), "city": F.concat(F.lit('Ort, "'), F.col("c_nationkey").cast("string"), F.lit('"'))}
+    spelled = {"csv": ["Company-ID", "Firma", "Website", "Mitarbeiter", "Ort"], "jsonl": ["companyid", "company_name", "domain_final", "headcount", "hq_city"]}
+    parts = []
+    for kind, names in spelled.items():
+        out = f"{folder(spark, 'enrichment')}.{kind}"
+        rows = table(spark, d, "customer").select(*[v.alias(n) for n, v in zip(names, fields.values())], F.lit("x").alias("unknown column"))
+        (rows.write.option("header", True).option("escape", '"').csv(out) if kind == "csv" else rows.write.json(out))
+        found = enrichment.read_enrichment(spark, out)
+        parts.append(found.select("company_id", "legal_name", "domain", F.col("employees").cast("long").alias("employees"), "city", F.lit(kind).alias("source")))
+    return parts[0].unionByName(parts[1])

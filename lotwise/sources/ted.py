@@ -10,7 +10,7 @@ from lotwise.functions.text import blank_to_null
 from lotwise.schemas import SIGNAL_COLUMNS, TED_FIELDS
 
 LANGUAGE_KEYS = ("deu", "eng", "value", "text")
-ORDERED_LEVELS = 3  # levels of nesting read by language preference; deeper ones in stored order
+ORDERED_LEVELS = 3  # levels ``all_strings`` reads by language preference; deeper ones in stored order
 LEAF = r'("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false)(?=[,}\]])'
 
 
@@ -49,6 +49,34 @@ def first_string(v: Column) -> Column:
     return F.get(all_strings(v), F.lit(0))
 
 
+def nesting(v: Column) -> Column:
+    """How many lists and maps lie inside one another at the deepest place of a variant."""
+    brackets = F.regexp_replace(F.regexp_replace(F.to_json(v), r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(s: Column, c: Column) -> Column:
+        now = s["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+    return F.coalesce(F.aggregate(F.split(brackets, ""), start, step, lambda s: s["most"]), F.lit(0))
+
+
+def texts_of(notices: DataFrame) -> DataFrame:
+    """Every variant column as the list of its non-blank texts, preferred languages first at any depth.
+
+    A level of lists and maps is replaced by its ordered content in place, as often as the deepest
+    field needs it, so the order is depth first and expressions stay small.
+    """
+    levels = notices.agg(F.max(F.greatest(*[nesting(F.col(c)) for c in notices.columns]))).first()[0] or 0
+
+    def opened(items: Column) -> Column:
+        return F.flatten(F.transform(items, lambda x: F.when(F.schema_of_variant(x).rlike("^(ARRAY|OBJECT)"), _children(x)).otherwise(F.array(x))))
+
+    rows = notices.select(*[F.when(F.col(c).isNull(), F.array().cast("array<variant>")).otherwise(F.array(c)).alias(c) for c in notices.columns])
+    for _ in range(levels):
+        rows = rows.select(*[opened(F.col(c)).alias(c) for c in notices.columns])
+    return rows.select(*[F.array_compact(F.transform(c, lambda x: blank_to_null(_get(x, "$", "string")))).alias(c) for c in notices.columns])
+
+
 def read_ted(spark: SparkSession, path: str) -> DataFrame:
     """One row per notice, one variant column per known field.
 
@@ -69,17 +97,17 @@ def winners_with_postcodes(winners: Column, postcodes: Column) -> Column:
 
 
 def ted_signals(notices: DataFrame) -> DataFrame:
-    """One award signal per notice and distinct winner."""
+    """One award signal per notice and distinct winner; texts by language preference however deep they lie."""
     def one(name: str) -> Column:
-        return first_string(F.col(name))
-    flat = notices.select(
+        return F.get(name, F.lit(0))
+    flat = texts_of(notices).select(
         one("publication_number").alias("pub"), iso_date(one("publication_date")).alias("d"),
         one("notice_title").alias("title"), one("buyer_name").alias("buyer"),
-        F.slice(all_strings(F.col("classification_cpv")), 1, rules.CODES_IN_ROW).alias("cpv"),
+        F.slice("classification_cpv", 1, rules.CODES_IN_ROW).alias("cpv"),
         one("total_value").try_cast("double").alias("value"), one("notice_type").alias("notice_type"),
         one("winner_country").alias("winner_country"),
         iso_date(one("contract_duration_end_date_lot")).alias("contract_end"),
-        winners_with_postcodes(all_strings(F.col("winner_name")), all_strings(F.col("winner_post_code"))).alias("w"),
+        winners_with_postcodes(F.col("winner_name"), F.col("winner_post_code")).alias("w"),
     ).filter("pub IS NOT NULL")
     rows = flat.select("*", F.posexplode("w").alias("idx", "x"))
     payload = F.to_json(F.struct(
