@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,24 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def sheltered(rows: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """The rows under names no operator works with, the new name of every column, and the columns that give the old names back."""
+    inner = {c: f"__own_{i}" for i, c in enumerate(rows.columns)}
+    return rows.toDF(*inner.values()), inner, [F.col(new).alias(old) for old, new in inner.items()]
+
+
+@contextmanager
+def small_batches(spark, rows: int = 500):
+    """Texts of a few megabytes at a time go to Python in the jobs run inside; the setting is put back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the links ``a``, ``b`` (longs, a != b): one row (node, root) per linked node.
 

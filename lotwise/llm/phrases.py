@@ -7,8 +7,8 @@ A phrase is 2 to ``LONGEST`` words in a row inside a piece; everything is counte
    Gaps in a row are one, so the corpus shrinks to stretches of frequent words, written once.
 2. Level k = 2, 3, ...: a phrase can be frequent only if its first and its last k - 1 words are.  Places
    where that holds (all adjacent words at level 2) are safe.  Candidates are the distinct phrases at safe places
-   whose hash bucket is full enough; the bucket counts are summed in Spark, and the full ones
-   reach the tasks as a bitmap (16 MB at most; one that is too small lets more candidates through,
+   whose hash bucket is full enough; bucket counts travel as packed blocks, one for each part of the
+   buckets, are summed part by part, and the full buckets reach the tasks as a bitmap (16 MB at most; one that is too small lets more candidates through,
    never fewer).
 3. Candidates are dealt into blocks of some ``CANDIDATES``.  Each block becomes a double-array trie that is
    broadcast: from state s the word c leads to cell base[s] + c if check there is s.  Tasks advance the states
@@ -29,6 +29,7 @@ rows count each time; an empty table gives no rows; other columns play no part.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,14 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import landed, query, table
+from lotwise.llm.base import landed, query, small_batches, table
 from lotwise.llm.substrings import _bitmap, _has
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 WORDS, CANDIDATES = 1 << 20, 1 << 19
 MOST_BITS = 1 << 27
-BLOB = 1 << 20  # numbers in a row of the corpus
-HELD = 1 << 19  # distinct words a task counts before it hands them on
+BLOB, BLOBS = 1 << 18, 16  # numbers in a row of the corpus, rows a task is handed at a time
+COUNTED = 1 << 22  # places a task counts at a time
+HELD = 1 << 17  # distinct words or phrases a task holds before it hands them on
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\n" * 10)
 
 
@@ -144,23 +146,113 @@ def _bucket_of(words: np.ndarray, at: np.ndarray, k: int, bits: int) -> np.ndarr
     return (h & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _bucket_counts(k: int, bits: int):
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers of 32 bits as their first bytes, then their second ones, ...: what is mostly small packs well."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _count_blocks(keys: np.ndarray, counts: np.ndarray, span: int) -> pa.RecordBatch:
+    """Rising keys and their counts -> part, block: a packed block for every stretch of ``span`` keys."""
+    there, first = np.unique(keys // span, return_index=True)
+    blocks = []
+    for part, own, n in zip(there.tolist(), np.split(keys, first[1:]), np.split(counts, first[1:])):
+        blocks.append(zlib.compress(_planes(np.diff(own, prepend=part * span)) + _planes(n), 1))
+    return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(blocks, pa.binary())], names=["part", "block"])
+
+
+def _block_sums(span: int, least: int):
+    """Blocks, those of a part in one task -> key, f of the keys that reach ``least`` in all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, block in zip(b.column("part").to_pylist(), b.column("block")):
+                planes = zlib.decompress(block.as_buffer())
+                total = sums.setdefault(part, np.zeros(span, dtype=np.int64))
+                total[np.cumsum(_numbers(planes[:len(planes) // 2]))] += _numbers(planes[len(planes) // 2:])
+        for part, total in sums.items():
+            key = np.flatnonzero(total >= least)
+            yield pa.RecordBatch.from_arrays([pa.array(key + part * span), pa.array(total[key])], names=["key", "f"])
+    return run
+
+
+def _summed(counted: DataFrame, size: int, parts: int, least: int) -> DataFrame:
+    """Blocks of counts of the keys 0 to size - 1 -> key, f of those that reach ``least``."""
+    return counted.repartition(parts, "part").mapInArrow(_block_sums(_span(size, parts), least), "key long, f long")
+
+
+def _span(size: int, parts: int) -> int:
+    return -(-size // parts)
+
+
+def _bucket_counts(k: int, bits: int, parts: int):
+    """Blobs -> blocks of how often phrases at safe places fall into each bucket."""
+    def blocks(held: list[np.ndarray]) -> pa.RecordBatch:
+        return _count_blocks(*np.unique(np.concatenate(held), return_counts=True), _span(bits, parts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
             for words, safe, _ in _read(b):
-                bucket, n = np.unique(_bucket_of(words, np.flatnonzero(safe), k, bits), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n.astype(np.int64))], names=["bucket", "f"])
+                held.append(_bucket_of(words, np.flatnonzero(safe), k, bits))
+                size += len(held[-1])
+                if size > COUNTED:
+                    yield blocks(held)
+                    held, size = [], 0
+        if size:
+            yield blocks(held)
     return run
 
 
-def _distinct(k: int, bits: int, full):
+def _unique_rows(rows: np.ndarray) -> np.ndarray:
+    """The distinct rows; pairs are compared as one number."""
+    if rows.shape[1] == 2:
+        return np.unique(np.ascontiguousarray(rows, dtype=np.int32).view(np.int64)).view(np.int32).reshape(-1, 2)
+    return np.unique(rows, axis=0)
+
+
+def _distinct(k: int, bits: int, full, parts: int):
+    """Blobs -> part, windows: the distinct phrases at safe places with full buckets, a block of them for each part."""
+    def blocks(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = _unique_rows(np.concatenate(held))
+        part = _bucket_of(rows.ravel(), np.arange(len(rows)) * k, k, 1 << 32) % parts
+        order = np.argsort(part, kind="stable")
+        there, first = np.unique(part[order], return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(there), pa.array([x.tobytes() for x in np.split(rows[order], first[1:])], pa.binary())], names=["part", "windows"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for b in batches:
             for words, safe, _ in _read(b):
                 at = np.flatnonzero(safe)
                 at = at[_has(full.value, _bucket_of(words, at, k, bits))]
-                rows = np.unique(words[at[:, None] + np.arange(k)], axis=0) if len(at) else np.zeros((0, k), np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names=[f"w{i}" for i in range(k)])
+                if len(at):
+                    held.append(_unique_rows(words[at[:, None] + np.arange(k)]))
+                    if sum(map(len, held)) > HELD:
+                        held = [_unique_rows(np.concatenate(held))]
+                    if len(held[0]) > HELD:
+                        yield blocks(held)
+                        held = []
+        if held:
+            yield blocks(held)
+    return run
+
+
+def _merged(k: int):
+    """Blocks of windows -> w0, ..., one row for every distinct one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, fresh, size = np.zeros((0, k), np.int32), [], 0
+        for b in batches:
+            for block in b.column("windows"):
+                fresh.append(np.frombuffer(block.as_buffer(), np.int32).reshape(-1, k))
+                size += len(fresh[-1])
+                if size > max(HELD, len(held)):
+                    held, fresh, size = _unique_rows(np.concatenate([held, *fresh])), [], 0
+        held = _unique_rows(np.concatenate([held, *fresh]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in held.T], names=[f"w{i}" for i in range(k)])
     return run
 
 
@@ -243,15 +335,16 @@ class DoubleArray:
         return at, self.row[state]
 
 
-def _trie_counts(trie, rows: int):
-    """Blobs -> index, f: accepting states counted over the whole task."""
+def _trie_counts(trie, rows: int, parts: int):
+    """Blobs -> blocks of the accepting states' counts over the whole task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(rows, dtype=np.int64)
         for b in batches:
             for words, safe, _ in _read(b):
                 total += np.bincount(trie.value.accepted(words, np.flatnonzero(safe))[1], minlength=rows)
         index = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(total[index])], names=["index", "f"])
+        if len(index):
+            yield _count_blocks(index, total[index], _span(rows, parts))
     return run
 
 
@@ -279,10 +372,12 @@ def _blocks(df: DataFrame, columns: list[str], most: int) -> list[DataFrame]:
 def _level(corpus: DataFrame, k: int, bits: int, least: int, mark: bool) -> tuple[list[DataFrame], DataFrame]:
     """The frequent phrases of k words (p, f) in parts, and the corpus of the next level."""
     spark = corpus.sparkSession
-    full = corpus.mapInArrow(_bucket_counts(k, bits), "bucket long, f long").groupBy("bucket").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    full = spark.sparkContext.broadcast(_bitmap(full.select("bucket"), bits))
-    columns = [f"w{i}" for i in range(k)]
-    candidates = landed(corpus.mapInArrow(_distinct(k, bits, full), ", ".join(f"{c} int" for c in columns)).distinct(), "candidates")
+    columns, parts = [f"w{i}" for i in range(k)], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with small_batches(spark, BLOBS):
+        full = _summed(corpus.mapInArrow(_bucket_counts(k, bits, parts), "part int, block binary"), bits, parts, least)
+        full = spark.sparkContext.broadcast(_bitmap(full.select("key"), bits))
+        windows = corpus.mapInArrow(_distinct(k, bits, full, parts), "part long, windows binary").repartition(parts, "part")
+        candidates = landed(windows.mapInArrow(_merged(k), ", ".join(f"{c} int" for c in columns)), "candidates")
     found = []
     blocks = _blocks(candidates, columns, CANDIDATES)
     for i, block in enumerate(blocks):
@@ -291,9 +386,11 @@ def _level(corpus: DataFrame, k: int, bits: int, least: int, mark: bool) -> tupl
             phrases = np.stack([rows.column(c).to_numpy() for c in columns], axis=1)
             phrases = phrases[np.lexsort(phrases.T[::-1])]
             trie = spark.sparkContext.broadcast(DoubleArray(phrases))
-            counts = (corpus.mapInArrow(_trie_counts(trie, len(phrases)), "index long, f long")
-                      .groupBy("index").agg(F.sum("f").alias("f")).where(F.col("f") >= least).toArrow())
-            index, f = counts.column("index").to_numpy(), counts.column("f")
+            with small_batches(spark, BLOBS):
+                counted = corpus.mapInArrow(_trie_counts(trie, len(phrases), parts), "part int, block binary")
+                counts = landed(_summed(counted, len(phrases), parts, least), "counts")
+            counts = counts.toArrow()
+            index, f = counts.column("key").to_numpy(), counts.column("f")
             if len(index):
                 found.append(landed(spark.createDataFrame(pa.table({"p": pa.array(list(phrases[index]), pa.list_(pa.int32())), "f": f})), "phrases"))
             frequent = np.zeros(len(phrases), dtype=bool)
@@ -303,7 +400,8 @@ def _level(corpus: DataFrame, k: int, bits: int, least: int, mark: bool) -> tupl
         else:
             continue
         if mark:
-            corpus = landed(corpus.mapInArrow(_marked(trie, spark.sparkContext.broadcast(frequent), i == len(blocks) - 1), BLOB_TYPE), "marked")
+            with small_batches(spark, BLOBS):
+                corpus = landed(corpus.mapInArrow(_marked(trie, spark.sparkContext.broadcast(frequent), i == len(blocks) - 1), BLOB_TYPE), "marked")
     return found, corpus
 
 
@@ -344,9 +442,10 @@ def scored(counts: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """docs (lang, text) -> lang, phrase, a, l, r, n, score: every frequent phrase that no longer one replaces."""
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    words = landed(docs.mapInArrow(_word_counts, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f")), "words")
+    with small_batches(docs.sparkSession):
+        words = landed(docs.mapInArrow(_word_counts, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f")), "words")
+        dictionary, corpus = _dictionary(docs, words, least)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    dictionary, corpus = _dictionary(docs, words, least)
     bits = 1 << min(max((words.agg(F.sum("f")).first()[0] or 1) // 8, 1 << 16).bit_length(), MOST_BITS.bit_length() - 1)
     found = []
     for k in range(2, longest + 1):

@@ -30,7 +30,6 @@ result each; an empty table gives no rows; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -39,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import landed, query, table
+from lotwise.llm.base import landed, query, small_batches, table
 
 WINDOW, SEED = 13, 5
 SEED_BITS, TEXT_BITS = 1 << 27, 1 << 24
@@ -228,18 +227,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_words", "spans", "kept"])
 
 
-@contextmanager
-def _small_batches(spark, rows: int = 500):
-    """Texts of a few megabytes at a time go to Python in the jobs run inside; the setting is put back after."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, spans (removed, from_word to to_word), kept (the words left, blank-joined)."""
     broadcast = docs.sparkSession.sparkContext.broadcast
@@ -254,13 +241,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     seeds = named.select("text_key", "text").mapInArrow(_seed_rows, "seed long, text_key long")
     shared = seeds.groupBy("seed").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo < hi").select("seed")
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession):
         bitmap = _bitmap(shared, SEED_BITS)
     find, window = _window_rows(broadcast(bitmap)), "w1 long, w2 int, doc_id long, text_key long, start int"
     windows = (named.select("doc_id", "text_key", "text").mapInArrow(_in_bitmap(copies, False, find), window)
                .unionByName(smallest.mapInArrow(find, window)))
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession):
         removed = landed(windows.join(least, ["w1", "w2"]).where("doc_id > least")
                          .groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts")), "removed")
 
