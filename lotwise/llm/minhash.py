@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import components, landed, query, table
-from lotwise.llm.substrings import _bitmap, _grams, _has, _slices, _small_batches, word_hashes
+from lotwise.llm.base import components, landed, query, small_batches, table
+from lotwise.llm.substrings import _bitmap, _grams, _has, _slices, word_hashes
 
 SHINGLE, PERCENT = 3, 85
 HASHES, ROWS, BANDS = 256, 6, 40
@@ -194,6 +194,20 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(partners.values(), pa.list_(pa.int64()))], names=["unit", "node", "comp", "partners"])
 
 
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """The exact rule on two whole sets, each sorted."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
+def _whole_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, s, t: their sets) -> a, b of the links."""
+    for x in batches:
+        if x.num_rows:
+            sets = ([np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in x.column(c)] for c in ("s", "t"))
+            yield x.select(["a", "b"]).filter(pa.array(map(linked, *sets), pa.bool_()))
+
+
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(unit, node, comp, partners, shingles) by unit -> a, b: links on whole sets that connect what the unit had not connected."""
     for t in _units(batches):
@@ -210,8 +224,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, others in zip(t.column("node").to_pylist(), t.column("partners").to_pylist()):
             for b in others:
                 if a in sets and b in sets and top(comp[a]) != top(comp[b]):
-                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    if 100 * both >= PERCENT * (len(sets[a]) + len(sets[b]) - both):
+                    if linked(sets[a], sets[b]):
                         links.append((a, b))
                         parent[top(comp[a])] = top(comp[b])
         if links:
@@ -246,11 +259,10 @@ def _hub_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, members: Dat
     sized = pairs.join(a, "a").join(b, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     found = landed(sized.select("a", "b", "sig", "other").mapInArrow(_plausible_rows, "a long, b long"), "plausible")
     sets = _sets_of(docs, first, found.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    long = "transform(sequence(0, length({0}) div 8 - 1), i -> substring({0}, i * 8 + 1, 8))"
     whole = (found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a")
-             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
-             .withColumn("both", F.expr(f"size(array_intersect({long.format('s')}, {long.format('t')}))")))
-    return whole.where(f"100 * both >= {PERCENT} * (length(s) div 8 + length(t) div 8 - both)").select("a", "b")
+             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b"))
+    with small_batches(docs.sparkSession):
+        return landed(whole.select("a", "b", "s", "t").mapInArrow(_whole_links, "a long, b long"), "links")
 
 
 def _unit_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -273,7 +285,7 @@ def _unit_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, members: Da
     rows = units.join(nodes, "node").select("unit", "band", "across", "half", "node", "n", "comp", "sig")
     found = landed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_candidates, "unit long, node long, comp long, partners array<bigint>"), "candidates")
     sets = _sets_of(docs, first, found.select("node").distinct())
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession):
         return landed(found.join(sets, "node").select("unit", "node", "comp", "partners", "shingles")
                       .repartition("unit").sortWithinPartitions("unit").mapInArrow(_confirmed, "a long, b long"), "links")
 
