@@ -28,6 +28,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -253,6 +254,11 @@ def _pieces(texts: list[bytes | None], most: int = BATCH_BYTES) -> Iterator[slic
         yield slice(start, len(texts))
 
 
+def text_of(b: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch: a column of their own, or inside the caller's whole rows (``_row``), which then hold them once."""
+    return b.column("_text") if "_text" in b.schema.names else pc.struct_field(b.column("_row"), "text")
+
+
 def _pass(phrases):
     """One pass over the texts: adds what one slice of the benchmark hits to what earlier passes found."""
     span_type = pa.list_(pa.struct([("from_word", pa.int64()), ("to_word", pa.int64())]))
@@ -260,7 +266,7 @@ def _pass(phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = phrases.value
         for b in batches:
-            texts = b.column("_text").cast(pa.binary()).to_pylist()
+            texts = text_of(b).cast(pa.binary()).to_pylist()
             old_spans, old_items = b.column("spans").to_pylist(), b.column("items").to_pylist()
             counts, spans, items = [], [], []
             for part in _pieces(texts):
@@ -281,10 +287,11 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, -(-size // SLICE_BYTES))
-    out = docs.select(*keep, F.col("text").alias("_text"), F.lit(0).cast("long").alias("n_words"),
+    text = [] if keep == ["_row"] else [F.col("text").alias("_text")]
+    out = docs.select(*keep, *text, F.lit(0).cast("long").alias("n_words"),
                       F.expr("CAST(NULL AS array<struct<from_word: bigint, to_word: bigint>>)").alias("spans"),
                       F.expr("CAST(NULL AS array<string>)").alias("items"))
-    types = ", ".join(f"`{c}` {t}" for c, t in out.dtypes)
+    types = out.schema
     for i in range(slices):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).collect()
         phrases = spark.sparkContext.broadcast(Phrases.of([(r.item_id, bytes(r.text)) for r in rows], window))
@@ -301,7 +308,7 @@ def judged(found: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones, all columns unchanged."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    found = judged(removal_spans(docs.select(row, "text"), benchmark, ["_row"]))
+    found = judged(removal_spans(docs.select(row), benchmark, ["_row"]))
     return found.where("NOT contaminated").select("_row.*")
 
 

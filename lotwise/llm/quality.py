@@ -27,11 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lotwise.llm.base import query, table
-from lotwise.llm.decontamination import _pieces
+from lotwise.llm.decontamination import _pieces, text_of
 
 TRAIN_DOCS, TRAIN_LINES = 4000, 400
+PIECE = 1 << 20  # bytes of texts whose lines are described at a time, one text at least
 QUANTILES = (0.01, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.87, 0.91, 0.94, 0.96, 0.98, 0.99)
 BINS = len(QUANTILES) + 1
 STEPS, RATE, DECAY = 150, 0.1, 1e-3
@@ -111,7 +113,7 @@ class LineField:
 
     def bins(self, features: np.ndarray, lines_of: np.ndarray) -> np.ndarray:
         """(3, lines, FEATURES): bin numbers of the line and its neighbours."""
-        own = np.stack([np.searchsorted(self.edges[k], features[:, k]) for k in range(FEATURES)], axis=1)
+        own = np.stack([np.searchsorted(self.edges[k], features[:, k]).astype(np.int8) for k in range(FEATURES)], axis=1)
         first = np.cumsum(lines_of) - lines_of
         before, after = np.full_like(own, BINS), np.full_like(own, BINS)
         before[1:], after[:-1] = own[:-1], own[1:]
@@ -187,7 +189,7 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
-        for part in _pieces(texts):
+        for part in _pieces(texts, PIECE):
             features, length, lines_of = line_features(texts[part])
             ends = np.cumsum(lines_of)
             yield pa.RecordBatch.from_arrays(
@@ -217,10 +219,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> LineField:
 def _scored(field):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            i = b.schema.get_field_index("_text")
-            texts = [t or b"" for t in b.column(i).cast(pa.binary()).to_pylist()]
-            scores = [field.value.documents(texts[part]) for part in _pieces(texts)]
-            keep = [j for j in range(b.num_columns) if j != i]
+            texts = [t or b"" for t in text_of(b).cast(pa.binary()).to_pylist()]
+            scores = [field.value.documents(texts[part]) for part in _pieces(texts, PIECE)]
+            keep = [j for j, c in enumerate(b.schema.names) if c != "_text"]
             yield pa.RecordBatch.from_arrays([b.column(j) for j in keep] + [pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                                              names=[b.schema.names[j] for j in keep] + ["score"])
     return run
@@ -229,9 +230,9 @@ def _scored(field):
 def scored(docs: DataFrame, field: LineField, keep: list[str]) -> DataFrame:
     """The kept columns with score (0 to 1) and predicted (1: good)."""
     keep = [c for c in keep if c not in ("score", "predicted", "_text")]
-    rows = docs.select(*keep, F.col("text").alias("_text"))
-    types = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "_text")
-    out = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(field)), types + ", score double")
+    rows = docs.select(*keep, *([] if keep == ["_row"] else [F.col("text").alias("_text")]))
+    types = StructType([*rows.drop("_text").schema.fields, StructField("score", DoubleType())])
+    out = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(field)), types)
     return out.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
@@ -241,7 +242,7 @@ def filter_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if not field.trained:
         return docs
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return scored(docs.select(row, "text"), field, ["_row"]).where("predicted = 1").select("_row.*")
+    return scored(docs.select(row), field, ["_row"]).where("predicted = 1").select("_row.*")
 
 
 @query("op9_quality")
