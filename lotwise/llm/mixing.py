@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lotwise.llm.base import SPACED_WORD, landed, query, table
+from lotwise.llm.base import SPACED_WORD, landed, query, sheltered, table
 
 POINTS = 1 << 32
 #: 2**32 divided by the golden ratio, odd: the step of the golden-ratio points.
@@ -146,19 +146,19 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
 
     Of rows that share source, id and size the first by text get the larger numbers.
     """
-    key = ["source", "doc_id", "_size"]
-    rows = docs.drop("_size", "_nth", "_s", "_d", "_z").withColumn("_size", words_of(F.col("text")))
-    names = [c for c in rows.columns if c != "_size"]
-    took = taken(rows.select("source", "doc_id", F.col("_size").alias("size")), **how).where("taken > 0")
+    rows, inner, names = sheltered(docs)
+    source, doc_id, text = (inner[c] for c in ("source", "doc_id", "text"))
+    rows = rows.withColumn("_size", words_of(F.col(text)))
+    took = taken(rows.select(F.col(source).alias("source"), F.col(doc_id).alias("doc_id"), F.col("_size").alias("size")), **how).where("taken > 0")
     times = took.groupBy("source", "doc_id", "size", F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).agg(F.count("*").alias("n"))
     upto = Window.partitionBy("source", "doc_id", "size").orderBy(F.desc("times")).rowsBetween(Window.unboundedPreceding, 0)
     plan = (times.withColumn("upto", F.sum("n").over(upto)).groupBy("source", "doc_id", "size")
-            .agg(F.sort_array(F.collect_list(F.struct("upto", "times"))).alias("plan"))
-            .select(F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), "plan"))
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("text")))
-    same = F.col("source").eqNullSafe(F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z"))
-    return (rows.join(plan, same).withColumn("_times", F.expr("filter(plan, x -> _nth <= x.upto)[0].times")).where("_times > 0")
-            .withColumn("_times", F.explode(F.expr("sequence(1, _times)"))).select(*[F.col(f"`{c}`") for c in names]))
+            .agg(F.sort_array(F.collect_list(F.struct("upto", "times"))).alias("_plan"))
+            .select(F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), "_plan"))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(source, doc_id, "_size").orderBy(text)))
+    same = F.col(source).eqNullSafe(F.col("_s")) & F.col(doc_id).eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z"))
+    return (rows.join(plan, same).withColumn("_times", F.expr("filter(_plan, x -> _nth <= x.upto)[0].times")).where("_times > 0")
+            .withColumn("_times", F.explode(F.expr("sequence(1, _times)"))).select(*names))
 
 
 @query("op4_mixing", """

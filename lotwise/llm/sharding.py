@@ -23,11 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lotwise.llm.base import query, table
+from lotwise.llm.base import query, sheltered, table
 
 CELL_BITS = 16
 CELLS = 1 << CELL_BITS
-WORKING = ["_cell", "_copies", "_rank"]
 
 
 def cell_of(*key: Column) -> Column:
@@ -94,10 +93,11 @@ def shard(rows: DataFrame, key: list[str], shards: int, vnodes: int = 32, slack:
     """Add ``shard`` (0 to shards-1) and ``slot`` (gapless from 0 in each shard) to every row.
 
     ``key`` names the columns that place a row on the ring.  All columns must be groupable.
+    Columns called ``shard`` or ``slot`` are replaced, all others keep name and values.
     """
-    rows = rows.drop("shard", "slot", *WORKING)
+    rows, inner, own_names = sheltered(rows.drop("shard", "slot"))
     names = rows.columns
-    at = rows.withColumn("_cell", cell_of(*[F.col(f"`{k}`") for k in key]))
+    at = rows.withColumn("_cell", cell_of(*[F.col(inner[k]) for k in key]))
     counts = at.groupBy("_cell").agg(F.count("*").alias("n"))
     cells = (_ring(rows.sparkSession, shards, vnodes).withColumnRenamed("cell", "_cell")
              .join(counts, "_cell", "left").withColumn("n", F.coalesce("n", F.lit(0))))
@@ -113,7 +113,7 @@ def shard(rows: DataFrame, key: list[str], shards: int, vnodes: int = 32, slack:
               .withColumn("_rank", F.col("before") + F.col("ahead") + F.col("_rank")))
     walker = "first + _rank - greatest(room, before)"
     return (ranked.withColumn("_move", F.expr(f"IF(_rank < room, NULL, filter(moves, m -> m.`from` <= {walker} AND {walker} < m.`to`)[0])"))
-            .select(*names, F.expr("IF(_rank < room, shard, _move.shard)").alias("shard"),
+            .select(*own_names, F.expr("IF(_rank < room, shard, _move.shard)").alias("shard"),
                     F.expr(f"IF(_rank < room, _rank, _move.slot + {walker} - _move.`from`)").alias("slot")))
 
 

@@ -18,8 +18,8 @@ candidates that share 32 bits by chance.  Components of the links come from alte
 Defined results: a null or wordless text has fingerprint 0 and links like any other;
 repeated rows get the same result each; rows without an id get a component but never name
 one, and a component without any id is null; an empty table gives no rows; columns of the
-input other than id and text play no part and are kept by ``near_duplicates`` (those named
-like its working columns are replaced).
+input other than id and text play no part and are kept by ``near_duplicates``, whatever they
+are called.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import components, landed, query, table
+from lotwise.llm.base import components, landed, query, sheltered, small_batches, table
 
 SEGMENTS, WIDTH, LIMIT = 4, 16, 3
 SHINGLE = 3
@@ -58,20 +58,23 @@ def fingerprint(text: bytes | None) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(values)).tobytes(), "big")
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        i = b.schema.get_field_index("_text")
-        texts = b.column(i).cast(pa.binary()).to_pylist()
-        fps = np.fromiter(map(fingerprint, texts), dtype=np.uint64, count=b.num_rows).view(np.int64)
-        yield pa.RecordBatch.from_arrays([*b.columns[:i], *b.columns[i + 1:], pa.array(fps)],
-                                         names=[*b.schema.names[:i], *b.schema.names[i + 1:], "fingerprint"])
+def _prints(text: str, drop: bool):
+    """The rows with the fingerprint of a column's texts, which is left out if ``drop``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            i = b.schema.get_field_index(text)
+            texts = b.column(i).cast(pa.binary()).to_pylist()
+            fps = np.fromiter(map(fingerprint, texts), dtype=np.uint64, count=b.num_rows).view(np.int64)
+            rest = [j for j in range(b.num_columns) if not (drop and j == i)]
+            yield pa.RecordBatch.from_arrays([*(b.column(j) for j in rest), pa.array(fps)], names=[*(b.schema.names[j] for j in rest), "fingerprint"])
+    return run
 
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and ``fingerprint`` (the 64 bits as a long)."""
     rows = docs.select(*keep, F.col(text).alias("_text"))
     types = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "_text")
-    return rows.mapInArrow(_prints, types + ", fingerprint long")
+    return rows.mapInArrow(_prints("_text", drop=True), types + ", fingerprint long")
 
 
 def _segment(i: int) -> str:
@@ -113,17 +116,18 @@ def labelled(prints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs, one row of each group: that of the smallest id (of equal ones any one, always the same in a written table)."""
-    names = [c for c in docs.columns if c not in ("fingerprint", "_file", "_at")]
-    full = docs.select(*names, F.col("text").alias("_text"))
-    types = ", ".join(f"`{c}` {t}" for c, t in docs.select(*names).dtypes)
-    kept = landed(full.mapInArrow(_prints, types + ", fingerprint long"), "documents")
+    rows, inner, names = sheltered(docs)
+    types = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+    with small_batches(docs.sparkSession):
+        kept = landed(rows.mapInArrow(_prints(inner["text"], drop=False), types + ", fingerprint long"), "documents")
     place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at")]
-    rows = kept.select("fingerprint", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *place).alias("who"))
-    first = rows.groupBy("fingerprint").agg(F.min("who").alias("who"))
+    doc_id = F.col(inner["doc_id"])
+    who = kept.select("fingerprint", F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"), *place).alias("who"))
+    first = who.groupBy("fingerprint").agg(F.min("who").alias("who"))
     linked = groups(kept)
     chosen = (first.join(linked, F.col("fingerprint") == F.col("fp"), "left")
               .groupBy(F.coalesce("root", "fingerprint")).agg(F.min("who").alias("who")).select("who._file", "who._at"))
-    return kept.select(*names, *place).join(chosen, ["_file", "_at"], "left_semi").select(*names)
+    return kept.select(*rows.columns, *place).join(chosen, ["_file", "_at"], "left_semi").select(*names)
 
 
 @query("op3_simhash")
