@@ -44,8 +44,9 @@ class SignalMemory(StatefulProcessor):
             part = part if latest is None else pd.concat([latest, part])
             latest = part.sort_values(ORDER, na_position="first", kind="stable").tail(1)
         content = latest["content_hash"].iloc[0]
-        if self.known.exists():
-            before, first_seen, changes = self.known.get()
+        stored = self.known.get()  # None where nothing is known or it has expired
+        if stored is not None:
+            before, first_seen, changes = stored
             status = UNCHANGED if before == content else CHANGED
             changes += status == CHANGED
         else:
