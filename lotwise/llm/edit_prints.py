@@ -164,7 +164,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed for the way to their range; null for none."""
     for b in batches:
         i = b.schema.get_field_index("text")
-        texts = [zlib.compress(t, 1) if t else None for t in b.column(i).cast(pa.binary()).to_pylist()]
+        texts = [zlib.compress(t) if t else None for t in b.column(i).cast(pa.binary()).to_pylist()]
         yield b.set_column(i, "text", pa.array(texts, pa.binary()))
 
 
