@@ -12,7 +12,7 @@ from lotwise.functions.hosts import domain_stem, host_of, name_matches_domain, t
 from lotwise.operators import matching, quality
 from lotwise.plans.registry import query
 from lotwise.plans.views import table
-from lotwise.session import landed
+from lotwise.session import dealt, landed
 
 # Names made of each customer's own fields, dressed like the names in notices.
 WORDS = ["Daten", "Netz", "Cloud", "Systeme", "Büro - Technik", "Software", "Consulting"]
@@ -30,8 +30,11 @@ def _pick(key: Column, values: list[str], step: int = 1) -> Column:
 
 
 def firm_names(spark, d):
-    """(k, name, dressed, city, postal_code) per customer."""
-    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    """(k, name, dressed, city, postal_code) per customer.
+
+    The rows are few bytes and long work, so they are dealt over all tasks first; a customer file makes only a task or two.
+    """
+    c, n = dealt(table(spark, d, "customer"), "c_custkey"), table(spark, d, "nation")
     k = F.col("c_custkey")
     base = c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
     name = F.concat_ws(" ", F.initcap(F.lower("c_mktsegment")), "n_name", _pick(k, WORDS), _pick(k, AREAS, 7),

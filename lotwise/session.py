@@ -57,3 +57,11 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread evenly by ``key`` over as many tasks as a shuffle has, whatever files they came from.
+
+    For costly work on rows of few bytes, which the sizes of files would put into few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
