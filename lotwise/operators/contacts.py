@@ -12,7 +12,7 @@ from lotwise.functions.verdicts import (
     copy_warning, email_status, filled_count, link_verdict, persona, persona_rank, person_key,
 )
 from lotwise.operators.joins import salted_lookup
-from lotwise.session import landed
+from lotwise.session import landed, numbered
 
 EXPORT_FIELDS = ["company_name", "company_domain", "full_name", "job_title", "location", "profile",
                  "work_email", "mobile_phone", "email_1", "email_2", "email_3"]
@@ -85,32 +85,40 @@ def unusable_reason(flag: Column) -> Column:
             .when(flag != "ja", F.lit("nicht in der Longlist")))
 
 
-def choose_contacts(rows: DataFrame, listed: DataFrame, flag: str, account_order: list[Column], lead_cap: int,
-                    account_cap: int, per_account: int = rules.CONTACTS_PER_ACCOUNT) -> DataFrame:
+def choose_contacts(rows: DataFrame, listed: DataFrame, flag: str, account_order: list[Column], lead_cap: int | None,
+                    account_cap: int | None, per_account: int = rules.CONTACTS_PER_ACCOUNT) -> DataFrame:
     """Up to three contacts per account, dealt out round by round over the best accounts.
 
     Unusable contacts (no address, company not ``listed``) go only when enough others
     remain.  ``account_order`` ranks an account by its first contact's columns.  Contacts
     without an address rank last in their account, so cutting to three before the list is
     joined changes nothing and keeps an account with very many contacts cheap.  Accounts
-    are cut with a top-k before anything is numbered.
+    are cut with a top-k before anything is numbered.  Without caps (None) every contact
+    counts as needed, and all accounts are numbered by a range sort.
     """
     w = Window.partitionBy("company_id").orderBy(
         F.col("email_status") == NO_ADDRESS,
         F.when(F.col("email_status") == "verifiziert_apollo", 0).otherwise(1),
         persona_rank(F.col("persona")), "name", "email", *[c for c in ("person",) if c in rows.columns])
     top = rows.withColumn("round", F.row_number().over(w)).filter(F.col("round") <= per_account)
-    ranked = attach_list(top, listed, flag)
-    reachable = rows.groupBy("company_id").agg(F.count_if(F.col("email_status") != NO_ADDRESS).alias("n"))
-    usable = reachable.join(listed.select("company_id"), "company_id").agg(
-        (F.coalesce(F.sum("n"), F.lit(0)) >= lead_cap).alias("x"))
+    pool = attach_list(top, listed, flag)
+    if lead_cap is not None:
+        reachable = rows.groupBy("company_id").agg(F.count_if(F.col("email_status") != NO_ADDRESS).alias("n"))
+        usable = reachable.join(listed.select("company_id"), "company_id").agg(
+            (F.coalesce(F.sum("n"), F.lit(0)) >= lead_cap).alias("x"))
+        pool = (pool.withColumn("_enough", usable.scalar())
+                .filter(~F.col("_enough") | unusable_reason(F.col(flag)).isNull()).drop("_enough"))
     # The pool ranks the accounts and is joined to their ranks, so it is written once.
-    pool = landed(ranked.withColumn("_enough", usable.scalar())
-                  .filter(~F.col("_enough") | unusable_reason(F.col(flag)).isNull()).drop("_enough"), "pool")
-    best = pool.filter("round = 1").orderBy(*account_order, "company_id").limit(account_cap)
-    numbered = best.select("company_id", F.row_number().over(
-        Window.orderBy(*account_order, "company_id")).alias("account_rank"))
-    return pool.join(F.broadcast(numbered), "company_id").orderBy("round", "account_rank").limit(lead_cap)
+    pool = landed(pool, "pool")
+    order = [*account_order, F.col("company_id")]
+    firsts = pool.filter("round = 1")
+    if account_cap is None:
+        chosen = pool.join(numbered(firsts, order, "account_rank").select("company_id", "account_rank"), "company_id")
+    else:
+        best = firsts.orderBy(*order).limit(account_cap)
+        chosen = pool.join(F.broadcast(best.select("company_id", F.row_number().over(Window.orderBy(*order)).alias("account_rank"))), "company_id")
+    chosen = chosen.orderBy("round", "account_rank")
+    return chosen if lead_cap is None else chosen.limit(lead_cap)
 
 
 def market_contacts(rows: DataFrame, market: DataFrame, lead_cap: int = rules.MARKET_LEADS,
@@ -122,8 +130,8 @@ def market_contacts(rows: DataFrame, market: DataFrame, lead_cap: int = rules.MA
     return choose_contacts(rows, listed, "in_longlist", order, lead_cap, account_cap)
 
 
-def signal_contacts(rows: DataFrame, accounts: DataFrame, lead_cap: int = rules.SIGNAL_LEADS,
-                    account_cap: int = rules.SIGNAL_ACCOUNTS) -> DataFrame:
+def signal_contacts(rows: DataFrame, accounts: DataFrame, lead_cap: int | None = rules.SIGNAL_LEADS,
+                    account_cap: int | None = rules.SIGNAL_ACCOUNTS) -> DataFrame:
     listed = accounts.select("company_id", "tier", "score", "signal_type", "signal_datum", "why_now",
                              "quell_url", "match_confidence")
     order = [F.desc(F.coalesce("score", F.lit(0))), F.col("firma")]

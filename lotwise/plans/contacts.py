@@ -131,16 +131,14 @@ al AS (SELECT ck.*, t.tier, t.n * 10 AS score, CASE WHEN t.tier IS NULL THEN 'NE
    coalesce(CASE WHEN t.tier IS NOT NULL THEN 'zuschlag_gewonnen' END, 'export ' || o % 3) AS signal_type,
    coalesce(CAST(t.last AS VARCHAR), '') AS signal_datum, coalesce(CASE WHEN t.tier IS NOT NULL THEN 'Satz ' || t.account_id END, 'Text ' || o % 3) AS why_now
    FROM ck LEFT JOIN tiers t ON t.account_id = CAST(ck.k AS VARCHAR) AND t.n >= 2),
-us AS (SELECT * FROM al WHERE (SELECT count(*) FROM al WHERE email_status <> 'keine_adresse' AND listed = 'ja') < {rules.SIGNAL_LEADS}
-   OR (email_status <> 'keine_adresse' AND listed = 'ja')),
 rk AS (SELECT *, row_number() OVER (PARTITION BY firm ORDER BY (email_status = 'keine_adresse')::INT,
     CASE WHEN email_status = 'verifiziert_apollo' THEN 0 ELSE 1 END,
-    CASE persona WHEN 'Champion - Bid/Tender' THEN 0 WHEN 'Economic Buyer' THEN 1 ELSE 2 END, name, coalesce(mail, ''), person) AS round FROM us),
-ac AS (SELECT firm, row_number() OVER (ORDER BY coalesce(score, 0) DESC, firm) AS account_rank FROM rk WHERE round = 1 QUALIFY account_rank <= {rules.SIGNAL_ACCOUNTS})
+    CASE persona WHEN 'Champion - Bid/Tender' THEN 0 WHEN 'Economic Buyer' THEN 1 ELSE 2 END, name, coalesce(mail, ''), person) AS round FROM al),
+ac AS (SELECT firm, row_number() OVER (ORDER BY coalesce(score, 0) DESC, firm) AS account_rank FROM rk WHERE round = 1)
 SELECT firm AS company_id, name, listed AS in_longlist_signale, signal_type, signal_datum, why_now, CAST(round AS BIGINT) AS round, account_rank
-FROM rk JOIN ac USING (firm) WHERE round <= 3 ORDER BY round, account_rank LIMIT {rules.SIGNAL_LEADS}""")
+FROM rk JOIN ac USING (firm) WHERE round <= 3""")
 def signal_contacts(spark, d):
-    """The signal list with fallback columns from the export, at the feature's own size."""
+    """The signal list with fallback columns from the export, for every account."""
     o = F.col("row_no")
     exports = contacts(spark, d).withColumn("signal_type", F.concat(F.lit("export "), (o % 3).cast("string"))).withColumn(
         "why_now", F.concat(F.lit("Text "), (o % 3).cast("string")))
@@ -150,7 +148,7 @@ def signal_contacts(spark, d):
                        F.lit("zuschlag_gewonnen").alias("signal_type"), F.col("proof_date").alias("signal_datum"),
                        F.concat(F.lit("Satz "), "account_id").alias("why_now"), F.lit(None).cast("string").alias("quell_url"),
                        F.lit(None).cast("double").alias("match_confidence"))
-    got = ops.signal_contacts(people, on_list)
+    got = ops.signal_contacts(people, on_list, None, None)
     return got.select("company_id", "name", "in_longlist_signale", "signal_type", "signal_datum", "why_now",
                       F.col("round").cast("long").alias("round"), F.col("account_rank").cast("long").alias("account_rank"))
 

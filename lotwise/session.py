@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +65,18 @@ def dealt(df: DataFrame, key: str) -> DataFrame:
     For costly work on rows of few bytes, which the sizes of files would put into few tasks.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows numbered from 1 in a total order, without bringing them into one task.
+
+    A range sort puts them in order over the tasks and is landed, so that a task's rows stay the
+    same; each task numbers its own after the total of the tasks before it.
+    """
+    ordered = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+    parts = landed(ordered.withColumn("_part", F.spark_partition_id()), "ordered")
+    before = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))  # a row per task
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return parts.withColumn("_own", own).join(F.broadcast(before), "_part").withColumn(
+        name, F.coalesce("_before", F.lit(0)) + F.col("_own")).drop("_part", "_n", "_before", "_own")

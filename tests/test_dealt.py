@@ -23,3 +23,17 @@ def test_folding_asks_for_plain_text_first(spark, one):
     for text, folded in (("  Plain GMBH ", "plain gmbh"), ("Größe Ä", "groesse ae"), ("Wést ﬁ Süd", "west fi sued"), (" é", "e"), ("", "")):
         assert one(tx.fold, text) == folded
     assert one(lambda c: tx.fold(F.nullif(c, F.lit("x"))), "x") is None
+
+
+def test_signal_contacts_lists_every_account(spark):
+    got = entry.queries()["signal_contacts"](spark, SF)
+    accounts = spark.read.parquet(f"{SF}/orders.parquet").select("o_custkey").distinct().count()
+    ranks = sorted(r.account_rank for r in got.filter("round = 1").collect())
+    assert ranks == list(range(1, accounts + 1))
+    assert got.count() > 20
+
+
+def test_numbered_is_gapless_in_order(spark):
+    from lotwise.session import numbered
+    got = numbered(spark.range(1000).selectExpr("(id * 37) % 1000 AS v"), [F.desc("v")], "n").collect()
+    assert sorted((r.n, r.v) for r in got) == [(i + 1, 999 - i) for i in range(1000)]
