@@ -195,16 +195,22 @@ fin AS (SELECT *, CASE WHEN rid IS NULL OR emp IS NULL THEN NULL WHEN len(fl) =
 ENRICH_BY_NAME = ENRICH.replace("{name_key}", "nkey")
 
 
+def keyed_records(spark, d):
+    """Enrichment records with the name key as company id."""
+    keyed = firm_names(spark, d).select(F.col("k").cast("string").alias("company_id"), company_key(F.col("name")).alias("key"))
+    # Records without an id find none; under a key of their own they do not all meet in one task.
+    wanted = F.coalesce("company_id", F.concat(F.lit("row "), F.col("row_no").cast("string")))
+    return (enrichment_records(spark, d).withColumn("company_id", wanted).join(keyed, "company_id", "left")
+            .withColumn("company_id", F.col("key")).drop("key"))
+
+
 def merged(spark, d):
     """The name key is offered as company id, as in a real market list whose id is that key."""
     market = market_rows(spark, d).withColumn("customer", F.col("company_id")).withColumn("company_id", F.col("name_id"))
-    keyed = firm_names(spark, d).select(F.col("k").cast("string").alias("company_id"), company_key(F.col("name")).alias("key"))
-    records = (enrichment_records(spark, d).join(keyed, "company_id", "left")
-               .withColumn("company_id", F.col("key")).drop("key"))
     # Several customers may share a name key; the market list keeps the first of them.
     market = market.groupBy("company_id").agg(F.min_by(F.struct(*[c for c in market.columns if c != "company_id"]),
                                                        F.col("customer").cast("long")).alias("m")).select("company_id", "m.*")
-    return enrich.merge_enrichment(market, records, AS_OF + dt.timedelta(days=180))
+    return enrich.merge_enrichment(market, keyed_records(spark, d), AS_OF + dt.timedelta(days=180))
 
 
 MERGED = (ENRICH.replace("{name_key}", "nkey")

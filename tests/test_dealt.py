@@ -37,3 +37,22 @@ def test_numbered_is_gapless_in_order(spark):
     from lotwise.session import numbered
     got = numbered(spark.range(1000).selectExpr("(id * 37) % 1000 AS v"), [F.desc("v")], "n").collect()
     assert sorted((r.n, r.v) for r in got) == [(i + 1, 999 - i) for i in range(1000)]
+
+
+def shares(df):
+    """Rows per task, largest first."""
+    return sorted((r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), reverse=True)
+
+
+def test_records_without_id_do_not_meet_in_one_task(spark):
+    from lotwise.plans import domains
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        got = shares(domains.keyed_records(spark, SF).select("row_no"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got[0] < 0.4 * sum(got)
