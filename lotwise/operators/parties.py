@@ -38,8 +38,9 @@ def _or_empty(c: Column) -> Column:
 def notices_of_releases(releases: DataFrame) -> DataFrame:
     """Releases with their scope verdict; everything else stays nested."""
     main, codes = tender_codes(F.col("tender"))
+    # The outer form keeps Spark from computing the verdict a second time for a filter on it.
     return (
-        releases.withColumn("verdict", verdict(main, codes))
+        releases.withColumn("verdict", F.explode_outer(F.array(verdict(main, codes))))
         .select(
             F.col("id").alias("notice_id"), F.col("ocid"), iso_date(F.col("date")).alias("d"), "tag",
             F.col("buyer.name").alias("buyer"), F.col("buyer.address.locality").alias("buyer_place"),
@@ -52,9 +53,8 @@ def notices_of_releases(releases: DataFrame) -> DataFrame:
 
 def named_members(org: Column) -> Column:
     """Members behind one party entry as struct(name, key, consortium, org fields)."""
-    named = let(clean_name(org["name"]), lambda raw: F.struct(
-        is_consortium(raw).alias("joint"),
-        F.filter(consortium_members(raw), lambda m: strip(m) != "").alias("members")))
+    named = let(clean_name(org["name"]), lambda raw: let(is_consortium(raw), lambda joint: F.struct(
+        joint.alias("joint"), F.filter(consortium_members(raw, joint), lambda m: strip(m) != "").alias("members"))))
     return let(named, lambda x: F.transform(x["members"], lambda m: F.struct(
         strip(m).alias("legal_name"), company_key(m).alias("company_id"),
         x["joint"].alias("consortium"), org["id"].alias("supplier_id"),
@@ -77,11 +77,14 @@ def participations_of_notices(notices: DataFrame, exclusion_mode: str = "listed"
     not winners of the same notice.  All of it happens inside the row, so the result is
     produced without a shuffle however long a notice's party list is.
     """
-    in_scope = notices.filter("is_it").withColumn("won", winner_keys(F.col("awards")))
     awards = F.transform(_or_empty(F.col("awards")), lambda a: F.struct(
         iso_date(a["date"]).alias("award_d"), a["value"]["amount"].alias("value"),
         F.flatten(F.transform(_or_empty(a["suppliers"]), named_members)).alias("members")))
-    award_rows = F.flatten(F.transform(awards, lambda a: F.transform(a["members"], lambda m: F.struct(
+    # The members already have the keys that ``winner_keys`` would make out of the names again.
+    keys = F.flatten(F.transform("awarded", lambda a: F.transform(a["members"], lambda m: m["company_id"])))
+    in_scope = notices.filter("is_it").withColumn("awarded", awards).withColumn(
+        "won", F.array_distinct(F.filter(keys, lambda k: k != "")))
+    award_rows = F.flatten(F.transform("awarded", lambda a: F.transform(a["members"], lambda m: F.struct(
         F.lit("award").alias("role"), F.lit(None).cast("string").alias("outcome"),
         F.coalesce(a["award_d"], F.col("d")).alias("row_d"), a["value"].alias("value"),
         m.alias("m")))))

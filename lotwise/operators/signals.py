@@ -10,7 +10,7 @@ from lotwise import rules
 from lotwise.functions.dates import age_days, as_of_lit, iso_date
 from lotwise.functions.scoring import resolution_confidence
 from lotwise.functions.text import (
-    clean_name, company_key, consortium_members, exclusion_reason, is_consortium, strip,
+    clean_name, company_key, consortium_members, exclusion_reason, is_consortium, let, strip,
 )
 from lotwise.operators.parties import LOST, WON_ALONE, notice_url, outcome_of, winner_keys
 from lotwise.schemas import SIGNAL_COLUMNS
@@ -122,8 +122,9 @@ def signals_of_notices(notices: DataFrame, since: dt.date, as_of: dt.date,
     day = F.coalesce(F.col("d"), today)
 
     def of_bidder(t: Column) -> Column:
-        name = clean_name(t["name"])
-        key = company_key(name)
+        return let(clean_name(t["name"]), lambda name: let(company_key(name), lambda key: of_named(t, name, key)))
+
+    def of_named(t: Column, name: Column, key: Column) -> Column:
         place = F.coalesce(t["address"]["locality"], t["address"]["region"])
         payload = {**common, "buyer": F.col("buyer"), "outcome": outcome, "contract_end": first_end,
                    "bidder_count": F.col("tender.numberOfTenderers"), "supplier_id": t["id"],
