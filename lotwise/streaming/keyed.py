@@ -2,7 +2,8 @@
 
 Each signal's content hash, first sighting and number of changes live in the stream's own state
 store (RocksDB, so it may be larger than memory), next to the task that handles the key.  A
-batch costs the keys it mentions.  Entries that were not delivered for longer than a signal stays
+batch costs the keys it mentions: rows are plain ones, since a frame per key would cost far more
+than the key's own work.  Entries that were not delivered for longer than a signal stays
 active plus the overlap are forgotten; one delivered again after that is new.
 """
 
@@ -12,9 +13,9 @@ import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
 
 from lotwise import rules
 from lotwise.operators.delta import CHANGED, NEW, UNCHANGED
@@ -38,21 +39,22 @@ class SignalMemory(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.known = handle.getValueState("known", KNOWN, self.keep_ms)
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        latest = None
-        for part in rows:  # one row is held, whatever a batch has of the key
-            part = part if latest is None else pd.concat([latest, part])
-            latest = part.sort_values(ORDER, na_position="first", kind="stable").tail(1)
-        content = latest["content_hash"].iloc[0]
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        latest, rank = None, None
+        for row in rows:  # one row is held, whatever a batch has of the key
+            own = [(row[c] is not None, row[c]) for c in ORDER]
+            if rank is None or own >= rank:
+                latest, rank = row, own
+        content = latest["content_hash"]
         stored = self.known.get()  # None where nothing is known or it has expired
         if stored is not None:
             before, first_seen, changes = stored
             status = UNCHANGED if before == content else CHANGED
             changes += status == CHANGED
         else:
-            status, first_seen, changes = NEW, latest["seen_at"].iloc[0].value // 1000, 0
+            status, first_seen, changes = NEW, latest["_seen"], 0
         self.known.update((content, int(first_seen), int(changes)))  # kept from this delivery on, also when nothing changed
-        yield latest.assign(status=status, first_seen_at=pd.Timestamp(int(first_seen), unit="us"), change_count=int(changes))
+        yield Row(**latest.asDict(), status=status, _first=int(first_seen), change_count=int(changes))
 
     def close(self) -> None:
         pass
@@ -64,9 +66,10 @@ def changes(signals: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
 
     Content that goes from A to B and back to A in three batches is reported as changed twice.
     """
-    kinds = ", ".join(f"`{c}` {t}" for c, t in signals.dtypes)
-    return signals.groupBy("signal_id").transformWithStateInPandas(
-        SignalMemory(keep_days), f"{kinds}, status string, first_seen_at timestamp, change_count int", "Append", "ProcessingTime")
+    timed = signals.withColumn("_seen", F.unix_micros("seen_at"))
+    told = StructType([*timed.schema.fields, *StructType.fromDDL("status string, _first long, change_count int").fields])
+    out = timed.groupBy("signal_id").transformWithState(SignalMemory(keep_days), told, "Append", "ProcessingTime")
+    return out.select(*signals.columns, "status", F.timestamp_micros("_first").alias("first_seen_at"), "change_count")
 
 
 @contextmanager

@@ -27,3 +27,31 @@ def test_scope_filter_does_not_compute_the_verdict_again(spark):
 def test_lower_is_spark_lower(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(tx.lower(F.col("t")).alias("a"), F.lower("t").alias("b")).first()
     assert row.a == row.b
+
+
+def test_stream_state_is_fed_plain_rows():
+    """A pandas frame per key took most of a batch's time; the latest row counts, nulls first, the last of equals."""
+    import datetime as dt
+
+    from pyspark.sql import Row
+
+    from lotwise.streaming.keyed import SignalMemory
+
+    class Known:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+    memory = SignalMemory(70)
+    memory.known = Known()
+
+    def row(content, day, notice, seen=5):
+        return Row(signal_id="s", event_date=day, notice_id=notice, content_hash=content, _seen=seen)
+    day = dt.date(2026, 8, 1)
+    first = list(memory.handleInputRows(("s",), iter([row("B", day, "1"), row("C", None, "9"), row("A", day, None)]), None))
+    assert [(r.content_hash, r.status, r["_first"], r.change_count) for r in first] == [("B", "new", 5, 0)]
+    second = list(memory.handleInputRows(("s",), iter([row("A", day, "1", 9)]), None))
+    assert [(r.content_hash, r.status, r["_first"], r.change_count) for r in second] == [("A", "changed", 5, 1)]
