@@ -172,6 +172,10 @@ def verify_imprint(page_text: Column, domain: Column, award_name: Column, award_
     struct(checked, match, confidence_delta, name_ratio, evidence).  A matching name
     alone is not enough: every national subsidiary carries it.
     """
+    return let(page_text, lambda page: _imprint(page, domain, award_name, award_city))
+
+
+def _imprint(page_text: Column, domain: Column, award_name: Column, award_city: Column) -> Column:
     core = F.filter(F.split(company_key(award_name), " "),
                     lambda t: (F.length(t) > 2) & ~t.isin(rules.IMPRINT_STOP_TOKENS))
     town = fold(strip(F.substring_index(award_city, ",", 1)))

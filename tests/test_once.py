@@ -55,3 +55,15 @@ def test_stream_state_is_fed_plain_rows():
     assert [(r.content_hash, r.status, r["_first"], r.change_count) for r in first] == [("B", "new", 5, 0)]
     second = list(memory.handleInputRows(("s",), iter([row("A", day, "1", 9)]), None))
     assert [(r.content_hash, r.status, r["_first"], r.change_count) for r in second] == [("A", "changed", 5, 1)]
+
+
+def test_page_text_is_made_once_per_imprint(spark):
+    from lotwise.functions.verdicts import verify_imprint
+    page = F.regexp_replace(F.col("id").cast("string"), "dear", "")
+    df = spark.range(1).select(verify_imprint(page, F.lit("a.de"), F.lit("Alpha GmbH"), F.lit("Ort")).alias("v"))
+    assert df._jdf.queryExecution().analyzed().toString().count("dear") == 1
+
+
+@pytest.mark.parametrize("pattern", ["ROLE_PATTERN", "FILE_NUMBER_PATTERN", "REGISTER_PATTERN"])
+def test_patterns_look_at_one_letter_first(pattern):
+    assert getattr(tx, pattern).startswith("(?=[")
