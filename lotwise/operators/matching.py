@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.text import blocking_key, company_key, tokens
 
 DEFAULT_THRESHOLD = 0.75
+FEW = 64  # subsets of a name, per size of a partner, up to which names meet by them
 
 
 def keyed_names(names: DataFrame) -> DataFrame:
@@ -18,6 +21,44 @@ def keyed_names(names: DataFrame) -> DataFrame:
             .filter("key <> ''").distinct())
 
 
+def _sized(entries: DataFrame) -> DataFrame:
+    toks = tokens(F.col("key"))
+    return entries.select("key", "block", F.array_sort(toks).alias("toks"), F.size(toks).alias("n"))
+
+
+def _size_pairs(left: DataFrame, right: DataFrame, threshold: float) -> tuple[list, list]:
+    """(n, m, need) for the sizes that occur and may be similar: those with few subsets, and the rest.
+
+    Sets of sizes n and m need an overlap of t / (1 + t) * (n + m).  There are no more sizes
+    than words in the longest name.
+    """
+    ns, ms = (sorted(r["n"] for r in side.select("n").distinct().collect()) for side in (left, right))
+    few, rest = [], []
+    for n in ns:
+        for m in ms:
+            need = math.ceil((n + m) * threshold / (1 + threshold) - 1e-9)
+            if need <= min(n, m):
+                subsets = sum(math.comb(max(n, m), o) for o in range(need, min(n, m) + 1))
+                (few if subsets <= FEW else rest).append((n, m, need))
+    return few, rest
+
+
+def _subsets(sized: DataFrame, plan: list[tuple[int, int, int]], own: str, other: str) -> DataFrame:
+    """Each name once per size a partner may have and per subset of ``plan``'s (n, m, o) size o, as one text."""
+    rows = [(n, m, o, list(at)) for n, m, o in plan for at in itertools.combinations(range(n), o)]
+    at = sized.sparkSession.createDataFrame(rows, f"n int, n_{other} int, shared int, at array<int>")
+    return sized.join(F.broadcast(at), "n").select(
+        "block", F.col("n").alias(f"n_{own}"), f"n_{other}", F.col("key").alias(f"key_{own}"), F.col("toks").alias(f"toks_{own}"),
+        "shared", F.array_join(F.transform("at", lambda i: F.get("toks", i)), " ").alias("subset"))
+
+
+def _pairs_by_subset(a: DataFrame, b: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
+    """Pairs that share the tokens they need; those sharing more meet often, and count at their first subset."""
+    met = _subsets(a, plan, "a", "b").join(_subsets(b, [(m, n, o) for n, m, o in plan], "b", "a").drop("shared"), ["block", "n_a", "n_b", "subset"])
+    return (met.filter(F.col("key_a") != F.col("key_b")).withColumn("both", F.array_intersect("toks_a", "toks_b"))
+            .filter(F.col("subset") == F.array_join(F.slice("both", F.lit(1), F.col("shared")), " ")))
+
+
 def _ranked_tokens(entries: DataFrame, order: DataFrame) -> DataFrame:
     """Each name with its tokens, rarest first, in one common order.
 
@@ -31,43 +72,57 @@ def _ranked_tokens(entries: DataFrame, order: DataFrame) -> DataFrame:
     return ranked.select("key", "block", F.transform("ts", lambda t: t["token"]).alias("toks"), F.size("ts").alias("n"))
 
 
-def _probes(ranked: DataFrame, threshold: float, own: str, other: str) -> DataFrame:
+def _probes(ranked: DataFrame, plan: list[tuple[int, int, int]], own: str, other: str) -> DataFrame:
     """Each name once per size a partner may have and per token it must then be met by.
 
-    Sets of sizes n and m need an overlap of t / (1 + t) * (n + m); leaving out that many
-    less one of the most frequent tokens, the two must still share one of the rest.
+    Leaving out as many as needed less one of the most frequent tokens, the two must still
+    share one of the rest.
     """
-    slack = F.lit(1e-9)
-    n, m = F.col("n"), F.col("m")
-    sizes = F.sequence(F.ceil(n * F.lit(threshold) - slack).cast("int"), F.floor(n / F.lit(threshold) + slack).cast("int"))
-    need = F.ceil((n + m) * F.lit(threshold / (1 + threshold)) - slack).cast("int")
-    return (ranked.withColumn("m", F.explode(sizes)).filter(need <= F.least(n, m))
-            .select("block", n.alias(f"n_{own}"), m.alias(f"n_{other}"), F.col("key").alias(f"key_{own}"),
-                    F.col("toks").alias(f"toks_{own}"), F.explode(F.slice("toks", F.lit(1), n - need + 1)).alias("probe")))
+    sizes = ranked.sparkSession.createDataFrame(plan, f"n int, n_{other} int, need int")
+    return (ranked.join(F.broadcast(sizes), "n")
+            .select("block", F.col("n").alias(f"n_{own}"), f"n_{other}", F.col("key").alias(f"key_{own}"),
+                    F.col("toks").alias(f"toks_{own}"), F.explode(F.slice("toks", F.lit(1), F.col("n") - F.col("need") + 1)).alias("probe")))
+
+
+def _pairs_by_rare_token(a: DataFrame, b: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
+    """Pairs of long names meet on block, both sizes and one rare token, which every true pair shares."""
+    turned = [(m, n, need) for n, m, need in plan]
+    a = a.filter(F.col("n").isin(sorted({n for n, _, _ in plan})))
+    b = b.filter(F.col("n").isin(sorted({n for n, _, _ in turned})))
+    freq = (a.select("key").unionByName(b.select("key")).distinct()
+            .select(F.explode(tokens(F.col("key"))).alias("token"))
+            .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
+    met = _probes(_ranked_tokens(a, freq), plan, "a", "b").join(_probes(_ranked_tokens(b, freq), turned, "b", "a"), ["block", "n_a", "n_b", "probe"])
+    return (met.filter(F.col("key_a") != F.col("key_b")).withColumn("both", F.array_intersect("toks_a", "toks_b"))
+            .filter(F.col("probe") == F.get("both", F.lit(0))))
+
+
+def _scored(pairs: list[DataFrame], threshold: float) -> DataFrame:
+    n = F.size("both")
+    return (reduce(DataFrame.unionByName, [p.select("block", "key_a", "key_b", "n_a", "n_b", "both") for p in pairs])
+            .withColumn("score", n / (F.col("n_a") + F.col("n_b") - n))
+            .filter(F.col("score") >= F.lit(threshold) - F.lit(1e-9))
+            .select("block", "key_a", "key_b", "score"))
+
+
+def _checked(threshold: float) -> float:
+    if not 0 < threshold <= 1 or math.isnan(threshold):
+        raise ValueError("threshold must be in (0, 1]")
+    return threshold
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD, once: bool = False) -> DataFrame:
     """Pairs of different keys in one block with token Jaccard >= ``threshold``.
 
-    ``left``, ``right``: key, block (see ``keyed_names``).  Candidates meet on block, both
-    sizes and one rare token, which every true pair shares; frequent tokens are no
-    meeting point unless the sizes leave no other.  Token lists are bounded by the length
-    of a name.  ``once`` is for a list against itself.
+    ``left``, ``right``: key, block (see ``keyed_names``).  Pairs meet on block, both sizes
+    and as many tokens as they must share, so that no pair meets in vain; where a name has
+    too many such subsets, on one rare token.  The sizes of names are looked up at once.
+    ``once`` is for a list against itself.
     """
-    if not 0 < threshold <= 1 or math.isnan(threshold):
-        raise ValueError("threshold must be in (0, 1]")
-    freq = (left.select("key").unionByName(right.select("key")).distinct()
-            .select(F.explode(tokens(F.col("key"))).alias("token"))
-            .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    a = _probes(_ranked_tokens(left, freq), threshold, "a", "b")
-    b = _probes(_ranked_tokens(right, freq), threshold, "b", "a")
-    met = a.join(b, ["block", "n_a", "n_b", "probe"]).filter(F.col("key_a") < F.col("key_b") if once else F.col("key_a") != F.col("key_b"))
-    both = met.withColumn("shared", F.array_intersect("toks_a", "toks_b"))
-    n = F.size("shared")
-    return (both.filter(F.col("probe") == F.get("shared", F.lit(0)))
-            .withColumn("score", n / (F.col("n_a") + F.col("n_b") - n))
-            .filter(F.col("score") >= F.lit(threshold) - F.lit(1e-9))
-            .select("block", "key_a", "key_b", "score"))
+    a, b = _sized(left), _sized(right)
+    few, rest = _size_pairs(a, b, _checked(threshold))
+    pairs = _scored([_pairs_by_subset(a, b, few), *([_pairs_by_rare_token(a, b, rest)] if rest else [])], threshold)
+    return pairs.filter("key_a < key_b") if once else pairs
 
 
 def pairs_once(names: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:

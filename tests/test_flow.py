@@ -348,6 +348,25 @@ def test_similar_names_equal_brute_force(spark):
         assert rows(matching.similar_names(df, df, t), "key_a", "key_b") == want
 
 
+@pytest.mark.parametrize("few", [64, 8, 0])
+def test_matching_by_subsets_and_by_rare_tokens_equals_brute_force(spark, monkeypatch, few):
+    import itertools
+    import random
+    monkeypatch.setattr(matching, "FEW", few)
+    r = random.Random(6)
+    words = [f"wort{i}" for i in range(9)]
+    names = sorted({" ".join(["alpha", "beta"] + r.sample(words, r.randint(0, 8))) for _ in range(60)} | {"alpha beta wort2 wort1", "alpha beta wort1 wort2"})
+    df = matching.keyed_names(spark.createDataFrame([(n, "53111") for n in names], "name string, postal_code string")).cache()
+    keys = [x.key for x in df.collect()]
+    score = lambda a, b: len(set(a.split()) & set(b.split())) / len(set(a.split()) | set(b.split()))
+    for t in (0.6, 0.8):
+        want = sorted((a, b) for a, b in itertools.permutations(keys, 2) if score(a, b) >= t - 1e-9)
+        assert rows(matching.similar_names(df, df, t), "key_a", "key_b") == want
+        assert rows(matching.pairs_once(df, t), "key_a", "key_b") == [p for p in want if p[0] < p[1]]
+        best = sorted((a, *min(((-score(a, b), b) for x, b in want if x == a))) for a in {a for a, _ in want})
+        assert [(k, -s, b) for k, b, s in rows(matching.best_match(df, df, t), "key_a", "key_b", "score")] == best
+
+
 def test_salted_lookup_keeps_every_row(spark):
     left = spark.range(1000).select(F.col("id"), F.when(F.col("id") < 700, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("999", 2)], "k string, v int")
