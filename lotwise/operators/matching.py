@@ -6,7 +6,7 @@ import itertools
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lotwise.functions.text import blocking_key, company_key, tokens
 
@@ -131,8 +131,24 @@ def pairs_once(names: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFr
 
 
 def best_match(left: DataFrame, right: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """The most similar registered key per unknown key; ties go to the smaller key."""
-    pairs = similar_names(left, right, threshold)
-    return pairs.groupBy("block", "key_a").agg(
+    """The most similar registered key per unknown key; ties go to the smaller key.
+
+    Of the registered names of one size that hold the same tokens only the two smallest keys
+    can be an answer, so the work grows with the names, not with the pairs.  Only pairs of
+    names with too many subsets are made one by one.
+    """
+    a, b = _sized(left), _sized(right)
+    few, rest = _size_pairs(a, b, _checked(threshold))
+    levels = [(n, m, o) for n, m, need in few for o in range(need, min(n, m) + 1)]
+    group = ["block", "n_b", "subset"]
+    # A registered name has its subsets once for all sizes of the unknown ones.
+    held = _subsets(b, sorted({(m, 0, o) for _, m, o in levels}), "b", "a").select(*group, "key_b")
+    smallest = held.withColumn("nth", F.row_number().over(Window.partitionBy(*group).orderBy("key_b"))).filter("nth <= 2").drop("nth")
+    found = _subsets(a, levels, "a", "b").join(smallest, group).filter("key_a <> key_b").select(
+        "block", "key_a", "key_b", (F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("score")).filter(
+        F.col("score") >= F.lit(threshold) - F.lit(1e-9))
+    if rest:
+        found = found.unionByName(_scored([_pairs_by_rare_token(a, b, rest)], threshold))
+    return found.groupBy("block", "key_a").agg(
         F.min(F.struct((-F.col("score")).alias("neg"), "key_b")).alias("m")).select(
         "block", "key_a", F.col("m.key_b").alias("key_b"), (-F.col("m.neg")).alias("score"))

@@ -367,6 +367,37 @@ def test_matching_by_subsets_and_by_rare_tokens_equals_brute_force(spark, monkey
         assert [(k, -s, b) for k, b, s in rows(matching.best_match(df, df, t), "key_a", "key_b", "score")] == best
 
 
+def rows_joined(df):
+    """The most rows any join of a frame makes."""
+    df.collect()
+
+    def joined(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return joined(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return joined(node.plan())
+        own = [node.metrics().apply("numOutputRows").value()] if "Join" in node.nodeName() else []
+        return own + [n for i in range(node.children().size()) for n in joined(node.children().apply(i))]
+    return max(joined(df._jdf.queryExecution().executedPlan()))
+
+
+def test_similar_names_meet_only_if_similar(spark):
+    """One word in seven and one place in five are shared: only pairs that share both are similar."""
+    i = F.col("id")
+    names = spark.range(350).select(F.format_string("alpha beta w%d a%d x%d", i % 7, i % 5, i).alias("name"), F.lit("53111").alias("postal_code"))
+    pairs = matching.pairs_once(matching.keyed_names(names).cache(), 0.6)
+    assert pairs.count() == 35 * 45 and rows_joined(pairs) < 350 * 10
+
+
+def test_best_match_does_not_make_all_pairs(spark):
+    """Names that differ in one word only are all similar; the best of each is found without pairing them."""
+    names = spark.range(400).select(F.concat(F.lit("alpha beta netz nord x"), F.col("id").cast("string")).alias("name"), F.lit("53111").alias("postal_code"))
+    df = matching.keyed_names(names).cache()
+    top = matching.best_match(df, df, 0.6)
+    assert top.count() == 400 and {r.key_b for r in top.collect()} == {"alpha beta netz nord x0", "alpha beta netz nord x1"}
+    assert rows_joined(top) < 400 * 32
+
+
 def test_salted_lookup_keeps_every_row(spark):
     left = spark.range(1000).select(F.col("id"), F.when(F.col("id") < 700, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("999", 2)], "k string, v int")
