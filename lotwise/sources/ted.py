@@ -49,6 +49,10 @@ def first_string(v: Column) -> Column:
     return F.get(all_strings(v), F.lit(0))
 
 
+def _is_container(v: Column) -> Column:
+    return F.schema_of_variant(v).rlike("^(ARRAY|OBJECT)")
+
+
 def nesting(v: Column) -> Column:
     """How many lists and maps lie inside one another at the deepest place of a variant."""
     brackets = F.regexp_replace(F.regexp_replace(F.to_json(v), r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", "")
@@ -57,23 +61,24 @@ def nesting(v: Column) -> Column:
     def step(s: Column, c: Column) -> Column:
         now = s["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
-    return F.coalesce(F.aggregate(F.split(brackets, ""), start, step, lambda s: s["most"]), F.lit(0))
+    deep = F.aggregate(F.split(brackets, ""), start, step, lambda s: s["most"])
+    return F.when(_is_container(v), deep).otherwise(F.lit(0))
 
 
 def texts_of(notices: DataFrame) -> DataFrame:
     """Every variant column as the list of its non-blank texts, preferred languages first at any depth.
 
-    A level of lists and maps is replaced by its ordered content in place, as often as the deepest
-    field needs it, so the order is depth first and expressions stay small.
+    A level of lists and maps is replaced by its ordered content in place, as often as the field's
+    deepest row needs it, so the order is depth first and expressions stay small.
     """
-    levels = notices.agg(F.max(F.greatest(*[nesting(F.col(c)) for c in notices.columns]))).first()[0] or 0
+    levels = notices.agg(*[F.max(nesting(F.col(c))).alias(c) for c in notices.columns]).first()
 
     def opened(items: Column) -> Column:
-        return F.flatten(F.transform(items, lambda x: F.when(F.schema_of_variant(x).rlike("^(ARRAY|OBJECT)"), _children(x)).otherwise(F.array(x))))
+        return F.flatten(F.transform(items, lambda x: F.when(_is_container(x), _children(x)).otherwise(F.array(x))))
 
     rows = notices.select(*[F.when(F.col(c).isNull(), F.array().cast("array<variant>")).otherwise(F.array(c)).alias(c) for c in notices.columns])
-    for _ in range(levels):
-        rows = rows.select(*[opened(F.col(c)).alias(c) for c in notices.columns])
+    for level in range(max(n or 0 for n in levels)):
+        rows = rows.select(*[opened(F.col(c)).alias(c) if level < (levels[c] or 0) else F.col(c) for c in notices.columns])
     return rows.select(*[F.array_compact(F.transform(c, lambda x: blank_to_null(_get(x, "$", "string")))).alias(c) for c in notices.columns])
 
 

@@ -33,3 +33,13 @@ def test_language_order_at_any_depth(spark, depth):
     got = ted.texts_of(fields).collect()
     assert {int(r.w[0]): r.v for r in got} == {i: plain(v) for i, v in enumerate(values)}
     assert fields.agg(F.max(ted.nesting(F.col("v")))).first()[0] >= depth + 1
+
+
+def test_each_field_is_opened_as_deep_as_it_lies(spark, monkeypatch):
+    fields = spark.createDataFrame([('"x"', '[["a"], ["b"]]', '["c"]'), ("5", None, '[{"deu": "d", "eng": ["e"]}]')], "a string, b string, c string").select(
+        *[F.parse_json(c).alias(c) for c in "abc"])
+    opened, children = [], ted._children
+    monkeypatch.setattr(ted, "_children", lambda v: opened.append(v) or children(v))
+    got = [tuple(r) for r in ted.texts_of(fields).collect()]
+    assert got == [(["x"], ["a", "b"], ["c"]), (["5"], [], ["d", "e"])]
+    assert len(opened) == 0 + 2 + 3
