@@ -37,6 +37,64 @@ def test_there_and_back_is_two_changes(spark, tmp_path):
     assert any("rocksdb" in str(p).lower() or p.suffix == ".zip" or p.suffix == ".changelog" for p in tmp_path.rglob("checkpoint/state/**/*"))
 
 
+class Held:
+    """A state value in memory, and how often it was called."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+class At:
+    def __init__(self, day):
+        self.day = day
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.day * 86_400_000
+
+
+def test_a_bucket_is_one_call_and_forgets_signal_by_signal():
+    """The calls do not grow with the signals, and a signal goes when its own time is over, not its bucket's."""
+    from pyspark.sql import Row
+    held, memory = Held(), keyed.SignalMemory(10)
+    memory.init(held)
+
+    def tell(day, *rows):
+        given = [Row(signal=dict(signal_id=i, content_hash=h, event_date=e, notice_id=None, _seen=day)) for i, h, e in rows]
+        out = memory.handleInputRows((0,), iter(given), At(day))
+        return {r["signal"]["signal_id"]: (r["signal"]["content_hash"], r["status"], r["first_seen"], r["change_count"]) for r in out}
+
+    many = [(str(i), "A", None) for i in range(1000)]
+    day = dt.date(2026, 8, 1)
+    assert tell(1, *many, (None, None, None)) == {str(i): ("A", "new", 1, 0) for i in range(1000)} | {None: (None, "new", 1, 0)}
+    assert tell(9, ("7", "A", day), ("7", "B", day), ("7", "C", None), (None, None, None), ("new", "A", None)) == {
+        "7": ("B", "changed", 1, 1), None: (None, "unchanged", 1, 0), "new": ("A", "new", 9, 0)}
+    assert tell(12, ("7", "A", None), ("8", "A", None)) == {"7": ("A", "changed", 1, 2), "8": ("A", "new", 12, 0)}
+    assert held.calls == 6 and sorted(map(str, held.value[0])) == ["7", "8", "None", "new"]
+
+
+def test_state_has_a_row_per_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKETS", 3)
+    rows = [(f"s{i}", "A", None, str(i)) for i in range(60)]
+    for n, part in enumerate((rows, [(i, "B" if k % 2 else "A", None, None) for k, (i, *_) in enumerate(rows[:40])]), 1):
+        deliver(spark, tmp_path, n, part)
+    told = {(r.seen_at.day, r.signal_id): (r.status, r.change_count, r.first_seen_at.day) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert told == {(2, f"s{i}"): ("new", 0, 2) for i in range(60)} | {
+        (3, f"s{i}"): ("changed", 1, 2) if i % 2 else ("unchanged", 0, 2) for i in range(40)}
+    state = spark.read.format("statestore").option("stateVarName", "known").load(f"{tmp_path}/checkpoint").select("key.bucket", "value.*")
+    assert {r.bucket for r in state.collect()} <= {0, 1, 2} and state.selectExpr("sum(size(value.signal_id))").first()[0] == 60
+
+
 def signal(i, source, day, content="h"):
     filled = {"source": source, "external_id": str(i), "signal_type": "zuschlag_gewonnen", "event_date": day, "notice_id": str(i), "is_buyer_side": False, "cpv": []}
     return (*[filled.get(c) for c in SIGNAL_COLUMNS], "c", 0.5, False, f"id{i}", content)
