@@ -40,7 +40,7 @@ def market_list(spark: SparkSession, corpus: str, months: list[str], as_of: dt.d
     market = spark.read.parquet(f"{out}/market")
     write_csv(market.orderBy(company.tier_rank(F.col("tier")), F.desc("participations_total"), "company_id"),
               f"{out}/market_csv", MARKET_COLUMNS)
-    company.company_supplier_ids(company.distinct_facts(parts)).write.mode("overwrite").parquet(f"{out}/supplier_ids")
+    company.company_supplier_ids(company.distinct_facts(parts, ["supplier_id"])).write.mode("overwrite").parquet(f"{out}/supplier_ids")
     company.market_summary(market).write.mode("overwrite").parquet(f"{out}/summary")
     month_coverage(releases, months).write.mode("overwrite").parquet(f"{out}/months")
     return market

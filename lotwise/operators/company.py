@@ -12,6 +12,11 @@ from lotwise.functions.scoring import award_proof, lookup, tier_of, tier_rank
 from lotwise.operators.parties import LOST, OPEN, WON_ALONE
 
 NEVER = "0001-01-01"
+# What a procedure's row is made of, and with it all that the market list reads of a participation.
+OF_PROCEDURE = ["company_id", "ocid", "notice_id", "pos", "d", "role", "outcome", "legal_name", "city", "postal_code", "main_cpv",
+                "mixed_lot", "consortium", "url"]
+EVIDENCE = [*OF_PROCEDURE, "buyer", "cpv", "supplier_id", "source"]
+KINDS = ["buyer", "supplier_id", "source", "code"]
 
 
 def _best(value: Column, order: Column, cond: Column) -> Column:
@@ -23,8 +28,13 @@ def per_procedure(parts: DataFrame) -> DataFrame:
 
     All distinct counts of the company row become plain sums after this step, so the
     company aggregate needs no row expansion and a company with very many rows is
-    spread over its procedures first.
+    spread over its procedures first.  Participations travel as they are, since half-made
+    rows, which hold a notice several times over, are more than twice as large; those
+    without a procedure id do not count, so each notice makes a row of its own.
     """
+    own = F.when(F.coalesce("ocid", F.lit("")) == "", F.col("notice_id")).alias("_own")
+    counted = [c for c in ["n_rows"] if c in parts.columns]
+    parts = parts.select(*OF_PROCEDURE, *counted, own).repartition("company_id", "ocid", "_own")
     role, outcome = F.col("role"), F.col("outcome")
     rows = F.col("n_rows") if "n_rows" in parts.columns else (role == "award").cast("int")
     newest = F.struct(F.coalesce("d", F.lit(NEVER).cast("date")), F.col("notice_id"), -F.col("pos"))
@@ -46,22 +56,25 @@ def per_procedure(parts: DataFrame) -> DataFrame:
     for name, cond in (("award", role == "award"), ("lost", outcome == LOST),
                        ("sole", outcome == WON_ALONE), ("open", outcome == OPEN)):
         aggs.append(F.max(F.when(cond, F.struct(newest.alias("k"), proof.alias("v")))).alias(f"proof_{name}"))
-    return parts.groupBy("company_id", "ocid").agg(*aggs)
+    return parts.groupBy("company_id", "ocid", "_own").agg(*aggs).drop("_own")
 
 
-def distinct_facts(parts: DataFrame) -> DataFrame:
-    """(company, kind, value) without repeats for buyers, codes, supplier ids and sources."""
-    def tagged(kind: str, c: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), c.alias("value"))
-    facts = F.concat(
-        F.array(tagged("buyer", F.col("buyer")), tagged("supplier_id", F.col("supplier_id")),
-                tagged("source", F.col("source"))),
-        F.transform(F.coalesce("cpv", F.array()), lambda c: tagged("code", c)))
+def distinct_facts(parts: DataFrame, kinds: list[str] = KINDS) -> DataFrame:
+    """(company, kind, value) without repeats for buyers, codes, supplier ids and sources.
+
+    The kind comes out of the aggregate, so a filter on it stays above, and all that is asked
+    of the facts reads one shuffle; ``kinds`` is for those who want some of them only.
+    """
+    values = {k: F.array(F.col(k)) for k in KINDS if k != "code"} | {"code": F.coalesce("cpv", F.array())}
+
+    def tagged(kind: str) -> Column:
+        return F.transform(values[kind], lambda v: F.struct(F.lit(KINDS.index(kind)).alias("kind"), v.alias("value")))
     return (
-        parts.select("company_id", F.explode(facts).alias("f"))
-        .select("company_id", "f.kind", "f.value")
+        parts.select("company_id", F.explode(F.concat(*map(tagged, kinds))).alias("f"))
+        .select("company_id", F.col("f.kind").alias("_kind"), "f.value")
         .filter(F.col("value").isNotNull() & (F.col("value") != ""))
-        .distinct()
+        .groupBy("company_id", "_kind", "value").agg(F.max("_kind").alias("_told"))
+        .select("company_id", F.get(F.array(*map(F.lit, KINDS)), F.col("_told")).alias("kind"), "value")
     )
 
 
@@ -140,7 +153,7 @@ def market_list(parts: DataFrame, as_of: dt.date) -> DataFrame:
     """The market list: one evidenced, tiered row per company, best first.
 
     Blocking steps: one regroup by (company, procedure), one by (company, fact), one by
-    company; every one of them combines map-side.
+    company; the latter two combine map-side.
     """
     counts = company_counts(per_procedure(parts)).withColumn("proof", strongest_proof(as_of))
     profile = fact_profile(distinct_facts(parts))

@@ -30,20 +30,24 @@ def releases(spark: SparkSession, d: str) -> DataFrame:
         "s_suppkey", "s_name", "n_name")
     code = F.concat(F.when(F.col("p_brand").startswith("Brand#1"), F.lit("72")).otherwise(F.lit("45")),
                     F.substring("p_brand", 7, 2), F.lit("0000"))
-    party = F.struct(F.concat(F.lit("ORG-"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"),
+    # Lines travel as plain columns and are landed before they meet by order: the documents' structs are made
+    # where they are used, and the lookups' shuffle files are gone when the next ones are written.
+    lines = landed(
+        table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("end"),
+                                           "l_extendedprice", views.won_line().alias("won"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn("code", code).drop("l_partkey", "p_partkey", "p_brand")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).drop("s_suppkey"), "lines")
+    party = F.struct(F.concat(F.lit("ORG-"), F.col("l_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"),
                      F.struct(F.col("n_name").alias("locality")).alias("address"))
     lot = F.col("l_linenumber").cast("string")
-    end = F.struct(F.date_format("l_shipdate", "yyyy-MM-dd").alias("endDate"))
+    end = F.struct(F.date_format("end", "yyyy-MM-dd").alias("endDate"))
     award = F.struct(lot.alias("id"), F.array(lot).alias("relatedLots"), F.struct(F.col("l_extendedprice").alias("amount"),
                      F.lit("EUR").alias("currency")).alias("value"), F.array(party).alias("suppliers"))
-    lines = (table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
-                                                "l_returnflag", "l_linestatus")
-             .join(part, F.col("l_partkey") == F.col("p_partkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
-    per_order = lines.groupBy("l_orderkey").agg(
+    per_order = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.array_sort(F.collect_set(party)).alias("tenderers"),
-        F.array_sort(F.collect_list(F.when(views.won_line(), award))).alias("awards"),
+        F.array_sort(F.collect_list(F.when(F.col("won"), award))).alias("awards"),
         F.array_sort(F.collect_set(F.struct(lot.alias("id"), end.alias("contractPeriod")))).alias("lots"),
-        F.min(F.when(F.col("l_linenumber") == 1, code)).alias("main"), F.collect_set(code).alias("codes"))
+        F.min(F.when(F.col("l_linenumber") == 1, F.col("code"))).alias("main"), F.collect_set("code").alias("codes"))
     o = table(spark, d, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
     opens = (F.col("o_orderstatus") == "O") & (F.size("awards") == 0)
     tender = F.struct(
@@ -110,7 +114,7 @@ SELECT {MARKET_SQL_COLUMNS},
   END AS tier_rationale
 FROM market"""))
 def nested_market_list(spark, d):
-    parts = landed(ops.participations_of_notices(notices(spark, d)), "participations")
+    parts = landed(ops.participations_of_notices(notices(spark, d)).select(*company.EVIDENCE), "participations")
     return company.market_list(parts, AS_OF).select(*MARKET_COLUMNS)
 
 

@@ -17,6 +17,7 @@ DEFAULTS = {
     # Building wide rule expressions is several times faster without a stack trace per call.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -52,11 +53,18 @@ def landed(df: DataFrame, name: str) -> DataFrame:
 
     For an expensive result that feeds several branches: it is computed once, its lineage
     ends here, lost executors only re-read files, and every branch still reads just the
-    columns it needs.
+    columns it needs.  The shuffle files it took are removed, not left until the driver
+    happens to collect its garbage.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dealt(df: DataFrame, key: str) -> DataFrame:
