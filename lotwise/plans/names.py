@@ -166,7 +166,7 @@ scored AS (SELECT a.block, a.key AS key_a, b.key AS key_b,
 SELECT block, key_a, key_b, round_even(score, 6) AS score FROM scored WHERE score >= 0.6 - 1e-9""")
 def block_match(spark, d):
     keyed = landed(matching.keyed_names(firm_names(spark, d)), "names")
-    return matching.pairs_once(keyed, 0.6).withColumn("score", F.bround("score", 6))
+    return matching.pairs_once(keyed, 0.6, digits=6)
 
 
 @query("best_match", f"""
